@@ -62,7 +62,8 @@ def _new_statuses(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState)
     if len(rows):
         last = rows.iloc[-1]
         state.update((int(last[STATUS]), int(last["lsn"])))
-    yield pd.DataFrame({"id": key[0], STATUS: fresh[STATUS], "since": fresh["since"], "lsn": fresh["lsn"]})
+    if len(fresh):
+        yield pd.DataFrame({"id": key[0], STATUS: fresh[STATUS], "since": fresh["since"], "lsn": fresh["lsn"]})
 
 
 def status_change_stream(changes: DataFrame) -> DataFrame:
