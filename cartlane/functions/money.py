@@ -40,10 +40,13 @@ def line_subtotal(price: Column, tax: Column, quantity: Column, mode: str = REFE
     return percent_of(price, tax) * quantity
 
 
-def line_tax(price: Column, tax: Column, quantity: Column, mode: str = REFERENCE) -> Column:
-    """The line's share of the order tax; reference mode counts one piece only."""
-    unit = percent_of(price, tax)
-    return unit * quantity if check_mode(mode) == STRICT else unit
+def tax_sum(price: Column, tax: Column, quantity: Column, mode: str = REFERENCE) -> Column:
+    """The tax of an order's lines; reference mode counts one piece of each line only.
+
+    The division by 100 is done once per order: exact decimals allow it.
+    """
+    part = price * tax * quantity if check_mode(mode) == STRICT else price * tax
+    return F.sum(part) * hundredth()
 
 
 def discount_amount(kind: Column, value: Column, order_amount: Column, mode: str = REFERENCE) -> Column:

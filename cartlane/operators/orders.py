@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartlane.functions.draws import draw_chance, draw_decimal
-from cartlane.functions.money import discount_amount, line_quantity, line_subtotal, line_tax, money
+from cartlane.functions.money import discount_amount, line_quantity, line_subtotal, money, tax_sum
 from cartlane.functions.times import as_of_column
 from cartlane.modes import REFERENCE, STRICT, check_mode
 from cartlane.operators.promotions import active_at
@@ -17,6 +17,7 @@ from cartlane.operators.users import users_with_role
 from cartlane.plans.assign import assign
 from cartlane.plans.keys import with_surrogate_key
 from cartlane.plans.samples import baskets
+from cartlane.plans.scratch import written
 from cartlane.schemas import ROLE_CUSTOMER, ROLE_STAFF, STATUS_PENDING
 
 # Unit cost as a share of the price, and 4 of 11 orders with a discount.
@@ -47,7 +48,7 @@ def sum_lines(lines: DataFrame, order_key: str, mode: str = REFERENCE) -> DataFr
     price, tax, quantity = F.col("product_price"), F.col("product_tax"), F.col("quantity")
     return lines.groupBy(order_key).agg(
         F.sum(quantity * price).alias("order_amount"),
-        F.sum(line_tax(price, tax, quantity, mode)).alias("tax_amount"),
+        tax_sum(price, tax, quantity, mode).alias("tax_amount"),
     )
 
 
@@ -142,6 +143,8 @@ def assemble_orders(
         header = assign(header, request, choices, ["id"], {"id": column}, f"{seed}-{column}")
     header = header.filter(F.col("staff_id").isNotNull()).join(first_addresses(addresses), "user_id")
     header = with_surrogate_key(header, request, "id", existing_orders, dense=False)
+    # One narrow row per order, used for the lines, their sums and the orders.
+    header = written(header, "headers")
 
     in_stock = products.filter(F.col("product_quantity") > 0).select(
         F.col("id").alias("product_id"), "product_price", "product_tax", "product_quantity"

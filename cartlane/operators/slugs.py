@@ -11,16 +11,19 @@ Such bases are settled in a second step, level by level.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartlane.functions.text import base_slug
-from cartlane.plans.ordered import HOT_ROWS, numbered_in_group, running_total
+from cartlane.plans.ordered import HOT_ROWS, Large, find_large, numbered_in_group, running_total
 from cartlane.plans.scratch import written
 
 # A slug that ends in a number as the rule writes it: no leading zero.
 _NUMBERED = r"^(.*)-([1-9][0-9]{0,17})$"
 
+_BASE = "__base"
 _PLACE = "__place"
 
 
@@ -35,60 +38,67 @@ def unique_slugs(
 
     ``order`` is a unique numeric column: the order of arrival.
     """
-    based = rows.withColumn("__base", base_slug(F.col(name)))
-    bases = based.groupBy("__base").agg(F.min(order).alias("first"))
-    taken = None if existing is None else _places(existing.select("slug").distinct(), "slug")
+    based = rows.withColumn(_BASE, base_slug(F.col(name)))
+    bases = based.groupBy(_BASE).agg(F.min(order).alias("first"))
+    taken = None if existing is None else _places(existing.select(F.col("slug").alias(_BASE)).distinct())
     rivals = (
-        _places(bases, "__base", "first")
+        _places(bases, "first")
         .filter("n > 0")
-        .join(bases.select(F.col("__base").alias("stem")), "stem", "left_semi")
-        .withColumn("rival", F.concat_ws("-", "stem", "n"))
+        .join(bases.select(_BASE), _BASE, "left_semi")
+        .withColumn("rival", F.concat_ws("-", _BASE, "n"))
     )
     if rivals.isEmpty():
-        placed = _place(based, order, taken, hot_rows)
+        placed = _place(based, order, taken, _large(hot_rows, based, taken))
     else:
         placed = _place_by_level(based, order, taken, written(rivals, "rivals"), hot_rows)
-    slug = F.when(F.col(_PLACE) == 0, F.col("__base")).otherwise(F.concat_ws("-", "__base", _PLACE))
-    return placed.withColumn("slug", slug).drop("__base", _PLACE)
+    slug = F.when(F.col(_PLACE) == 0, F.col(_BASE)).otherwise(F.concat_ws("-", _BASE, _PLACE))
+    return placed.withColumn("slug", slug).drop(_BASE, _PLACE)
+
 
+def _large(hot_rows: int, *parts: DataFrame | None) -> Large | None:
+    """Bases with too many rows and places together."""
+    bases = [part.select(_BASE) for part in parts if part is not None]
+    return find_large(reduce(DataFrame.union, bases), [_BASE], hot_rows)
 
-def _places(slugs: DataFrame, column: str, *keep: str) -> DataFrame:
+
+def _places(slugs: DataFrame, *keep: str) -> DataFrame:
     """What a slug occupies: place 0 of itself and, if numbered, place n of its stem."""
-    bare = slugs.select(F.col(column).alias("stem"), F.lit(0).cast("bigint").alias("n"), *keep)
-    numbered = slugs.filter(F.col(column).rlike(_NUMBERED)).select(
-        F.regexp_extract(column, _NUMBERED, 1).alias("stem"),
-        F.regexp_extract(column, _NUMBERED, 2).cast("bigint").alias("n"),
+    bare = slugs.select(_BASE, F.lit(0).cast("bigint").alias("n"), *keep)
+    numbered = slugs.filter(F.col(_BASE).rlike(_NUMBERED)).select(
+        F.regexp_extract(_BASE, _NUMBERED, 1).alias(_BASE),
+        F.regexp_extract(_BASE, _NUMBERED, 2).cast("bigint").alias("n"),
         *keep,
     )
     return bare.unionByName(numbered)
 
 
-def _place(based: DataFrame, order: str, taken: DataFrame | None, hot_rows: int) -> DataFrame:
+def _place(based: DataFrame, order: str, taken: DataFrame | None, large: Large | None) -> DataFrame:
     """The i-th row of each base in its i-th free place."""
-    ranked = numbered_in_group(based, ["__base"], [order], "__rank", hot_rows)
+    ranked = numbered_in_group(based, [_BASE], [order], "__rank", large=large)
+    ranked = ranked.withColumn("__rank", F.col("__rank") - 1)
     if taken is None:
-        return ranked.withColumn(_PLACE, F.col("__rank") - 1).drop("__rank")
-    merged = _with_taken(ranked.withColumn("__rank", F.col("__rank") - 1), taken, hot_rows)
+        return ranked.withColumnRenamed("__rank", _PLACE)
+    merged = _with_taken(ranked, taken.join(based.select(_BASE), _BASE, "left_semi"), large)
     return merged.withColumn(_PLACE, F.col("__rank") + F.col("__skipped")).drop("__rank", "__skipped")
 
 
-def _free_before(taken: DataFrame, hot_rows: int) -> DataFrame:
-    """Taken places with the number of free places below each."""
-    numbered = numbered_in_group(taken, ["stem"], ["n"], "__th", hot_rows)
-    return numbered.select(F.col("stem").alias("__base"), (F.col("n") - F.col("__th") + 1).alias("__rank"))
-
-
-def _with_taken(ranked: DataFrame, taken: DataFrame, hot_rows: int) -> DataFrame:
+def _with_taken(ranked: DataFrame, taken: DataFrame, large: Large | None) -> DataFrame:
     """Adds how many taken places lie below the rank-th free one.
 
-    Rows and taken places of a base go in one sequence by rank; a running count does the rest.
+    Each taken place is marked with the free places below it. Rows and marks of a base then
+    go in one sequence by rank, and a running count does the rest.
     """
-    relevant = taken.join(ranked.select(F.col("__base").alias("stem")), "stem", "left_semi")
-    marks = _free_before(relevant, hot_rows).withColumns({"__row": F.lit(0), "__add": F.lit(1).cast("bigint")})
+    numbered = numbered_in_group(taken, [_BASE], ["n"], "__th", large=large)
+    marks = numbered.select(
+        _BASE,
+        (F.col("n") - F.col("__th") + 1).alias("__rank"),
+        F.lit(0).alias("__row"),
+        F.lit(1).cast("bigint").alias("__add"),
+    )
     sequence = ranked.withColumns({"__row": F.lit(1), "__add": F.lit(0).cast("bigint")}).unionByName(
         marks, allowMissingColumns=True
     )
-    counted = running_total(sequence, ["__base"], ["__rank", "__row"], F.col("__add"), "__skipped", hot_rows)
+    counted = running_total(sequence, [_BASE], ["__rank", "__row"], F.col("__add"), "__skipped", large=large)
     return counted.filter("__row = 1").drop("__row", "__add")
 
 
@@ -99,38 +109,35 @@ def _place_by_level(
 
     Whether a base still has its bare slug depends on its stem's rows, and so on down.
     """
-    spark = based.sparkSession
     if taken is None:
-        taken = spark.createDataFrame([], "stem string, n bigint")
-    stems = rivals.select(F.col("stem").alias("__base"))
-    children = rivals.select(F.col("rival").alias("__base"))
-    touched = stems.unionByName(children).distinct()
-    done = [_place(based.join(touched, "__base", "left_anti"), order, taken, hot_rows)]
-
-    level = stems.join(children, "__base", "left_anti").distinct()
-    lost = None
+        taken = based.sparkSession.createDataFrame([], f"{_BASE} string, n bigint")
+    taken = written(taken, "taken")
+    large = _large(hot_rows, based, taken, rivals)
+    children = rivals.select(F.col("rival").alias(_BASE))
+    touched = rivals.select(_BASE).union(children).distinct()
+    done = [_place(based.join(touched, _BASE, "left_anti"), order, taken, large)]
+
+    touching = written(based.join(touched, _BASE, "left_semi"), "touching")
+    level = written(rivals.select(_BASE).join(children, _BASE, "left_anti").distinct(), "level")
+    blocked = taken
     while not level.isEmpty():
-        rows = based.join(level, "__base", "left_semi")
-        blocked = taken if lost is None else taken.unionByName(lost)
-        here = rivals.join(level.withColumnRenamed("__base", "stem"), "stem", "left_semi")
-        if not here.isEmpty():
-            blocked = blocked.unionByName(_winning_rivals(rows, order, blocked, here, hot_rows)).distinct()
-        placed = written(_place(rows, order, blocked, hot_rows), "slugs")
+        rows = touching.join(level, _BASE, "left_semi")
+        here = rivals.join(level, _BASE, "left_semi")
+        blocked = written(blocked.unionByName(_winning_rivals(rows, order, blocked, here, large)), "blocked")
+        placed = written(_place(rows, order, blocked, large), "slugs")
         done.append(placed)
         # Bare slugs of the next level that went to rows of this one.
-        slugs = placed.filter(F.col(_PLACE) > 0).select(F.concat_ws("-", "__base", _PLACE).alias("rival"))
+        slugs = placed.filter(F.col(_PLACE) > 0).select(F.concat_ws("-", _BASE, _PLACE).alias("rival"))
         lost = here.join(slugs, "rival", "left_semi").select(
-            F.col("rival").alias("stem"), F.lit(0).cast("bigint").alias("n")
+            F.col("rival").alias(_BASE), F.lit(0).cast("bigint").alias("n")
         )
-        level = written(here.select(F.col("rival").alias("__base")).distinct(), "level")
-    result = done[0]
-    for part in done[1:]:
-        result = result.unionByName(part)
-    return result
+        blocked = taken.unionByName(lost)
+        level = written(here.select(F.col("rival").alias(_BASE)).distinct(), "level")
+    return reduce(DataFrame.unionByName, done)
 
 
 def _winning_rivals(
-    rows: DataFrame, order: str, taken: DataFrame, rivals: DataFrame, hot_rows: int
+    rows: DataFrame, order: str, taken: DataFrame, rivals: DataFrame, large: Large | None
 ) -> DataFrame:
     """The rivals that come before the stem's row that would take their place.
 
@@ -138,29 +145,32 @@ def _winning_rivals(
     places below n, less the rivals that won below n. That last number is closed in from
     both sides: too few winners below means too many here, and the other way round.
     """
-    open_ = rivals.join(taken, ["stem", "n"], "left_anti")
-    arrivals = rows.select(F.col("__base").alias("stem"), F.col(order).alias("at"), F.lit(1).cast("bigint").alias("one"))
-    asked = open_.select("stem", F.col("first").alias("at"), F.lit(0).cast("bigint").alias("one"), "n")
+    one, none = F.lit(1).cast("bigint").alias("one"), F.lit(0).cast("bigint").alias("one")
+    asked = rivals.join(taken, [_BASE, "n"], "left_anti").select(_BASE, F.col("first").alias("at"), none, "n")
+    arrivals = rows.select(_BASE, F.col(order).alias("at"), one)
     before = running_total(
-        arrivals.unionByName(asked, allowMissingColumns=True), ["stem"], ["at"], F.col("one"), "rows_before", hot_rows
-    ).filter("n IS NOT NULL")
-    relevant = taken.join(rows.select(F.col("__base").alias("stem")), "stem", "left_semi").distinct()
-    places = relevant.withColumn("one", F.lit(1).cast("bigint")).unionByName(
-        before.select("stem", "n", F.lit(0).cast("bigint").alias("one"), "rows_before"), allowMissingColumns=True
+        arrivals.unionByName(asked, allowMissingColumns=True), [_BASE], ["at"], F.col("one"), "rows_before", large=large
     )
-    free = running_total(places, ["stem"], ["n"], F.col("one"), "taken_below", hot_rows).filter(
-        "rows_before IS NOT NULL"
+    places = taken.select(_BASE, "n", one).unionByName(
+        before.filter("n IS NOT NULL").select(_BASE, "n", none, "rows_before"), allowMissingColumns=True
     )
+    free = running_total(places, [_BASE], ["n"], F.col("one"), "taken_below", large=large)
     spare = F.col("n") - F.col("taken_below") - F.col("rows_before")
-    state = written(free.select("stem", "n", spare.alias("spare"), F.lit(0).cast("bigint").alias("won_below")), "spare")
+    state = written(
+        free.filter("rows_before IS NOT NULL").select(
+            _BASE, "n", spare.alias("spare"), F.lit(0).cast("bigint").alias("won_below")
+        ),
+        "spare",
+    )
     while True:
         wins = (F.col("won_below") <= F.col("spare")).cast("bigint")
-        counted = running_total(state.withColumn("win", wins), ["stem"], ["n"], F.col("win"), "upto", hot_rows)
-        following = written(
-            counted.select("stem", "n", "spare", F.col("won_below").alias("last"), (F.col("upto") - F.col("win")).alias("won_below")),
+        counted = running_total(state.withColumn("win", wins), [_BASE], ["n"], F.col("win"), "upto", large=large)
+        state = written(
+            counted.select(
+                _BASE, "n", "spare", F.col("won_below").alias("last"), (F.col("upto") - F.col("win")).alias("won_below")
+            ),
             "spare",
         )
-        state = following.drop("last")
-        if following.filter("won_below <> last").isEmpty():
-            break
-    return state.filter("won_below <= spare").select("stem", "n")
+        if state.filter("won_below <> last").isEmpty():
+            return state.filter("won_below <= spare").select(_BASE, "n")
+        state = state.drop("last")

@@ -6,16 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartlane.functions.draws import draw
-from cartlane.plans.keys import BUCKETS, numbered
+from cartlane.plans.keys import BUCKETS, counted_and_numbered
 
 _SLOT = "__slot"
 
 
-def row_count(df: DataFrame) -> Column:
-    """The number of rows as a scalar subquery, computed with the query that uses it."""
-    return df.agg(F.count(F.lit(1)).alias("n")).scalar()
-
-
 def assign(
     rows: DataFrame,
     row_keys: list[str],
@@ -35,14 +30,12 @@ def assign(
     An equi-join on a dense number: the draws are even, so the join is too. Rows that take
     nothing get one of many numbers that match nothing, so they do not meet in one task.
     """
+    kept = choices.select(*dict.fromkeys([*choice_keys, *columns]))
+    count, table = counted_and_numbered(kept, choice_keys, _SLOT, start=0)
     number = draw(seed, *row_keys)
-    places = row_count(choices) + F.lit(1 if null_slot else 0)
-    slot = F.pmod(number, F.nullif(places, F.lit(0)))
+    slot = F.pmod(number, F.nullif(count + F.lit(1 if null_slot else 0), F.lit(0)))
     if only_if is not None:
         slot = F.when(only_if, slot)
     nowhere = -1 - F.pmod(number, F.lit(BUCKETS))
-    kept = choices.select(*dict.fromkeys([*choice_keys, *columns]))
-    table = numbered(kept, choice_keys, _SLOT, start=0).select(
-        F.col(_SLOT), *[F.col(c).alias(alias) for c, alias in columns.items()]
-    )
+    table = table.select(_SLOT, *[F.col(c).alias(alias) for c, alias in columns.items()])
     return rows.withColumn(_SLOT, F.coalesce(slot, nowhere)).join(table, _SLOT, "left").drop(_SLOT)

@@ -28,26 +28,35 @@ def _rank_in_bucket(keys: list[str]) -> Column:
     return F.row_number().over(W.partitionBy(_BUCKET).orderBy(*keys)).cast("bigint")
 
 
-def numbered(df: DataFrame, keys: list[str], name: str, start=1, buckets: int = BUCKETS) -> DataFrame:
-    """Adds ``start, start + 1, ...`` with no gaps; ``keys`` must be unique.
+def counted_and_numbered(
+    df: DataFrame, keys: list[str], name: str, start=1, buckets: int = BUCKETS
+) -> tuple[Column, DataFrame]:
+    """The number of rows, as a scalar subquery, and the rows numbered without gaps.
 
-    Two passes: one counts the buckets, one numbers the rows in each.
+    Both come from one count per bucket, so Spark runs that count once for the two.
     """
     rows = _bucketed(df, keys, buckets)
-    running = W.orderBy(_BUCKET).rowsBetween(W.unboundedPreceding, -1)
+    sizes = rows.groupBy(_BUCKET).agg(F.count(F.lit(1)).alias("__n"))
+    total = sizes.agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("n")).scalar()
     # At most ``buckets`` rows, so the single-task window and the broadcast are bounded.
-    offsets = (
-        rows.groupBy(_BUCKET)
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .select(_BUCKET, F.coalesce(F.sum("__n").over(running), F.lit(0)).alias(_BEFORE))
-    )
+    running = W.orderBy(_BUCKET).rowsBetween(W.unboundedPreceding, -1)
+    offsets = sizes.select(_BUCKET, F.coalesce(F.sum("__n").over(running), F.lit(0)).alias(_BEFORE))
     first = start if isinstance(start, Column) else F.lit(start)
-    return (
+    table = (
         rows.withColumn(name, _rank_in_bucket(keys))
         .join(F.broadcast(offsets), _BUCKET)
         .withColumn(name, (F.col(name) + F.col(_BEFORE) + first - 1).cast("bigint"))
         .drop(_BUCKET, _BEFORE)
     )
+    return total, table
+
+
+def numbered(df: DataFrame, keys: list[str], name: str, start=1, buckets: int = BUCKETS) -> DataFrame:
+    """Adds ``start, start + 1, ...`` with no gaps; ``keys`` must be unique.
+
+    Two passes: one counts the buckets, one numbers the rows in each.
+    """
+    return counted_and_numbered(df, keys, name, start, buckets)[1]
 
 
 def strided(df: DataFrame, keys: list[str], name: str, start=1, buckets: int = BUCKETS) -> DataFrame:

@@ -10,6 +10,8 @@ result does not depend on where the cuts fall.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -25,28 +27,43 @@ _SLICE = "__slice"
 _POINT = "__point"
 
 
+@dataclass(frozen=True)
+class Large:
+    """The groups that are too large for one task, and how many rows they hold together."""
+
+    keys: DataFrame
+    rows: int
+    hot_rows: int
+
+
+# Stands for "count the groups first".
+LOOK = object()
+
+
+def find_large(df: DataFrame, group: list[str], hot_rows: int = HOT_ROWS) -> Large | None:
+    """Counts the groups. A caller with several steps over the same groups does this once."""
+    counts = df.groupBy(*group).agg(F.count(F.lit(1)).alias("__rows"))
+    hot = counts.filter(F.col("__rows") > hot_rows)
+    total = hot.agg(F.sum("__rows")).first()[0]
+    return Large(hot.select(*group), int(total), hot_rows) if total else None
+
+
 def _point(df: DataFrame, column: str) -> Column:
     if dict(df.dtypes)[column].startswith("timestamp"):
         return to_epoch_millis(F.col(column).cast("timestamp_ntz")).cast("double")
     return F.col(column).cast("double")
 
 
-def _sliced(df: DataFrame, group: list[str], order: str, hot_rows: int) -> DataFrame | None:
-    """Rows with a slice number, -1 for ordinary groups; None when no group is large."""
-    counts = df.groupBy(*group).agg(F.count(F.lit(1)).alias("__rows"))
-    hot = counts.filter(F.col("__rows") > hot_rows)
-    total = hot.agg(F.sum("__rows")).first()[0]
-    if not total:
-        return None
-    # ``hot`` has fewer rows than the table has, divided by ``hot_rows``.
+def _sliced(df: DataFrame, group: list[str], order: str, large: Large) -> DataFrame:
+    """Rows with a slice number, -1 for ordinary groups."""
+    # ``keys`` has fewer rows than the table has, divided by ``hot_rows``.
+    hot = F.broadcast(large.keys.withColumn("__hot", F.lit(True)))
     marked = (
-        df.join(F.broadcast(hot.select(*group, F.lit(True).alias("__hot"))), group, "left")
-        .withColumn(_POINT, F.when(F.col("__hot"), _point(df, order)))
-        .drop("__hot")
+        df.join(hot, group, "left").withColumn(_POINT, F.when(F.col("__hot"), _point(df, order))).drop("__hot")
     )
-    slices = min(MAX_SLICES, 1 + int(total // max(1, hot_rows // 2)))
+    slices = min(MAX_SLICES, 1 + large.rows // max(1, large.hot_rows // 2))
     cuts = marked.approxQuantile(_POINT, [i / slices for i in range(1, slices)], 0.1 / slices)
-    splits = [-float("inf"), *sorted(set(cuts)), float("inf")]
+    splits = [-float("inf"), *sorted({0.0, *cuts}), float("inf")]
     cut = Bucketizer(splits=splits, inputCol=_POINT, outputCol=_SLICE, handleInvalid="keep")
     number = F.when(F.col(_POINT).isNull(), F.lit(-1)).otherwise(F.col(_SLICE).cast("int"))
     return cut.transform(marked).withColumn(_SLICE, number).drop(_POINT)
@@ -59,6 +76,7 @@ def running_total(
     value: Column,
     name: str,
     hot_rows: int = HOT_ROWS,
+    large=LOOK,
 ) -> DataFrame:
     """Adds the sum of ``value`` over the group's rows up to and including this one.
 
@@ -66,9 +84,11 @@ def running_total(
     and order columns hold no nulls.
     """
     upto = (W.unboundedPreceding, W.currentRow)
-    rows = _sliced(df, group, order[0], hot_rows)
-    if rows is None:
+    if large is LOOK:
+        large = find_large(df, group, hot_rows)
+    if large is None:
         return df.withColumn(name, F.sum(value).over(W.partitionBy(*group).orderBy(*order).rowsBetween(*upto)))
+    rows = _sliced(df, group, order[0], large)
     earlier = W.partitionBy(*group).orderBy(_SLICE).rowsBetween(W.unboundedPreceding, -1)
     before = (
         rows.filter(F.col(_SLICE) >= 0)
@@ -84,10 +104,10 @@ def running_total(
 
 
 def numbered_in_group(
-    df: DataFrame, group: list[str], order: list[str], name: str, hot_rows: int = HOT_ROWS
+    df: DataFrame, group: list[str], order: list[str], name: str, hot_rows: int = HOT_ROWS, large=LOOK
 ) -> DataFrame:
     """Adds 1, 2, ... in order inside each group."""
-    return running_total(df, group, order, F.lit(1).cast("bigint"), name, hot_rows)
+    return running_total(df, group, order, F.lit(1).cast("bigint"), name, hot_rows, large)
 
 
 def neighbour(
@@ -98,13 +118,16 @@ def neighbour(
     name: str,
     following: bool = False,
     hot_rows: int = HOT_ROWS,
+    large=LOOK,
 ) -> DataFrame:
     """Adds a struct of ``columns`` of the row before (or after) in the group, null at the end."""
-    rows = _sliced(df, group, order[0], hot_rows)
+    if large is LOOK:
+        large = find_large(df, group, hot_rows)
     step = F.lead if following else F.lag
     taken = F.struct(*columns)
-    if rows is None:
+    if large is None:
         return df.withColumn(name, step(taken).over(W.partitionBy(*group).orderBy(*order)))
+    rows = _sliced(df, group, order[0], large)
     pick = F.min_by if following else F.max_by
     near = (
         rows.filter(F.col(_SLICE) >= 0)

@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartlane.functions.draws import draw, draw_int
-from cartlane.plans.assign import row_count
-from cartlane.plans.keys import numbered
+from cartlane.plans.keys import counted_and_numbered
 
 _SLOT = "__slot"
 
@@ -38,21 +37,22 @@ def baskets(
     request meets more items than it takes. All items are taken when there are too few.
     ``keep`` names further columns of ``requests`` for the result.
     """
-    n = row_count(items)
+    n, table = counted_and_numbered(items, item_keys, _SLOT, start=0)
     carried = [request_key, *(keep or [])]
+    # The draws are made here, in compiled code, rather than in the step function.
     sized = requests.select(
         *carried,
         n.alias("__n"),
         F.least(draw_int(f"{seed}-size", low, high, request_key), n).alias("__k"),
+        F.array(*[draw(seed, request_key, F.lit(i)) for i in range(1, high + 1)]).alias("__draws"),
     ).filter("__k > 0")
 
     def step(chosen, i):
         last = F.col("__n") - F.col("__k") + i - 1
-        pick = F.pmod(draw(seed, request_key, i), last + 1)
+        pick = F.pmod(F.element_at("__draws", i), last + 1)
         return F.concat(chosen, F.array(F.when(F.array_contains(chosen, pick), last).otherwise(pick)))
 
     none = F.array().cast("array<bigint>")
-    picks = F.aggregate(F.sequence(F.lit(1).cast("bigint"), F.col("__k")), none, step)
+    picks = F.aggregate(F.sequence(F.lit(1), F.col("__k").cast("int")), none, step)
     slots = sized.select(*carried, F.posexplode(picks).alias("line_number", _SLOT))
-    table = numbered(items, item_keys, _SLOT, start=0)
     return slots.withColumn("line_number", F.col("line_number") + 1).join(table, _SLOT).drop(_SLOT)

@@ -17,16 +17,20 @@ DELETE = "d"
 
 
 
+def _kept(table: Table, columns: list[str] | None) -> list:
+    return [c for c in table.columns if columns is None or c.name in ("id", *columns)]
+
+
 def wire_type(column) -> T.DataType:
     if column.decimal:
         return T.StringType()
     return T.LongType() if column.is_timestamp else column.spark_type()
 
 
-def envelope_schema(table: Table) -> T.StructType:
-    """The record of a table as it is on the wire."""
+def envelope_schema(table: Table, columns: list[str] | None = None) -> T.StructType:
+    """The record of a table as it is on the wire, with all or some columns of the row."""
     fields = [T.StructField("before.id", T.LongType())]
-    fields += [T.StructField(f"after.{c.name}", wire_type(c)) for c in table.columns]
+    fields += [T.StructField(f"after.{c.name}", wire_type(c)) for c in _kept(table, columns)]
     fields += [
         T.StructField("op", T.StringType()),
         T.StructField("source.table", T.StringType()),
@@ -60,12 +64,13 @@ def _from_wire(column) -> Column:
     return value.cast(column.spark_type()).alias(column.name)
 
 
-def decode(raw: DataFrame, table: Table) -> DataFrame:
+def decode(raw: DataFrame, table: Table, columns: list[str] | None = None) -> DataFrame:
     """Typed changes of one table: ``id, op, lsn, deleted, changed_at`` and the row's columns.
 
-    Works on a batch and on a stream. A delete brings its key only.
+    Works on a batch and on a stream. A delete brings its key only. The reader skips what
+    ``columns`` does not name.
     """
-    records = raw.select(F.from_json("value", envelope_schema(table)).alias("record"))
+    records = raw.select(F.from_json("value", envelope_schema(table, columns)).alias("record"))
     mine = records.filter(F.col("record.`source.table`") == table.name)
     return mine.select(
         F.coalesce(F.col("record.`after.id`"), F.col("record.`before.id`")).alias("id"),
@@ -73,7 +78,7 @@ def decode(raw: DataFrame, table: Table) -> DataFrame:
         F.col("record.`source.lsn`").alias("lsn"),
         (F.col("record.op") == DELETE).alias("deleted"),
         from_epoch_millis(F.col("record.`source.ts_ms`")).alias("changed_at"),
-        *[_from_wire(c) for c in table.columns if c.name != "id"],
+        *[_from_wire(c) for c in _kept(table, columns) if c.name != "id"],
     )
 
 

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from cartlane.operators.upserts import first_per_key
-from cartlane.plans.ordered import HOT_ROWS, neighbour
+from cartlane.plans.ordered import HOT_ROWS, LOOK, Large, find_large, neighbour
 from cartlane.sources.sinks import write_batch
 
 STATUS = "order_status_id"
@@ -20,26 +20,39 @@ _CHANGE = "id long, order_status_id long, since timestamp_ntz, lsn long"
 _STATE = "order_status_id long, lsn long"
 
 
+def _statuses(changes: DataFrame) -> DataFrame:
+    return changes.filter("NOT deleted").select("id", STATUS, F.col("changed_at").alias("since"), "lsn")
+
+
+def _changed(rows: DataFrame, large: Large | None) -> DataFrame:
+    before = neighbour(rows, ["id"], ["lsn"], [STATUS], "__before", large=large)
+    same = F.col(f"__before.{STATUS}").eqNullSafe(F.col(STATUS)) & F.col("__before").isNotNull()
+    return before.filter(~same).drop("__before")
+
+
 def status_changes(changes: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """The changes after which an order's status differs from before.
 
     Repeated records follow their twin in the log and so change nothing.
     """
-    rows = changes.filter("NOT deleted").select("id", STATUS, F.col("changed_at").alias("since"), "lsn")
-    before = neighbour(rows, ["id"], ["lsn"], [STATUS], "__before", hot_rows=hot_rows)
-    same = F.col(f"__before.{STATUS}").eqNullSafe(F.col(STATUS)) & F.col("__before").isNotNull()
-    return before.filter(~same).drop("__before")
+    rows = _statuses(changes)
+    return _changed(rows, find_large(rows, ["id"], hot_rows))
 
 
-def with_end(history: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def with_end(history: DataFrame, hot_rows: int = HOT_ROWS, large=LOOK) -> DataFrame:
     """Adds ``until``, the start of the order's next status; null for the present one."""
-    after = neighbour(history, ["id"], ["lsn"], ["since"], "__after", following=True, hot_rows=hot_rows)
+    after = neighbour(history, ["id"], ["lsn"], ["since"], "__after", following=True, hot_rows=hot_rows, large=large)
     return after.withColumn("until", F.col("__after.since")).drop("__after")
 
 
 def status_history(changes: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """``id, order_status_id, since, lsn, until`` from a batch of changes."""
-    return with_end(status_changes(changes, hot_rows), hot_rows)
+    """``id, order_status_id, since, lsn, until`` from a batch of changes.
+
+    Without large groups both looks, back and ahead, share one shuffle and one sort.
+    """
+    rows = _statuses(changes)
+    large = find_large(rows, ["id"], hot_rows)
+    return with_end(_changed(rows, large), large=large)
 
 
 def first_visits(history: DataFrame) -> DataFrame:
@@ -71,8 +84,7 @@ def status_change_stream(changes: DataFrame) -> DataFrame:
 
     A trigger's bound on records bounds what one order can bring at a time.
     """
-    rows = changes.filter("NOT deleted").select("id", STATUS, F.col("changed_at").alias("since"), "lsn")
-    return rows.groupBy("id").applyInPandasWithState(
+    return _statuses(changes).groupBy("id").applyInPandasWithState(
         _new_statuses, _CHANGE, _STATE, "append", GroupStateTimeout.NoTimeout
     )
 

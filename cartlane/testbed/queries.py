@@ -564,10 +564,11 @@ def stored_types(m: Model) -> DataFrame:
 # Change feed
 
 
-def _changes(m: Model) -> DataFrame:
-    return envelope.decode(m.feed(), TABLES["orders"]).select(
-        "id", "op", "lsn", "deleted", "changed_at", "order_status_id", "total_amount", "updated_at"
-    )
+ROW = ["order_status_id", "total_amount", "updated_at"]
+
+
+def _changes(m: Model, columns: list[str] = ROW) -> DataFrame:
+    return envelope.decode(m.feed(), TABLES["orders"], columns)
 
 
 @query
@@ -593,12 +594,12 @@ def latest_state(m: Model) -> DataFrame:
 
 @query
 def status_history(m: Model) -> DataFrame:
-    return history.status_history(_changes(m))
+    return history.status_history(_changes(m, [history.STATUS]))
 
 
 @query
 def first_visits(m: Model) -> DataFrame:
-    return history.first_visits(history.status_changes(_changes(m)))
+    return history.first_visits(history.status_changes(_changes(m, [history.STATUS])))
 
 
 def _feed_folder(m: Model) -> str:
@@ -612,7 +613,7 @@ def _feed_folder(m: Model) -> str:
 def cdc_stream_state(m: Model) -> DataFrame:
     raw = feed.feed_file_stream(m.spark, _feed_folder(m))
     target = scratch_path(m.spark, "state")
-    changes = envelope.decode(raw, TABLES["orders"]).select("id", "op", "lsn", "deleted", "changed_at", "order_status_id", "total_amount")
+    changes = envelope.decode(raw, TABLES["orders"], ["order_status_id", "total_amount"])
     state.write_state(changes, target, scratch_path(m.spark, "state-log")).awaitTermination()
     return state.read_state(m.spark, target)
 
@@ -621,7 +622,7 @@ def cdc_stream_state(m: Model) -> DataFrame:
 def cdc_stream_history(m: Model) -> DataFrame:
     raw = feed.feed_file_stream(m.spark, _feed_folder(m))
     target = scratch_path(m.spark, "history")
-    changes = envelope.decode(raw, TABLES["orders"])
+    changes = envelope.decode(raw, TABLES["orders"], [history.STATUS])
     history.write_status_changes(changes, target, scratch_path(m.spark, "history-log")).awaitTermination()
     return history.with_end(read_batches(m.spark, target).drop("batch_id"))
 
@@ -636,8 +637,10 @@ def cdc_routed(m: Model) -> DataFrame:
     lines.write.text(source)
     stream = feed.feed_file_stream(m.spark, source)
     routing.route_by_table(stream, target, scratch_path(m.spark, "routed-log")).awaitTermination()
-    products = envelope.decode(routing.routed(m.spark, target, "products"), TABLES["products"])
-    return products.select("id", "op", "changed_at", "product_name", "product_price", "product_quantity")
+    columns = ["product_name", "product_price", "product_quantity"]
+    return envelope.decode(routing.routed(m.spark, target, "products"), TABLES["products"], columns).select(
+        "id", "op", "changed_at", *columns
+    )
 
 
 @query

@@ -50,24 +50,30 @@ def test_large_base_with_existing(spark, hot_rows):
     check(spark, names, ["lamp"] + [f"lamp-{n}" for n in range(3, 90, 4)], hot_rows)
 
 
-def test_a_base_that_reads_like_a_numbered_slug(spark):
-    check(spark, ["foo", "foo", "foo 1"])
-    check(spark, ["foo 1", "foo", "foo", "foo"])
-    check(spark, ["foo", "foo 2", "foo", "foo", "foo 2", "foo-1"])
-    check(spark, ["foo 01", "foo", "foo", "foo 0", "foo"])
-
+def mixed(*scenarios):
+    """Scenarios side by side, each under a letter of its own, their rows interleaved."""
+    lists = [[f"{chr(97 + i)}{name}" for name in names] for i, names in enumerate(scenarios)]
+    return [names[k] for k in range(max(map(len, lists))) for names in lists if k < len(names)]
 
-def test_nested_numbers(spark):
-    check(spark, ["a", "a", "a 1", "a 1", "a 1 1", "a 1 1", "a", "a 1 1 1", "a 2", "a"], ["a-1-2"])
 
-
-@pytest.mark.parametrize("seed", range(4))
-def test_random_collisions(spark, seed):
-    rng = random.Random(seed)
+def test_a_base_that_reads_like_a_numbered_slug(spark):
+    names = mixed(
+        ["foo", "foo", "foo 1"],
+        ["foo 1", "foo", "foo", "foo"],
+        ["foo", "foo 2", "foo", "foo", "foo 2", "foo-1"],
+        ["foo 01", "foo", "foo", "foo 0", "foo"],
+        ["a", "a", "a 1", "a 1", "a 1 1", "a 1 1", "a", "a 1 1 1", "a 2", "a"],
+    )
+    check(spark, names, ["ea-1-2"])
+
+
+@pytest.mark.parametrize("hot_rows", [1_000_000, 5])
+def test_random_collisions(spark, hot_rows):
+    rng = random.Random(hot_rows)
     pool = ["a"] * 6 + [f"a {n}" for n in range(1, 7)] + [f"a 1 {n}" for n in range(1, 4)] + ["a 1"] * 3 + ["b", "b 1"]
-    names = [rng.choice(pool) for _ in range(40)]
-    existing = {f"a-{rng.randint(1, 9)}" for _ in range(rng.randint(0, 3))} | ({"b"} if seed % 2 else set())
-    check(spark, names, sorted(existing), 5 if seed == 3 else 1_000_000)
+    names = mixed(*[[rng.choice(pool) for _ in range(rng.randint(10, 40))] for _ in range(8)])
+    existing = {f"{chr(97 + i)}a-{rng.randint(1, 9)}" for i in range(8) for _ in range(rng.randint(0, 3))}
+    check(spark, names, sorted(existing | {"ab", "ba", "cb-1"}), hot_rows)
 
 
 def test_carries_the_columns(spark):
