@@ -19,6 +19,7 @@ from cartlane.plans.keys import with_surrogate_key
 from cartlane.plans.samples import baskets
 from cartlane.plans.scratch import written
 from cartlane.schemas import ROLE_CUSTOMER, ROLE_STAFF, STATUS_PENDING
+from cartlane.sources.sinks import read_batch, write_batch
 
 # Unit cost as a share of the price, and 4 of 11 orders with a discount.
 COST_SHARE = ("0.5", "0.9")
@@ -108,7 +109,7 @@ def first_addresses(addresses: DataFrame) -> DataFrame:
     return addresses.groupBy("user_id").agg(F.min("id").alias("address_id"))
 
 
-def assemble_orders(
+def order_headers(
     requests: DataFrame,
     request_key: str,
     *,
@@ -116,21 +117,13 @@ def assemble_orders(
     role_user: DataFrame,
     roles: DataFrame,
     addresses: DataFrame,
-    products: DataFrame,
-    discounts: DataFrame,
-    statuses: DataFrame,
     payment_methods: DataFrame,
     shipping_methods: DataFrame,
-    as_of,
     seed: str,
-    mode: str = REFERENCE,
     existing_orders: DataFrame | None = None,
-) -> Assembled:
-    """One order with one to ten lines for each request.
-
-    A request is dropped when its customer has no address, or when there is no staff or no
-    product in stock: an order needs all three.
-    """
+) -> DataFrame:
+    """The id, customer, address, staff and methods of each requested order, written once:
+    one narrow row per order, needed for the lines and again for the orders."""
     request = [request_key]
     header = requests.select(request_key)
     picks = {
@@ -142,16 +135,18 @@ def assemble_orders(
     for column, choices in picks.items():
         header = assign(header, request, choices, ["id"], {"id": column}, f"{seed}-{column}")
     header = header.filter(F.col("staff_id").isNotNull()).join(first_addresses(addresses), "user_id")
-    header = with_surrogate_key(header, request, "id", existing_orders, dense=False)
-    # One narrow row per order, used for the lines, their sums and the orders.
-    header = written(header, "headers")
+    return written(with_surrogate_key(header, request, "id", existing_orders, dense=False), "headers")
+
 
+def order_lines(
+    headers: DataFrame, request_key: str, products: DataFrame, seed: str, mode: str = REFERENCE
+) -> DataFrame:
+    """One to ten priced lines for each header, of different products in stock."""
     in_stock = products.filter(F.col("product_quantity") > 0).select(
         F.col("id").alias("product_id"), "product_price", "product_tax", "product_quantity"
     )
-    chosen = baskets(header, request_key, in_stock, ["product_id"], f"{seed}-basket", keep=["id"])
-    priced = price_lines(chosen, [request_key, "product_id"], f"{seed}-cost", mode)
-    lines = priced.select(
+    chosen = baskets(headers, request_key, in_stock, ["product_id"], f"{seed}-basket", keep=["id"])
+    return price_lines(chosen, [request_key, "product_id"], f"{seed}-cost", mode).select(
         F.col("id").alias("order_id"),
         "line_number",
         "product_id",
@@ -162,11 +157,23 @@ def assemble_orders(
         "unit_cost",
     )
 
+
+def orders_from_lines(
+    headers: DataFrame,
+    request_key: str,
+    lines: DataFrame,
+    discounts: DataFrame,
+    statuses: DataFrame,
+    as_of,
+    seed: str,
+    mode: str = REFERENCE,
+) -> DataFrame:
+    """The order rows: headers with the sums of their lines, a discount and a total."""
     sums = sum_lines(lines, "order_id", mode).withColumnRenamed("order_id", "id")
-    priced_orders = apply_discounts(header.join(sums, "id"), request, discounts, as_of, f"{seed}-discount", mode)
+    priced = apply_discounts(headers.join(sums, "id"), [request_key], discounts, as_of, f"{seed}-discount", mode)
     pending = statuses.filter(F.col("order_status_name") == STATUS_PENDING).select("id").scalar()
     now = as_of_column(as_of)
-    orders = stored_amounts(priced_orders).select(
+    return stored_amounts(priced).select(
         "id",
         request_key,
         "user_id",
@@ -186,7 +193,54 @@ def assemble_orders(
         now.alias("created_at"),
         now.alias("updated_at"),
     )
-    return Assembled(orders, lines)
+
+
+def assemble_orders(
+    requests: DataFrame,
+    request_key: str,
+    *,
+    products: DataFrame,
+    discounts: DataFrame,
+    statuses: DataFrame,
+    as_of,
+    seed: str,
+    mode: str = REFERENCE,
+    **people,
+) -> Assembled:
+    """One order with one to ten lines for each request; ``people`` as in ``order_headers``.
+
+    A request is dropped when its customer has no address, or when there is no staff or no
+    product in stock: an order needs all three.
+    """
+    headers = order_headers(requests, request_key, seed=seed, **people)
+    lines = order_lines(headers, request_key, products, seed, mode)
+    return Assembled(
+        orders_from_lines(headers, request_key, lines, discounts, statuses, as_of, seed, mode), lines
+    )
+
+
+def save_orders(
+    requests: DataFrame,
+    request_key: str,
+    order_path: str,
+    line_path: str,
+    batch_id: int,
+    *,
+    products: DataFrame,
+    discounts: DataFrame,
+    statuses: DataFrame,
+    as_of,
+    seed: str,
+    mode: str = REFERENCE,
+    **people,
+) -> None:
+    """Assembles and writes a batch of orders. The lines are made once: the orders are summed
+    from the lines as written, and a batch counts once its orders are there."""
+    headers = order_headers(requests, request_key, seed=seed, **people)
+    write_batch(order_lines(headers, request_key, products, seed, mode), line_path, batch_id)
+    lines = read_batch(requests.sparkSession, line_path, batch_id)
+    orders = orders_from_lines(headers, request_key, lines, discounts, statuses, as_of, seed, mode)
+    write_batch(orders, order_path, batch_id)
 
 
 def change_status(

@@ -40,7 +40,10 @@ def unique_slugs(
     """
     based = rows.withColumn(_BASE, base_slug(F.col(name)))
     bases = based.groupBy(_BASE).agg(F.min(order).alias("first"))
-    taken = None if existing is None else _places(existing.select(F.col("slug").alias(_BASE)).distinct())
+    taken = None
+    if existing is not None:
+        places = _places(existing.select(F.col("slug").alias(_BASE)))
+        taken = places.join(bases.select(_BASE), _BASE, "left_semi").distinct()
     rivals = (
         _places(bases, "first")
         .filter("n > 0")
@@ -78,7 +81,7 @@ def _place(based: DataFrame, order: str, taken: DataFrame | None, large: Large |
     ranked = ranked.withColumn("__rank", F.col("__rank") - 1)
     if taken is None:
         return ranked.withColumnRenamed("__rank", _PLACE)
-    merged = _with_taken(ranked, taken.join(based.select(_BASE), _BASE, "left_semi"), large)
+    merged = _with_taken(ranked, taken, large)
     return merged.withColumn(_PLACE, F.col("__rank") + F.col("__skipped")).drop("__rank", "__skipped")
 
 
@@ -115,7 +118,8 @@ def _place_by_level(
     large = _large(hot_rows, based, taken, rivals)
     children = rivals.select(F.col("rival").alias(_BASE))
     touched = rivals.select(_BASE).union(children).distinct()
-    done = [_place(based.join(touched, _BASE, "left_anti"), order, taken, large)]
+    untouched = based.join(touched, _BASE, "left_anti")
+    done = [_place(untouched, order, taken.join(touched, _BASE, "left_anti"), large)]
 
     touching = written(based.join(touched, _BASE, "left_semi"), "touching")
     level = written(rivals.select(_BASE).join(children, _BASE, "left_anti").distinct(), "level")
@@ -123,6 +127,7 @@ def _place_by_level(
     while not level.isEmpty():
         rows = touching.join(level, _BASE, "left_semi")
         here = rivals.join(level, _BASE, "left_semi")
+        blocked = blocked.join(level, _BASE, "left_semi")
         blocked = written(blocked.unionByName(_winning_rivals(rows, order, blocked, here, large)), "blocked")
         placed = written(_place(rows, order, blocked, large), "slugs")
         done.append(placed)

@@ -2,36 +2,42 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 _RANK = "__rank"
 
 
-def _own_group_for_nulls(key: list[str], order: list[str]) -> Column:
-    """Sets rows with a null in the key apart: nulls never equal each other in a unique key."""
-    any_null = F.greatest(*[F.col(k).isNull() for k in key]) if len(key) > 1 else F.col(key[0]).isNull()
-    return F.when(any_null, F.struct(*order))
-
-
 def first_per_key(rows: DataFrame, key: list[str], order: list[str]) -> DataFrame:
-    """The first row of each key in ``order``; rows with a null key all stay.
+    """The first row of each key in ``order``; rows with a null in the key all stay, as nulls
+    never equal each other in a unique key.
 
     The limit of one row is applied before the shuffle too, so a frequent key sends at most
-    one row per task.
+    one row per task. Rows with a null key are not shuffled; where the key cannot be null,
+    Spark leaves their part out.
     """
-    group = W.partitionBy(*key, _own_group_for_nulls(key, order)).orderBy(*order)
-    return rows.withColumn(_RANK, F.row_number().over(group)).filter(F.col(_RANK) == 1).drop(_RANK)
+    group = W.partitionBy(*key).orderBy(*order)
+    ranked = rows.dropna(subset=key).withColumn(_RANK, F.row_number().over(group))
+    without_key = reduce(or_, [F.col(k).isNull() for k in key])
+    return ranked.filter(F.col(_RANK) == 1).drop(_RANK).unionByName(rows.filter(without_key))
 
 
 def insert_new(batch: DataFrame, target: DataFrame | None, key: list[str], order: list[str]) -> DataFrame:
     """The rows of a batch to append to ``target``: new keys only, the first row of each.
 
-    ``order`` is total over the batch.
+    ``order`` is total over the batch. The target's keys are cut down to those of the batch
+    first: for a small batch that is a broadcast of the batch instead of a shuffle of the
+    target, for a large one the second join finds both sides in place.
     """
     first = first_per_key(batch, key, order)
-    return first if target is None else first.join(target.select(*key), key, "left_anti")
+    if target is None:
+        return first
+    known = target.select(*key).join(batch.select(*key), key, "left_semi")
+    return first.join(known, key, "left_anti")
 
 
 def rejected(batch: DataFrame, inserted: DataFrame, row_key: list[str]) -> DataFrame:

@@ -21,6 +21,10 @@ def read_batches(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def read_batch(spark: SparkSession, path: str, batch_id: int) -> DataFrame:
+    return spark.read.parquet(f"{path}/{BATCH}={batch_id}")
+
+
 def write_parent_and_child(
     parents: DataFrame, children: DataFrame, parent_path: str, child_path: str, batch_id: int
 ) -> None:

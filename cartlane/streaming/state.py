@@ -1,7 +1,9 @@
 """The current rows of a table from its changes.
 
 The change with the highest log position of a key counts, so repeats and records out of
-order do no harm. The same aggregate runs on a batch and on a stream.
+order do no harm. A stream needs no state of its own for this: each trigger is reduced to
+the last change per key and added to the table of changes, and readers take the last change
+of each key there.
 """
 
 from __future__ import annotations
@@ -27,7 +29,8 @@ def current_state(changes: DataFrame) -> DataFrame:
 def drop_repeats(changes: DataFrame, within: str = "1 hour") -> DataFrame:
     """A stream of changes of one table without the records that came before, looking back
     ``within`` in the changes' own time."""
-    return changes.withWatermark("changed_at", within).dropDuplicatesWithinWatermark(["id", "lsn"])
+    timed = changes.withColumn("__at", F.col("changed_at").cast("timestamp"))
+    return timed.withWatermark("__at", within).dropDuplicatesWithinWatermark(["id", "lsn"]).drop("__at")
 
 
 def write_state(changes: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
@@ -36,10 +39,8 @@ def write_state(changes: DataFrame, path: str, checkpoint: str) -> StreamingQuer
     A trigger that is run again after a failure replaces its own folder.
     """
     return (
-        latest_changes(changes)
-        .writeStream.outputMode("update")
-        .option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda batch, batch_id: write_batch(batch, path, batch_id))
+        changes.writeStream.option("checkpointLocation", checkpoint)
+        .foreachBatch(lambda batch, batch_id: write_batch(latest_changes(batch), path, batch_id))
         .trigger(availableNow=True)
         .start()
     )

@@ -26,9 +26,12 @@ class Model:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        self._read: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        return read_table(self.spark, self.folder, name)
+        if name not in self._read:
+            self._read[name] = read_table(self.spark, self.folder, name)
+        return self._read[name]
 
     def seeds(self, name: str) -> DataFrame:
         return seed_table(self.spark, name)

@@ -140,14 +140,20 @@ def discount_amounts(strict: bool) -> str:
 
 def baskets(requests: str, key: str, items: str, item_key: str, seed: str) -> str:
     """Ten steps of sampling, each with the list so far."""
+
+    def powers(multiplier: int) -> str:
+        return "[" + ", ".join(str(pow(multiplier, i, 2**31 - 1)) for i in range(1, 11)) + "]"
+
+    series = f"""(hi * list_extract({powers(48271)}, i + 1)) % {2**31 - 1} * {2**31}
+        + (lo * list_extract({powers(69621)}, i + 1)) % {2**31 - 1}"""
     size = f"least({draw_int(f'{seed}-size', 1, 10, key)}, n)"
-    pick = f"{draw(seed, 'k', 'i + 1')} % (n - size + i + 1)"
+    pick = f"({series}) % (n - size + i + 1)"
     return f"""
-    sized as (select {key} as k, n, {size} as size from ({requests}), (select count(*) as n from ({items}))),
+    sized as (select {key} as k, n, {size} as size, ({draw(seed, key)} >> 30) + 1 as hi, {draw(seed, key)} % {2**30} + 1 as lo from ({requests}), (select count(*) as n from ({items}))),
     steps as (
-        select k, n, size, cast(0 as bigint) as i, cast([] as bigint[]) as chosen from sized where size > 0
+        select k, n, size, hi, lo, cast(0 as bigint) as i, cast([] as bigint[]) as chosen from sized where size > 0
         union all
-        select k, n, size, i + 1, list_append(chosen, case when list_contains(chosen, {pick}) then n - size + i else {pick} end)
+        select k, n, size, hi, lo, i + 1, list_append(chosen, case when list_contains(chosen, {pick}) then n - size + i else {pick} end)
         from steps where i < size),
     picked as (select k, unnest(chosen) as slot, unnest(range(1, size + 1)) as line_number from steps where i = size),
     basket as (select k as {key}, cast(line_number as int) as line_number, t.* exclude (slot)
@@ -320,6 +326,8 @@ ORACLES: dict[str, str] = {
         from final""",
     "order_assembly_lines": f"""{assembly(False)} select p.id as order_id, line_number, product_id, quantity, product_price, product_tax,
         subtotal_amount, unit_cost from costed join placed p using (o_orderkey)""",
+    "orders_saved": f"""{assembly(False)} select id, order_amount, total_amount, line_count from final
+        join (select o_orderkey, count(*) as line_count from basket group by 1) using (o_orderkey)""",
     "parent_child_write": f"""select o.id, o.total_amount, count(l.order_id) as line_count,
             cast(coalesce(sum(l.quantity), 0) as bigint) as pieces
         from ({ORDERS}) o left join ({LINES}) l on l.order_id = o.id group by 1, 2""",

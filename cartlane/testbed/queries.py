@@ -77,24 +77,32 @@ def discount_amounts_strict(m: Model) -> DataFrame:
     return _discounted(m, STRICT)
 
 
+def _people(m: Model) -> dict:
+    return {
+        "users": m.users(),
+        "role_user": m.role_user(),
+        "roles": m.seeds("roles"),
+        "addresses": m.addresses(),
+        "payment_methods": m.seeds("paymentmethods"),
+        "shipping_methods": m.seeds("shippingmethods"),
+        "existing_orders": m.raw("orders").select(F.col("o_orderkey").alias("id")),
+    }
+
+
+def _goods(m: Model, mode: str) -> dict:
+    return {
+        "products": m.products(),
+        "discounts": m.discounts(),
+        "statuses": m.seeds("orderstatus"),
+        "as_of": AS_OF,
+        "seed": SEED,
+        "mode": mode,
+    }
+
+
 def _assembled(m: Model, mode: str = REFERENCE) -> orders.Assembled:
-    return orders.assemble_orders(
-        m.raw("orders").select("o_orderkey"),
-        "o_orderkey",
-        users=m.users(),
-        role_user=m.role_user(),
-        roles=m.seeds("roles"),
-        addresses=m.addresses(),
-        products=m.products(),
-        discounts=m.discounts(),
-        statuses=m.seeds("orderstatus"),
-        payment_methods=m.seeds("paymentmethods"),
-        shipping_methods=m.seeds("shippingmethods"),
-        as_of=AS_OF,
-        seed=SEED,
-        mode=mode,
-        existing_orders=m.raw("orders").select(F.col("o_orderkey").alias("id")),
-    )
+    requests = m.raw("orders").select("o_orderkey")
+    return orders.assemble_orders(requests, "o_orderkey", **_goods(m, mode), **_people(m))
 
 
 @query
@@ -114,6 +122,20 @@ def order_assembly_lines(m: Model) -> DataFrame:
     return _assembled(m).lines
 
 
+@query
+def orders_saved(m: Model) -> DataFrame:
+    """A batch of orders assembled, written, and read back with its lines."""
+    heads, lines = scratch_path(m.spark, "orders"), scratch_path(m.spark, "lines")
+    requests = m.raw("orders").select("o_orderkey")
+    orders.save_orders(requests, "o_orderkey", heads, lines, 1, **_goods(m, REFERENCE), **_people(m))
+    counted = read_children(m.spark, heads, lines, "order_id").groupBy("order_id").agg(
+        F.count(F.lit(1)).alias("line_count")
+    )
+    return read_batches(m.spark, heads).join(counted, F.col("id") == F.col("order_id")).select(
+        "id", "order_amount", "total_amount", "line_count"
+    )
+
+
 @query
 def parent_child_write(m: Model) -> DataFrame:
     """Orders and lines written as one batch, read back as whole orders."""
