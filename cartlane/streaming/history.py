@@ -1,18 +1,24 @@
-"""When an order had which status."""
+"""When an order had which status.
+
+A stream has two forms. ``write_status_log`` keeps every status record, and readers derive
+the history from the whole log, whatever order the records came in. ``write_status_changes``
+remembers the last status of each order and writes changes only; it needs each order's
+records to come in log order from trigger to trigger, as topics keyed by order give them.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from cartlane.operators.upserts import first_per_key
 from cartlane.plans.ordered import HOT_ROWS, LOOK, Large, find_large, neighbour
-from cartlane.sources.sinks import write_batch
+from cartlane.sources.sinks import read_batches, write_batch
 
 STATUS = "order_status_id"
 
@@ -79,6 +85,22 @@ def _new_statuses(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState)
         yield pd.DataFrame({"id": key[0], STATUS: fresh[STATUS], "since": fresh["since"], "lsn": fresh["lsn"]})
 
 
+def write_status_log(changes: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Runs the stream over what is there and adds its status records. No shuffle, no state."""
+    return (
+        changes.select("id", "deleted", STATUS, "changed_at", "lsn")
+        .writeStream.option("checkpointLocation", checkpoint)
+        .foreachBatch(lambda batch, batch_id: write_batch(batch, path, batch_id))
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def read_history(spark: SparkSession, path: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``status_history`` of what ``write_status_log`` wrote."""
+    return status_history(read_batches(spark, path), hot_rows)
+
+
 def status_change_stream(changes: DataFrame) -> DataFrame:
     """``status_changes`` of a stream; the last status of each order is kept as state.
 

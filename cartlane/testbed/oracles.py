@@ -460,5 +460,6 @@ ORACLES: dict[str, str] = {
         qualify row_number() over (partition by id, order_status_id order by lsn) = 1""",
     "cdc_stream_state": f"""select id, op, lsn, deleted, changed_at, order_status_id, total_amount from ({LATEST}) where not deleted""",
     "cdc_stream_history": HISTORY,
+    "cdc_stream_status_log": HISTORY,
     "cdc_routed": f"""select id, 'r' as op, {NOW} as changed_at, product_name, product_price, product_quantity from ({PRODUCTS})""",
 }

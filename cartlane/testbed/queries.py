@@ -649,6 +649,15 @@ def cdc_stream_history(m: Model) -> DataFrame:
     return history.with_end(read_batches(m.spark, target).drop("batch_id"))
 
 
+@query
+def cdc_stream_status_log(m: Model) -> DataFrame:
+    raw = feed.feed_file_stream(m.spark, _feed_folder(m))
+    target = scratch_path(m.spark, "statuses")
+    changes = envelope.decode(raw, TABLES["orders"], [history.STATUS])
+    history.write_status_log(changes, target, scratch_path(m.spark, "statuses-log")).awaitTermination()
+    return history.read_history(m.spark, target)
+
+
 @query
 def cdc_routed(m: Model) -> DataFrame:
     """Order changes and part rows in one feed, taken apart by table, then decoded."""

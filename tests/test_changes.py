@@ -1,4 +1,5 @@
 import json
+import os
 import random
 
 import pytest
@@ -48,6 +49,7 @@ def write_files(path, lines, files):
     for i in range(files):
         part = lines[i * len(lines) // files : (i + 1) * len(lines) // files]
         (path / f"{i:03}.json").write_text("\n".join(part) + "\n")
+        os.utime(path / f"{i:03}.json", (1_700_000_000 + i, 1_700_000_000 + i))
     return str(path)
 
 
@@ -139,6 +141,13 @@ def test_history_of_a_stream(spark, tmp_path, files):
     assert rows(read_batches(spark, str(tmp_path / "out")), "id", "order_status_id", "lsn") == VISITS
 
 
+def test_status_log_does_not_mind_the_order_of_files(spark, tmp_path):
+    folder = write_files(tmp_path / "in", list(reversed(FEED)), 5)
+    changes = decoded(feed.feed_file_stream(spark, folder, max_files=1))
+    history.write_status_log(changes, str(tmp_path / "out"), str(tmp_path / "log")).awaitTermination()
+    assert rows(history.read_history(spark, str(tmp_path / "out")), "id", "order_status_id", "lsn") == VISITS
+
+
 @pytest.mark.parametrize("hot_rows", [1_000_000, 30, 3])
 def test_history_when_one_order_has_most_changes(spark, hot_rows):
     rng = random.Random(3)

@@ -171,6 +171,16 @@ def test_assembled_orders_hold_together(spark):
     assert rows(again.orders) == rows(made.orders)
 
 
+def test_saved_orders_are_the_assembled_ones(spark, tmp_path):
+    requests = spark.range(60).withColumnRenamed("id", "req")
+    made = orders.assemble_orders(requests, "req", **market(spark))
+    heads, lines = str(tmp_path / "o"), str(tmp_path / "l")
+    for _ in range(2):
+        orders.save_orders(requests, "req", heads, lines, 3, **market(spark))
+    assert rows(spark.read.parquet(heads).drop("batch_id")) == rows(made.orders)
+    assert rows(spark.read.parquet(lines).drop("batch_id")) == rows(made.lines)
+
+
 @pytest.mark.parametrize("lack", [{"addresses": ((1, 5),)}, {"staff": ()}, {"stock": (0, 0)}])
 def test_no_order_without_address_staff_or_stock(spark, lack):
     requests = spark.range(20).withColumnRenamed("id", "req")
