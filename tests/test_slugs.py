@@ -71,8 +71,8 @@ def test_a_base_that_reads_like_a_numbered_slug(spark):
 def test_random_collisions(spark, hot_rows):
     rng = random.Random(hot_rows)
     pool = ["a"] * 6 + [f"a {n}" for n in range(1, 7)] + [f"a 1 {n}" for n in range(1, 4)] + ["a 1"] * 3 + ["b", "b 1"]
-    names = mixed(*[[rng.choice(pool) for _ in range(rng.randint(10, 40))] for _ in range(8)])
-    existing = {f"{chr(97 + i)}a-{rng.randint(1, 9)}" for i in range(8) for _ in range(rng.randint(0, 3))}
+    names = mixed(*[[rng.choice(pool) for _ in range(rng.randint(10, 30))] for _ in range(4)])
+    existing = {f"{chr(97 + i)}a-{rng.randint(1, 9)}" for i in range(4) for _ in range(rng.randint(0, 3))}
     check(spark, names, sorted(existing | {"ab", "ba", "cb-1"}), hot_rows)
 
 
