@@ -17,10 +17,8 @@ def as_of_column(as_of) -> Column:
     return F.lit(as_of).cast("timestamp_ntz")
 
 
-def to_second(ts: Column) -> Column:
-    """Rounded to the nearest second, as a ``timestamp(0)`` column stores it."""
-    half = F.expr("INTERVAL '0.5' SECOND")
-    return F.date_trunc("second", ts + half).cast("timestamp_ntz")
+def _epoch() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
 
 def plus_days(ts: Column, days: Column) -> Column:
@@ -29,10 +27,14 @@ def plus_days(ts: Column, days: Column) -> Column:
 
 def from_epoch_millis(millis: Column) -> Column:
     """Milliseconds since 1970 as a zoneless timestamp, whatever the session's zone."""
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return F.timestamp_add("MILLISECOND", millis, epoch)
+    return F.timestamp_add("MILLISECOND", millis, _epoch())
 
 
 def to_epoch_millis(ts: Column) -> Column:
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return F.timestamp_diff("MILLISECOND", epoch, ts)
+    return F.timestamp_diff("MILLISECOND", _epoch(), ts)
+
+
+def to_second(ts: Column) -> Column:
+    """Rounded to the nearest second, as a ``timestamp(0)`` column stores it."""
+    micros = F.timestamp_diff("MICROSECOND", _epoch(), ts) + 500_000
+    return F.timestamp_add("MICROSECOND", micros - F.pmod(micros, F.lit(1_000_000)), _epoch())

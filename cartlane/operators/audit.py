@@ -80,7 +80,7 @@ def duplicate_keys(df: DataFrame, key: list[str]) -> DataFrame:
 def orphans(child: DataFrame, column: str, parent: DataFrame, parent_key: str = "id") -> DataFrame:
     """Values of a reference that the parent lacks, with the number of rows that hold them."""
     held = child.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("rows"))
-    return held.join(parent.select(F.col(parent_key).alias(column)), column, "left_anti")
+    return held.join(parent.select(F.col(parent_key).alias(column)).distinct(), column, "left_anti")
 
 
 def wrong_totals(orders: DataFrame) -> DataFrame:

@@ -121,7 +121,7 @@ def associate_tags(
         place = F.row_number().over(W.partitionBy("product_id").orderBy(order))
         fresh = fresh.withColumn("__place", place).filter(F.col("__place") <= cap)
     had = F.coalesce("tag_count", F.lit(0))
-    concerned = existing.join(candidates.select("product_id"), "product_id", "left_semi")
+    concerned = existing.join(candidates.select("product_id").distinct(), "product_id", "left_semi")
     counted = fresh.join(tags_per_product(concerned), "product_id", "left")
     room = F.col("__place") <= cap - had if mode == STRICT else had < cap
     return counted.filter(room).select(*candidates.columns)

@@ -31,12 +31,13 @@ def insert_new(batch: DataFrame, target: DataFrame | None, key: list[str], order
 
     ``order`` is total over the batch. The target's keys are cut down to those of the batch
     first: for a small batch that is a broadcast of the batch instead of a shuffle of the
-    target, for a large one the second join finds both sides in place.
+    target, for a large one the second join finds both sides in place. Keys are made distinct
+    before they meet, as no join can split a frequent key on the side that is looked up.
     """
     first = first_per_key(batch, key, order)
     if target is None:
         return first
-    known = target.select(*key).join(batch.select(*key), key, "left_semi")
+    known = target.select(*key).join(batch.select(*key).distinct(), key, "left_semi")
     return first.join(known, key, "left_anti")
 
 

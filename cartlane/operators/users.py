@@ -22,8 +22,8 @@ def users_with_role(users: DataFrame, role_user: DataFrame, roles: DataFrame, ro
 
 
 def users_without(users: DataFrame, others: DataFrame) -> DataFrame:
-    """The users that ``others.user_id`` does not name."""
-    return users.join(others.select(F.col("user_id").alias("id")), "id", "left_anti")
+    """The users that ``others.user_id`` does not name, however often it names the rest."""
+    return users.join(others.select(F.col("user_id").alias("id")).distinct(), "id", "left_anti")
 
 
 def role_counts(role_user: DataFrame, roles: DataFrame) -> DataFrame:

@@ -52,7 +52,8 @@ def read_state(spark: SparkSession, path: str) -> DataFrame:
 
 
 def compact_state(spark: SparkSession, path: str, target: str) -> None:
-    """Writes the last change of each key to a new place, to be read instead of the old one.
+    """Writes the last change of each key to a new place, to be read and written instead of
+    the old one; the stream's batch ids go on from there.
 
     Deletes stay in it, since a record out of order may still come.
     """

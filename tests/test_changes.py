@@ -121,8 +121,13 @@ def test_stream_goes_on_after_a_restart(spark, tmp_path):
     run()
     assert shown(state.read_state(spark, out)) == STATE
     assert rows(read_batches(spark, seen), "id", "order_status_id", "lsn") == VISITS
-    state.compact_state(spark, out, str(tmp_path / "small"))
-    assert shown(state.read_state(spark, str(tmp_path / "small"))) == STATE
+    small = str(tmp_path / "small")
+    state.compact_state(spark, out, small)
+    assert shown(state.read_state(spark, small)) == STATE
+    (tmp_path / "in" / "901.json").write_text(record(11, 2, "c", 5, "2.00") + "\n" + FEED[0] + "\n")
+    changes = decoded(feed.feed_file_stream(spark, folder, max_files=1))
+    state.write_state(changes, small, log).awaitTermination()
+    assert shown(state.read_state(spark, small)) == [STATE[0], (2, 5, "2.00"), STATE[1]]
 
 
 def test_history_of_a_batch(spark):
