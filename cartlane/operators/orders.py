@@ -126,15 +126,18 @@ def order_headers(
     one narrow row per order, needed for the lines and again for the orders."""
     request = [request_key]
     header = requests.select(request_key)
+    # Addresses join the customers, of whom there are fewer than orders.
+    homes = first_addresses(addresses).withColumnRenamed("user_id", "id")
     picks = {
-        "user_id": users_with_role(users, role_user, roles, ROLE_CUSTOMER),
+        "user_id": users_with_role(users, role_user, roles, ROLE_CUSTOMER).join(homes, "id", "left"),
         "staff_id": users_with_role(users, role_user, roles, ROLE_STAFF),
         "payment_method_id": payment_methods,
         "shipping_method_id": shipping_methods,
     }
     for column, choices in picks.items():
-        header = assign(header, request, choices, ["id"], {"id": column}, f"{seed}-{column}")
-    header = header.filter(F.col("staff_id").isNotNull()).join(first_addresses(addresses), "user_id")
+        columns = {"id": column, "address_id": "address_id"} if column == "user_id" else {"id": column}
+        header = assign(header, request, choices, ["id"], columns, f"{seed}-{column}")
+    header = header.filter("staff_id IS NOT NULL AND address_id IS NOT NULL")
     return written(with_surrogate_key(header, request, "id", existing_orders, dense=False), "headers")
 
 
