@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cartlane.schemas import SEEDS, TABLES
 
@@ -41,8 +42,7 @@ def read_csv(spark: SparkSession, path: str, schema: str, position: bool = False
     a number that grows inside the block.
     """
     raw = spark.read.option("header", True).option("enforceSchema", False).csv(path)
-    fields = [part.strip().split(" ", 1) for part in schema.split(",")]
-    columns = [F.col(name).cast(kind).alias(name) for name, kind in fields]
+    columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in T.StructType.fromDDL(schema).fields]
     if position:
         columns += [
             F.col("_metadata.file_path").alias("file_path"),

@@ -24,11 +24,6 @@ def spark(tmp_path_factory):
     session.stop()
 
 
-@pytest.fixture
-def sf(request):
-    return "/root/testdata/sf0.001"
-
-
 def rows(df, *columns):
     """The rows as a sorted list of tuples."""
     picked = df.select(*columns) if columns else df

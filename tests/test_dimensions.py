@@ -146,6 +146,8 @@ def test_provinces_and_cities_from_a_file(spark, tmp_path):
     new = geo.new_provinces(places, old)
     assert sorted(r["province_name"] for r in new.collect()) == ["Atlantis", "Delaware"]
     assert sorted(r["id"] for r in new.collect()) == [8, 9]
+    exact = read_csv(spark, str(tmp_path / "places.csv"), "lat decimal(9,6), city string")
+    assert exact.columns == ["lat", "city"] and dict(exact.dtypes)["lat"] == "decimal(9,6)" and exact.count() == 6
     provinces = frame(spark, "id long, province_name string", (7, "Ohio"), (8, "Delaware"))
     ordered = read_csv(spark, str(tmp_path / "places.csv"), schema, position=True)
     cities = geo.new_cities(ordered, provinces, order=POSITION)
