@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartlane.llm import bpe, decontaminate, lines, secrets
+from cartlane.llm import bpe, decontaminate, lines, secrets, sharding, toxicity, urls
 from cartlane.llm.shared import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,3 +89,75 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY doc_id
 """
+
+
+@query
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    documents = read(spark, folder, "documents").select("doc_id", "text", "lang")
+    model = toxicity.train(documents, read(spark, folder, "labels"))
+    scored = toxicity.score_documents(documents, model)
+    return scored.select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        "toxic",
+    )
+
+
+@query
+def op5_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """The tables hold no outcomes of pages; the label of the same number stands for one."""
+    bad = ((F.col("quality") == 0) | (F.col("toxic") == 1)).cast("int")
+    outcomes = read(spark, folder, "labels").select(F.col("doc_id").alias("id"), bad.alias("bad"))
+    return urls.judge_pages(read(spark, folder, "pages"), outcomes)
+
+
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TWO = "('co.uk', 'org.uk', 'ac.uk', 'com.au', 'co.jp', 'com.br', 'co.in', 'co.nz')"
+_STRENGTH = """(SELECT coalesce(least(greatest(CASE WHEN spread - noise > 0 THEN (chance - spread) / (spread - noise)
+    ELSE 1000.0 END, 1.0), 1000.0), 1.0) FROM (
+    SELECT sum((bad / n - m) * (bad / n - m)) AS spread, sum(m * (1 - m)) AS chance, sum(m * (1 - m) / n) AS noise
+    FROM {0} WHERE n >= 2))"""
+
+ORACLES["op5_url_filter"] = f"""
+WITH parts AS (
+  SELECT page_id, {_LOWER.format("coalesce(regexp_extract(url, '^(?s).*?://([^/?#]*)([^?#]*)', 1), '')")} AS host,
+    coalesce(regexp_extract(url, '^(?s).*?://([^/?#]*)([^?#]*)', 2), '') AS path FROM pages),
+known AS (
+  SELECT doc_id AS page_id, max((quality = 0 OR toxic = 1)::INT) AS bad FROM labels
+  WHERE (quality = 0 OR toxic = 1) IS NOT NULL GROUP BY 1),
+host_counts AS (SELECT host, count(*) AS n, sum(bad) AS bad FROM parts JOIN known USING (page_id) GROUP BY 1),
+hosts AS (
+  SELECT host, coalesce(n, 0)::DOUBLE AS n, coalesce(bad, 0)::DOUBLE AS bad,
+    regexp_extract(host, '([^.]+\\.[^.]+)$', 1) AS two, regexp_extract(host, '([^.]+\\.[^.]+\\.[^.]+)$', 1) AS three
+  FROM (SELECT DISTINCT host FROM parts) LEFT JOIN host_counts USING (host)),
+counted AS (
+  SELECT host, n, bad, CASE WHEN two IN {_TWO} THEN two ELSE regexp_extract(host, '([^.]*)$', 1) END AS suffix,
+    CASE WHEN two IN {_TWO} AND three <> '' THEN three WHEN two = '' THEN host ELSE two END AS domain FROM hosts),
+d0 AS (SELECT suffix, domain, sum(n) AS n, sum(bad) AS bad FROM counted GROUP BY 1, 2),
+s0 AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM d0 GROUP BY 1),
+s1 AS (SELECT s0.*, (SELECT (sum(bad) + 1) / (sum(n) + 2) FROM s0) AS m FROM s0),
+s2 AS (SELECT suffix, (bad + k * m) / (n + k) AS mean FROM (SELECT *, {_STRENGTH.format("s1")} AS k FROM s1)),
+d1 AS (SELECT d0.*, s2.mean AS m FROM d0 JOIN s2 USING (suffix)),
+d2 AS (SELECT domain, (bad + k * m) / (n + k) AS mean FROM (SELECT *, {_STRENGTH.format("d1")} AS k FROM d1)),
+h1 AS (SELECT counted.*, d2.mean AS m FROM counted JOIN d2 USING (domain)),
+h2 AS (SELECT host, bad + k * m AS a, n + k AS t FROM (SELECT *, {_STRENGTH.format("h1")} AS k FROM h1)),
+judged AS (
+  SELECT host, CASE WHEN a / t - 1.645 * sqrt(a * (t - a) / (t * t * (t + 1))) >= 0.5 THEN 'block' ELSE 'allow' END AS learned
+  FROM h2),
+ruled AS (
+  SELECT *, CASE
+    WHEN (host = 'example.net' OR host LIKE '%.example.net') AND starts_with(path, '/en/') THEN 'example.net/en/'
+    WHEN (host = 'example.com' OR host LIKE '%.example.com') AND starts_with(path, '/de/') THEN 'example.com/de/'
+    WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
+    WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/') THEN 'net/' END AS rule FROM parts)
+SELECT page_id, ruled.host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block'
+  WHEN rule IS NOT NULL THEN 'allow' ELSE learned END AS verdict
+FROM ruled LEFT JOIN judged USING (host)
+"""
+
+
+@query
+def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.shard_documents(read(spark, folder, "documents"))
