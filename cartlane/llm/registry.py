@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartlane.llm import bpe, decontaminate, lines, secrets, sharding, toxicity, urls
+from cartlane.llm import bpe, decontaminate, lines, quality, secrets, sharding, toxicity, urls
 from cartlane.llm.shared import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -161,3 +161,8 @@ FROM ruled LEFT JOIN judged USING (host)
 @query
 def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_documents(read(spark, folder, "documents"))
+
+
+@query
+def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.classify(read(spark, folder, "documents"), read(spark, folder, "labels"))

@@ -5,7 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -30,3 +32,32 @@ def kept(df: DataFrame, name: str) -> DataFrame:
 
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
+
+
+#: Places of a bit filter: its size is fixed, whatever goes in.
+FILTER_BITS = 1 << 23
+
+
+def filter_place(column) -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(FILTER_BITS))
+
+
+def bit_filter(values: DataFrame, column: str) -> bytes:
+    """The places of all values as bits: 1 MB at most, however many values there are.
+
+    A value that is not in may find its bit set, so an exact join has to follow; the filter saves
+    that join from moving what it would drop.
+    """
+    place = filter_place(column)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (place % 64).cast("int"))
+    word = values.select((place / 64).cast("long").alias("word"), bit.alias("bit"))
+    # FILTER_BITS / 64 rows at most.
+    found = word.groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()
+    out = np.zeros(FILTER_BITS // 64, np.uint64)
+    out[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64).view(np.uint64)
+    return out.tobytes()
+
+
+def in_filter(bits: bytes, places: np.ndarray) -> np.ndarray:
+    words = np.frombuffer(bits, np.uint64)[places // 64]
+    return (words >> (places % 64).astype(np.uint64)) & np.uint64(1) == 1
