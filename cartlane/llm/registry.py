@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartlane.llm import bpe, decontaminate, lines, quality, secrets, sharding, toxicity, urls
+from cartlane.llm import bpe, decontaminate, jaccard, lines, quality, secrets, sharding, toxicity, urls
 from cartlane.llm.shared import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -166,3 +166,29 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.classify(read(spark, folder, "documents"), read(spark, folder, "labels"))
+
+
+@query
+def op7_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.components(read(spark, folder, "documents"))
+
+
+ORACLES["op7_ngram_join"] = """
+WITH RECURSIVE doc_words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM doc_words WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY 1),
+shared_counts AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id
+  GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM shared_counts JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+  WHERE 100 * both >= 90 * (p.n + q.n - both)),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON r.other = l.a)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, min(other) AS component_id
+FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id, n
+"""
