@@ -182,11 +182,11 @@ shingles AS (
   FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM doc_words WHERE len(w) > 0)),
 sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY 1),
 shared_counts AS (
-  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id
   GROUP BY 1, 2),
 links AS (
   SELECT a, b FROM shared_counts JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
-  WHERE 100 * both >= 90 * (p.n + q.n - both)),
+  WHERE 100 * common >= 90 * (p.n + q.n - common)),
 reach(doc_id, other) AS (
   SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON r.other = l.a)
 SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, min(other) AS component_id
