@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartlane.llm import bpe, decontaminate, jaccard, lines, quality, secrets, sharding, toxicity, urls
+from cartlane.llm import bpe, decontaminate, jaccard, lines, quality, secrets, sharding, toxicity, urls, vectors
 from cartlane.llm.shared import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -192,3 +192,8 @@ reach(doc_id, other) AS (
 SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, min(other) AS component_id
 FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id, n
 """
+
+
+@query
+def op4_vector_search(spark: SparkSession, folder: str) -> DataFrame:
+    return vectors.search_every(read(spark, folder, "embeddings"))
