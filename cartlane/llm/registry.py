@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -197,3 +198,6 @@ FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id, n
 @query
 def op4_vector_search(spark: SparkSession, folder: str) -> DataFrame:
     return vectors.search_every(read(spark, folder, "embeddings"))
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
