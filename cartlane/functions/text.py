@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 
 
 def base_slug(name: Column) -> Column:
-    """Lower case, each run of non-word characters (in any script) as one dash."""
-    return F.regexp_replace(F.lower(name), r"(?U)\W+", "-")
+    """Lower case, each run of other characters than letters, numbers and ``_`` as one dash.
+
+    Letters and numbers of any script; marks that combine with letters are not word characters.
+    """
+    return F.regexp_replace(F.lower(name), r"[^\p{L}\p{N}_]+", "-")
 
 
 def digest(text: Column) -> Column:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartlane.functions.text import base_slug
-from cartlane.plans.ordered import HOT_ROWS, Large, find_large, numbered_in_group, running_total
+from cartlane.plans.ordered import numbered_in_group, running_total
 from cartlane.plans.scratch import written
 
 # A slug that ends in a number as the rule writes it: no leading zero.
@@ -27,22 +27,17 @@ _BASE = "__base"
 _PLACE = "__place"
 
 
-def unique_slugs(
-    rows: DataFrame,
-    name: str,
-    order: str,
-    existing: DataFrame | None = None,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """Adds ``slug``, unique among the rows and against ``existing.slug``.
+def unique_slugs(rows: DataFrame, name: str, order: str, existing: DataFrame | None = None) -> DataFrame:
+    """Adds ``slug``, unique among the rows and against ``existing.slug``; null without a name.
 
     ``order`` is a unique numeric column: the order of arrival.
     """
-    based = rows.withColumn(_BASE, base_slug(F.col(name)))
+    named = rows.withColumn(_BASE, base_slug(F.col(name)))
+    based = named.filter(F.col(_BASE).isNotNull())
     bases = based.groupBy(_BASE).agg(F.min(order).alias("first"))
     taken = None
     if existing is not None:
-        places = _places(existing.select(F.col("slug").alias(_BASE)))
+        places = _places(existing.select(F.col("slug").alias(_BASE)).dropna())
         taken = places.join(bases.select(_BASE), _BASE, "left_semi").distinct()
     rivals = (
         _places(bases, "first")
@@ -51,17 +46,12 @@ def unique_slugs(
         .withColumn("rival", F.concat_ws("-", _BASE, "n"))
     )
     if rivals.isEmpty():
-        placed = _place(based, order, taken, _large(hot_rows, based, taken))
+        placed = _place(based, order, taken)
     else:
-        placed = _place_by_level(based, order, taken, written(rivals, "rivals"), hot_rows)
+        placed = _place_by_level(based, order, taken, written(rivals, "rivals"))
     slug = F.when(F.col(_PLACE) == 0, F.col(_BASE)).otherwise(F.concat_ws("-", _BASE, _PLACE))
-    return placed.withColumn("slug", slug).drop(_BASE, _PLACE)
-
-
-def _large(hot_rows: int, *parts: DataFrame | None) -> Large | None:
-    """Bases with too many rows and places together."""
-    bases = [part.select(_BASE) for part in parts if part is not None]
-    return find_large(reduce(DataFrame.union, bases), [_BASE], hot_rows)
+    unnamed = named.filter(F.col(_BASE).isNull()).withColumn("slug", F.lit(None).cast("string"))
+    return placed.withColumn("slug", slug).drop(_BASE, _PLACE).unionByName(unnamed.drop(_BASE))
 
 
 def _places(slugs: DataFrame, *keep: str) -> DataFrame:
@@ -69,45 +59,44 @@ def _places(slugs: DataFrame, *keep: str) -> DataFrame:
     bare = slugs.select(_BASE, F.lit(0).cast("bigint").alias("n"), *keep)
     numbered = slugs.filter(F.col(_BASE).rlike(_NUMBERED)).select(
         F.regexp_extract(_BASE, _NUMBERED, 1).alias(_BASE),
-        F.regexp_extract(_BASE, _NUMBERED, 2).cast("bigint").alias("n"),
+        F.regexp_extract(_BASE, _NUMBERED, 2).try_cast("bigint").alias("n"),
         *keep,
     )
     return bare.unionByName(numbered)
 
 
-def _place(based: DataFrame, order: str, taken: DataFrame | None, large: Large | None) -> DataFrame:
+def _place(based: DataFrame, order: str, taken: DataFrame | None) -> DataFrame:
     """The i-th row of each base in its i-th free place."""
-    ranked = numbered_in_group(based, [_BASE], [order], "__rank", large=large)
+    ranked = numbered_in_group(based, [_BASE], [order], "__rank")
     ranked = ranked.withColumn("__rank", F.col("__rank") - 1)
     if taken is None:
         return ranked.withColumnRenamed("__rank", _PLACE)
-    merged = _with_taken(ranked, taken, large)
+    merged = _with_taken(ranked, taken)
     return merged.withColumn(_PLACE, F.col("__rank") + F.col("__skipped")).drop("__rank", "__skipped")
 
 
-def _with_taken(ranked: DataFrame, taken: DataFrame, large: Large | None) -> DataFrame:
+def _with_taken(ranked: DataFrame, taken: DataFrame) -> DataFrame:
     """Adds how many taken places lie below the rank-th free one.
 
-    Each taken place is marked with the free places below it. Rows and marks of a base then
-    go in one sequence by rank, and a running count does the rest.
+    Each taken place is marked with the free places below it. A run of taken places has one
+    mark, so marks are counted first: the rule itself leaves long runs. Rows and marks of a base
+    then go in one sequence by rank, and a running count does the rest.
     """
-    numbered = numbered_in_group(taken, [_BASE], ["n"], "__th", large=large)
-    marks = numbered.select(
-        _BASE,
-        (F.col("n") - F.col("__th") + 1).alias("__rank"),
-        F.lit(0).alias("__row"),
-        F.lit(1).cast("bigint").alias("__add"),
+    numbered = numbered_in_group(taken, [_BASE], ["n"], "__th")
+    marks = (
+        numbered.select(_BASE, (F.col("n") - F.col("__th") + 1).alias("__rank"))
+        .groupBy(_BASE, "__rank")
+        .agg(F.count(F.lit(1)).alias("__add"))
+        .withColumn("__row", F.lit(0))
     )
     sequence = ranked.withColumns({"__row": F.lit(1), "__add": F.lit(0).cast("bigint")}).unionByName(
         marks, allowMissingColumns=True
     )
-    counted = running_total(sequence, [_BASE], ["__rank", "__row"], F.col("__add"), "__skipped", large=large)
+    counted = running_total(sequence, [_BASE], ["__rank", "__row"], F.col("__add"), "__skipped")
     return counted.filter("__row = 1").drop("__row", "__add")
 
 
-def _place_by_level(
-    based: DataFrame, order: str, taken: DataFrame | None, rivals: DataFrame, hot_rows: int
-) -> DataFrame:
+def _place_by_level(based: DataFrame, order: str, taken: DataFrame | None, rivals: DataFrame) -> DataFrame:
     """Bases that touch another base, those without a stem first.
 
     Whether a base still has its bare slug depends on its stem's rows, and so on down.
@@ -115,11 +104,10 @@ def _place_by_level(
     if taken is None:
         taken = based.sparkSession.createDataFrame([], f"{_BASE} string, n bigint")
     taken = written(taken, "taken")
-    large = _large(hot_rows, based, taken, rivals)
     children = rivals.select(F.col("rival").alias(_BASE))
     touched = rivals.select(_BASE).union(children).distinct()
     untouched = based.join(touched, _BASE, "left_anti")
-    done = [_place(untouched, order, taken.join(touched, _BASE, "left_anti"), large)]
+    done = [_place(untouched, order, taken.join(touched, _BASE, "left_anti"))]
 
     touching = written(based.join(touched, _BASE, "left_semi"), "touching")
     level = written(rivals.select(_BASE).join(children, _BASE, "left_anti").distinct(), "level")
@@ -128,8 +116,8 @@ def _place_by_level(
         rows = touching.join(level, _BASE, "left_semi")
         here = rivals.join(level, _BASE, "left_semi")
         blocked = blocked.join(level, _BASE, "left_semi")
-        blocked = written(blocked.unionByName(_winning_rivals(rows, order, blocked, here, large)), "blocked")
-        placed = written(_place(rows, order, blocked, large), "slugs")
+        blocked = written(blocked.unionByName(_winning_rivals(rows, order, blocked, here)), "blocked")
+        placed = written(_place(rows, order, blocked), "slugs")
         done.append(placed)
         # Bare slugs of the next level that went to rows of this one.
         slugs = placed.filter(F.col(_PLACE) > 0).select(F.concat_ws("-", _BASE, _PLACE).alias("rival"))
@@ -141,9 +129,7 @@ def _place_by_level(
     return reduce(DataFrame.unionByName, done)
 
 
-def _winning_rivals(
-    rows: DataFrame, order: str, taken: DataFrame, rivals: DataFrame, large: Large | None
-) -> DataFrame:
+def _winning_rivals(rows: DataFrame, order: str, taken: DataFrame, rivals: DataFrame) -> DataFrame:
     """The rivals that come before the stem's row that would take their place.
 
     A rival for place n wins when the stem has no more rows before it than there are free
@@ -154,12 +140,12 @@ def _winning_rivals(
     asked = rivals.join(taken, [_BASE, "n"], "left_anti").select(_BASE, F.col("first").alias("at"), none, "n")
     arrivals = rows.select(_BASE, F.col(order).alias("at"), one)
     before = running_total(
-        arrivals.unionByName(asked, allowMissingColumns=True), [_BASE], ["at"], F.col("one"), "rows_before", large=large
+        arrivals.unionByName(asked, allowMissingColumns=True), [_BASE], ["at"], F.col("one"), "rows_before"
     )
     places = taken.select(_BASE, "n", one).unionByName(
         before.filter("n IS NOT NULL").select(_BASE, "n", none, "rows_before"), allowMissingColumns=True
     )
-    free = running_total(places, [_BASE], ["n"], F.col("one"), "taken_below", large=large)
+    free = running_total(places, [_BASE], ["n"], F.col("one"), "taken_below")
     spare = F.col("n") - F.col("taken_below") - F.col("rows_before")
     state = written(
         free.filter("rows_before IS NOT NULL").select(
@@ -169,7 +155,7 @@ def _winning_rivals(
     )
     while True:
         wins = (F.col("won_below") <= F.col("spare")).cast("bigint")
-        counted = running_total(state.withColumn("win", wins), [_BASE], ["n"], F.col("win"), "upto", large=large)
+        counted = running_total(state.withColumn("win", wins), [_BASE], ["n"], F.col("win"), "upto")
         state = written(
             counted.select(
                 _BASE, "n", "spare", F.col("won_below").alias("last"), (F.col("upto") - F.col("win")).alias("won_below")

@@ -1,8 +1,8 @@
 """Numbers for rows without sorting the whole table in one task.
 
-Rows go to a fixed number of hash buckets of their key. The bucket is a function of the row
-alone, so a lost and recomputed task numbers its rows as before, and even keys give even
-buckets whatever the distribution of other columns.
+Keys to be stored come from ranges of the rows' own keys, as many as there are partitions. Rows to
+be drawn from (``counted_and_numbered``) go to hash buckets of their key, a function of the row
+alone, so that a plan needs no table in between.
 """
 
 from __future__ import annotations
@@ -12,11 +12,13 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cartlane.functions.draws import draw
+from cartlane.plans.scratch import written
 
 BUCKETS = 4096
 
 _BUCKET = "__bucket"
 _BEFORE = "__before"
+_PLACE = "__place"
 _SEED = "number"
 
 
@@ -51,28 +53,6 @@ def counted_and_numbered(
     return total, table
 
 
-def numbered(df: DataFrame, keys: list[str], name: str, start=1, buckets: int = BUCKETS) -> DataFrame:
-    """Adds ``start, start + 1, ...`` with no gaps; ``keys`` must be unique.
-
-    Two passes: one counts the buckets, one numbers the rows in each.
-    """
-    return counted_and_numbered(df, keys, name, start, buckets)[1]
-
-
-def strided(df: DataFrame, keys: list[str], name: str, start=1, buckets: int = BUCKETS) -> DataFrame:
-    """Adds unique numbers from ``start`` on, with gaps; ``keys`` must be unique.
-
-    One pass and one shuffle: the n-th row of a bucket takes the n-th number of its stride.
-    """
-    first = start if isinstance(start, Column) else F.lit(start)
-    turn = (_rank_in_bucket(keys) - 1) * F.lit(buckets)
-    return (
-        _bucketed(df, keys, buckets)
-        .withColumn(name, (turn + F.col(_BUCKET) + first).cast("bigint"))
-        .drop(_BUCKET)
-    )
-
-
 def next_id(existing: DataFrame, column: str = "id") -> Column:
     """The first key above those in a table, 1 for an empty table."""
     top = existing.agg(F.coalesce(F.max(column), F.lit(0)).cast("bigint").alias("top"))
@@ -80,12 +60,29 @@ def next_id(existing: DataFrame, column: str = "id") -> Column:
 
 
 def with_surrogate_key(
-    df: DataFrame,
-    keys: list[str],
-    name: str = "id",
-    existing: DataFrame | None = None,
-    dense: bool = True,
+    df: DataFrame, keys: list[str], name: str = "id", existing: DataFrame | None = None, start=None
 ) -> DataFrame:
-    """Adds a key above all keys of ``existing``. ``dense=False`` saves a pass over the rows."""
-    start = 1 if existing is None else next_id(existing, name)
-    return (numbered if dense else strided)(df, keys, name, start)
+    """Adds a key above all keys of ``existing``, without gaps, in order of ``keys``.
+
+    The rows go to ranges of ``keys`` once and are written there with their place; counts of
+    the ranges give each its first number. A batch that may be run again passes the ``start``
+    recorded for it (see ``sinks.batch_start``) and gets the same keys as before.
+    """
+    if start is None:
+        start = 1 if existing is None else next_id(existing, name)
+    first = start if isinstance(start, Column) else F.lit(start)
+    # The place is the number of the range and, in the low 33 bits, of the row in it.
+    placed = df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn(_PLACE, F.monotonically_increasing_id())
+    rows = written(placed, "keys")
+    part = F.shiftright(_PLACE, 33)
+    sizes = rows.groupBy(part.alias(_BUCKET)).agg(F.count(F.lit(1)).alias("__n"))
+    running = W.orderBy(_BUCKET).rowsBetween(W.unboundedPreceding, -1)
+    # One row per range.
+    offsets = F.broadcast(sizes.select(_BUCKET, F.coalesce(F.sum("__n").over(running), F.lit(0)).alias(_BEFORE)))
+    inside = F.col(_PLACE).bitwiseAND(F.lit(2**33 - 1))
+    return (
+        rows.withColumn(_BUCKET, part)
+        .join(offsets, _BUCKET)
+        .withColumn(name, (inside + F.col(_BEFORE) + first).cast("bigint"))
+        .drop(_BUCKET, _BEFORE, _PLACE)
+    )

@@ -1,142 +1,98 @@
 """Running totals and neighbours inside a group, for groups of any size.
 
-A window over a group runs in one task. That is fine for ordinary groups and stops a job
-when one group holds a third of a large table. These functions count the groups first. If
-none is too large they use the plain window. Otherwise they cut the large groups into
-slices of their order column, run the window per slice, and join what the slices before
-(or after) contribute. The slices come from quantiles of the large groups' rows, and the
-result does not depend on where the cuts fall.
+A window over a group runs in one task, which stops a job when one group holds a third of a
+large table. So rows are cut into ranges by group and order first, all of about one size: a large
+group spreads over many ranges, small ones share one. A window then runs inside each range,
+and what ranges before (or after) contribute is joined to the groups that reach over an edge. There
+is one such group per edge at most, so those joins are as small as the number of ranges.
+
+There is one plan for all sizes. Nulls are ordinary values, in groups and in orders: first of all,
+and equal to each other.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cartlane.functions.times import to_epoch_millis
+from cartlane.plans.scratch import written
 
-# A window over this many narrow rows is an ordinary task.
-HOT_ROWS = 1_000_000
-MAX_SLICES = 10_000
+RANGE = "__range"
 
-_SLICE = "__slice"
-_POINT = "__point"
 
+def ranged(df: DataFrame, group: list[str], order: list[str]) -> DataFrame:
+    """The rows with the number of their range, as a scratch table.
 
-@dataclass(frozen=True)
-class Large:
-    """The groups that are too large for one task, and how many rows they hold together."""
+    It is written once, as two computations of the cuts need not agree. The functions below take
+    such rows as they are, and cut others themselves; a filter leaves the ranges valid.
+    """
+    cut = df.repartitionByRange(*group, *order).withColumn(RANGE, F.spark_partition_id())
+    return written(cut, "ranges")
 
-    keys: DataFrame
-    rows: int
-    hot_rows: int
 
+def _same(left: DataFrame, right: DataFrame, columns: list[str]) -> Column:
+    return reduce(and_, [left[c].eqNullSafe(right[f"__{c}"]) for c in columns])
 
-# Stands for "count the groups first".
-LOOK = object()
 
+def _aliased(df: DataFrame, columns: list[str], *keep: str) -> DataFrame:
+    return df.select(*[F.col(c).alias(f"__{c}") for c in columns], *keep)
 
-def find_large(df: DataFrame, group: list[str], hot_rows: int = HOT_ROWS) -> Large | None:
-    """Counts the groups. A caller with several steps over the same groups does this once."""
-    counts = df.groupBy(*group).agg(F.count(F.lit(1)).alias("__rows"))
-    hot = counts.filter(F.col("__rows") > hot_rows)
-    total = hot.agg(F.sum("__rows")).first()[0]
-    return Large(hot.select(*group), int(total), hot_rows) if total else None
 
+def _over_edges(rows: DataFrame, group: list[str]) -> DataFrame:
+    """The groups that lie in more than one range: one per edge at most."""
+    whole = F.struct(*group)
+    ends = rows.groupBy(RANGE).agg(F.min(whole).alias("low"), F.max(whole).alias("high"))
+    # One row per range.
+    before = F.lag("high").over(W.orderBy(RANGE))
+    found = ends.withColumn("before", before).filter(F.col("before").isNotNull() & (F.col("before") == F.col("low")))
+    return found.select("low.*").distinct()
 
-def _point(df: DataFrame, column: str) -> Column:
-    if dict(df.dtypes)[column].startswith("timestamp"):
-        return to_epoch_millis(F.col(column).cast("timestamp_ntz")).cast("double")
-    return F.col(column).cast("double")
 
+def _pieces(rows: DataFrame, group: list[str], piece: Column) -> DataFrame:
+    """``piece``, an aggregate, of each range of the groups that reach over an edge."""
+    over = F.broadcast(_aliased(_over_edges(rows, group), group))
+    return rows.join(over, _same(rows, over, group), "left_semi").groupBy(*group, RANGE).agg(piece.alias("__piece"))
 
-def _sliced(df: DataFrame, group: list[str], order: str, large: Large) -> DataFrame:
-    """Rows with a slice number, -1 for ordinary groups."""
-    # ``keys`` has fewer rows than the table has, divided by ``hot_rows``.
-    hot = F.broadcast(large.keys.withColumn("__hot", F.lit(True)))
-    marked = (
-        df.join(hot, group, "left").withColumn(_POINT, F.when(F.col("__hot"), _point(df, order))).drop("__hot")
-    )
-    slices = min(MAX_SLICES, 1 + large.rows // max(1, large.hot_rows // 2))
-    cuts = marked.approxQuantile(_POINT, [i / slices for i in range(1, slices)], 0.1 / slices)
-    splits = [-float("inf"), *sorted({0.0, *cuts}), float("inf")]
-    cut = Bucketizer(splits=splits, inputCol=_POINT, outputCol=_SLICE, handleInvalid="keep")
-    number = F.when(F.col(_POINT).isNull(), F.lit(-1)).otherwise(F.col(_SLICE).cast("int"))
-    return cut.transform(marked).withColumn(_SLICE, number).drop(_POINT)
 
+def _joined(rows: DataFrame, pieces: DataFrame, group: list[str]) -> DataFrame:
+    """``__piece`` of the row's group and range. Not more rows than ranges and edges are sent."""
+    keys = [*group, RANGE]
+    few = F.broadcast(_aliased(pieces.filter("__piece IS NOT NULL"), keys, "__piece"))
+    return rows.join(few, _same(rows, few, keys), "left").drop(*[f"__{c}" for c in keys])
 
-def running_total(
-    df: DataFrame,
-    group: list[str],
-    order: list[str],
-    value: Column,
-    name: str,
-    hot_rows: int = HOT_ROWS,
-    large=LOOK,
-) -> DataFrame:
+
+def running_total(df: DataFrame, group: list[str], order: list[str], value: Column, name: str) -> DataFrame:
     """Adds the sum of ``value`` over the group's rows up to and including this one.
 
-    ``order`` must be total inside a group, its first column numeric or a timestamp; group
-    and order columns hold no nulls.
+    ``order`` must be total inside a group.
     """
-    upto = (W.unboundedPreceding, W.currentRow)
-    if large is LOOK:
-        large = find_large(df, group, hot_rows)
-    if large is None:
-        return df.withColumn(name, F.sum(value).over(W.partitionBy(*group).orderBy(*order).rowsBetween(*upto)))
-    rows = _sliced(df, group, order[0], large)
-    earlier = W.partitionBy(*group).orderBy(_SLICE).rowsBetween(W.unboundedPreceding, -1)
-    before = (
-        rows.filter(F.col(_SLICE) >= 0)
-        .groupBy(*group, _SLICE)
-        .agg(F.sum(value).alias("__sum"))
-        .withColumn("__before", F.sum("__sum").over(earlier))
-        .filter(F.col("__before").isNotNull())
-    )
-    inside = W.partitionBy(*group, _SLICE).orderBy(*order).rowsBetween(*upto)
-    counted = rows.withColumn(name, F.sum(value).over(inside))
-    joined = counted.join(before.drop("__sum"), [*group, _SLICE], "left")
-    return joined.withColumn(name, F.col(name) + F.coalesce("__before", F.lit(0))).drop("__before", _SLICE)
-
-
-def numbered_in_group(
-    df: DataFrame, group: list[str], order: list[str], name: str, hot_rows: int = HOT_ROWS, large=LOOK
-) -> DataFrame:
+    rows = df if RANGE in df.columns else ranged(df, group, order)
+    earlier = W.partitionBy(*group).orderBy(RANGE).rowsBetween(W.unboundedPreceding, -1)
+    before = _pieces(rows, group, F.sum(value)).withColumn("__piece", F.sum("__piece").over(earlier))
+    inside = W.partitionBy(*group, RANGE).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
+    counted = _joined(rows.withColumn(name, F.sum(value).over(inside)), before, group)
+    total = counted.withColumn(name, F.col(name) + F.coalesce("__piece", F.lit(0))).drop("__piece")
+    return total if rows is df else total.drop(RANGE)
+
+
+def numbered_in_group(df: DataFrame, group: list[str], order: list[str], name: str) -> DataFrame:
     """Adds 1, 2, ... in order inside each group."""
-    return running_total(df, group, order, F.lit(1).cast("bigint"), name, hot_rows, large)
+    return running_total(df, group, order, F.lit(1).cast("bigint"), name)
 
 
 def neighbour(
-    df: DataFrame,
-    group: list[str],
-    order: list[str],
-    columns: list[str],
-    name: str,
-    following: bool = False,
-    hot_rows: int = HOT_ROWS,
-    large=LOOK,
+    df: DataFrame, group: list[str], order: list[str], columns: list[str], name: str, following: bool = False
 ) -> DataFrame:
     """Adds a struct of ``columns`` of the row before (or after) in the group, null at the end."""
-    if large is LOOK:
-        large = find_large(df, group, hot_rows)
-    step = F.lead if following else F.lag
+    rows = df if RANGE in df.columns else ranged(df, group, order)
+    step, pick = (F.lead, F.min_by) if following else (F.lag, F.max_by)
     taken = F.struct(*columns)
-    if large is None:
-        return df.withColumn(name, step(taken).over(W.partitionBy(*group).orderBy(*order)))
-    rows = _sliced(df, group, order[0], large)
-    pick = F.min_by if following else F.max_by
-    near = (
-        rows.filter(F.col(_SLICE) >= 0)
-        .groupBy(*group, _SLICE)
-        .agg(pick(taken, F.struct(*order)).alias("__edge"))
-        .withColumn("__edge", step("__edge").over(W.partitionBy(*group).orderBy(_SLICE)))
-        .filter(F.col("__edge").isNotNull())
-    )
-    inside = W.partitionBy(*group, _SLICE).orderBy(*order)
-    local = rows.withColumn(name, step(taken).over(inside))
-    joined = local.join(near, [*group, _SLICE], "left")
-    return joined.withColumn(name, F.coalesce(name, "__edge")).drop("__edge", _SLICE)
+    edges = _pieces(rows, group, pick(taken, F.struct(*order)))
+    edges = edges.withColumn("__piece", step("__piece").over(W.partitionBy(*group).orderBy(RANGE)))
+    local = rows.withColumn(name, step(taken).over(W.partitionBy(*group, RANGE).orderBy(*order)))
+    found = _joined(local, edges, group).withColumn(name, F.coalesce(name, "__piece")).drop("__piece")
+    return found if rows is df else found.drop(RANGE)

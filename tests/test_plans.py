@@ -1,14 +1,18 @@
 import random
 from collections import defaultdict
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
 from cartlane.functions.draws import draw, draw_chance, draw_choice, draw_decimal, draw_int
 from cartlane.plans.assign import assign
-from cartlane.plans.keys import next_id, numbered, strided, with_surrogate_key
-from cartlane.plans.ordered import neighbour, numbered_in_group, running_total
+from cartlane.plans.keys import next_id, with_surrogate_key
+from cartlane.plans.ordered import RANGE, neighbour, numbered_in_group, ranged, running_total
 from cartlane.plans.samples import baskets, distinct_up_to, sample_rows
+from cartlane.plans import scratch
+from cartlane.plans.scratch import drop_scratch, written
+from cartlane.sources.sinks import batch_start, read_batches, read_children, write_batch, write_parent_and_child
 from tests.conftest import rows
 
 
@@ -32,9 +36,19 @@ def by_group(df):
     return {g: sorted(rs, key=lambda r: r["o"]) for g, rs in groups.items()}
 
 
-@pytest.mark.parametrize("hot_rows", [1_000_000, 300, 20, 1])
-def test_running_total(skewed, hot_rows):
-    got = by_group(running_total(skewed, ["g"], ["o"], F.col("v"), "t", hot_rows))
+@pytest.fixture(params=[1, 4, 16])
+def ranges(request, spark):
+    """So many ranges, none of them joined again for being small."""
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", request.param)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
+    yield request.param
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def test_running_total(skewed, ranges):
+    got = by_group(running_total(skewed, ["g"], ["o"], F.col("v"), "t"))
     assert sum(map(len, got.values())) == skewed.count()
     for rs in got.values():
         total = 0
@@ -43,59 +57,126 @@ def test_running_total(skewed, hot_rows):
             assert r["t"] == total
 
 
-@pytest.mark.parametrize("hot_rows", [1_000_000, 50, 3])
-def test_numbered_in_group(skewed, hot_rows):
-    for rs in by_group(numbered_in_group(skewed, ["g"], ["o"], "i", hot_rows)).values():
+def test_numbered_in_group(skewed, ranges):
+    for rs in by_group(numbered_in_group(skewed, ["g"], ["o"], "i")).values():
         assert [r["i"] for r in rs] == list(range(1, len(rs) + 1))
 
 
 @pytest.mark.parametrize("following", [False, True])
-@pytest.mark.parametrize("hot_rows", [1_000_000, 50, 3])
-def test_neighbour(skewed, hot_rows, following):
-    got = by_group(neighbour(skewed, ["g"], ["o"], ["v", "o"], "near", following, hot_rows))
+def test_neighbour(skewed, ranges, following):
+    got = by_group(neighbour(skewed, ["g"], ["o"], ["v", "o"], "near", following))
     for rs in got.values():
         values = [(r["v"], r["o"]) for r in rs]
         want = values[1:] + [None] if following else [None] + values[:-1]
         assert [tuple(r["near"]) if r["near"] else None for r in rs] == want
 
 
-def test_order_by_time_is_sliced_too(spark, skewed):
-    timed = skewed.withColumn("at", F.expr("timestamp_ntz'2024-01-01' + make_interval(0,0,0,0,0,0,o % 100000)"))
-    plain = numbered_in_group(timed, ["g"], ["at", "o"], "i")
-    cut = numbered_in_group(timed, ["g"], ["at", "o"], "i", 20)
-    assert rows(plain, "g", "o", "i") == rows(cut, "g", "o", "i")
+def test_nulls_are_values_like_others(spark, ranges):
+    data = [(None, None), *[(None, i) for i in range(40)], (1, None), (1, 1), (1, 2), (2, 5)]
+    df = spark.createDataFrame(data, "g long, o long").repartition(5)
+    got = {(r["g"], r["o"]): r["i"] for r in numbered_in_group(df, ["g"], ["o"], "i").collect()}
+    assert got == {(None, None): 1, **{(None, i): i + 2 for i in range(40)}, (1, None): 1, (1, 1): 2, (1, 2): 3, (2, 5): 1}
 
 
-def test_only_large_groups_are_cut(skewed):
-    plan = numbered_in_group(skewed, ["g"], ["o"], "i")._jdf.queryExecution().executedPlan().toString()
-    assert "Join" not in plan
+def test_order_by_two_columns_and_time(spark, skewed, ranges):
+    timed = skewed.withColumn("at", F.expr("timestamp_ntz'2024-01-01' + make_interval(0,0,0,0,0,0,o % 100)"))
+    got = {(r["g"], r["o"]): r["i"] for r in numbered_in_group(timed, ["g"], ["at", "o"], "i").collect()}
+    want = {}
+    for g in {g for g, _ in got}:
+        order = sorted((o for h, o in got if h == g), key=lambda o: (o % 100, o))
+        want |= {(g, o): i for i, o in enumerate(order, 1)}
+    assert got == want
 
 
-def test_numbered_is_dense_and_does_not_depend_on_partitions(spark):
-    df = spark.range(1000).withColumn("name", F.concat(F.lit("n"), "id")).select("name")
-    one = rows(numbered(df, ["name"], "k", start=11))
-    other = rows(numbered(df.repartition(13), ["name"], "k", start=11))
-    assert one == other
-    assert sorted(k for _, k in one) == list(range(11, 1011))
+def test_a_large_group_is_spread(spark, skewed):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
+    try:
+        sizes = [r["count"] for r in ranged(skewed, ["g"], ["o"]).groupBy(RANGE).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", True)
+    assert max(sizes) < 2 * sum(sizes) / len(sizes)
 
 
-def test_strided_is_unique_and_starts_at_start(spark):
-    df = spark.range(5000).withColumnRenamed("id", "key")
-    keys = [r["k"] for r in strided(df, ["key"], "k", start=7, buckets=16).collect()]
-    assert len(set(keys)) == 5000 and min(keys) >= 7
-    assert max(keys) < 7 + 16 * 450
+def test_rows_cut_once_serve_several_steps(skewed):
+    cut = ranged(skewed, ["g"], ["o"])
+    some = numbered_in_group(cut.filter("v > 3"), ["g"], ["o"], "i")
+    again = neighbour(some, ["g"], ["o"], ["i"], "near")
+    assert RANGE in again.columns
+    for rs in by_group(again).values():
+        assert [r["i"] for r in rs] == list(range(1, len(rs) + 1))
+        assert [r["near"] and r["near"]["i"] for r in rs] == [None, *range(1, len(rs))]
+
+
+def test_keys_are_dense_and_do_not_depend_on_partitions(spark):
+    df = spark.range(1000).withColumn("name", F.concat(F.lit("n"), "id")).select("name")
+    one = rows(with_surrogate_key(df, ["name"], "k", start=11))
+    other = rows(with_surrogate_key(df.repartition(13), ["name"], "k", start=11))
+    assert one == other == sorted(one, key=lambda r: r[1])
+    assert sorted(k for _, k in one) == list(range(11, 1011))
 
 
 def test_surrogate_key_starts_after_the_highest(spark):
     existing = spark.createDataFrame([(5,), (41,)], "id long")
     new = spark.createDataFrame([("a",), ("b",), ("c",)], "name string")
     assert sorted(r["id"] for r in with_surrogate_key(new, ["name"], "id", existing).collect()) == [42, 43, 44]
-    assert min(r["id"] for r in with_surrogate_key(new, ["name"], "id", existing, dense=False).collect()) >= 42
     empty = existing.limit(0)
     assert sorted(r["id"] for r in with_surrogate_key(new, ["name"], "id", empty).collect()) == [1, 2, 3]
+    assert with_surrogate_key(new.limit(0), ["name"], "id", existing).collect() == []
     assert spark.range(1).select(next_id(existing).alias("n")).first()["n"] == 42
 
 
+def test_a_batch_that_is_run_again_gets_its_keys(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    old = spark.createDataFrame([(10,)], "id long")
+
+    def store(batch_id, names):
+        there = read_batches(spark, path, "name string, id long")
+        start = batch_start(old.union(there.select("id")), path, batch_id)
+        new = spark.createDataFrame([(n,) for n in names], "name string")
+        write_batch(with_surrogate_key(new, ["name"], start=start), path, batch_id)
+
+    for batch_id, names in ((1, "ab"), (2, "cd"), (1, "ab"), (2, "cd")):
+        store(batch_id, names)
+    assert rows(read_batches(spark, path), "name", "id") == [("a", 11), ("b", 12), ("c", 13), ("d", 14)]
+
+
+def test_parents_go_before_children_are_replaced(spark, tmp_path):
+    heads, lines = str(tmp_path / "heads"), str(tmp_path / "lines")
+    parents = spark.createDataFrame([(1,)], "id long")
+    children = spark.createDataFrame([(1, "x")], "order_id long, what string")
+    write_parent_and_child(parents, children, heads, lines, 7)
+    broken = children.withColumn("what", F.raise_error(F.lit("lost")).cast("string"))
+    with pytest.raises(Exception, match="lost"):
+        write_parent_and_child(parents, broken, heads, lines, 7)
+    assert read_batches(spark, heads, "id long").collect() == []
+    write_parent_and_child(parents, children, heads, lines, 7)
+    assert rows(read_children(spark, heads, lines, "order_id"), "order_id", "what") == [(1, "x")]
+
+
+def test_scratch_can_be_dropped(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(scratch, "shared_folder", lambda spark: str(tmp_path))
+    assert written(spark.range(3), "three").count() == 3
+    assert [p.name for p in tmp_path.iterdir()] == [f"cartlane-{spark.sparkContext.applicationId}"]
+    drop_scratch(spark)
+    assert list(tmp_path.iterdir()) == []
+
+
+class _Session:
+    """A session as far as the folder asks it."""
+
+    def __init__(self, setting, folder, master):
+        self.conf = SimpleNamespace(get=lambda key, default: setting if key == "spark.checkpoint.dir" else default)
+        self.sparkContext = SimpleNamespace(getCheckpointDir=lambda: folder, master=master)
+
+
+def test_the_shared_folder_is_the_setting():
+    assert scratch.shared_folder(_Session("hdfs://x/y/", "z", "yarn")) == "hdfs://x/y"
+    assert scratch.shared_folder(_Session(None, "z", "yarn")) == "z"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch.shared_folder(_Session(None, None, "yarn"))
+    assert scratch.shared_folder(_Session(None, None, "local[2]")) == scratch.shared_folder(_Session(None, None, "local[2]"))
+
+
 def test_assign_is_even_and_repeatable(spark):
     people = spark.range(4000).withColumnRenamed("id", "who")
     choices = spark.createDataFrame([(i * 10, f"c{i}") for i in range(8)], "id long, label string")
