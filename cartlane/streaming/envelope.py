@@ -14,7 +14,9 @@ from cartlane.functions.times import from_epoch_millis, to_epoch_millis
 from cartlane.schemas import Table
 
 DELETE = "d"
+OPERATIONS = ("r", "c", "u", DELETE)
 
+UNREADABLE, INCOMPLETE = "unreadable", "incomplete"
 
 
 def _kept(table: Table, columns: list[str] | None) -> list:
@@ -64,14 +66,29 @@ def _from_wire(column) -> Column:
     return value.cast(column.spark_type()).alias(column.name)
 
 
+def _records(raw: DataFrame, table: Table, columns: list[str] | None) -> DataFrame:
+    """``record`` and what is wrong with it: nothing, or one of the two reasons.
+
+    A record without a table cannot be read. One of this table has to have a key, a known
+    operation and a log position. Those of other tables are not looked at.
+    """
+    read = raw.withColumn("record", F.from_json("value", envelope_schema(table, columns)))
+    source = F.col("record.`source.table`")
+    key = F.coalesce(F.col("record.`after.id`"), F.col("record.`before.id`"))
+    whole = key.isNotNull() & F.col("record.`source.lsn`").isNotNull()
+    whole = whole & F.coalesce(F.col("record.op").isin(*OPERATIONS), F.lit(False))
+    reason = F.when(source.isNull(), UNREADABLE).when((source == table.name) & ~whole, INCOMPLETE)
+    return read.select("value", "record", reason.alias("reason"))
+
+
 def decode(raw: DataFrame, table: Table, columns: list[str] | None = None) -> DataFrame:
     """Typed changes of one table: ``id, op, lsn, deleted, changed_at`` and the row's columns.
 
     Works on a batch and on a stream. A delete brings its key only. The reader skips what
-    ``columns`` does not name.
+    ``columns`` does not name. ``rejects`` has the records that are left out.
     """
-    records = raw.select(F.from_json("value", envelope_schema(table, columns)).alias("record"))
-    mine = records.filter(F.col("record.`source.table`") == table.name)
+    records = _records(raw, table, columns)
+    mine = records.filter(F.col("reason").isNull() & (F.col("record.`source.table`") == table.name))
     return mine.select(
         F.coalesce(F.col("record.`after.id`"), F.col("record.`before.id`")).alias("id"),
         F.col("record.op").alias("op"),
@@ -82,6 +99,16 @@ def decode(raw: DataFrame, table: Table, columns: list[str] | None = None) -> Da
     )
 
 
+def rejects(raw: DataFrame, table: Table) -> DataFrame:
+    """``value, reason`` of the records that ``decode`` cannot take. Works on a stream as well."""
+    return _records(raw, table, []).filter(F.col("reason").isNotNull()).select("value", "reason")
+
+
+def reject_counts(raw: DataFrame, table: Table) -> DataFrame:
+    """``reason, records``: how many records were left out, and why."""
+    return rejects(raw, table).groupBy("reason").agg(F.count(F.lit(1)).alias("records"))
+
+
 def table_of(raw: DataFrame) -> DataFrame:
     """Adds ``source_table`` to undecoded records, null where a record cannot be read."""
     source = F.from_json("value", T.StructType([T.StructField("source.table", T.StringType())]))

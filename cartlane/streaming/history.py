@@ -1,64 +1,52 @@
 """When an order had which status.
 
-A stream has two forms. ``write_status_log`` keeps every status record, and readers derive
-the history from the whole log, whatever order the records came in. ``write_status_changes``
-remembers the last status of each order and writes changes only; it needs each order's
-records to come in log order from trigger to trigger, as topics keyed by order give them.
+A stream keeps every status record, and readers derive the history from the whole log, whatever
+order the records came in and however they were split over triggers. A delete ends the last
+status; an order that comes back begins anew.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from cartlane.functions.times import as_of_column
 from cartlane.operators.upserts import first_per_key
-from cartlane.plans.ordered import HOT_ROWS, LOOK, Large, find_large, neighbour
-from cartlane.sources.sinks import read_batches, write_batch
+from cartlane.plans.keys import with_surrogate_key
+from cartlane.plans.ordered import RANGE, neighbour, ranged
+from cartlane.sources.sinks import BATCH, read_batches, write_batch
 
 STATUS = "order_status_id"
 
-_CHANGE = "id long, order_status_id long, since timestamp_ntz, lsn long"
-_STATE = "order_status_id long, lsn long"
-
-
-def _statuses(changes: DataFrame) -> DataFrame:
-    return changes.filter("NOT deleted").select("id", STATUS, F.col("changed_at").alias("since"), "lsn")
+# Records of the same log position are repeats; the rest only makes the order total.
+_ORDER = ["lsn", "since", "deleted", STATUS]
+_LOG = "id long, deleted boolean, order_status_id long, changed_at timestamp_ntz, lsn long"
 
 
-def _changed(rows: DataFrame, large: Large | None) -> DataFrame:
-    before = neighbour(rows, ["id"], ["lsn"], [STATUS], "__before", large=large)
-    same = F.col(f"__before.{STATUS}").eqNullSafe(F.col(STATUS)) & F.col("__before").isNotNull()
-    return before.filter(~same).drop("__before")
+def _runs(changes: DataFrame) -> DataFrame:
+    """The records, deletes included, that differ from the one before of their order."""
+    rows = changes.select("id", STATUS, "deleted", F.col("changed_at").alias("since"), "lsn")
+    before = neighbour(ranged(rows, ["id"], _ORDER), ["id"], _ORDER, [STATUS, "deleted"], "__before")
+    same = F.col(f"__before.{STATUS}").eqNullSafe(F.col(STATUS)) & (F.col("__before.deleted") == F.col("deleted"))
+    return before.filter(F.col("__before").isNull() | ~same).drop("__before")
 
 
-def status_changes(changes: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def status_changes(changes: DataFrame) -> DataFrame:
     """The changes after which an order's status differs from before.
 
     Repeated records follow their twin in the log and so change nothing.
     """
-    rows = _statuses(changes)
-    return _changed(rows, find_large(rows, ["id"], hot_rows))
-
-
-def with_end(history: DataFrame, hot_rows: int = HOT_ROWS, large=LOOK) -> DataFrame:
-    """Adds ``until``, the start of the order's next status; null for the present one."""
-    after = neighbour(history, ["id"], ["lsn"], ["since"], "__after", following=True, hot_rows=hot_rows, large=large)
-    return after.withColumn("until", F.col("__after.since")).drop("__after")
+    return _runs(changes).filter("NOT deleted").drop("deleted", RANGE)
 
 
-def status_history(changes: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def status_history(changes: DataFrame) -> DataFrame:
     """``id, order_status_id, since, lsn, until`` from a batch of changes.
 
-    Without large groups both looks, back and ahead, share one shuffle and one sort.
+    ``until`` is when the next status or a delete came, null for the present status.
     """
-    rows = _statuses(changes)
-    large = find_large(rows, ["id"], hot_rows)
-    return with_end(_changed(rows, large), large=large)
+    after = neighbour(_runs(changes), ["id"], _ORDER, ["since"], "__after", following=True)
+    return after.filter("NOT deleted").withColumn("until", F.col("__after.since")).drop("__after", "deleted", RANGE)
 
 
 def first_visits(history: DataFrame) -> DataFrame:
@@ -66,23 +54,20 @@ def first_visits(history: DataFrame) -> DataFrame:
     return first_per_key(history, ["id", STATUS], ["lsn"])
 
 
-def _new_statuses(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """The rows of one order in one trigger whose status differs from the one before."""
-    rows = pd.concat(list(chunks)).sort_values("lsn").drop_duplicates("lsn")
-    status = rows[STATUS]
-    if state.exists:
-        known, position = state.get
-        rows = rows[rows["lsn"] > position]
-        status = rows[STATUS]
-        before = status.shift().where(status.index != status.index[0], known) if len(rows) else status
-        fresh = rows[status != before]
-    else:
-        fresh = rows[status != status.shift()]
-    if len(rows):
-        last = rows.iloc[-1]
-        state.update((int(last[STATUS]), int(last["lsn"])))
-    if len(fresh):
-        yield pd.DataFrame({"id": key[0], STATUS: fresh[STATUS], "since": fresh["since"], "lsn": fresh["lsn"]})
+def history_rows(history: DataFrame, staff: DataFrame, as_of, existing: DataFrame | None = None, start=None) -> DataFrame:
+    """First visits as rows of the history table; ``staff`` has ``order_id, staff_id``.
+
+    An order without staff has no row, as the table wants one.
+    """
+    visits = first_visits(history).withColumnRenamed("id", "order_id").join(staff, "order_id")
+    rows = visits.select(
+        "order_id",
+        STATUS,
+        "staff_id",
+        F.lit(None).cast("string").alias("comments"),
+        as_of_column(as_of).alias("created_at"),
+    )
+    return with_surrogate_key(rows, ["order_id", STATUS], "id", existing, start)
 
 
 def write_status_log(changes: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
@@ -96,28 +81,6 @@ def write_status_log(changes: DataFrame, path: str, checkpoint: str) -> Streamin
     )
 
 
-def read_history(spark: SparkSession, path: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def read_history(spark: SparkSession, path: str) -> DataFrame:
     """``status_history`` of what ``write_status_log`` wrote."""
-    return status_history(read_batches(spark, path), hot_rows)
-
-
-def status_change_stream(changes: DataFrame) -> DataFrame:
-    """``status_changes`` of a stream; the last status of each order is kept as state.
-
-    A trigger's bound on records bounds what one order can bring at a time.
-    """
-    return _statuses(changes).groupBy("id").applyInPandasWithState(
-        _new_statuses, _CHANGE, _STATE, "append", GroupStateTimeout.NoTimeout
-    )
-
-
-def write_status_changes(changes: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Runs the stream over what is there and adds the new statuses of each trigger."""
-    return (
-        status_change_stream(changes)
-        .writeStream.outputMode("append")
-        .option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda batch, batch_id: write_batch(batch, path, batch_id))
-        .trigger(availableNow=True)
-        .start()
-    )
+    return status_history(read_batches(spark, path, _LOG).drop(BATCH))

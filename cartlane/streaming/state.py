@@ -3,7 +3,8 @@
 The change with the highest log position of a key counts, so repeats and records out of
 order do no harm. A stream needs no state of its own for this: each trigger is reduced to
 the last change per key and added to the table of changes, and readers take the last change
-of each key there.
+of each key there. Every few triggers the changes so far are reduced to one row per key, so
+what is read stays as large as the state.
 """
 
 from __future__ import annotations
@@ -12,8 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from cartlane.plans.scratch import children, exists, remove
 from cartlane.sources.sinks import BATCH, read_batches, write_batch
 
+#: Triggers between two reductions.
+EVERY = 16
+
+_UPTO = "upto"
+
 
 def latest_changes(changes: DataFrame) -> DataFrame:
     """The last change of each key, deletes included. Partial results go into the shuffle."""
@@ -26,35 +33,81 @@ def current_state(changes: DataFrame) -> DataFrame:
     return latest_changes(changes).filter("NOT deleted")
 
 
-def drop_repeats(changes: DataFrame, within: str = "1 hour") -> DataFrame:
-    """A stream of changes of one table without the records that came before, looking back
-    ``within`` in the changes' own time."""
-    timed = changes.withColumn("__at", F.col("changed_at").cast("timestamp"))
-    return timed.withWatermark("__at", within).dropDuplicatesWithinWatermark(["id", "lsn"]).drop("__at")
+def without_repeats(changes: DataFrame, key: tuple[str, ...] = ("id", "lsn")) -> DataFrame:
+    """One record of each key and log position, however often and however late it came.
 
+    For a feed of several tables the key begins with the table. Taken from the written log, so
+    nothing is forgotten and no record that comes late is lost.
+    """
+    rest = [c for c in changes.columns if c not in key]
+    first = F.min(F.struct(*rest)).alias("first")
+    return changes.groupBy(*key).agg(first).select(*[c if c in key else F.col(f"first.{c}") for c in changes.columns])
 
-def write_state(changes: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+
+def write_changes(changes: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Runs the stream over what is there and adds all its records to the log. No shuffle, no state."""
+    return (
+        changes.writeStream.option("checkpointLocation", checkpoint)
+        .foreachBatch(lambda batch, batch_id: write_batch(batch, path, batch_id))
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def write_state(changes: DataFrame, path: str, checkpoint: str, every: int = EVERY) -> StreamingQuery:
     """Runs the stream over what is there: each trigger adds the keys that changed.
 
     A trigger that is run again after a failure replaces its own folder.
     """
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        write_batch(latest_changes(batch), f"{path}/changes", batch_id)
+        if (batch_id + 1) % every == 0:
+            compact_state(batch.sparkSession, path, batch_id)
+
     return (
         changes.writeStream.option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda batch, batch_id: write_batch(latest_changes(batch), path, batch_id))
+        .foreachBatch(add)
         .trigger(availableNow=True)
         .start()
     )
 
 
+def _compacted(spark: SparkSession, path: str) -> list[int]:
+    """The triggers up to which there is a finished reduction, in order."""
+    names = [n for n in children(spark, f"{path}/compacted") if n.startswith(f"{_UPTO}=")]
+    return sorted(int(n.split("=")[1]) for n in names if exists(spark, f"{path}/compacted/{n}/_SUCCESS"))
+
+
+def _log(spark: SparkSession, path: str) -> DataFrame:
+    """The last reduction and the changes of the triggers after it."""
+    done = _compacted(spark, path)
+    changes = read_batches(spark, f"{path}/changes")
+    if not done:
+        return changes.drop(BATCH)
+    reduced = spark.read.parquet(f"{path}/compacted/{_UPTO}={done[-1]}")
+    return reduced.unionByName(changes.filter(F.col(BATCH) > done[-1]).drop(BATCH))
+
+
 def read_state(spark: SparkSession, path: str) -> DataFrame:
     """The current rows from what ``write_state`` wrote."""
-    return current_state(read_batches(spark, path).drop(BATCH))
+    return current_state(_log(spark, path))
 
 
-def compact_state(spark: SparkSession, path: str, target: str) -> None:
-    """Writes the last change of each key to a new place, to be read and written instead of
-    the old one; the stream's batch ids go on from there.
+def compact_state(spark: SparkSession, path: str, upto: int) -> None:
+    """Reduces the changes up to and including trigger ``upto`` to the last one of each key.
 
-    Deletes stay in it, since a record out of order may still come.
+    Deletes stay in it, since a record out of order may still come. The reduction before stays
+    for readers that have begun with it, and so do the changes after that; what is older goes.
     """
-    write_batch(latest_changes(read_batches(spark, path).drop(BATCH)), target, 0)
+    done = _compacted(spark, path)
+    if done and done[-1] >= upto:
+        return
+    latest_changes(_log(spark, path)).write.mode("overwrite").parquet(f"{path}/compacted/{_UPTO}={upto}")
+    if not done:
+        return
+    for old in done[:-1]:
+        remove(spark, f"{path}/compacted/{_UPTO}={old}")
+    for name in children(spark, f"{path}/changes"):
+        if name.startswith(f"{BATCH}=") and int(name.split("=")[1]) <= done[-1]:
+            remove(spark, f"{path}/changes/{name}")

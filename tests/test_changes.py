@@ -107,12 +107,11 @@ def test_stream_state_equals_batch_state(spark, tmp_path, files):
 
 def test_stream_goes_on_after_a_restart(spark, tmp_path):
     folder = write_files(tmp_path / "in", FEED[:4], 2)
-    out, log, seen = str(tmp_path / "out"), str(tmp_path / "log"), str(tmp_path / "seen")
+    out, log = str(tmp_path / "out"), str(tmp_path / "log")
 
     def run():
         changes = decoded(feed.feed_file_stream(spark, folder, max_files=1))
-        state.write_state(changes, out, log).awaitTermination()
-        history.write_status_changes(changes, seen, log + "-history").awaitTermination()
+        state.write_state(changes, out, log, every=2).awaitTermination()
 
     run()
     assert shown(state.read_state(spark, out)) == [(1, 2, "10.50"), (2, 1, "20.00"), (3, 1, "30.00")]
@@ -120,14 +119,23 @@ def test_stream_goes_on_after_a_restart(spark, tmp_path):
     run()
     run()
     assert shown(state.read_state(spark, out)) == STATE
-    assert rows(read_batches(spark, seen), "id", "order_status_id", "lsn") == VISITS
-    small = str(tmp_path / "small")
-    state.compact_state(spark, out, small)
-    assert shown(state.read_state(spark, small)) == STATE
     (tmp_path / "in" / "901.json").write_text(record(11, 2, "c", 5, "2.00") + "\n" + FEED[0] + "\n")
+    run()
+    assert shown(state.read_state(spark, out)) == [STATE[0], (2, 5, "2.00"), STATE[1]]
+
+
+def test_compacted_state_stays_small_and_begins_no_trigger_anew(spark, tmp_path):
+    """Also with a new checkpoint, whose triggers begin at 0 again."""
+    lines = [record(n, n % 3, "u", n, "1.00") for n in range(1, 25)]
+    folder = write_files(tmp_path / "in", lines, 12)
+    out = str(tmp_path / "out")
     changes = decoded(feed.feed_file_stream(spark, folder, max_files=1))
-    state.write_state(changes, small, log).awaitTermination()
-    assert shown(state.read_state(spark, small)) == [STATE[0], (2, 5, "2.00"), STATE[1]]
+    state.write_state(changes, out, str(tmp_path / "log"), every=3).awaitTermination()
+    assert [(k, s) for k, s, _ in shown(state.read_state(spark, out))] == [(0, 24), (1, 22), (2, 23)]
+    assert len(list((tmp_path / "out" / "changes").glob("batch_id=*"))) <= 2 * 3
+    assert len(list((tmp_path / "out" / "compacted").glob("upto=*"))) <= 2
+    state.compact_state(spark, out, 11)
+    assert len(shown(state.read_state(spark, out))) == 3
 
 
 def test_history_of_a_batch(spark):
@@ -135,26 +143,33 @@ def test_history_of_a_batch(spark):
     assert rows(got, "id", "order_status_id", "lsn") == VISITS
     spans = {(r["id"], r["order_status_id"]): (r["since"], r["until"]) for r in got.collect()}
     assert spans[(1, 1)][1] == spans[(1, 2)][0] and spans[(1, 2)][1] is None
+    # Order 2 was deleted by the record at 5.
+    assert str(spans[(2, 1)][1]) == "2024-03-01 00:00:05"
 
 
-@pytest.mark.parametrize("files", [1, 3])
-def test_history_of_a_stream(spark, tmp_path, files):
-    in_order = sorted(FEED, key=lambda line: json.loads(line)["source.lsn"])
-    folder = write_files(tmp_path / "in", in_order, files)
-    changes = decoded(feed.feed_file_stream(spark, folder, max_files=1))
-    history.write_status_changes(changes, str(tmp_path / "out"), str(tmp_path / "log")).awaitTermination()
-    assert rows(read_batches(spark, str(tmp_path / "out")), "id", "order_status_id", "lsn") == VISITS
+def test_history_of_deletes_returns_and_null_statuses(spark):
+    lines = [record(1, 1, "c", 1), record(2, 1, "d"), record(3, 1, "d"), record(4, 1, "c", 1), record(5, 1, "u", None)]
+    lines += [record(6, 1, "u", None), record(7, 1, "u", 1), record(8, 2, "d"), record(9, 2, "c", 3)]
+    got = rows(history.status_history(decoded(as_frame(spark, lines))), "id", "lsn", "order_status_id", "until")
+    ends = {(k, n): (s, until and until.second) for k, n, s, until in got}
+    assert ends == {(1, 1): (1, 2), (1, 4): (1, 5), (1, 5): (None, 7), (1, 7): (1, None), (2, 9): (3, None)}
 
 
-def test_status_log_does_not_mind_the_order_of_files(spark, tmp_path):
-    folder = write_files(tmp_path / "in", list(reversed(FEED)), 5)
-    changes = decoded(feed.feed_file_stream(spark, folder, max_files=1))
+@pytest.mark.parametrize("max_files", [1, 2, 1000])
+@pytest.mark.parametrize("seed", [None, 1, 2])
+def test_history_does_not_depend_on_triggers_or_order(spark, tmp_path, max_files, seed):
+    lines = list(reversed(FEED)) if seed is None else random.Random(seed).sample(FEED, len(FEED))
+    folder = write_files(tmp_path / "in", lines, 5)
+    changes = decoded(feed.feed_file_stream(spark, folder, max_files=max_files))
     history.write_status_log(changes, str(tmp_path / "out"), str(tmp_path / "log")).awaitTermination()
     assert rows(history.read_history(spark, str(tmp_path / "out")), "id", "order_status_id", "lsn") == VISITS
 
 
-@pytest.mark.parametrize("hot_rows", [1_000_000, 30, 3])
-def test_history_when_one_order_has_most_changes(spark, hot_rows):
+def test_history_of_nothing(spark, tmp_path):
+    assert history.read_history(spark, str(tmp_path / "nothing")).collect() == []
+
+
+def test_history_when_one_order_has_most_changes(spark):
     rng = random.Random(3)
     lines = [record(n, 1 if rng.random() < 0.6 else rng.randint(2, 30), "u", rng.randint(1, 3), "1.00") for n in range(400)]
     raw = decoded(as_frame(spark, lines + lines[50:90]).repartition(6)).cache()
@@ -164,7 +179,7 @@ def test_history_when_one_order_has_most_changes(spark, hot_rows):
         if last.get(r["after.id"]) != r["after.order_status_id"]:
             last[r["after.id"]] = r["after.order_status_id"]
             want.append((r["after.id"], r["after.order_status_id"], r["source.lsn"]))
-    got = history.status_history(raw, hot_rows)
+    got = history.status_history(raw)
     assert sorted(rows(got, "id", "order_status_id", "lsn")) == sorted(want)
     per_order = {}
     for r in sorted(got.collect(), key=lambda r: r["lsn"]):
@@ -172,16 +187,27 @@ def test_history_when_one_order_has_most_changes(spark, hot_rows):
             assert per_order[r["id"]] == r["since"]
         per_order[r["id"]] = r["until"]
     assert set(per_order.values()) == {None}
-    visits = history.first_visits(history.status_changes(raw, hot_rows))
+    visits = history.first_visits(history.status_changes(raw))
     assert len(rows(visits)) == len({(k, s) for k, s, _ in want})
 
 
-def test_repeats_are_dropped_in_a_stream(spark, tmp_path):
-    folder = write_files(tmp_path / "in", FEED, 3)
-    changes = state.drop_repeats(decoded(feed.feed_file_stream(spark, folder, max_files=1)))
-    query = changes.writeStream.format("memory").queryName("once").option("checkpointLocation", str(tmp_path / "log")).trigger(availableNow=True).start()
-    query.awaitTermination()
-    assert sorted(r["lsn"] for r in spark.table("once").collect()) == [1, 2, 3, 4, 5, 6, 7]
+@pytest.mark.parametrize("max_files", [1, 1000])
+def test_repeats_go_and_late_records_stay(spark, tmp_path, max_files):
+    hours = [record(n, 1, "u", n, "1.00") for n in (1, 5_000, 20_000, 3, 20_000, 1)]
+    folder = write_files(tmp_path / "in", hours, 6)
+    changes = decoded(feed.feed_file_stream(spark, folder, max_files=max_files))
+    state.write_changes(changes, str(tmp_path / "out"), str(tmp_path / "log")).awaitTermination()
+    once = state.without_repeats(read_batches(spark, str(tmp_path / "out")).drop("batch_id"))
+    assert sorted(r["lsn"] for r in once.collect()) == [1, 3, 5_000, 20_000]
+
+
+def test_records_that_cannot_be_taken_are_counted(spark):
+    odd = ["not json", "", '{"op": "u"}', record(30, 1, "z", 1), record(30, 1, "u", 1).replace('"source.lsn": 30', '"source.lsn": null'), record(31, None, "u", 1), '{"after.id": 1']
+    raw = as_frame(spark, FEED + odd)
+    assert decoded(raw).count() == 9
+    got = {r["reason"]: r["records"] for r in envelope.reject_counts(raw, ORDERS).collect()}
+    assert got == {"unreadable": 4, "incomplete": 3}
+    assert {r["value"] for r in envelope.rejects(raw, ORDERS).collect()} == set(odd)
 
 
 def test_routing_by_table(spark, tmp_path):
