@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cartlane.functions.draws import draw_decimal, draw_int
+from cartlane.functions.times import as_of_column
 from cartlane.modes import REFERENCE, STRICT, check_mode
 from cartlane.operators.slugs import unique_slugs
 from cartlane.operators.upserts import insert_new
 from cartlane.plans.assign import assign
+from cartlane.plans.keys import with_surrogate_key
 from cartlane.plans.scratch import written
 
 # Names of parent categories, tags per product, ranges of product values.
@@ -49,6 +53,7 @@ def category_levels(categories: DataFrame) -> DataFrame:
     steps = F.when(F.col("category_id").isNull(), F.lit(0)).otherwise(F.lit(1))
     state = categories.select("id", up.alias("up"), steps.alias("steps"), F.col("category_id").isNull().alias("at_root"))
     state = written(state, "levels")
+    settled = [state.filter("at_root")]
     open_rows = state.filter("NOT at_root").count()
     rows = state.count()
     while open_rows:
@@ -68,8 +73,11 @@ def category_levels(categories: DataFrame) -> DataFrame:
                 F.coalesce("at_root2", F.lit(True)).alias("at_root"),
             )
         )
-        state = written(state.filter("at_root").unionByName(moved), "levels")
-        left = state.filter("NOT at_root")
+        # Only open rows are written again; those at their root stay where they are.
+        moved = written(moved, "levels")
+        settled.append(moved.filter("at_root"))
+        state = reduce(DataFrame.unionByName, settled).unionByName(moved.filter("NOT at_root"))
+        left = moved.filter("NOT at_root")
         # A row that looks at itself, or as far as there are rows, goes round in a circle.
         if not left.filter((F.col("up") == F.col("id")) | (F.col("steps") > F.lit(rows))).isEmpty():
             raise ValueError("the categories form a cycle")
@@ -92,6 +100,14 @@ def draw_product_values(
     )
 
 
+def stored_tags(
+    pairs: DataFrame, order: str, as_of, existing_rows: DataFrame | None = None, start=None
+) -> DataFrame:
+    """Pairs to insert as rows of the product_tag table."""
+    rows = pairs.select(order, "product_id", "tag_id", as_of_column(as_of).alias("created_at"))
+    return with_surrogate_key(rows, [order], "id", existing_rows, start).drop(order)
+
+
 def draw_tags(requests: DataFrame, request_key: str, products: DataFrame, tags: DataFrame, seed: str) -> DataFrame:
     """A drawn product and tag for each request: candidates for ``associate_tags``."""
     with_product = assign(requests, [request_key], products, ["id"], {"id": "product_id"}, f"{seed}-product")

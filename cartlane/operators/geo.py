@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cartlane.functions.draws import draw_choice
 from cartlane.functions.text import joined
+from cartlane.functions.times import as_of_column
 from cartlane.operators.upserts import insert_new
 from cartlane.operators.users import users_without
 from cartlane.plans.assign import assign
@@ -47,6 +48,27 @@ def new_cities(
     return with_surrogate_key(rows, ["city_name", "province_id"], "id", existing)
 
 
+def given_addresses(
+    users: DataFrame, addresses: DataFrame, cities: DataFrame, as_of, existing: DataFrame | None = None, start=None
+) -> DataFrame:
+    """An address row, as stored, for each user that has none, in the city the user gives.
+
+    ``users`` brings ``city_id``, ``title`` and the two parts of the text; the province is the
+    city's. A user without a known city gets no address.
+    """
+    waiting = users_without(users, addresses).select(F.col("id").alias("user_id"), "city_id", "title", "street", "unit")
+    located = waiting.join(cities.select(F.col("id").alias("city_id"), "province_id"), "city_id")
+    rows = located.select(
+        "title",
+        "user_id",
+        "province_id",
+        "city_id",
+        joined(F.col("street"), F.col("unit")).alias("full_address"),
+        as_of_column(as_of).alias("created_at"),
+    )
+    return with_surrogate_key(rows, ["user_id"], "id", existing, start)
+
+
 def attach_addresses(users: DataFrame, addresses: DataFrame, cities: DataFrame, seed: str) -> DataFrame:
     """An address in a drawn city for each user that has none.
 

@@ -19,7 +19,7 @@ from cartlane.plans.keys import with_surrogate_key
 from cartlane.plans.samples import baskets
 from cartlane.plans.scratch import written
 from cartlane.schemas import ROLE_CUSTOMER, ROLE_STAFF, STATUS_PENDING
-from cartlane.sources.sinks import read_batch, write_batch
+from cartlane.sources.sinks import batch_start, read_batch, withdraw, write_batch
 
 # Unit cost as a share of the price, and 4 of 11 orders with a discount.
 COST_SHARE = ("0.5", "0.9")
@@ -97,6 +97,20 @@ def apply_discounts(
     return drawn.withColumn("discount_amount", amount).drop("__type", "__value")
 
 
+def given_discounts(orders: DataFrame, discounts: DataFrame, as_of, mode: str = REFERENCE) -> DataFrame:
+    """Adds ``discount_amount`` (not yet rounded) to rows with ``order_amount`` and ``discount_id``.
+
+    A discount that is not valid at ``as_of``, or unknown, counts as none; validity as in
+    ``apply_discounts``.
+    """
+    valid = active_at(discounts, as_of, window=check_mode(mode) == STRICT)
+    terms = valid.select(F.col("id").alias("discount_id"), F.col("type").alias("__type"), F.col("value").alias("__value"))
+    amount = discount_amount(F.col("__type"), F.col("__value"), F.col("order_amount"), mode)
+    kept = F.when(F.col("__type").isNotNull(), F.col("discount_id"))
+    found = orders.join(terms, "discount_id", "left").withColumns({"discount_amount": amount, "discount_id": kept})
+    return found.drop("__type", "__value")
+
+
 def stored_amounts(orders: DataFrame) -> DataFrame:
     """Adds ``total_amount`` and rounds all four amounts as the table stores them."""
     total = F.col("order_amount") + F.col("tax_amount") - F.col("discount_amount")
@@ -109,6 +123,43 @@ def first_addresses(addresses: DataFrame) -> DataFrame:
     return addresses.groupBy("user_id").agg(F.min("id").alias("address_id"))
 
 
+def lines_from_picks(basket: DataFrame, products: DataFrame, mode: str = REFERENCE) -> DataFrame:
+    """Order lines for given picks: ``order_id, line_number, product_id`` and, if given, ``quantity``.
+
+    Without a quantity the line takes the rule's share of the stock; without a ``unit_cost`` it has
+    the table's default. One shuffle of the lines, to their products.
+    """
+    goods = products.select(F.col("id").alias("product_id"), "product_price", "product_tax", "product_quantity")
+    by_rule = line_quantity(F.col("product_quantity"))
+    quantity = F.coalesce(F.col("quantity").cast("int"), by_rule) if "quantity" in basket.columns else by_rule
+    cost = F.coalesce("unit_cost", F.lit(0)) if "unit_cost" in basket.columns else F.lit(0)
+    priced = basket.join(goods, "product_id").withColumn("quantity", quantity)
+    return priced.select(
+        "order_id",
+        "line_number",
+        "product_id",
+        "quantity",
+        "product_price",
+        "product_tax",
+        money(line_subtotal(F.col("product_price"), F.col("product_tax"), F.col("quantity"), mode)).alias("subtotal_amount"),
+        money(cost).alias("unit_cost"),
+    )
+
+
+def orders_from_picks(
+    picks: DataFrame, lines: DataFrame, discounts: DataFrame, statuses: DataFrame, as_of, mode: str = REFERENCE
+) -> DataFrame:
+    """Order rows for given picks: ``id``, user, staff, address, methods and ``discount_id`` of each order.
+
+    An order without lines is an order over nothing. The lines are shuffled once more, to be
+    summed; the picks meet the sums and the discounts. Nothing runs while it is built.
+    """
+    sums = sum_lines(lines, "order_id", mode).withColumnRenamed("order_id", "id")
+    nothing = F.lit(0).cast("decimal(15,2)")
+    whole = picks.join(sums, "id", "left").withColumns({c: F.coalesce(c, nothing) for c in ("order_amount", "tax_amount")})
+    return _stored_orders(given_discounts(whole, discounts, as_of, mode), statuses, as_of)
+
+
 def order_headers(
     requests: DataFrame,
     request_key: str,
@@ -121,6 +172,7 @@ def order_headers(
     shipping_methods: DataFrame,
     seed: str,
     existing_orders: DataFrame | None = None,
+    start: int | None = None,
 ) -> DataFrame:
     """The id, customer, address, staff and methods of each requested order, written once:
     one narrow row per order, needed for the lines and again for the orders."""
@@ -138,7 +190,7 @@ def order_headers(
         columns = {"id": column, "address_id": "address_id"} if column == "user_id" else {"id": column}
         header = assign(header, request, choices, ["id"], columns, f"{seed}-{column}")
     header = header.filter("staff_id IS NOT NULL AND address_id IS NOT NULL")
-    return written(with_surrogate_key(header, request, "id", existing_orders, dense=False), "headers")
+    return written(with_surrogate_key(header, request, "id", existing_orders, start), "headers")
 
 
 def order_lines(
@@ -174,11 +226,16 @@ def orders_from_lines(
     """The order rows: headers with the sums of their lines, a discount and a total."""
     sums = sum_lines(lines, "order_id", mode).withColumnRenamed("order_id", "id")
     priced = apply_discounts(headers.join(sums, "id"), [request_key], discounts, as_of, f"{seed}-discount", mode)
+    return _stored_orders(priced, statuses, as_of, request_key)
+
+
+def _stored_orders(priced: DataFrame, statuses: DataFrame, as_of, *keys: str) -> DataFrame:
+    """Rows of the orders table, pending, with their amounts as stored."""
     pending = statuses.filter(F.col("order_status_name") == STATUS_PENDING).select("id").scalar()
     now = as_of_column(as_of)
     return stored_amounts(priced).select(
         "id",
-        request_key,
+        *keys,
         "user_id",
         "staff_id",
         "address_id",
@@ -238,8 +295,12 @@ def save_orders(
     **people,
 ) -> None:
     """Assembles and writes a batch of orders. The lines are made once: the orders are summed
-    from the lines as written, and a batch counts once its orders are there."""
+    from the lines as written, and a batch counts once its orders are there. Run again, it replaces
+    itself with the same keys."""
+    if people.get("existing_orders") is not None:
+        people["start"] = batch_start(people["existing_orders"], order_path, batch_id)
     headers = order_headers(requests, request_key, seed=seed, **people)
+    withdraw(requests.sparkSession, order_path, batch_id)
     write_batch(order_lines(headers, request_key, products, seed, mode), line_path, batch_id)
     lines = read_batch(requests.sparkSession, line_path, batch_id)
     orders = orders_from_lines(headers, request_key, lines, discounts, statuses, as_of, seed, mode)
@@ -247,11 +308,18 @@ def save_orders(
 
 
 def change_status(
-    orders: DataFrame, changes: DataFrame, statuses: DataFrame, as_of=None, mode: str = REFERENCE
+    orders: DataFrame,
+    changes: DataFrame,
+    statuses: DataFrame,
+    as_of=None,
+    mode: str = REFERENCE,
+    sequence: str | None = None,
 ) -> DataFrame:
-    """The orders after ``changes`` (``id, order_status_name``, one per order).
+    """The orders after ``changes`` (``id, order_status_name``).
 
-    A name that ``statuses`` lacks changes nothing. Strict mode also sets ``updated_at``.
+    ``sequence`` is the column in whose order the changes came, the last one counts; without it a
+    second change of an order is an error. A name that ``statuses`` lacks changes nothing. Strict
+    mode also sets ``updated_at``.
     """
     names = statuses.select(F.col("id").alias("order_status_id"), "order_status_name")
     known = changes.join(names, "order_status_name")
@@ -261,4 +329,4 @@ def change_status(
             raise ValueError("strict mode needs as_of")
         known = known.withColumn("updated_at", as_of_column(as_of))
         columns.append("updated_at")
-    return update_by_key(orders, known, "id", columns)
+    return update_by_key(orders, known, "id", columns, [sequence] if sequence else None)

@@ -55,13 +55,16 @@ def update_by_key(
 ) -> DataFrame:
     """The target with ``columns`` replaced where ``updates`` has its key.
 
-    With ``order`` the last of several updates of a key counts; without it the keys of
-    ``updates`` must be unique.
+    With ``order``, which has to be total, the last of several updates of a key counts. Without it
+    a key that is updated twice is an error.
     """
-    if order is not None:
-        last = [F.col(c).desc() for c in order]
-        group = W.partitionBy(key).orderBy(*last)
-        updates = updates.withColumn(_RANK, F.row_number().over(group)).filter(F.col(_RANK) == 1)
-    new = updates.select(key, F.struct(*columns).alias("__new"))
+    updates = updates.filter(F.col(key).isNotNull())
+    new = F.struct(*columns)
+    if order is None:
+        twice = F.raise_error(F.concat(F.lit(f"{key} is updated twice: "), F.col(key).cast("string")))
+        found = updates.groupBy(key).agg(F.count(F.lit(1)).alias("__n"), F.first(new).alias("__new"))
+        last = found.select(key, F.when(F.col("__n") > 1, twice.cast(found.schema["__new"].dataType)).otherwise(F.col("__new")).alias("__new"))
+    else:
+        last = updates.groupBy(key).agg(F.max_by(new, F.struct(*order)).alias("__new"))
     changed = {c: F.when(F.col("__new").isNotNull(), F.col(f"__new.{c}")).otherwise(F.col(c)) for c in columns}
-    return target.join(new, key, "left").withColumns(changed).select(*target.columns)
+    return target.join(last, key, "left").withColumns(changed).select(*target.columns)

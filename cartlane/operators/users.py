@@ -68,11 +68,14 @@ def assign_roles(users: DataFrame, role_user: DataFrame, roles: DataFrame, mode:
         for name, quota in reversed(ROLE_QUOTAS.items()):
             role = F.when(counts[name] < quota, F.lit(name)).otherwise(role)
         named = waiting.select("user_id", role.alias("role_name"))
-    return named.join(names, "role_name").select("user_id", "role_id", "role_name")
+    # A role that the table lacks is an error, not a reason to lose its users.
+    missing = F.raise_error(F.concat(F.lit("there is no role "), F.col("role_name"))).cast("bigint")
+    found = named.join(names, "role_name", "left")
+    return found.select("user_id", F.coalesce("role_id", missing).alias("role_id"), "role_name")
 
 
 def ready_gate(addresses: DataFrame, role_user: DataFrame, roles: DataFrame) -> DataFrame:
-    """One row: is there a customer with an address? Stops at the first one found."""
+    """One row: is there a customer with an address?"""
     role = roles.filter(F.col("role_name") == ROLE_CUSTOMER).select(F.col("id").alias("role_id"))
     holders = role_user.join(role, "role_id", "left_semi").select("user_id")
     found = addresses.join(holders, "user_id", "left_semi").limit(1)

@@ -42,6 +42,28 @@ def test_update_by_key(spark):
     assert rows(upserts.update_by_key(target, updates, "id", ["a"], ["at"])) == [(1, "x", 1), (2, None, 2), (3, "z", 3)]
 
 
+def test_a_key_that_is_updated_twice(spark):
+    target = spark.createDataFrame([(1, "a"), (2, "b")], "id long, a string")
+    twice = spark.createDataFrame([(1, "x", 1), (1, "y", 2), (None, "z", 1), (None, "z", 2)], "id long, a string, at int")
+    with pytest.raises(Exception, match="id is updated twice: 1"):
+        upserts.update_by_key(target, twice, "id", ["a"]).collect()
+    assert rows(upserts.update_by_key(target, twice, "id", ["a"], ["at"])) == [(1, "y"), (2, "b")]
+
+
+def test_a_missing_role_is_an_error(spark):
+    people = spark.createDataFrame([(i,) for i in range(9)], "id long")
+    roles = spark.createDataFrame([(1, "admin"), (2, "staff"), (3, "manager")], "id long, role_name string")
+    none = spark.createDataFrame([], "role_id long, user_id long")
+    with pytest.raises(Exception, match="there is no role customer"):
+        users.assign_roles(people, none, roles, STRICT).collect()
+
+
+def test_reading_before_anything_was_written(spark, tmp_path):
+    got = read_batches(spark, str(tmp_path / "nothing"), "id long")
+    assert got.columns == ["id", "batch_id"] and got.collect() == []
+
+
+
 def test_assign_roles_strict_and_reference(spark):
     people, roles = spark.range(1, 13), seed_table(spark, "roles")
     none = spark.createDataFrame([], "role_id long, user_id long")

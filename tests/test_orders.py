@@ -228,3 +228,44 @@ def test_status_change(spark):
 def test_order_costs(spark):
     df = spark.createDataFrame([(1, D("1.25")), (1, D("2.50")), (2, D("3.00"))], "order_id long, unit_cost decimal(15,2)")
     assert rows(orders.order_costs(df)) == [(1, D("3.75")), (2, D("3.00"))]
+
+
+def test_orders_from_given_picks(spark):
+    products = spark.createDataFrame([(1, "10.00", "5.00", 40), (2, "3.00", "0.00", 0)], "id long, p string, t string, product_quantity int")
+    products = products.selectExpr("id", "CAST(p AS DECIMAL(15,2)) product_price", "CAST(t AS DECIMAL(4,2)) product_tax", "product_quantity")
+    basket = spark.createDataFrame([(7, 1, 1, None), (7, 2, 2, 3), (8, 1, 2, 1)], "order_id long, line_number int, product_id long, quantity int")
+    lines = orders.lines_from_picks(basket, products)
+    assert rows(lines, "order_id", "product_id", "quantity") == [(7, 1, 4), (7, 2, 3), (8, 2, 1)]
+    picks = spark.createDataFrame(
+        [(7, 1, 2, 3, 50, 1, 1), (8, 1, 2, 3, 51, 1, 1), (9, 1, 2, 3, None, 1, 1)],
+        "id long, user_id long, staff_id long, address_id long, discount_id long, payment_method_id long, shipping_method_id long",
+    )
+    terms = spark.sql("""SELECT * FROM VALUES (50L, 'percent', CAST(10 AS DECIMAL(15,2)), timestamp_ntz'2000-01-01', timestamp_ntz'2100-01-01'),
+        (51L, 'percent', CAST(10 AS DECIMAL(15,2)), timestamp_ntz'2000-01-01', timestamp_ntz'2001-01-01') AS t(id, type, value, started_at, expired_at)""")
+    statuses = spark.createDataFrame([(1, "Pending")], "id long, order_status_name string")
+    got = orders.orders_from_picks(picks, lines, terms, statuses, AS_OF, STRICT)
+    found = [(i, d, *map(str, amounts)) for i, d, *amounts in rows(got, "id", "discount_id", "order_amount", "tax_amount", "discount_amount", "total_amount")]
+    assert found == [(7, 50, "49.00", "2.00", "4.90", "46.10"), (8, None, "3.00", "0.00", "0.00", "3.00"), (9, None, "0.00", "0.00", "0.00", "0.00")]
+
+
+def test_no_job_runs_while_given_orders_are_planned(spark):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("plan", "plan")
+    try:
+        picks = spark.sql("SELECT 1L id, 1L user_id, 1L staff_id, 1L address_id, 1L discount_id, 1L payment_method_id, 1L shipping_method_id")
+        products = spark.sql("SELECT 1L id, CAST(1 AS DECIMAL(15,2)) product_price, CAST(1 AS DECIMAL(4,2)) product_tax, 5 product_quantity")
+        basket = spark.sql("SELECT 1L order_id, 1 line_number, 1L product_id")
+        terms = spark.sql("SELECT 1L id, 'percent' type, CAST(1 AS DECIMAL(15,2)) value, timestamp_ntz'2000-01-01' started_at, timestamp_ntz'2100-01-01' expired_at")
+        statuses = spark.sql("SELECT 1L id, 'Pending' order_status_name")
+        orders.orders_from_picks(picks, orders.lines_from_picks(basket, products), terms, statuses, AS_OF)
+        assert tracker.getJobIdsForGroup("plan") == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_status_asked_for_has_to_fit_the_payment(spark):
+    paid = spark.createDataFrame(
+        [(1, True, "Shipped", 1), (2, False, "Shipped", 2), (3, False, "Cancelled", 3), (4, None, "Pending", 4), (5, True, "Pending", 5)],
+        "order_id long, status boolean, next_status string, request_id long",
+    )
+    assert rows(payments.next_status(paid), "id", "order_status_name") == [(1, "Shipped"), (3, "Cancelled")]
