@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cartlane.functions.times import as_of_column, plus_days
 from cartlane.operators.promotions import with_campaign_window, with_discount_terms
 from cartlane.schemas import TABLES
 from cartlane.sources.tables import literal_rows, read_table, seed_table
@@ -109,6 +110,41 @@ class Model:
         ids = self.raw("supplier").select(F.col("s_suppkey").alias("id"))
         return with_discount_terms(ids, ["id"], self.campaigns(), AS_OF, f"{SEED}-terms")
 
+    def given_discounts(self) -> DataFrame:
+        """Suppliers as discounts: every other nation's are percentages."""
+        key, percent = F.col("s_suppkey"), F.col("s_nationkey") % 2 == 0
+        value = F.when(percent, F.col("s_nationkey") + 1).otherwise(F.abs("s_acctbal"))
+        return self.raw("supplier").select(
+            key.alias("id"),
+            F.when(percent, "percent").otherwise("amount").alias("type"),
+            value.cast("decimal(15,2)").alias("value"),
+            plus_days(as_of_column(AS_OF), -(key % 30)).alias("started_at"),
+            plus_days(as_of_column(AS_OF), key % 20 - 5).alias("expired_at"),
+        )
+
+    def picks(self) -> DataFrame:
+        """Orders as requests that say what they want; every third one names a discount."""
+        key, user = F.col("o_orderkey"), F.col("o_custkey")
+        return self.raw("orders").select(
+            key.alias("id"),
+            user.alias("user_id"),
+            (user % 7 + 1).alias("staff_id"),
+            key.alias("address_id"),
+            F.when(key % 3 == 0, user % 10).alias("discount_id"),
+            (key % 5 + 1).alias("payment_method_id"),
+            (user % 5 + 1).alias("shipping_method_id"),
+        )
+
+    def basket(self) -> DataFrame:
+        """Lines as picked products; returned ones leave the quantity to the rule."""
+        quantity = F.when(F.col("l_returnflag") != "R", F.col("l_quantity").cast("int"))
+        return self.raw("lineitem").select(
+            F.col("l_orderkey").alias("order_id"),
+            F.col("l_linenumber").alias("line_number"),
+            F.col("l_partkey").alias("product_id"),
+            quantity.alias("quantity"),
+        )
+
     def categories(self) -> DataFrame:
         """Parts as a tree in which part k hangs under part k/10."""
         key = F.col("p_partkey")

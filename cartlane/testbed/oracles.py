@@ -102,10 +102,23 @@ CHANGES = f"""select user_id as id, op, event_id as lsn, op = 'd' as deleted, da
         case when op <> 'd' then cast(value as decimal(15,2)) end as total_amount,
         case when op <> 'd' then date_trunc('millisecond', ts) end as updated_at
     from (select *, case event_type when 'signup' then 'c' when 'error' then 'd' else 'u' end as op from events)"""
-STATUS_CHANGES = f"""select id, order_status_id, changed_at as since, lsn from (
-        select *, lag(order_status_id) over (partition by id order by lsn) as before from ({CHANGES}) where not deleted)
-    where before is null or before <> order_status_id"""
-HISTORY = f"select *, lead(since) over (partition by id order by lsn) as until from ({STATUS_CHANGES})"
+
+
+def history(changes: str) -> str:
+    """A row where status or existence differs from the record before; deletes only end what was."""
+    return f"""select id, order_status_id, since, lsn, until from (
+        select *, lead(since) over (partition by id order by lsn) as until from (
+            select id, order_status_id, deleted, changed_at as since, lsn from (
+                select *, lag(order_status_id) over (partition by id order by lsn) as status_before,
+                    lag(deleted) over (partition by id order by lsn) as deleted_before from ({changes}))
+            where deleted_before is null or deleted_before <> deleted or status_before is distinct from order_status_id))
+    where not deleted"""
+
+
+HISTORY = history(CHANGES)
+STATUS_CHANGES = f"select id, order_status_id, since, lsn from ({HISTORY})"
+FIRST_VISITS = f"""select * from ({STATUS_CHANGES})
+        qualify row_number() over (partition by id, order_status_id order by lsn) = 1"""
 LATEST = f"select * from ({CHANGES}) qualify row_number() over (partition by id order by lsn desc) = 1"
 
 
@@ -171,7 +184,6 @@ def assembly(strict: bool) -> str:
         "shipping_method_id": FIVE,
     }.items():
         source = "select * from " + assign(source, "o_orderkey", choices, "id", {"id": column}, f"{SEED}-{column}")
-    bucket = f"{draw('number', 'o_orderkey')} % {BUCKETS}"
     items = f"""select id as product_id, product_price, product_tax, product_quantity from ({PRODUCTS})
         where product_quantity > 0"""
     subtotal = (
@@ -185,8 +197,7 @@ def assembly(strict: bool) -> str:
     header as (select h.*, a.address_id from ({source}) h
         join (select user_id, min(id) as address_id from ({ADDRESSES}) group by 1) a on a.user_id = h.user_id
         where staff_id is not null),
-    placed as (select *, (row_number() over (partition by {bucket} order by o_orderkey) - 1) * {BUCKETS} + {bucket}
-        + (select max(o_orderkey) + 1 from orders) as id from header),"""
+    placed as (select *, row_number() over (order by o_orderkey) + (select max(o_orderkey) from orders) as id from header),"""
     return f"""with recursive {placed}
     {baskets('select * from header', 'o_orderkey', items, 'product_id', f'{SEED}-basket')},
     priced as (select *, cast({quantity('product_quantity')} as int) as quantity from basket),
@@ -222,6 +233,38 @@ def role_bands(held: str, admins: int, managers: int, staff: int) -> str:
         from (select id, row_number() over (order by id) as rn from ({USERS}) where id not in ({held})))"""
 
 
+GIVEN_DISCOUNTS = f"""select s_suppkey as id, case when s_nationkey % 2 = 0 then 'percent' else 'amount' end as type,
+    cast(case when s_nationkey % 2 = 0 then s_nationkey + 1 else abs(s_acctbal) end as decimal(15,2)) as value,
+    {days(NOW, 's_suppkey % 30', '-')} as started_at, {days(NOW, 's_suppkey % 20 - 5')} as expired_at from supplier"""
+BASKET = f"""select l_orderkey as order_id, l_linenumber as line_number, l_partkey as product_id, product_price, product_tax,
+    cast(case when l_returnflag <> 'R' then cast(l_quantity as int) else {quantity('product_quantity')} end as int) as quantity
+    from lineitem join ({PRODUCTS}) p on p.id = l_partkey"""
+PAID = """select o_orderkey as order_id, o_orderkey as request_id, o_custkey % 4 <> 0 as status,
+        case when o_custkey % 8 = 0 then 'Cancelled' else 'Shipped' end as next_status from orders
+    union all select o_orderkey, o_orderkey + 100000000, false, 'Pending' from orders where o_orderpriority = '1-URGENT'"""
+
+
+def given_orders(strict: bool) -> str:
+    tax = f"{percent_of('product_price', 'product_tax')} * cast({'quantity' if strict else '1'} as decimal(10,0))"
+    started = f" and started_at <= {NOW}" if strict else ""
+    fixed = "least(value, order_amount)" if strict else "order_amount - value"
+    return f"""with sums as (select order_id, sum(product_price * cast(quantity as decimal(10,0))) as amount, sum({tax}) as tax
+            from ({BASKET}) group by 1),
+        whole as (select o_orderkey as id, o_custkey as user_id, o_custkey % 7 + 1 as staff_id, o_orderkey as address_id,
+                case when o_orderkey % 3 = 0 then o_custkey % 10 end as asked, o_orderkey % 5 + 1 as payment_method_id,
+                o_custkey % 5 + 1 as shipping_method_id, cast(coalesce(amount, 0) as decimal(15,2)) as order_amount,
+                coalesce(tax, 0) as tax from orders left join sums on order_id = o_orderkey),
+        given as (select w.*, d.id as discount_id, case when d.id is null then 0
+                when type = 'percent' then cast({percent_of('order_amount', 'value')} as decimal(38,6))
+                else cast({fixed} as decimal(38,6)) end as discount
+            from whole w left join (select * from ({GIVEN_DISCOUNTS}) where expired_at > {NOW}{started}) d on d.id = asked)
+        select id, user_id, staff_id, address_id, order_amount, {money('discount')} as discount_amount, {money('tax')} as tax_amount,
+            {money('order_amount + tax - discount')} as total_amount, discount_id, payment_method_id,
+            cast(null as bigint) as payment_status_id, cast(1 as bigint) as order_status_id, shipping_method_id,
+            cast(null as bigint) as shipping_status_id, cast(null as timestamp) as shipped_at, {NOW} as created_at, {NOW} as updated_at
+        from given"""
+
+
 SLUG = r"regexp_replace(lower(p_name), '\W+', '-', 'g')"
 OLD_SLUGS = f"""select {SLUG} || '-' || cast(p_size as varchar) as slug from part where p_type = 'SMALL'
     union select {SLUG} from part where p_type = 'ECONOMY' and p_size > 45"""
@@ -322,8 +365,27 @@ ORACLES: dict[str, str] = {
     "order_assembly": f"""{assembly(False)} select id, o_orderkey, user_id, staff_id, address_id, order_amount, discount_amount,
         tax_amount, total_amount, discount_id, payment_method_id, cast(1 as bigint) as order_status_id, shipping_method_id,
         {NOW} as created_at, {NOW} as updated_at from final""",
-    "order_assembly_strict": f"""{assembly(True)} select id, order_amount, discount_amount, tax_amount, total_amount, discount_id
-        from final""",
+    "order_assembly_strict": f"""{assembly(True)} select id, o_orderkey, user_id, staff_id, address_id, order_amount, discount_amount,
+        tax_amount, total_amount, discount_id, payment_method_id, cast(null as bigint) as payment_status_id,
+        cast(1 as bigint) as order_status_id, shipping_method_id, cast(null as bigint) as shipping_status_id,
+        cast(null as timestamp) as shipped_at, {NOW} as created_at, {NOW} as updated_at from final""",
+    "orders_given": given_orders(False),
+    "orders_given_strict": given_orders(True),
+    "order_lines_given": f"""select order_id, line_number, product_id, quantity, product_price, product_tax,
+        {money(f"{percent_of('product_price', 'product_tax')} * cast(quantity as decimal(10,0))")} as subtotal_amount,
+        cast(0 as decimal(15,2)) as unit_cost from ({BASKET})""",
+    "discounts_given": f"""select o_orderkey as id, d.id as discount_id,
+        cast(case when d.id is null then 0 when type = 'percent' then cast({percent_of('o_amount', 'value')} as decimal(38,6))
+            else cast(least(value, o_amount) as decimal(38,6)) end as decimal(15,2)) as discount_amount
+        from (select o_orderkey, o_custkey % 10 as asked, cast(o_totalprice as decimal(15,2)) as o_amount from orders) o
+        left join (select * from ({GIVEN_DISCOUNTS}) where expired_at > {NOW} and started_at <= {NOW}) d on d.id = asked""",
+    "orders_replayed": """with top as (select max(o_orderkey) as t from orders), odd as (select count(*) as n from orders where o_orderkey % 2 = 1),
+        keyed as (select o_orderkey, row_number() over (order by o_orderkey) + t as id from orders, top where o_orderkey % 2 = 1
+            union all select o_orderkey, row_number() over (order by o_orderkey) + t + n from orders, top, odd where o_orderkey % 2 = 0)
+        select id, o_orderkey, count(l_orderkey) as line_count from keyed left join lineitem on l_orderkey = o_orderkey group by 1, 2""",
+    "append_batches": "select event_id, user_id, cast(event_id % 3 as int) as batch_id from events",
+    "due_dates": """select l_orderkey, l_partkey, l_linenumber, l_quantity, l_shipdate + to_days(cast(l_linenumber * 10 as integer)) as due_at
+        from lineitem where l_linenumber <= 3""",
     "order_assembly_lines": f"""{assembly(False)} select p.id as order_id, line_number, product_id, quantity, product_price, product_tax,
         subtotal_amount, unit_cost from costed join placed p using (o_orderkey)""",
     "orders_saved": f"""{assembly(False)} select id, order_amount, total_amount, line_count from final
@@ -337,6 +399,18 @@ ORACLES: dict[str, str] = {
     "status_change_by_name": f"""select o.id, cast(case o_orderpriority when '1-URGENT' then 3 when '5-LOW' then 5
             else o.order_status_id end as bigint) as order_status_id
         from ({ORDERS}) o join orders on o_orderkey = o.id""",
+    "status_changed_twice": f"""select o_orderkey as id, cast(case when o_orderkey % 2 = 0 then 3 else 2 end as bigint) as order_status_id,
+        {NOW} as updated_at from orders""",
+    "transactions_stored": f"""select request_id, order_id, transaction_type, amount, status, description, created_at,
+        row_number() over (order by request_id) as id from (
+            select p.request_id, p.order_id, 'payment' as transaction_type, o.total_amount as amount, p.status,
+                'Fake transaction description for order #' || cast(p.order_id as varchar) as description, {NOW} as created_at
+            from ({PAID}) p join ({ORDERS}) o on o.id = p.order_id)""",
+    "status_after_given_payment": f"""with taken as (select * from ({PAID})
+            where (status and next_status in ('Processing', 'Shipped', 'Delivered')) or (not status and next_status in ('Pending', 'Cancelled'))
+            qualify row_number() over (partition by order_id order by request_id desc) = 1)
+        select o.id, cast(coalesce(s.id, o.order_status_id) as bigint) as order_status_id from ({ORDERS}) o
+        left join taken t on t.order_id = o.id left join ({STATUSES}) s on s.order_status_name = t.next_status""",
     "status_ids": f"select order_status_id, count(*) as orders from ({ORDERS}) group by 1",
     "role_quota": role_bands("select -1", 1, 2, 4),
     "role_quota_with_holders": f"""with held as (select user_id from ({ROLE_USER}) where role_id = 2)
@@ -358,12 +432,22 @@ ORACLES: dict[str, str] = {
         from (select *, row_number() over (partition by base order by p_partkey) - 1 as n from (select *, {SLUG} as base from part))""",
     "slug_with_existing": rf"""with old as ({OLD_SLUGS}),
         new as (select p_partkey, p_name, base, row_number() over (partition by base order by p_partkey) as rn
-            from (select *, {SLUG} as base from part where p_type in ('MEDIUM', 'STANDARD', 'PROMO', 'LARGE'))),
+            from (select *, {SLUG} as base from part where not (p_type = 'SMALL' or (p_type = 'ECONOMY' and p_size > 45)))),
         sizes as (select base, count(*) as n from new group by 1),
         places as (select base, unnest(range(0, n + (select count(*) from old))) as place from sizes),
         spelled as (select *, case when place = 0 then base else base || '-' || cast(place as varchar) end as slug from places),
         free as (select *, row_number() over (partition by base order by place) as rn from spelled where slug not in (select slug from old))
         select p_partkey, p_name, slug from new join free using (base, rn)""",
+    "slugs_any_script": rf"""select doc_id, name, case when n = 0 then base else base || '-' || cast(n as varchar) end as slug
+        from (select *, row_number() over (partition by base order by doc_id) - 1 as n from (
+            select doc_id, name, regexp_replace(lower(name), '[^\p{{L}}\p{{N}}_]+', '-', 'g') as base
+            from (select doc_id, substr(text, 1, 12) as name from documents)))""",
+    "slugs_hot_base": rf"""with new as (select *, row_number() over (partition by base order by p_partkey) - 1 as rn from (
+            select p_partkey, name, regexp_replace(lower(name), '\W+', '-', 'g') as base
+            from (select p_partkey, case when p_size > 5 then 'Lamp' else p_name end as name from part))),
+        taken as (select max(p_partkey) + 2 as n from part)
+        select p_partkey, name, case when base = 'lamp' then base || '-' || cast(rn + n as varchar)
+            when rn = 0 then base else base || '-' || cast(rn as varchar) end as slug from new, taken""",
     "category_tree": f"""with recursive c as ({CATEGORIES}), tree as (
             select id, id as root_id, 0 as depth from c where category_id is null
             union all select c.id, tree.root_id, depth + 1 from tree join c on c.category_id = tree.id)
@@ -391,27 +475,31 @@ ORACLES: dict[str, str] = {
         where place <= 4""",
     "tags_per_product": f"select product_id, count(*) as tag_count from ({EVENT_TAGS}) group by 1",
     "distinct_names": "select distinct p_name from part order by p_name limit 50",
-    "provinces_from_file": f"""select province_name, id from {numbered(
-        f'''select distinct state_name as province_name from ({PLACES})
-            where state_name not in (select n_name from nation where n_regionkey = 2)''',
-        'province_name', 'id', '(select max(n_nationkey) + 1 from nation where n_regionkey = 2)')}""",
+    "provinces_from_file": f"""select province_name, row_number() over (order by province_name)
+            + (select max(n_nationkey) from nation where n_regionkey = 2) as id
+        from (select distinct state_name as province_name from ({PLACES})
+            where state_name not in (select n_name from nation where n_regionkey = 2))""",
     "geo_cities": f"""select city_name, province_id, latitude, longitude, row_number() over (
-            order by {draw('number', 'city_name', 'province_id')} % {BUCKETS}, city_name, province_id) as id
+            order by city_name, province_id) as id
         from ({_CITIES % 'lat, lng'})""",
     "geo_cities_from_csv": f"select * from ({_CITIES % 'lng'}) where city_name <> 'MACHINERY'",
     "address_attach": f"""select {draw_choice(f'{SEED}-title', ['home', 'office'], 'user_id')} as title, user_id, province_id, city_id,
             street || ', ' || unit as full_address
         from {assign(f'select id as user_id, street, unit from ({USERS}) where id not in (select user_id from ({ADDRESSES}))',
                      'user_id', CITIES, 'id', {'id': 'city_id', 'province_id': 'province_id'}, f'{SEED}-city')}""",
+    "addresses_given": f"""select title, user_id, province_id, city_id, full_address, {NOW} as created_at,
+            row_number() over (order by user_id) + (select max(id) from ({ADDRESSES})) as id
+        from (select case when c_acctbal > 0 then 'office' else 'home' end as title, c_custkey as user_id,
+                cast(n_regionkey as bigint) as province_id, cast(c_nationkey as bigint) as city_id,
+                c_name || ', ' || c_mktsegment as full_address
+            from customer join nation on n_nationkey = c_nationkey where c_custkey not in (select user_id from ({ADDRESSES})))""",
     "seeded_sample": f"""select o_orderkey, o_custkey from orders where o_orderstatus = 'P'
         order by {draw(SEED, 'o_orderkey')}, o_orderkey limit 10""",
     "seeded_baskets": f"""with recursive {baskets('select o_orderkey from orders', 'o_orderkey',
             f'select id as product_id from ({PRODUCTS}) where product_quantity > 0', 'product_id', SEED)}
         select o_orderkey, line_number, product_id from basket""",
-    "surrogate_keys": f"select c_name, id from {numbered('select c_name from customer', 'c_name', 'id', '(select max(p_partkey) + 1 from part)')}",
-    "surrogate_keys_strided": f"""select o_orderkey, (row_number() over (partition by bucket order by o_orderkey) - 1) * {BUCKETS} + bucket
-            + (select max(p_partkey) + 1 from part) as id
-        from (select o_orderkey, {draw('number', 'o_orderkey')} % {BUCKETS} as bucket from orders)""",
+    "surrogate_keys": "select c_name, row_number() over (order by c_name) + (select max(p_partkey) from part) as id from customer",
+    "surrogate_keys_strided": "select o_orderkey, row_number() over (order by o_orderkey) + (select max(p_partkey) from part) as id from orders",
     "active_at": "select event_id, ts as expired_at from events where ts > timestamp '2024-01-15'",
     "active_discounts": f"""select * from ({DISCOUNTS}) where expired_at > timestamp '2024-01-15'
         and started_at <= timestamp '2024-01-15'""",
@@ -425,7 +513,6 @@ ORACLES: dict[str, str] = {
         ranked as (select *, row_number() over (partition by o_custkey order by o_orderdate, o_orderkey) as rn from batch)
         select o_orderkey, o_custkey, o_orderdate from ranked where rn > 1 or o_custkey in (select o_custkey from there)""",
     "update_by_key": f"""with last as (select o_custkey, {draw_choice(SEED, ['GARDEN', 'KITCHEN'], 'o_orderkey')} as segment from orders
-            where o_orderdate >= timestamp '2001-01-01'
             qualify row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey desc) = 1)
         select c_custkey, c_name, c_nationkey, c_acctbal, coalesce(segment, c_mktsegment) as c_mktsegment
         from customer left join last on o_custkey = c_custkey""",
@@ -456,8 +543,21 @@ ORACLES: dict[str, str] = {
     "cdc_flatten": "select user_id as after_id, value as after_amounts_value, event_id as source_lsn, 'u' as op from events",
     "latest_state": f"select * from ({LATEST}) where not deleted",
     "status_history": HISTORY,
-    "first_visits": f"""select * from ({STATUS_CHANGES})
-        qualify row_number() over (partition by id, order_status_id order by lsn) = 1""",
+    "first_visits": FIRST_VISITS,
+    "history_with_deletes": history(f"select * replace (order_status_id % 2 as order_status_id) from ({CHANGES})"),
+    "history_stored": f"""select order_id, order_status_id, staff_id, cast(null as varchar) as comments, {NOW} as created_at,
+            row_number() over (order by order_id, order_status_id) as id
+        from (select v.id as order_id, order_status_id, c_custkey % 7 as staff_id from ({FIRST_VISITS}) v
+            join customer on c_custkey = v.id where c_custkey % 3 > 0)""",
+    "cdc_repeats": f"select id, op, lsn, deleted, changed_at, order_status_id, total_amount from ({CHANGES})",
+    "cdc_state_compacted": f"""select id, op, lsn, deleted, changed_at, order_status_id, total_amount from ({LATEST}) where not deleted""",
+    "cdc_times": """select user_id as id, 'u' as op, event_id as lsn, false as deleted, date_trunc('millisecond', ts) as changed_at,
+            date_trunc('millisecond', ts) as created_at,
+            case when event_type = 'purchase' then date_trunc('millisecond', ts) + interval 2 days end as shipped_at,
+            date_trunc('millisecond', ts) as updated_at from events""",
+    "cdc_rejects": """select 'unreadable' as reason, count(*) as records from events union all
+        select 'incomplete', count(*) from events where event_type not in ('signup', 'error') union all
+        select 'none', count(*) from events""",
     "cdc_stream_state": f"""select id, op, lsn, deleted, changed_at, order_status_id, total_amount from ({LATEST}) where not deleted""",
     "cdc_stream_history": HISTORY,
     "cdc_stream_status_log": HISTORY,

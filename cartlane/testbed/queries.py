@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from cartlane.functions.draws import draw_choice
 from cartlane.functions.text import base_slug
-from cartlane.functions.times import as_of_column, to_second
+from cartlane.functions.times import as_of_column, plus_days, to_second
 from cartlane.modes import REFERENCE, STRICT
 from cartlane.operators import audit, catalog, geo, orders, payments, promotions, upserts, users
 from cartlane.operators.slugs import unique_slugs
@@ -18,7 +18,7 @@ from cartlane.plans.keys import with_surrogate_key
 from cartlane.plans.samples import baskets, distinct_up_to, sample_rows
 from cartlane.plans.scratch import scratch_path
 from cartlane.schemas import TABLES, Column, Table
-from cartlane.sources.sinks import read_batches, read_children, write_parent_and_child
+from cartlane.sources.sinks import batch_start, read_batches, read_children, write_batch, write_parent_and_child
 from cartlane.sources.tables import POSITION, read_csv, seed_if_empty
 from cartlane.streaming import envelope, feed, history, routing, state
 from cartlane.testbed.model import AS_OF, SEED, Model
@@ -112,9 +112,78 @@ def order_assembly(m: Model) -> DataFrame:
 
 @query
 def order_assembly_strict(m: Model) -> DataFrame:
-    return _assembled(m, STRICT).orders.select(
-        "id", "order_amount", "discount_amount", "tax_amount", "total_amount", "discount_id"
+    return _assembled(m, STRICT).orders
+
+
+def _from_picks(m: Model, mode: str) -> DataFrame:
+    lines = orders.lines_from_picks(m.basket(), m.products(), mode)
+    return orders.orders_from_picks(m.picks(), lines, m.given_discounts(), m.seeds("orderstatus"), AS_OF, mode)
+
+
+@query
+def orders_given(m: Model) -> DataFrame:
+    """Orders of given customers, staff, methods, discounts and baskets; some without a line."""
+    return _from_picks(m, REFERENCE)
+
+
+@query
+def orders_given_strict(m: Model) -> DataFrame:
+    return _from_picks(m, STRICT)
+
+
+@query
+def order_lines_given(m: Model) -> DataFrame:
+    return orders.lines_from_picks(m.basket(), m.products())
+
+
+@query
+def discounts_given(m: Model) -> DataFrame:
+    amounts = m.raw("orders").select(
+        F.col("o_orderkey").alias("id"),
+        F.col("o_totalprice").cast("decimal(15,2)").alias("order_amount"),
+        (F.col("o_custkey") % 10).alias("discount_id"),
     )
+    found = orders.given_discounts(amounts, m.given_discounts(), AS_OF, STRICT)
+    return found.select("id", "discount_id", F.col("discount_amount").cast("decimal(15,2)").alias("discount_amount"))
+
+
+def _numbered_orders(m: Model, batch_id: int) -> DataFrame:
+    return m.raw("orders").filter(F.col("o_orderkey") % 2 == batch_id % 2).select("o_orderkey", "o_custkey")
+
+
+@query
+def orders_replayed(m: Model) -> DataFrame:
+    """Two batches of orders with keys of their own, then the first one again."""
+    path, lines = scratch_path(m.spark, "orders"), scratch_path(m.spark, "lines")
+    old = m.raw("orders").select(F.col("o_orderkey").alias("id"))
+    for batch_id in (1, 2, 1):
+        there = read_batches(m.spark, path, "id long, o_orderkey long, o_custkey long")
+        start = batch_start(old.unionByName(there.select("id")), path, batch_id)
+        rows = with_surrogate_key(_numbered_orders(m, batch_id), ["o_orderkey"], start=start)
+        heads = rows.select("id", "o_orderkey", "o_custkey")
+        items = heads.join(m.basket(), F.col("o_orderkey") == F.col("order_id")).select(F.col("id").alias("order_id"), "product_id")
+        write_parent_and_child(heads, items, path, lines, batch_id)
+    counted = read_children(m.spark, path, lines, "order_id").groupBy("order_id").agg(F.count(F.lit(1)).alias("line_count"))
+    found = read_batches(m.spark, path).join(counted, F.col("id") == F.col("order_id"), "left")
+    return found.select("id", "o_orderkey", F.coalesce("line_count", F.lit(0)).alias("line_count"))
+
+
+@query
+def append_batches(m: Model) -> DataFrame:
+    """Events appended in three batches, the second of them twice, as a retried job does."""
+    path = scratch_path(m.spark, "appended")
+    rows = m.raw("events").select("event_id", "user_id")
+    for batch_id in (0, 1, 2, 1):
+        write_batch(rows.filter(F.col("event_id") % 3 == batch_id), path, batch_id)
+    return read_batches(m.spark, path).select("event_id", "user_id", F.col("batch_id").cast("int").alias("batch_id"))
+
+
+@query
+def due_dates(m: Model) -> DataFrame:
+    """Each line's payment is due ten days after shipping for each piece of its line number."""
+    lines = m.raw("lineitem").filter(F.col("l_linenumber") <= 3)
+    due = plus_days(F.col("l_shipdate"), F.col("l_linenumber") * 10)
+    return lines.select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", due.alias("due_at"))
 
 
 @query
@@ -188,6 +257,49 @@ def status_change_by_name(m: Model) -> DataFrame:
     return orders.change_status(m.orders(), changes, m.seeds("orderstatus")).select("id", "order_status_id")
 
 
+@query
+def status_changed_twice(m: Model) -> DataFrame:
+    """Every order gets a first status, half of them a second one, and some an unknown third."""
+    keys = m.raw("orders").select(F.col("o_orderkey").alias("id"))
+    steps = [
+        keys.select("id", F.lit("Processing").alias("order_status_name"), F.lit(1).alias("step")),
+        keys.filter("id % 2 = 0").select("id", F.lit("Shipped").alias("order_status_name"), F.lit(2).alias("step")),
+        keys.filter("id % 3 = 0").select("id", F.lit("Unheard of").alias("order_status_name"), F.lit(3).alias("step")),
+    ]
+    changes = reduce(DataFrame.unionByName, steps)
+    changed = orders.change_status(m.orders(), changes, m.seeds("orderstatus"), AS_OF, STRICT, sequence="step")
+    return changed.select("id", "order_status_id", "updated_at")
+
+
+def _paid(m: Model) -> DataFrame:
+    """Payments with their results: one per order, and a second one for urgent orders."""
+    rows = m.raw("orders").select(
+        F.col("o_orderkey").alias("order_id"),
+        F.col("o_orderkey").alias("request_id"),
+        (F.col("o_custkey") % 4 != 0).cast("string").alias("status"),
+        F.when(F.col("o_custkey") % 8 == 0, "Cancelled").otherwise("Shipped").alias("next_status"),
+        "o_orderpriority",
+    )
+    again = rows.filter("o_orderpriority = '1-URGENT'").withColumns(
+        {"request_id": F.col("request_id") + 100_000_000, "status": F.lit("false"), "next_status": F.lit("Pending")}
+    )
+    return rows.unionByName(again).drop("o_orderpriority")
+
+
+@query
+def transactions_stored(m: Model) -> DataFrame:
+    return payments.stored_transactions(m.orders(), _paid(m), "request_id", AS_OF)
+
+
+@query
+def status_after_given_payment(m: Model) -> DataFrame:
+    """The result of each payment decides whether the status asked for is taken; the last one counts."""
+    paid = _paid(m).withColumn("status", F.col("status").cast("boolean"))
+    return orders.change_status(
+        m.orders(), payments.next_status(paid), m.seeds("orderstatus"), sequence="request_id"
+    ).select("id", "order_status_id")
+
+
 @query
 def status_ids(m: Model) -> DataFrame:
     """Status names looked up, then counted."""
@@ -269,10 +381,28 @@ def _old_slugs(m: Model) -> DataFrame:
 
 @query
 def slug_with_existing(m: Model) -> DataFrame:
-    new = m.raw("part").filter(F.col("p_type").isin("MEDIUM", "STANDARD", "PROMO", "LARGE"))
+    old = (F.col("p_type") == "SMALL") | ((F.col("p_type") == "ECONOMY") & (F.col("p_size") > 45))
+    new = m.raw("part").filter(~old)
     return unique_slugs(new.select("p_partkey", "p_name"), "p_name", "p_partkey", _old_slugs(m))
 
 
+@query
+def slugs_any_script(m: Model) -> DataFrame:
+    """The beginnings of documents in four languages as names."""
+    names = m.raw("documents").select("doc_id", F.substring("text", 1, 12).alias("name"))
+    return unique_slugs(names, "name", "doc_id")
+
+
+@query
+def slugs_hot_base(m: Model) -> DataFrame:
+    """Most parts have one name, whose slugs are taken without a gap from the bare one on."""
+    parts = m.raw("part")
+    name = F.when(F.col("p_size") > 5, "Lamp").otherwise(F.col("p_name"))
+    taken = parts.select(F.concat(F.lit("lamp-"), F.col("p_partkey") + 1).alias("slug"))
+    bare = parts.limit(1).select(F.lit("lamp").alias("slug"))
+    return unique_slugs(parts.select("p_partkey", name.alias("name")), "name", "p_partkey", taken.unionByName(bare))
+
+
 @query
 def category_tree(m: Model) -> DataFrame:
     return catalog.category_levels(m.categories())
@@ -380,6 +510,19 @@ def address_attach(m: Model) -> DataFrame:
     return geo.attach_addresses(m.users(), m.addresses(), m.cities(), SEED)
 
 
+@query
+def addresses_given(m: Model) -> DataFrame:
+    """Users without an address get one in their own nation."""
+    people = m.raw("customer").select(
+        F.col("c_custkey").alias("id"),
+        F.col("c_nationkey").cast("bigint").alias("city_id"),
+        F.when(F.col("c_acctbal") > 0, "office").otherwise("home").alias("title"),
+        F.col("c_name").alias("street"),
+        F.col("c_mktsegment").alias("unit"),
+    )
+    return geo.given_addresses(people, m.addresses(), m.cities(), AS_OF, m.addresses())
+
+
 # Samples and keys
 
 
@@ -404,7 +547,7 @@ def surrogate_keys(m: Model) -> DataFrame:
 @query
 def surrogate_keys_strided(m: Model) -> DataFrame:
     existing = m.raw("part").select(F.col("p_partkey").alias("id"))
-    return with_surrogate_key(m.raw("orders").select("o_orderkey"), ["o_orderkey"], "id", existing, dense=False)
+    return with_surrogate_key(m.raw("orders").select("o_orderkey"), ["o_orderkey"], "id", existing)
 
 
 # Promotions
@@ -468,8 +611,7 @@ def update_by_key(m: Model) -> DataFrame:
         "o_orderdate",
         "o_orderkey",
     )
-    recent = updates.filter(F.col("o_orderdate") >= as_of_column("2001-01-01"))
-    return upserts.update_by_key(m.raw("customer"), recent, "c_custkey", ["c_mktsegment"], ["o_orderdate", "o_orderkey"])
+    return upserts.update_by_key(m.raw("customer"), updates, "c_custkey", ["c_mktsegment"], ["o_orderdate", "o_orderkey"])
 
 
 @query
@@ -598,6 +740,32 @@ def cdc_decode(m: Model) -> DataFrame:
     return _changes(m)
 
 
+@query
+def cdc_times(m: Model) -> DataFrame:
+    """All three times of an order, as they come in milliseconds."""
+    rows = m.raw("events").select(
+        F.col("user_id").alias("id"),
+        F.col("ts").alias("created_at"),
+        F.when(F.col("event_type") == "purchase", plus_days(F.col("ts"), F.lit(2))).alias("shipped_at"),
+        F.col("ts").alias("updated_at"),
+        "event_id",
+        "ts",
+    )
+    raw = envelope.encode(rows, TABLES["orders"], F.lit("u"), F.col("event_id"), F.col("ts"))
+    return envelope.decode(raw, TABLES["orders"], ["created_at", "shipped_at", "updated_at"])
+
+
+@query
+def cdc_rejects(m: Model) -> DataFrame:
+    """The feed, and among it every record cut off, and every update with an operation that is none."""
+    raw = m.feed()
+    cut = raw.select(F.substring("value", 1, 20).alias("value"))
+    odd = raw.filter(F.col("value").contains('"op":"u"')).select(F.replace("value", F.lit('"op":"u"'), F.lit('"op":"x"')).alias("value"))
+    whole = raw.unionByName(cut).unionByName(odd)
+    left = envelope.decode(whole, TABLES["orders"], []).agg(F.count(F.lit(1)).alias("records"))
+    return envelope.reject_counts(whole, TABLES["orders"]).unionByName(left.select(F.lit("none").alias("reason"), "records"))
+
+
 @query
 def cdc_flatten(m: Model) -> DataFrame:
     nested = m.raw("events").select(
@@ -624,13 +792,54 @@ def first_visits(m: Model) -> DataFrame:
     return history.first_visits(history.status_changes(_changes(m, [history.STATUS])))
 
 
-def _feed_folder(m: Model) -> str:
-    """The feed as files of JSON lines, each with a stretch of the log."""
+@query
+def history_with_deletes(m: Model) -> DataFrame:
+    """Two statuses only, so that most orders come back from a delete with the one they had."""
+    changes = _changes(m, [history.STATUS]).withColumn(history.STATUS, F.col(history.STATUS) % 2)
+    return history.status_history(changes)
+
+
+@query
+def history_stored(m: Model) -> DataFrame:
+    """First visits as rows of the history table, for orders with staff."""
+    staff = m.raw("customer").filter("c_custkey % 3 > 0").select(
+        F.col("c_custkey").alias("order_id"), (F.col("c_custkey") % 7).alias("staff_id")
+    )
+    return history.history_rows(history.status_changes(_changes(m, [history.STATUS])), staff, AS_OF)
+
+
+def _feed_folder(m: Model, files: int = 1, twice: bool = False) -> str:
+    """The feed as files of JSON lines; ``twice`` with every record in two files, in no order."""
     path = scratch_path(m.spark, "feed")
-    m.feed().write.text(path)
+    raw = m.feed()
+    if twice:
+        raw = raw.unionByName(raw.withColumn("value", F.concat("value", F.lit(" ")))).repartition(files, F.md5("value"))
+    elif files > 1:
+        raw = raw.repartition(files, F.md5("value"))
+    raw.write.text(path)
     return path
 
 
+@query
+def cdc_repeats(m: Model) -> DataFrame:
+    """Every record twice and out of order, over several triggers."""
+    raw = feed.feed_file_stream(m.spark, _feed_folder(m, 6, twice=True), max_files=2)
+    target = scratch_path(m.spark, "changes")
+    changes = envelope.decode(raw, TABLES["orders"], ["order_status_id", "total_amount"])
+    state.write_changes(changes, target, scratch_path(m.spark, "changes-log")).awaitTermination()
+    return state.without_repeats(read_batches(m.spark, target).drop("batch_id"))
+
+
+@query
+def cdc_state_compacted(m: Model) -> DataFrame:
+    """The state after several triggers and a restart, reduced on the way."""
+    source, target, log = _feed_folder(m, 5), scratch_path(m.spark, "state"), scratch_path(m.spark, "state-log")
+    for _ in range(2):
+        changes = envelope.decode(feed.feed_file_stream(m.spark, source, max_files=1), TABLES["orders"], ["order_status_id", "total_amount"])
+        state.write_state(changes, target, log, every=2).awaitTermination()
+    return state.read_state(m.spark, target)
+
+
 @query
 def cdc_stream_state(m: Model) -> DataFrame:
     raw = feed.feed_file_stream(m.spark, _feed_folder(m))
@@ -642,11 +851,12 @@ def cdc_stream_state(m: Model) -> DataFrame:
 
 @query
 def cdc_stream_history(m: Model) -> DataFrame:
-    raw = feed.feed_file_stream(m.spark, _feed_folder(m))
+    """Records in no order, over several triggers: late ones count."""
+    raw = feed.feed_file_stream(m.spark, _feed_folder(m, 4), max_files=1)
     target = scratch_path(m.spark, "history")
     changes = envelope.decode(raw, TABLES["orders"], [history.STATUS])
-    history.write_status_changes(changes, target, scratch_path(m.spark, "history-log")).awaitTermination()
-    return history.with_end(read_batches(m.spark, target).drop("batch_id"))
+    history.write_status_log(changes, target, scratch_path(m.spark, "history-log")).awaitTermination()
+    return history.read_history(m.spark, target)
 
 
 @query
