@@ -144,8 +144,8 @@ def lines_to_drop(hashes: DataFrame, index: DataFrame, probes: int = PROBES) ->
     )
 
 
-def drop_repeated_lines(documents: DataFrame, key: str = "doc_id") -> DataFrame:
-    """The documents with their text less the repeated lines, ``n_lines`` before and ``n_dropped``.
+def _thinned(documents: DataFrame, key: str) -> DataFrame:
+    """``__rest`` (the other columns), ``text`` less the repeated lines, ``__lines`` before and ``__dropped``.
 
     The documents are read twice and shuffled once, to meet the lines they lose.
     """
@@ -171,16 +171,28 @@ def drop_repeated_lines(documents: DataFrame, key: str = "doc_id") -> DataFrame:
                 dropped.append(len(cut) - len(stay))
                 left.append("\n".join(stay))
             arrays = [chunk.column(0), pa.array(left, pa.string()), pa.array(lines, pa.int64()), pa.array(dropped, pa.int64())]
-            yield pa.RecordBatch.from_arrays(arrays, ["__rest", "text", "n_lines", "n_dropped"])
+            yield pa.RecordBatch.from_arrays(arrays, ["__rest", "text", "__lines", "__dropped"])
 
     kind = rows.schema["__rest"].dataType.simpleString()
-    out = rows.mapInArrow(run, f"__rest {kind}, text string, n_lines long, n_dropped long")
-    columns = [F.col("text") if c == "text" else F.col(f"__rest.`{c}`") for c in documents.columns]
-    return out.select(*columns, *(c for c in ("n_lines", "n_dropped") if c not in documents.columns))
+    return rows.mapInArrow(run, f"__rest {kind}, text string, __lines long, __dropped long")
+
+
+def drop_repeated_lines(documents: DataFrame, key: str = "doc_id", length: str | None = None) -> DataFrame:
+    """The documents with their text less the repeated lines; ``length`` names a column with its code points."""
+    columns = []
+    for c in documents.columns:
+        column = F.col("text") if c == "text" else F.col(f"__rest.`{c}`")
+        if c == length:
+            column = F.when(F.col("__dropped") > 0, F.length("text")).otherwise(column).cast(documents.schema[c].dataType)
+        columns.append(column.alias(c))
+    return _thinned(documents, key).select(*columns)
 
 
 def line_digests(documents: DataFrame, key: str = "doc_id") -> DataFrame:
     """``n_lines``, ``n_dropped`` and the SHA-256 of the lines that stay, one row per document."""
-    return drop_repeated_lines(documents.select(key, "text"), key).select(
-        key, "n_lines", "n_dropped", F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256")
+    return _thinned(documents.select(key, "text"), key).select(
+        F.col(f"__rest.`{key}`").alias(key),
+        F.col("__lines").alias("n_lines"),
+        F.col("__dropped").alias("n_dropped"),
+        F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256"),
     )

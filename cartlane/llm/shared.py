@@ -2,32 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-def shared_folder(spark: SparkSession) -> str:
-    """The session's checkpoint folder; a folder of its own only where none is set, as in tests."""
-    context = spark.sparkContext
-    set_before = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
-    if set_before is not None:
-        return set_before
-    if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="cartlane-llm-"))
-    return context.getCheckpointDir()
+from cartlane.plans.scratch import written
 
 
 def kept(df: DataFrame, name: str) -> DataFrame:
     """The rows as a table in the shared folder: read again at will, with no lineage to redo."""
-    path = f"{shared_folder(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return written(df, name)
 
 
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -52,9 +36,9 @@ def bit_filter(values: DataFrame, column: str) -> bytes:
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), (place % 64).cast("int"))
     word = values.select((place / 64).cast("long").alias("word"), bit.alias("bit"))
     # FILTER_BITS / 64 rows at most.
-    found = word.groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()
+    found = word.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
     out = np.zeros(FILTER_BITS // 64, np.uint64)
-    out[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64).view(np.uint64)
+    out[found.column(0).to_numpy()] = found.column(1).to_numpy().view(np.uint64)
     return out.tobytes()
 
 

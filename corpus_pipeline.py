@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from cartlane.llm import bpe, decontaminate, jaccard, lines, toxicity
 from cartlane.llm.shared import kept, read
@@ -23,10 +22,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines found in three documents or more stay in the one with the largest id only."""
-    left = lines.drop_repeated_lines(docs)
-    if "n_chars" in docs.columns:
-        left = left.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.length("text")).otherwise(F.col("n_chars")))
-    return left.select(docs.columns)
+    return lines.drop_repeated_lines(docs, length="n_chars")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
