@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartlane.llm.shared import bit_filter, filter_place, in_filter, kept
+from cartlane.llm.shared import bit_filter, bounded, filter_place, in_filter, kept
 from cartlane.llm.texts import chunks, mixed
 
 #: Characters in an n-gram.
@@ -38,6 +38,12 @@ QUANTILE, MARGIN = 0.99, 1.25
 #: Bytes of model tables that are sent to every task, at about 40 for an entry.
 MODEL_BYTES, ENTRY_BYTES = 64 << 20, 40
 
+#: Trusted ids that are sent to every task at most, at about 20 bytes each.
+SENT_IDS = 1_000_000
+
+#: Bytes of text whose n-grams are counted together before they leave a task.
+COUNT_BYTES = 3 << 20
+
 _BEGIN, _END = "\x02", "\x03"
 _BASE = 0x9E3779B97F4A7C15
 
@@ -55,24 +61,29 @@ def _code_points(texts: list[str], order: int) -> tuple[str, np.ndarray, np.ndar
     return whole, points, predicted
 
 
-def gram_hashes(points: np.ndarray, order: int) -> list[np.ndarray]:
+def gram_hashes(points: np.ndarray, order: int) -> Iterator[np.ndarray]:
     """For each length up to ``order``, the hash of the n-gram that ends at each place."""
-    out, total, power = [], np.zeros(len(points), np.uint64), 1
+    total, power = np.zeros(len(points), np.uint64), 1
     for k in range(order):
         if k:
             total[k:] += (points[:-k] + np.uint64(1)) * np.uint64(power)
         else:
             total += points + np.uint64(1)
         power = power * _BASE % 2**64
-        out.append(mixed(total + np.uint64(k + 1 << 48)))
-    return out
+        yield mixed(total + np.uint64(k + 1 << 48))
+
+
+def _longest(points: np.ndarray, order: int) -> np.ndarray:
+    for hashes in gram_hashes(points, order):
+        last = hashes
+    return last
 
 
 def _string_hashes(grams: list[str], size: int) -> np.ndarray:
     if not grams:
         return np.zeros(0, np.uint64)
     points = np.frombuffer("".join(grams).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    return gram_hashes(points, size)[size - 1][size - 1 :: size]
+    return _longest(points, size)[size - 1 :: size]
 
 
 class Table:
@@ -111,9 +122,9 @@ def count_grams(documents: DataFrame, order: int = ORDER) -> DataFrame:
     """``gram, n`` over all documents; what a task has seen is summed before the shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in chunks(batches, limit=8 << 20):
+        for chunk in chunks(batches, limit=COUNT_BYTES):
             whole, points, predicted = _code_points(chunk.column(0).to_pylist(), order)
-            hashes = gram_hashes(points, order)[-1]
+            hashes = _longest(points, order)
             places = np.flatnonzero(predicted)
             _, first, counts = np.unique(hashes[places], return_index=True, return_counts=True)
             grams = [whole[i - order + 1 : i + 1] for i in places[first].tolist()]
@@ -188,21 +199,25 @@ def train(trusted: DataFrame, order: int = ORDER) -> Model | None:
     return Model(probabilities, backoff, unseen)
 
 
+def _hashed(table: DataFrame, gram: str, value: str, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and numbers of n-grams of ``size`` characters. Tasks hash them: the driver gets 12 bytes each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes = _string_hashes(batch.column(0).to_pylist(), size).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(hashes), batch.column(1)], ["hash", "value"])
+
+    found = table.select(gram, F.col(value).cast("float").alias("value")).mapInArrow(run, "hash long, value float").toArrow()
+    return found.column(0).to_numpy().view(np.uint64), found.column(1).to_numpy()
+
+
 def _tables(model: Model) -> list[tuple]:
     """The model as arrays, for a model whose size has been checked."""
-    out = []
-    for k, (probabilities, backoff) in enumerate(zip(model.probabilities, model.backoff), 1):
-        p, b = probabilities.toPandas(), backoff.toPandas()
-        contexts = _string_hashes(b["context"].tolist(), k - 1) if k > 1 else np.zeros(0, np.uint64)
-        out.append(
-            (
-                _string_hashes(p["gram"].tolist(), k),
-                p["logp"].to_numpy(np.float32),
-                contexts,
-                b["logg"].to_numpy(np.float32)[: len(contexts)],
-            )
-        )
-    return out
+    none = (np.zeros(0, np.uint64), np.zeros(0, np.float32))
+    return [
+        (*_hashed(p, "gram", "logp", k), *(_hashed(b, "context", "logg", k - 1) if k > 1 else none))
+        for k, (p, b) in enumerate(zip(model.probabilities, model.backoff), 1)
+    ]
 
 
 def _log_probabilities(hashes: list[np.ndarray], places: np.ndarray, tables: list[tuple[Table, Table]], unseen: float) -> np.ndarray:
@@ -233,7 +248,7 @@ def _perplexity_by_tables(documents: DataFrame, model: Model, columns: list[str]
             texts = chunk.column(len(columns)).to_pylist()
             _, points, predicted = _code_points(texts, order)
             places = np.flatnonzero(predicted)
-            logs = _log_probabilities(gram_hashes(points, order), places, tables, unseen)
+            logs = _log_probabilities(list(gram_hashes(points, order)), places, tables, unseen)
             sizes = np.array([len(t) + 1 for t in texts])
             sums = np.add.reduceat(logs, np.cumsum(sizes) - sizes)
             arrays = [chunk.column(i) for i in range(len(columns))]
@@ -296,8 +311,14 @@ def trusted_ids(labels: DataFrame, key: str = "doc_id", label: str = "quality")
     return known.groupBy(F.col(key).alias("id")).agg(F.min(label).alias("good")).filter("good = 1").select("id")
 
 
-def only_trusted(documents: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
-    """The trusted documents; a filter of fixed size keeps most other texts out of the join."""
+def only_trusted(documents: DataFrame, ids: DataFrame, key: str = "doc_id", sent: int = SENT_IDS) -> DataFrame:
+    """The trusted documents.
+
+    Up to ``sent`` ids go to the tasks, and no text is shuffled. More of them meet the documents in a
+    shuffle, from which a filter of fixed size keeps most other texts out.
+    """
+    if ids.count() <= sent:
+        return documents.select(F.col(key).alias("id"), "text").join(F.broadcast(ids), "id", "left_semi")
     bits = documents.sparkSession.sparkContext.broadcast(bit_filter(ids, "id"))
     rows = documents.select(F.col(key).alias("id"), "text", filter_place(F.col(key)).alias("place"))
 
@@ -310,6 +331,7 @@ def only_trusted(documents: DataFrame, ids: DataFrame, key: str = "doc_id") -> D
 
 def classify(documents: DataFrame, labels: DataFrame, key: str = "doc_id", model_bytes: int = MODEL_BYTES) -> DataFrame:
     """``n_chars_scored``, ``perplexity``, the ``threshold`` of the language and ``keep`` of every document."""
+    documents = bounded(documents)
     ids = kept(trusted_ids(labels, key), "trusted")
     model = train(only_trusted(documents, ids, key))
     lang = F.col("lang") if "lang" in documents.columns else F.lit(None).cast("string")

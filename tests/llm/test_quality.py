@@ -78,6 +78,14 @@ def test_classify(spark, documents, hard):
     assert len(nothing) == hard.count() and all(r["keep"] and r["perplexity"] is None for r in nothing)
 
 
+def test_both_ways_find_the_trusted(spark, documents):
+    rows = documents([(i, f"t{i}") for i in range(50)] + [(None, "x"), (3, "again")])
+    ids = spark.createDataFrame([(i,) for i in range(0, 60, 3)], "id long")
+    want = sorted((r["doc_id"], r["text"]) for r in rows.filter("doc_id % 3 = 0").collect())
+    for sent in (0, 100):
+        assert sorted(map(tuple, quality.only_trusted(rows, ids, sent=sent).collect())) == want
+
+
 def test_held_out_documents(spark):
     folder = "/root/testdata/sf0.01"
     documents, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
