@@ -2,10 +2,11 @@
 
 Every document begins in the shard of its hash. In each round a document looks at the shards of
 its linked documents with smaller numbers and wants to go where most of them are; so no two chase
-each other. A shard takes movers up to a soft quota: those that follow documents with few links
-first, and all followers of one document together as far as they fit. When no more move,
-shards above the exact quota send documents to those below: unlinked ones first, then
-those of the largest groups, which no shard could hold whole.
+each other. A shard takes movers up to a quota of linked documents: those that follow documents
+with few links first, and all followers of one document together as far as they fit. Unlinked
+documents take no room, since they can go anywhere: in the end shards above the exact quota
+send documents to those below, unlinked ones first, then those of the largest groups, which no
+shard could hold whole.
 
 Ranks within a shard are sums over buckets of a hash plus a rank in the bucket, so no task sorts a
 shard. What the driver reads is one number per shard.
@@ -17,6 +18,8 @@ by their equal texts; an empty table gives no rows; extra columns are ignored.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -25,7 +28,7 @@ from cartlane.llm.shared import kept
 
 SHARDS = 8
 
-#: Rounds of moves, and how far above the even share a shard may fill meanwhile.
+#: Rounds of moves, and how far above the even share a shard may fill with linked documents meanwhile.
 ROUNDS, SLACK = 3, 0.25
 
 #: Rows in a bucket on average: what one window sorts.
@@ -60,7 +63,7 @@ def _by_shard(column: str, values: list) -> Column:
     return F.element_at(F.array(*(F.lit(v) for v in values)), F.col(column) + 1)
 
 
-def _round(labels: DataFrame, links: DataFrame, degrees: DataFrame, total: int, shards: int) -> DataFrame:
+def _round(labels: DataFrame, links: DataFrame, degrees: DataFrame, linked: DataFrame, total: int, shards: int) -> DataFrame:
     """The labels after one round of moves."""
     of_voter = labels.select(F.col("node").alias("voter"), F.col("shard").alias("target"))
     votes = links.join(of_voter, "voter").groupBy("node", "target").agg(F.count(F.lit(1)).alias("votes"), F.min("voter").alias("leader"))
@@ -70,8 +73,8 @@ def _round(labels: DataFrame, links: DataFrame, degrees: DataFrame, total: int,
     moves = (
         best.select("node", "best.*").join(labels, "node").filter("target <> shard").select("node", "target", "leader")
     )
-    soft = int(total / shards * (1 + SLACK))
-    room = [max(0, soft - n) for n in _counts(labels, shards)]
+    soft = math.ceil(total / shards * (1 + SLACK))
+    room = [max(0, soft - n) for n in _counts(labels.join(linked, "node", "left_semi"), shards)]
     wanted = moves.groupBy("target", "leader").agg(F.count(F.lit(1)).alias("n")).join(degrees, "leader")
     ranked = _before(
         wanted, "target", F.floor(F.log2("degree")), F.xxhash64("leader"), [F.xxhash64("leader"), "leader"], F.col("n"), total
@@ -84,16 +87,14 @@ def _round(labels: DataFrame, links: DataFrame, degrees: DataFrame, total: int,
     return labels.join(accepted, "node", "left").select("node", F.coalesce("moved", "shard").alias("shard"))
 
 
-def _evened(labels: DataFrame, links: DataFrame, degrees: DataFrame, total: int, shards: int) -> DataFrame:
-    """The labels with exact quotas."""
+def _evened(labels: DataFrame, linked: DataFrame, total: int, shards: int) -> DataFrame:
+    """The labels with exact quotas; the fullest shards may keep one more."""
     counts = _counts(labels, shards)
-    quotas = [total // shards + (s < total % shards) for s in range(shards)]
+    fullest = sorted(range(shards), key=lambda s: -counts[s])[: total % shards]
+    quotas = [total // shards + (s in fullest) for s in range(shards)]
     excess = [max(0, n - q) for n, q in zip(counts, quotas)]
     if not any(excess):
         return labels
-    followed = links.join(degrees.withColumnRenamed("leader", "voter"), "voter").groupBy("node").agg(F.max("degree").alias("degree"))
-    led = degrees.withColumnRenamed("leader", "node")
-    linked = followed.union(led.select("node", "degree")).groupBy("node").agg(F.max("degree").alias("degree"))
     over = [s for s, n in enumerate(excess) if n]
     rows = labels.filter(F.col("shard").isin(over)).join(linked, "node", "left")
     classes = F.when(F.col("degree").isNull(), F.lit(0)).otherwise(64 - F.floor(F.log2("degree")))
@@ -117,12 +118,15 @@ def propagate(nodes: DataFrame, links: DataFrame, shards: int = SHARDS, rounds:
     directed = links.filter("a <> b").select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("voter"))
     directed = kept(directed.distinct(), "shard-links")
     degrees = kept(directed.groupBy(F.col("voter").alias("leader")).agg(F.count(F.lit(1)).alias("degree")), "shard-degrees")
+    followed = directed.join(degrees.withColumnRenamed("leader", "voter"), "voter").select("node", "degree")
+    led = degrees.select(F.col("leader").alias("node"), "degree")
+    linked = kept(followed.union(led).groupBy("node").agg(F.max("degree").alias("degree")), "shard-linked")
     first = F.pmod(F.xxhash64("node"), F.lit(shards)).cast("int").alias("shard")
     labels = kept(nodes.select("node", first), "shard-labels")
     total = labels.count()
     for _ in range(rounds):
-        labels = kept(_round(labels, directed, degrees, total, shards), "shard-labels")
-    labels = kept(_evened(labels, directed, degrees, total, shards), "shard-labels")
+        labels = kept(_round(labels, directed, degrees, linked, total, shards), "shard-labels")
+    labels = kept(_evened(labels, linked, total, shards), "shard-labels")
     ranked = _before(labels, "shard", F.lit(0), F.xxhash64("node"), [F.xxhash64("node"), "node"], F.lit(1), total)
     return ranked.select("node", "shard", F.col("before").cast("long").alias("slot"))
 
