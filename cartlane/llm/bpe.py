@@ -25,6 +25,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from cartlane.llm.shared import bounded
 from cartlane.llm.texts import chunks
 
 #: Distinct words that a task remembers.
@@ -169,7 +170,7 @@ class Codec:
 
 def encode_documents(documents: DataFrame, path: str, pattern: str, key: str = "doc_id") -> DataFrame:
     """Documents with ``ids``, an array of token ids. No shuffle."""
-    rows = documents.select(key, "text")
+    rows = bounded(documents).select(key, "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(path, pattern)
@@ -195,7 +196,7 @@ def decode_documents(encoded: DataFrame, path: str, key: str = "doc_id") -> Data
 
 def token_digests(documents: DataFrame, path: str, pattern: str, key: str = "doc_id") -> DataFrame:
     """Number of ids and digests of ids and decoded bytes, one row per document. No shuffle."""
-    rows = documents.select(key, "text")
+    rows = bounded(documents).select(key, "text")
     names = [key, "n_tokens", "ids_sha256", "decoded_sha256"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

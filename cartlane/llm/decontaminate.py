@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartlane.llm.shared import kept
+from cartlane.llm.shared import bounded, kept
 from cartlane.llm.texts import chunks
 
 #: Words in a window.
@@ -173,7 +173,7 @@ def find_items(
 
     ``columns`` of an item, such as question and answer, are joined by a line end. No shuffle.
     """
-    rows = documents.withColumns({c: F.lit(None).cast(t) for c, t in _FOUND.items()})
+    rows = bounded(documents).withColumns({c: F.lit(None).cast(t) for c, t in _FOUND.items()})
     schema = rows.schema
     names = rows.columns
     spark = documents.sparkSession

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartlane.llm.perfect import PerfectHash
-from cartlane.llm.shared import kept
+from cartlane.llm.shared import bounded, kept
 from cartlane.llm.texts import chunks
 
 #: Code points of a key that counts, and documents from which on its lines go.
@@ -51,7 +51,7 @@ def key_hash(line: str) -> tuple[int, int] | None:
 
 def line_hashes(documents: DataFrame, key: str) -> DataFrame:
     """One row per document and distinct key that is long enough: ``id, high, low``."""
-    rows = documents.select(F.col(key).cast("long").alias("id"), "text")
+    rows = bounded(documents).select(F.col(key).cast("long").alias("id"), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in chunks(batches):

@@ -21,6 +21,7 @@ from typing import NamedTuple
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from cartlane.llm.shared import bounded
 from cartlane.llm.texts import chunks
 
 KINDS = ("assign", "access", "hex")
@@ -126,7 +127,7 @@ SCHEMA = "n_assign long, n_access long, n_hex long, n_entropy long, base_sha256
 
 def scan_secrets(documents: DataFrame, key: str = "doc_id") -> DataFrame:
     """One row per document: counts of each kind, a digest of the base spans and all spans. No shuffle."""
-    rows = documents.select(key, "text")
+    rows = bounded(documents).select(key, "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in chunks(batches):

@@ -14,6 +14,24 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     return written(df, name)
 
 
+#: Rows of texts that Spark hands to a Python worker at once.
+BATCH_ROWS = 1000
+
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def bounded(documents: DataFrame) -> DataFrame:
+    """The documents, in a session that hands over no more than ``BATCH_ROWS`` texts at once.
+
+    Spark's own 10,000 rows are for short ones: a batch stands in memory several times, inside the JVM
+    and outside. A lower setting stays.
+    """
+    conf = documents.sparkSession.conf
+    if not 0 < int(conf.get(_BATCH_SETTING)) <= BATCH_ROWS:
+        conf.set(_BATCH_SETTING, BATCH_ROWS)
+    return documents
+
+
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
