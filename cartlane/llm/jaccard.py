@@ -11,10 +11,14 @@ among their first ones, their prefixes, so classes meet on prefix shingles:
 - suffix: the sets fall into ``PARTS`` parts by hash, whose smaller sizes have to add up;
 - what is left is verified once, on whole sets.
 
-For components not every pair of a group of near copies is needed. First every class meets only
-the smallest class of each of its prefix shingles, and what links is contracted. Then the classes
-of a shingle that are still in different components meet, all of them: nothing is lost, and a
-group of a million near copies costs about a million pairs.
+For components the pairs of a group of near copies are not made. Each shingle has a centre, its
+class that shares most with others: of copies that were edited here and there, the one edited
+least. First the classes meet their centres, and what links is contracted. A class belongs to the
+centre near it that shares most of all. Two classes of one centre are then known by what they
+added to it and what they lack: of that they have to share so much that only those meet that
+added the same shingle, or that are shorter than the centre and lack the same. Classes of
+different centres meet on the shingle itself. Classes of one component do not meet again. Nothing
+is lost: every pair that shares a prefix shingle is of one of these kinds.
 
 Defined results: null and empty texts, and texts without words, have no shingles and link with
 nothing, nor with each other; a text of one or two words is one shingle; rows with the same id
@@ -36,16 +40,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartlane.llm.components import connected
-from cartlane.llm.shared import bit_filter, filter_place, in_filter, kept
+from cartlane.llm.shared import bit_filter, bounded, filter_place, in_filter, kept
 from cartlane.llm.texts import RangeHash, byte_table, chunks, flat, lowered, mixed, words
 
 #: Words in a shingle, and the least similarity in hundredths.
 WORDS, PERCENT = 3, 90
 
 #: Counters for the order of shingles, and parts of the suffix filter.
-COUNTERS, PARTS = 1 << 21, 16
+COUNTERS, PARTS = 1 << 23, 16
 
-_BLOCK = 1 << 16
+#: From this similarity on, in hundredths, a class is near a centre.
+NEAR = 60
+#: Classes of a shingle from which on each is compared with the centre.
+CROWD = 16
+
+_BLOCK = 1 << 17
+_MOST = 2**16 - 1
 #: Sets that a task remembers to send once only.
 _SEEN = 1 << 20
 
@@ -92,7 +102,7 @@ def _described(documents: DataFrame, key: str, size: int) -> DataFrame:
     rows = documents.select(F.col(key).cast("long").alias("id"), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(COUNTERS, np.uint32)
+        counts = np.zeros(COUNTERS, np.uint16)
         schema = pa.schema(
             [
                 ("id", pa.int64()), ("cls", pa.int64()), ("n", pa.int32()), ("parts", pa.list_(pa.int32())),
@@ -103,7 +113,7 @@ def _described(documents: DataFrame, key: str, size: int) -> DataFrame:
             sets = shingle_sets(chunk.column(1), size)
             every = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
             slots, seen = np.unique((every % np.uint64(COUNTERS)).astype(np.int64), return_counts=True)
-            counts[slots] = np.minimum(counts[slots].astype(np.int64) + seen, 2**32 - 1)
+            counts[slots] = np.minimum(counts[slots].astype(np.int64) + seen, _MOST)
             none = [None] * len(sets)
             values = [
                 [i.as_py() for i in chunk.column(0)], [_class_of(s) for s in sets], [len(s) for s in sets],
@@ -123,8 +133,8 @@ def _described(documents: DataFrame, key: str, size: int) -> DataFrame:
 def _added(pdf: pd.DataFrame) -> pd.DataFrame:
     total = np.zeros(_BLOCK, np.uint64)
     for counts in pdf["counts"]:
-        total += np.frombuffer(zlib.decompress(counts), np.uint32)
-    counts = np.minimum(total, 2**32 - 1).astype(np.uint32)
+        total += np.frombuffer(zlib.decompress(counts), np.uint16)
+    counts = np.minimum(total, _MOST).astype(np.uint16)
     return pd.DataFrame(
         {"task": [int(pdf["task"].iloc[0])], "block": [int(pdf["block"].iloc[0])], "counts": [zlib.compress(counts.tobytes(), 1)]}
     )
@@ -136,11 +146,12 @@ def _counters(described: DataFrame) -> bytes:
     for _ in range(2):
         rows = rows.withColumn("task", F.floor(F.col("task") / 256).cast("int"))
         rows = rows.groupBy("task", "block").applyInPandas(_added, "task int, block int, counts binary")
-    total = np.zeros(COUNTERS, np.uint64)
+    total = np.zeros(COUNTERS, np.uint16)
     for r in rows.toLocalIterator():  # one row per block, and per 65,536 tasks
-        at = r["block"] * _BLOCK
-        total[at : at + _BLOCK] += np.frombuffer(zlib.decompress(bytes(r["counts"])), np.uint32)
-    return np.minimum(total, 2**32 - 1).astype(np.uint32).tobytes()
+        part = total[r["block"] * _BLOCK : (r["block"] + 1) * _BLOCK]
+        more = np.frombuffer(zlib.decompress(bytes(r["counts"])), np.uint16).astype(np.uint32)
+        part[:] = np.minimum(more + part, _MOST)
+    return total.tobytes()
 
 
 def _prefixes(documents: DataFrame, counters: bytes, size: int, percent: int) -> DataFrame:
@@ -148,7 +159,7 @@ def _prefixes(documents: DataFrame, counters: bytes, size: int, percent: int) ->
     sent = documents.sparkSession.sparkContext.broadcast(counters)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.frombuffer(sent.value, np.uint32)
+        counts = np.frombuffer(sent.value, np.uint16)
         seen: set[int] = set()
         for chunk in chunks(batches):
             tokens, classes, sizes, places = [], [], [], []
@@ -177,139 +188,257 @@ def _enough(shared: Column, a: Column, b: Column, percent: int) -> Column:
     return F.lit(100 + percent).cast("long") * shared >= F.lit(percent).cast("long") * (a + b)
 
 
+def _fits(a: Column, b: Column, percent: int) -> Column:
+    """The length filter."""
+    return F.lit(100) * F.least(a, b) >= F.lit(percent) * F.greatest(a, b)
+
+
 def _plausible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs that the length and suffix filters let pass, with their sizes."""
+    """``a, b`` that the length and suffix filters let pass, with their sizes."""
     one = classes.select(F.col("cls").alias("a"), F.col("n").alias("na"), F.col("parts").alias("pa"))
     two = classes.select(F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("parts").alias("pb"))
-    met = pairs.select("a", "b").join(one, "a").join(two, "b")
+    met = pairs.select("a", "b").join(one, "a").join(two, "b").filter(_fits(F.col("na"), F.col("nb"), percent))
     shared = F.aggregate(F.zip_with("pa", "pb", lambda x, y: F.least(x, y)), F.lit(0), lambda n, x: n + x)
-    fits = F.lit(100) * F.least("na", "nb") >= F.lit(percent) * F.greatest("na", "nb")
-    return met.filter(fits & _enough(shared, F.col("na"), F.col("nb"), percent)).select("a", "b", "na", "nb")
+    return met.filter(_enough(shared, F.col("na"), F.col("nb"), percent)).select("a", "b", "na", "nb")
+
+
+_COMPARED = "a long, b long, na int, nb int, overlap int, added array<long>, lacking array<long>"
+
+
+def _compared(documents: DataFrame, key: str, classes: DataFrame, pairs: DataFrame, size: int, near: int) -> DataFrame:
+    """``overlap`` of the whole sets of each pair; for those at least ``near`` what ``b`` added to ``a`` and lacks.
+
+    The texts travel, one document of each class, since they are smaller than their sets. Only
+    documents whose id may be asked for leave their task.
+    """
+    ids = classes.select("cls", "least")
+    asked = pairs.select("a", "b", "na", "nb")
+    asked = asked.join(ids.select(F.col("cls").alias("a"), F.col("least").alias("id_a")), "a")
+    asked = kept(asked.join(ids.select(F.col("cls").alias("b"), F.col("least").alias("id_b")), "b"), "asked")
+
+    def texts(column: str, name: str) -> DataFrame:
+        bits = documents.sparkSession.sparkContext.broadcast(bit_filter(asked.select(column), column))
+        id_ = F.col(key).cast("long")
+        rows = documents.select(id_.alias(name), F.col("text").alias(f"text_{name}"), filter_place(id_).alias("place"))
 
+        def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield batch.filter(pa.array(in_filter(bits.value, batch.column(2).to_numpy(zero_copy_only=False))))
 
-def _verified(documents: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs that link, with their ``overlap``: whole sets meet, of the classes that are asked for only."""
-    asked = kept(pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct(), "asked")
-    bits = bit_filter(asked, "cls")
-    sent = documents.sparkSession.sparkContext.broadcast(bits)
+        return rows.mapInArrow(likely, rows.schema).drop("place")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        for chunk in chunks(batches):
-            sets, classes = [], []
-            for shingles in shingle_sets(chunk.column(0), size):
-                cls = _class_of(shingles)
-                if cls not in seen:
-                    if len(seen) >= _SEEN:
-                        seen.clear()
-                    seen.add(cls)
-                    sets.append(shingles.view(np.int64))
-                    classes.append(cls)
-            ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
-            flat_sets = np.concatenate(sets) if sets else np.zeros(0, np.int64)
-            arrays = [pa.array(classes, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat_sets, pa.int64()))]
-            yield pa.RecordBatch.from_arrays(arrays, ["cls", "shingles"])
-
-    def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.filter(pa.array(in_filter(sent.value, batch.column(2).to_numpy(zero_copy_only=False))))
-
-    described = documents.select("text").mapInArrow(run, "cls long, shingles array<long>")
-    marked = described.withColumn("place", filter_place(F.col("cls")))
-    there = marked.mapInArrow(likely, marked.schema).drop("place").join(asked, "cls", "left_semi")
-    sets = kept(there.groupBy("cls").agg(F.first("shingles").alias("shingles")), "shingle-sets")
-    one = sets.select(F.col("cls").alias("a"), F.col("shingles").alias("sa"))
-    two = sets.select(F.col("cls").alias("b"), F.col("shingles").alias("sb"))
-    overlap = F.size(F.array_intersect("sa", "sb"))
-    met = pairs.join(one, "a").join(two, "b").select("a", "b", "na", "nb", overlap.alias("overlap"))
-    return met.filter(_enough(F.col("overlap"), F.col("na"), F.col("nb"), percent))
+        names = ["a", "b", "na", "nb", "text_one", "text_two"]
+        for chunk in chunks(chunks(batches, "text_one"), "text_two"):
+            a, b, na, nb = (chunk.column(names.index(c)).to_pylist() for c in ("a", "b", "na", "nb"))
+            first = shingle_sets(chunk.column(names.index("text_one")), size)
+            second = shingle_sets(chunk.column(names.index("text_two")), size)
+            rows = []
+            for i, (x, y) in enumerate(zip(first, second)):
+                # Another document may bear the same id.
+                if _class_of(x) != a[i] or _class_of(y) != b[i]:
+                    continue
+                both = np.intersect1d(x, y, assume_unique=True)
+                added = lacking = None
+                if 100 * len(both) >= near * (len(x) + len(y) - len(both)):
+                    added = np.setdiff1d(y, both, assume_unique=True).view(np.int64)
+                    lacking = np.setdiff1d(x, both, assume_unique=True).view(np.int64)
+                rows.append((a[i], b[i], na[i], nb[i], len(both), added, lacking))
+            types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+            columns = list(zip(*rows)) or [()] * len(types)
+            fields = [f.split()[0] for f in _COMPARED.split(", ")]
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types)], fields)
+
+    two = texts("id_b", "two")
+    met = asked.join(two, asked["id_b"].eqNullSafe(two["two"])).drop("two", "id_b")
+    one = texts("id_a", "one")
+    met = met.join(one, met["id_a"].eqNullSafe(one["one"])).select("a", "b", "na", "nb", "text_one", "text_two")
+    return kept(met.mapInArrow(run, _COMPARED), "compared")
+
+
+def _meetings(rows: DataFrame, keys: list[str], asking: Column) -> DataFrame:
+    """Pairs of rows with equal ``keys`` and different labels, one of them ``asking``: ``x_*`` and ``y_*`` of the other columns.
+
+    Labels meet first and rows then, so rows of one label are never compared.
+    """
+    rest = [c for c in rows.columns if c not in (*keys, "label")]
+    marked = rows.withColumn("__asks", asking)
+    mixed_ = marked.groupBy(*keys).agg(F.min("label").alias("low"), F.max("label").alias("high"), F.max("__asks").alias("any"))
+    open_ = kept(marked.join(mixed_.filter(F.col("any") & (F.col("low") < F.col("high"))).select(*keys), keys, "left_semi"), "open")
+    ask = open_.filter("__asks")
+    labels = open_.groupBy(*keys, "label").agg(F.lit(1).alias("__one")).drop("__one")
+    between = ask.select(*keys, "label").distinct().join(labels.withColumnRenamed("label", "other"), keys).filter("label <> other")
+    x = ask.select(*keys, "label", *[F.col(c).alias(f"x_{c}") for c in rest])
+    y = open_.select(*keys, F.col("label").alias("other"), "__asks", *[F.col(c).alias(f"y_{c}") for c in rest])
+    met = between.join(x, [*keys, "label"]).join(y, [*keys, "other"])
+    # Where both ask, one of the two orders is enough.
+    return met.filter(~F.col("__asks") | (F.col("x_cls") < F.col("y_cls")))
 
 
 class _Join:
     """What both forms of the join share: classes, and prefix shingles that classes have in common."""
 
     def __init__(self, documents: DataFrame, key: str, size: int, percent: int):
-        self._documents, self._size, self._percent = documents.select(key, "text"), size, percent
+        self._all, self._key, self._size, self._percent = bounded(documents).select(key, "text"), key, size, percent
         described = kept(_described(documents, key, size), "shingled")
         self.documents = described.filter("block IS NULL").select("id", "cls", "n", "parts")
         classes = self.documents.filter("n > 0").groupBy("cls").agg(
             F.min("id").alias("least"), F.first("n").alias("n"), F.first("parts").alias("parts")
         )
         self.classes = kept(classes, "classes")
-        prefixes = kept(_prefixes(documents, _counters(described), size, percent), "prefixes")
+        # Made twice, once to count and once to join: that costs less than a table of them.
+        prefixes = _prefixes(documents, _counters(described), size, percent)
         # Only shingles of two classes or more can make a pair.
-        shared = prefixes.groupBy("token").agg(F.min("cls").alias("pivot"), F.max("cls").alias("last"))
-        shared = shared.filter("pivot < last").select("token", "pivot")
-        self._buckets = kept(prefixes.join(shared, "token").distinct(), "buckets")
-
-    def star_pairs(self) -> DataFrame:
-        """Each class and the smallest class of each of its prefix shingles."""
-        pairs = self._buckets.filter("pivot < cls").select(F.col("pivot").alias("a"), F.col("cls").alias("b")).distinct()
-        return kept(_plausible(pairs, self.classes, self._percent), "star-pairs")
-
-    def cross_pairs(self, labels: DataFrame | None, done: DataFrame | None) -> DataFrame:
-        """All pairs of classes with a common prefix shingle and different labels, filtered; not those done."""
-        buckets = self._buckets.drop("pivot")
-        if labels is None:
-            labelled = buckets.withColumn("label", F.col("cls"))
-        else:
-            roots = labels.select(F.col("node").alias("cls"), "root")
-            labelled = buckets.join(roots, "cls", "left").withColumn("label", F.coalesce("root", "cls")).drop("root")
-        mixed_ = labelled.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
-        open_ = kept(labelled.join(mixed_.select("token"), "token", "left_semi"), "open-buckets")
-        # Labels of a shingle first, so that classes of one component are never compared.
-        groups = open_.select("token", "label").distinct()
-        two = groups.select("token", F.col("label").alias("other"))
-        between = groups.join(two, "token").filter("label < other")
-        left = open_.select("token", "label", F.col("cls").alias("x"), F.col("n").alias("nx"), F.col("pos").alias("px"))
-        right = open_.select("token", F.col("label").alias("other"), F.col("cls").alias("y"), F.col("n").alias("ny"), F.col("pos").alias("py"))
-        met = between.join(left, ["token", "label"]).join(right, ["token", "other"])
-        met = met.filter(F.lit(100) * F.least("nx", "ny") >= F.lit(self._percent) * F.greatest("nx", "ny"))
-        ordered = met.select(
-            F.least("x", "y").alias("a"),
-            F.greatest("x", "y").alias("b"),
-            "nx",
-            "ny",
-            (F.col("x") < F.col("y")).alias("as_is"),
-            "px",
-            "py",
-        )
-        counted = ordered.groupBy("a", "b").agg(
+        shared = prefixes.groupBy("token").agg(F.min("cls").alias("low"), F.max("cls").alias("high"))
+        several = shared.filter("low < high").select("token")
+        self.buckets = kept(prefixes.join(several, "token", "left_semi").distinct(), "buckets")
+
+    def compared(self, pairs: DataFrame, near: int = 101) -> DataFrame:
+        return _compared(self._all, self._key, self.classes, pairs, self._size, near)
+
+    def links(self, compared: DataFrame) -> DataFrame:
+        return compared.filter(_enough(F.col("overlap"), F.col("na"), F.col("nb"), self._percent))
+
+    def possible(self, met: DataFrame, done: DataFrame | None) -> DataFrame:
+        """Pairs of ``x_cls, y_cls`` that met on shingles, by the position, length and suffix filters."""
+        as_is = F.col("x_cls") < F.col("y_cls")
+        turned = {c: F.when(as_is, F.col(f"x_{c}")).otherwise(F.col(f"y_{c}")).alias(f"{c}_a") for c in ("cls", "n", "pos")}
+        other = {c: F.when(as_is, F.col(f"y_{c}")).otherwise(F.col(f"x_{c}")).alias(f"{c}_b") for c in ("cls", "n", "pos")}
+        pairs = met.filter(_fits(F.col("x_n"), F.col("y_n"), self._percent)).select(*turned.values(), *other.values())
+        counted = pairs.groupBy(F.col("cls_a").alias("a"), F.col("cls_b").alias("b")).agg(
             F.count(F.lit(1)).alias("shared"),
-            F.max(F.when(F.col("as_is"), F.col("nx")).otherwise(F.col("ny"))).alias("na"),
-            F.max(F.when(F.col("as_is"), F.col("ny")).otherwise(F.col("nx"))).alias("nb"),
-            F.max(F.when(F.col("as_is"), F.col("px")).otherwise(F.col("py"))).alias("ia"),
-            F.max(F.when(F.col("as_is"), F.col("py")).otherwise(F.col("px"))).alias("ib"),
+            *(F.max(c).alias(c) for c in ("n_a", "n_b", "pos_a", "pos_b")),
         )
-        rest = F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib"))
-        possible = counted.filter(_enough(F.col("shared") + rest, F.col("na"), F.col("nb"), self._percent))
+        rest = F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b"))
+        found = counted.filter(_enough(F.col("shared") + rest, F.col("n_a"), F.col("n_b"), self._percent))
         if done is not None:
-            possible = possible.join(done, ["a", "b"], "left_anti")
-        return kept(_plausible(possible, self.classes, self._percent), "cross-pairs")
-
-    def verified(self, pairs: DataFrame) -> DataFrame:
-        return kept(_verified(self._documents, pairs, self._size, self._percent), "links")
+            found = found.join(done.select("a", "b"), ["a", "b"], "left_anti")
+        return _plausible(found, self.classes, self._percent)
 
 
 def similar_classes(
     documents: DataFrame, key: str = "doc_id", size: int = WORDS, percent: int = PERCENT
 ) -> tuple[DataFrame, DataFrame]:
-    """All links: ``a, b, na, nb, overlap`` between classes of equal sets, and ``id, cls, n`` of the documents."""
+    """All links: ``a, b, na, nb, overlap`` between classes of equal sets, and ``id, cls, n`` of the documents.
+
+    Each pair of classes with a common prefix shingle is looked at, also in groups of near copies.
+    """
     join = _Join(documents, key, size, percent)
-    return join.verified(join.cross_pairs(None, None)), join.documents.select("id", "cls", "n")
+    rows = join.buckets.withColumn("label", F.col("cls"))
+    found = join.compared(join.possible(_meetings(rows, ["token"], F.lit(True)), None))
+    return join.links(found).select("a", "b", "na", "nb", "overlap").distinct(), join.documents.select("id", "cls", "n")
+
+
+def _centres(buckets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The buckets with the ``centre`` of each shingle: of its classes the one that shares most shingles with
+    most. And how much each class shares, its ``degree``."""
+    sizes = buckets.groupBy("token").agg(F.count(F.lit(1)).alias("size"))
+    shares = buckets.join(sizes, "token").groupBy("cls").agg(F.sum(F.col("size") - 1).alias("degree"))
+    shares = kept(shares, "degrees")
+    most = buckets.join(shares, "cls").groupBy("token").agg(F.max(F.struct("degree", "cls")).alias("most"))
+    centres = most.select("token", F.col("most.cls").alias("centre")).join(sizes, "token")
+    return kept(buckets.join(centres, "token"), "centred"), shares
+
+
+def _spokes(centred: DataFrame, percent: int) -> DataFrame:
+    """``a, b``: a centre and a class with which it shares a quarter of the prefix of the smaller one, or a
+    shingle of many classes: what is near its centre need not meet the many."""
+    sizes = centred.filter("cls = centre").groupBy("cls").agg(F.first("n").alias("na")).withColumnRenamed("cls", "centre")
+    counted = centred.filter("cls <> centre").groupBy("centre", "cls").agg(
+        F.count(F.lit(1)).alias("shared"), F.max("size").alias("crowd"), F.first("n").alias("nb")
+    )
+    met = counted.join(sizes, "centre")
+    smaller = F.least("na", "nb")
+    prefix = smaller - F.ceil(F.lit(percent) * smaller / 100) + 1
+    close = ((F.col("shared") * 4 >= prefix) | (F.col("crowd") >= CROWD)) & _fits(F.col("na"), F.col("nb"), NEAR)
+    return kept(met.filter(close).select(F.col("centre").alias("a"), F.col("cls").alias("b"), "na", "nb"), "spokes")
+
+
+def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    roots = labels.select(F.col("node").alias("cls"), F.col("root"))
+    return rows.join(roots, "cls", "left").withColumn("label", F.coalesce("root", "cls")).drop("root")
+
+
+def _belonging(compared: DataFrame, degrees: DataFrame) -> DataFrame:
+    """Of each class that is near a centre the comparison with the one of them that shares most: ``a`` is that centre."""
+    near = compared.filter("added IS NOT NULL").dropDuplicates(["a", "b"])
+    ranked = near.join(degrees.withColumnRenamed("cls", "a"), "a")
+    most = ranked.groupBy("b").agg(F.max(F.struct("degree", "a")).alias("most")).select("b", F.col("most.a").alias("a"))
+    return kept(near.join(most, ["a", "b"]), "belonging")
+
+
+def _links_around(belonging: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """``a, b`` of the links between classes of one centre that have different labels.
+
+    Of a centre of ``c`` shingles, ``x`` lacks ``mx`` and ``y`` lacks ``my``. They share ``c - mx - my``
+    shingles of it, those that both lack, and those that both added. So a link needs
+    ``t - c + mx + my`` shingles that both lack or both added, for ``t`` that all links need. Both lack
+    no more than the smaller of ``mx`` and ``my``: without a common addition ``t + max(mx, my)`` may not
+    be above ``c``. Two that link to the centre have one label, so one that does not is asking.
+    """
+    near = belonging.select(
+        F.col("a").alias("centre"),
+        F.col("na").alias("c"),
+        F.col("b").alias("cls"),
+        F.col("nb").alias("n"),
+        F.size("lacking").alias("m"),
+        (~_enough(F.col("overlap"), F.col("na"), F.col("nb"), percent)).alias("asks"),
+        "added",
+        "lacking",
+    )
+    near = kept(_labelled(near, labels), "near")
+    pair = ["centre", "x_cls", "y_cls"]
+    # Those that added the same.
+    added = near.select("centre", F.explode("added").alias("token"), "cls", "label", "asks")
+    by_added = _meetings(added, ["centre", "token"], F.col("asks")).select(*pair)
+    # Those that lack the same. t + m <= c bounds the size of the other: sizes meet in bands, so that
+    # only classes short enough are looked at.
+    least = near.groupBy("centre").agg(F.min("n").alias("least"))
+    sized = near.join(least, "centre")
+    top = F.floor(F.lit(100 + percent) * (F.col("c") - F.col("m")) / F.lit(percent)) - F.col("n")
+    band = F.greatest(F.lit(1), F.floor(F.col("c") / 64))
+    short = sized.withColumns({"top": top, "band": band}).filter(F.col("top") >= F.col("least"))
+    bands = F.sequence(F.floor(F.col("least") / F.col("band")), F.floor(F.least(F.col("top"), 2 * F.col("c")) / F.col("band")))
+    asking = short.filter("asks").withColumn("own", F.explode(bands))
+    x = asking.select("centre", "own", F.explode("lacking").alias("token"), F.col("cls").alias("x_cls"), F.col("label").alias("lx"), "top")
+    y = short.withColumn("own", F.floor(F.col("n") / F.col("band"))).select(
+        "centre", "own", F.explode("lacking").alias("token"), F.col("cls").alias("y_cls"), F.col("label").alias("ly"), "n", F.col("top").alias("ty"), "asks"
+    )
+    nx = asking.select("centre", F.col("cls").alias("x_cls"), F.col("n").alias("nx")).distinct()
+    met = x.join(y, ["centre", "own", "token"]).filter("lx <> ly AND n <= top")
+    by_lacking = met.select(*pair, "ty").distinct().join(nx, ["centre", "x_cls"]).filter("nx <= ty").select(*pair)
+    pairs = by_added.union(by_lacking).distinct()
+    one = near.select("centre", F.col("cls").alias("x_cls"), "c", F.col("n").alias("nx"), F.col("m").alias("mx"), F.col("added").alias("ax"), F.col("lacking").alias("lx"))
+    two = near.select("centre", F.col("cls").alias("y_cls"), F.col("n").alias("ny"), F.col("m").alias("my"), F.col("added").alias("ay"), F.col("lacking").alias("ly"))
+    both = pairs.join(one, ["centre", "x_cls"]).join(two, ["centre", "y_cls"])
+    overlap = F.col("c") - F.col("mx") - F.col("my") + F.size(F.array_intersect("lx", "ly")) + F.size(F.array_intersect("ax", "ay"))
+    linked = both.filter(_enough(overlap, F.col("nx"), F.col("ny"), percent))
+    return linked.select(F.col("x_cls").alias("a"), F.col("y_cls").alias("b"))
 
 
 def components(documents: DataFrame, key: str = "doc_id", size: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """``n_shingles`` and ``component_id`` of every document: the smallest id that links lead to."""
     join = _Join(documents, key, size, percent)
-    stars = join.star_pairs()
-    near = join.verified(stars)
-    labels = kept(connected(near.select("a", "b")), "labels")
-    others = join.verified(join.cross_pairs(labels, stars.select("a", "b")))
-    # The second links join components of the first.
+    centred, degrees = _centres(join.buckets)
+    compared = join.compared(_spokes(centred, percent), NEAR)
+    labels = kept(connected(join.links(compared).select("a", "b")), "labels")
+    belonging = _belonging(compared, degrees)
+    around = kept(_links_around(belonging, labels, percent), "links")
+    # Classes that belong to different centres meet on the shingle itself: one of the two does not
+    # belong where the centre of the shingle belongs.
+    of_class = belonging.select(F.col("b").alias("cls"), F.col("a").alias("home"))
+    of_centre = belonging.select(F.col("b").alias("centre"), F.col("a").alias("main"))
+    rows = centred.join(of_class, "cls", "left").join(of_centre, "centre", "left")
+    home, main = F.coalesce("home", "cls"), F.coalesce("main", "centre")
+    rows = rows.select("token", "cls", "n", "pos", home.alias("home"), (home != main).alias("asks"))
+    done = compared.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    met = _meetings(_labelled(rows, labels), ["token"], F.col("asks")).filter("x_home <> y_home")
+    others = join.links(join.compared(join.possible(met, done)))
+    # The later links join components of the first.
+    found = around.union(others.select("a", "b"))
     root_a = labels.select(F.col("node").alias("a"), F.col("root").alias("ra"))
     root_b = labels.select(F.col("node").alias("b"), F.col("root").alias("rb"))
-    linked = others.select("a", "b").join(root_a, "a", "left").join(root_b, "b", "left")
+    linked = found.join(root_a, "a", "left").join(root_b, "b", "left")
     merged = kept(connected(linked.select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))), "labels")
     classes = (
         join.classes.select("cls", "least")
