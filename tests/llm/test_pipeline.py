@@ -9,13 +9,13 @@ def folder(spark, documents, hard, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("tables"))
     ten = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
     clean = [(100 + i, f"document number {i} speaks about the weather in town {i * 7} and nothing else at all {i}") for i in range(20)]
-    rows = [(200, "what a vilxen fool you are today"), (201, f"here is {ten} again"), (202, clean[0][1]), (203, clean[0][1].upper())]
+    rows = [(200, "you vilxen fool number 99 of many"), (201, f"here is {ten} again"), (202, clean[0][1]), (203, clean[0][1].upper())]
     rows += [(300 + i, f"own words {i} of it\nthis very line stands in all of these documents") for i in range(4)]
     documents(clean + rows).union(hard).write.parquet(f"{path}/documents.parquet")
     toxic = [(1000 + i, f"you vilxen fool number {i} of many") for i in range(30)]
     fine = [(2000 + i, f"you are a good friend {i} and so on") for i in range(30)]
     documents(toxic + fine).write.mode("append").parquet(f"{path}/documents.parquet")
-    labels = [(i, 1, 1) for i, _ in toxic] + [(i, 1, 0) for i, _ in fine]
+    labels = [(i, 1, 1) for i, _ in toxic] + [(i, 1, 0) for i, _ in fine + clean]
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
     spark.createDataFrame([(1, ten)], "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
     return path
