@@ -26,8 +26,11 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of similar ones stays: the one with the smallest id."""
-    return jaccard.one_of_each(docs)
+    """One document of each group of similar ones stays: the one with the smallest id.
+
+    Similar are 0.8 of the shingles of five words; the query ``op7_ngram_join`` has its own numbers.
+    """
+    return jaccard.one_of_each(docs, size=5, percent=80)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,8 +1,12 @@
+import random
+
 import pytest
 
 import corpus_pipeline
 from cartlane.llm import registry
 
+from .test_jaccard import edited_copies, near_copies, plain_set, roots
+
 
 @pytest.fixture(scope="module")
 def folder(spark, documents, hard, tmp_path_factory):
@@ -54,6 +58,35 @@ def test_registered():
     assert "pipeline" in registry.QUERIES and set(registry.ORACLES) <= set(registry.QUERIES)
 
 
+def similar_rows(seed):
+    """Copies with words appended and with scattered edits, beside the groups of the join's own tests."""
+    draw = random.Random(seed)
+    word = lambda: "".join(draw.choices("abcdefgh", k=5))
+    texts = [t for _, t in near_copies(seed) + edited_copies(seed)]
+    for added in (20, 30, 45, 49, 50, 60):
+        base = [word() for _ in range(200)]
+        texts += [" ".join(base), " ".join(base + [word() for _ in range(added)])]
+    for edits in (4, 8, 10, 11, 12, 16):
+        base = [word() for _ in range(500)]
+        copy = list(base)
+        for i in range(edits):
+            copy[20 + i * 500 // edits] = word()
+        texts += [" ".join(base), " ".join(copy)]
+    draw.shuffle(texts)
+    return list(enumerate(texts))
+
+
+@pytest.mark.parametrize("seed", [11, 12])
+def test_near_copies_share_four_fifths_of_five_words(spark, documents, seed):
+    rows = similar_rows(seed)
+    sets = {i: plain_set(t, 5) for i, t in rows}
+    share = {(a, b): len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a in sets for b in sets if a < b and sets[a] and sets[b]}
+    assert sum(0.8 <= s < 0.9 for s in share.values()) > 10
+    want = roots(sets, [(a, b) for a, b in share if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])])
+    left = corpus_pipeline.drop_near_copies(spark, documents(rows), "")
+    assert sorted(r["doc_id"] for r in left.collect()) == sorted(set(want.values()))
+
+
 def test_empty_tables(spark, folder, tmp_path):
     for table in ("documents", "labels", "benchmark"):
         spark.read.parquet(f"{folder}/{table}.parquet").limit(0).write.parquet(f"{tmp_path}/{table}.parquet")
