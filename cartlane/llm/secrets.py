@@ -42,15 +42,17 @@ WINDOW = 20
 THRESHOLDS = {"digits": 3.1, "hex": 3.4, "lower": 3.9, "letters": 4.0, "mixed": 3.7}
 
 #: What is no secret though it looks random: names of hashes and ids stand right before it,
-#: or the string itself is an id with dashes, a path, or a placeholder.
+#: or the string itself is an id with dashes, a path, or a name in parts.
 ALLOW_BEFORE = re.compile(r"(?:sha(?:1|256|512)|md5|crc32|etag|commit|rev|uuid|integrity)[\s:=\"'-]*$", re.IGNORECASE)
 ALLOW_WHOLE = (
     re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"),
     re.compile(r"(?:/?[A-Za-z0-9_-]+)(?:/[a-z0-9_-]+){2,}/?"),
     re.compile(r"[A-Za-z]*(?:[_-][A-Za-z]+)+"),
-    re.compile(r".*(?:EXAMPLE|example|placeholder|xxxxx|XXXXX|changeme).*"),
 )
 
+#: What stands for a secret: windows that touch it are none, whatever is beside it in the run still counts.
+PLACEHOLDER = re.compile(r"EXAMPLE|example|placeholder|x{5,}|X{5,}|changeme")
+
 Span = tuple[int, int, int]
 
 
@@ -103,6 +105,17 @@ def entropy_spans(token: str, window: int = WINDOW, thresholds: dict[str, float]
     return spans
 
 
+def _pieces(token: str) -> Iterator[tuple[int, str]]:
+    """What is between placeholders, with its place, where a window fits in."""
+    begin = 0
+    for m in PLACEHOLDER.finditer(token):
+        if m.start() - begin >= WINDOW:
+            yield begin, token[begin : m.start()]
+        begin = m.end()
+    if len(token) - begin >= WINDOW:
+        yield begin, token[begin:]
+
+
 def scan(text: str) -> Scan:
     """All spans of one whole text, in code points."""
     base = [(m.start(), 0, m.end()) for m in _ASSIGN.finditer(text) if m.end(2) - m.start(2) >= LEAST_ASSIGN]
@@ -114,7 +127,9 @@ def scan(text: str) -> Scan:
         token = m.group()
         if ALLOW_BEFORE.search(text, max(0, m.start() - 16), m.start()) or any(p.fullmatch(token) for p in ALLOW_WHOLE):
             continue
-        found += [(m.start() + b, len(KINDS), m.start() + e) for b, e in entropy_spans(token)]
+        for begin, piece in _pieces(token):
+            if not any(p.fullmatch(piece) for p in ALLOW_WHOLE):
+                found += [(m.start() + begin + b, len(KINDS), m.start() + begin + e) for b, e in entropy_spans(piece)]
     return Scan(sorted(base), found)
 
 

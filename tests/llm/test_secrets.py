@@ -59,6 +59,15 @@ def test_allow_list():
     assert not secrets.scan("https://example.org/some/long/path-of-words/here").found
 
 
+def test_placeholder_hides_only_what_touches_it():
+    key = "kJ8s0dPq3VxZ7mN2bT5yRw9L"
+    for word in ("example", "EXAMPLE", "placeholder", "changeme", "xxxxxxx"):
+        ((begin, _, end),) = secrets.scan(f"{word}/key={key}").found
+        assert begin >= len(word) and end == len(word) + 5 + len(key)
+        assert [(b, e) for b, _, e in secrets.scan(key + word + key).found] == [(0, 24), (24 + len(word), 48 + len(word))]
+    assert not secrets.scan("kJ8s0dPq3VxEXAMPLE7mN2bT5yRw9L").found
+
+
 def test_query_shape(spark, hard):
     got = {(r["doc_id"], r["spans"], r["base_sha256"]) for r in secrets.scan_secrets(hard).collect()}
     nothing = hashlib.sha256(b"").hexdigest()
