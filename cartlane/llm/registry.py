@@ -9,7 +9,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartlane.llm import bpe, decontaminate, jaccard, lines, quality, secrets, sharding, toxicity, urls, vectors
+from cartlane.llm import (
+    bpe,
+    decontaminate,
+    jaccard,
+    lines,
+    quality,
+    secrets,
+    sharding,
+    tokens,
+    toxicity,
+    urls,
+    vectors,
+)
 from cartlane.llm.shared import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -200,4 +212,9 @@ def op4_vector_search(spark: SparkSession, folder: str) -> DataFrame:
     return vectors.search_every(read(spark, folder, "embeddings"))
 
 
+@query
+def op13_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return tokens.count_tokens(read(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
