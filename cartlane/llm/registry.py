@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 from cartlane.llm import (
     bpe,
     decontaminate,
+    divergence,
     jaccard,
     lines,
     quality,
+    ranked,
     secrets,
     sharding,
     tokens,
@@ -212,6 +214,72 @@ def op4_vector_search(spark: SparkSession, folder: str) -> DataFrame:
     return vectors.search_every(read(spark, folder, "embeddings"))
 
 
+@query
+def op11_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.source_divergence(read(spark, folder, "documents"))
+
+
+_DIVERGENCE = "({0}.p - {1}) * ({0}.p - {1}) // ({0}.p + {1})"
+
+ORACLES["op11_source_divergence"] = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS k, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    {_LOWER.format("coalesce(text, '')")} AS text FROM documents),
+words AS (
+  SELECT k, lang, source, unnest(regexp_extract_all(text, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM docs),
+kept AS (SELECT lang, term, count(*) AS total FROM words GROUP BY 1, 2 HAVING count(DISTINCT k) >= 10),
+langs AS (SELECT lang, sum(total) AS n, count(*) AS v FROM kept GROUP BY 1),
+own AS (SELECT lang, source, term, count(*) AS n FROM words JOIN kept USING (lang, term) GROUP BY 1, 2, 3),
+sizes AS (
+  SELECT lang, source, coalesce(sum(n), 0) AS n FROM (SELECT DISTINCT lang, source FROM docs)
+  LEFT JOIN own USING (lang, source) GROUP BY 1, 2),
+shares AS (
+  SELECT lang, s.source, term, coalesce(o.n, 0) AS n,
+    1 + 1000000000::HUGEINT * (coalesce(o.n, 0) + 2)::HUGEINT // (s.n + 2 * l.v)::HUGEINT AS p,
+    1 + 1000000000::HUGEINT * (k.total + 2)::HUGEINT // (l.n + 2 * l.v)::HUGEINT AS q
+  FROM sizes s JOIN langs l USING (lang) JOIN kept k USING (lang) LEFT JOIN own o USING (lang, source, term)),
+sums AS (
+  SELECT x.lang, x.source, y.source AS item, sum({_DIVERGENCE.format("x", "y.p")}) AS value
+  FROM shares x JOIN shares y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY 1, 2, 3),
+pairs AS (
+  SELECT x.lang, x.source, y.source AS item, coalesce(value, 0) AS value
+  FROM sizes x JOIN sizes y ON x.lang = y.lang AND x.source <> y.source
+  LEFT JOIN sums ON sums.lang = x.lang AND sums.source = x.source AND sums.item = y.source),
+parts AS (
+  SELECT lang, source, 'pair' AS part, item, value FROM pairs
+  UNION ALL
+  SELECT lang, source, 'term', term, {_DIVERGENCE.format("shares", "q")} FROM shares WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM parts)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INT AS rank FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
+
+@query
+def op12_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked.best_documents(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+
+
+_TERMS = f"unnest(regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+'))"
+
+ORACLES["op12_ranked_search"] = f"""
+WITH words AS (SELECT k, doc_id, {_TERMS} AS term FROM (SELECT row_number() OVER () AS k, doc_id, text FROM documents)),
+asked AS (SELECT DISTINCT k, item_id, {_TERMS} AS term FROM (SELECT row_number() OVER () AS k, item_id, text FROM benchmark)),
+lengths AS (SELECT k, doc_id, count(*) AS n FROM words GROUP BY 1, 2),
+total AS (SELECT count(*) AS docs, sum(n)::BIGINT AS words FROM lengths),
+tfs AS (SELECT k, doc_id, term, count(*) AS tf FROM words WHERE term IN (SELECT term FROM asked) GROUP BY 1, 2, 3),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+  FROM (SELECT term, count(*) AS df FROM tfs GROUP BY 1), total),
+norms AS (SELECT k, 10 + (90 * n * docs) // words AS m FROM lengths, total),
+scores AS (
+  SELECT asked.k, item_id, doc_id, tfs.k AS row, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM asked JOIN tfs USING (term) JOIN weights USING (term) JOIN norms ON norms.k = tfs.k GROUP BY 1, 2, 3, 4),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY k ORDER BY score DESC, doc_id NULLS FIRST) AS rank FROM scores WHERE score > 0)
+SELECT item_id, rank::INT AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+
 @query
 def op13_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.count_tokens(read(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))

@@ -95,3 +95,33 @@ class RangeHash:
 
     def __call__(self, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
         return mixed((self._sums[ends] - self._sums[begins]) * self._back[begins] + (ends - begins).astype(np.uint64))
+
+
+#: Bytes that are compared at once.
+KEY_BYTES = 8
+
+# By the number of bytes left in a word: which bytes of a key belong to it.
+_INSIDE = np.array([0, *(((1 << 8 * n) - 1) << 8 * (KEY_BYTES - n) for n in range(1, KEY_BYTES + 1))], np.uint64)
+
+
+class Keys:
+    """Eight bytes of a word as one number that orders like the bytes; zeros behind the word's end.
+
+    A word without zero bytes has ended in a key whose last byte is zero.
+    """
+
+    def __init__(self, data: np.ndarray):
+        padded = np.concatenate([data, np.zeros(KEY_BYTES, np.uint8)])
+        self._at = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+
+    def __call__(self, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        left = ends - begins
+        return self._at[np.where(left > 0, begins, 0)].byteswap() & _INSIDE[np.clip(left, 0, KEY_BYTES)]
+
+
+def strings(data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The byte ranges as an Arrow array of strings."""
+    sizes = ends - begins
+    offsets = np.concatenate([[0], np.cumsum(sizes)])
+    picked = data[np.repeat(begins - offsets[:-1], sizes) + np.arange(offsets[-1])]
+    return pa.StringArray.from_buffers(len(begins), pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(picked))
