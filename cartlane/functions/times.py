@@ -34,7 +34,11 @@ def to_epoch_millis(ts: Column) -> Column:
     return F.timestamp_diff("MILLISECOND", _epoch(), ts)
 
 
+def to_epoch_micros(ts: Column) -> Column:
+    return F.timestamp_diff("MICROSECOND", _epoch(), ts)
+
+
 def to_second(ts: Column) -> Column:
     """Rounded to the nearest second, as a ``timestamp(0)`` column stores it."""
-    micros = F.timestamp_diff("MICROSECOND", _epoch(), ts) + 500_000
+    micros = to_epoch_micros(ts) + 500_000
     return F.timestamp_add("MICROSECOND", micros - F.pmod(micros, F.lit(1_000_000)), _epoch())

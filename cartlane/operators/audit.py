@@ -2,17 +2,23 @@
 
 Rules about one row are counted for a whole table in one pass. Unique keys and references
 count per key before anything is shuffled, so a frequent key costs one row per task.
+
+``audit_together`` takes all rules of many tables at once: one pass over each table for the rules
+about rows, and one for keys, of which every rule's go through the same shuffle, as 128 bits and a
+number for the rule.
 """
 
 from __future__ import annotations
 
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartlane.functions.times import to_second
-from cartlane.schemas import Table
+from cartlane.schemas import TABLES, Table
+from cartlane.sources.tables import literal_rows
 
 NOT_NULL, DOMAIN, LENGTH, DECIMAL = "not_null", "domain", "length", "decimal"
 UNIQUE, REFERENCE_KEY, TOTALS = "unique", "reference", "totals"
@@ -83,10 +89,45 @@ def orphans(child: DataFrame, column: str, parent: DataFrame, parent_key: str =
     return held.join(parent.select(F.col(parent_key).alias(column)).distinct(), column, "left_anti")
 
 
+def _present(key: list[str]) -> Column:
+    return reduce(and_, [F.col(c).isNotNull() for c in key])
+
+
+def _tagged(keys: list[list[str]], value) -> Column:
+    """An array with the number and ``value`` of each key that has no null."""
+    found = [F.when(_present(k), F.struct(F.lit(i).alias("tag"), value(k))) for i, k in enumerate(keys)]
+    return F.filter(F.array(*found), lambda entry: entry.isNotNull())
+
+
+def duplicate_keys_of(df: DataFrame, keys: list[list[str]]) -> DataFrame:
+    """``columns, key, rows``: for several unique keys, the values that occur more than once.
+
+    The table is read twice for any number of keys. First the keys' hashes are counted, in one
+    shuffle of 12 bytes a key; then the keys whose hash came once are left out, which are nearly all
+    in a sound table, and the rest are counted as they are. ``key`` has the values as text.
+    """
+    hashed = df.select(F.inline(_tagged(keys, lambda k: F.xxhash64(*k).alias("hash"))))
+    twice = hashed.groupBy("tag", "hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("tag", "hash")
+
+    def whole(key: list[str]) -> Column:
+        values = F.array(*[F.col(c).cast("string") for c in key])
+        return F.struct(F.xxhash64(*key).alias("hash"), values.alias("key")).alias("entry")
+
+    entries = df.select(F.inline(_tagged(keys, whole))).select("tag", "entry.*")
+    found = entries.join(twice, ["tag", "hash"], "left_semi").groupBy("tag", "key").agg(F.count(F.lit(1)).alias("rows"))
+    names = F.element_at(F.array(*[F.lit(",".join(k)) for k in keys]), F.col("tag") + 1)
+    return found.filter("rows > 1").select(names.alias("columns"), "key", "rows")
+
+
+def breaks_total() -> Column:
+    """True where the total differs by more than a cent from amount + tax - discount."""
+    total = F.col("order_amount") + F.col("tax_amount") - F.col("discount_amount")
+    return F.abs(total - F.col("total_amount")) > F.lit("0.01").cast("decimal(3,2)")
+
+
 def wrong_totals(orders: DataFrame) -> DataFrame:
     """Orders whose total differs by more than a cent from amount + tax - discount."""
-    total = F.col("order_amount") + F.col("tax_amount") - F.col("discount_amount")
-    return orders.filter(F.abs(total - F.col("total_amount")) > F.lit("0.01").cast("decimal(3,2)"))
+    return orders.filter(breaks_total())
 
 
 def _entry(df: DataFrame, table_name: str, rule: str, columns: list[str], violations: Column) -> DataFrame:
@@ -135,6 +176,59 @@ def audit_table(table: Table, frames: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+_AMOUNTS = {"order_amount", "tax_amount", "discount_amount", "total_amount"}
+
+
+def audit_together(frames: dict[str, DataFrame], names: list[str]) -> DataFrame:
+    """The reports of several tables as one: ``table_name, rule, columns, violations``.
+
+    ``frames`` holds those tables and the parents they refer to by name; rules on columns or parents
+    that are not there are left out. Each table is read twice at most, a parent that is not audited
+    itself once, and the keys of all rules are shuffled together.
+    """
+    parts, rules = [], []
+    entries: dict[str, list[Column]] = {}
+
+    def enter(table: str, key: list[str], tag: int, rows: int, parents: int) -> None:
+        # Two hashes with the tag as part of them: 128 bits stand for the key.
+        text = [F.col(c).cast("string") for c in key]
+        halves = [F.xxhash64(F.lit(half), *text).alias(f"hash{half}") for half in (0, 1)]
+        counts = [F.lit(rows).cast("long").alias("rows"), F.lit(parents).cast("long").alias("parents")]
+        entry = F.struct(F.lit(tag).alias("tag"), *halves, *counts)
+        entries.setdefault(table, []).append(F.when(_present(key), entry))
+
+    for name in names:
+        table, present = TABLES[name], set(frames[name].columns)
+        tests = row_rules(table, frames[name].columns)
+        if name == "orders" and present >= _AMOUNTS:
+            tests.append((TOTALS, "total_amount", breaks_total()))
+        if tests:
+            parts.append(count_row_violations(frames[name], name, tests))
+        for key in (("id",), *table.unique):
+            if present.issuperset(key):
+                enter(name, list(key), len(rules), 1, 0)
+                rules.append((name, UNIQUE, ",".join(key), len(rules)))
+        for column, parent in table.references.items():
+            if column in present and parent in frames:
+                enter(name, [column], len(rules), 1, 0)
+                enter(parent, ["id"], len(rules), 0, 1)
+                rules.append((name, REFERENCE_KEY, column, len(rules)))
+    if rules:
+        tagged = [
+            frames[name].select(F.inline(F.filter(F.array(*found), lambda entry: entry.isNotNull()))) for name, found in entries.items()
+        ]
+        keys = reduce(DataFrame.unionByName, tagged).groupBy("tag", "hash0", "hash1")
+        counted = keys.agg(F.sum("rows").alias("rows"), F.sum("parents").alias("parents"))
+        unique = F.col("tag").isin([tag for _, rule, _, tag in rules if rule == UNIQUE])
+        wrong = F.when(unique, F.col("rows") - 1).when(F.col("parents") == 0, F.col("rows")).otherwise(F.lit(0))
+        # One row per rule.
+        found = counted.groupBy("tag").agg(F.sum(wrong).alias("violations"))
+        listed = literal_rows(frames[names[0]].sparkSession, ["table_name", "rule", "columns", "tag"], rules)
+        report = listed.join(found, listed["tag"] == found["tag"], "left")
+        parts.append(report.select("table_name", "rule", "columns", F.coalesce("violations", F.lit(0)).alias("violations")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def fill_defaults(df: DataFrame, table: Table, now: Column) -> DataFrame:
     """Nulls of columns with a default replaced by it; columns not supplied are added."""
     columns = {}

@@ -16,6 +16,7 @@ from cartlane.operators.upserts import insert_new
 from cartlane.plans.assign import assign
 from cartlane.plans.keys import with_surrogate_key
 from cartlane.plans.scratch import written
+from cartlane.plans.trees import subtree_totals, tree_intervals
 
 # Names of parent categories, tags per product, ranges of product values.
 PARENT_PREFIX = "Product"
@@ -37,6 +38,21 @@ def new_categories(
     return assign(slugged, [order], parents, ["id"], {"id": "category_id"}, f"{seed}-parent", null_slot=True)
 
 
+def given_categories(
+    rows: DataFrame, order: str, existing: DataFrame, as_of, existing_rows: DataFrame | None = None, start=None
+) -> DataFrame:
+    """Categories as stored: ``category_name`` under the given ``category_id``, or at the top without one.
+
+    A row whose parent is not there is left out, as a reference has to hold. Slugs and keys are given to
+    the others in ``order``, so a row that is left out takes none.
+    """
+    parents = existing.select(F.col("id").alias("category_id")).distinct()
+    under = rows.join(parents, "category_id", "left_semi").unionByName(rows.filter("category_id IS NULL"))
+    slugged = unique_slugs(under.select(order, "category_name", "category_id"), "category_name", order, existing)
+    stored = slugged.withColumn("created_at", as_of_column(as_of))
+    return with_surrogate_key(stored, [order], "id", existing if existing_rows is None else existing_rows, start).drop(order)
+
+
 def with_parent_name(categories: DataFrame) -> DataFrame:
     """Adds the name of the category one level up."""
     parents = categories.select(F.col("id").alias("category_id"), F.col("category_name").alias("parent_name"))
@@ -85,6 +101,14 @@ def category_levels(categories: DataFrame) -> DataFrame:
     return state.select("id", F.col("up").alias("root_id"), F.col("steps").alias("depth"))
 
 
+def category_rollup(categories: DataFrame, facts: DataFrame, values: list[str]) -> DataFrame:
+    """``id, depth`` and the sums of ``values`` over all facts of each category and those below it.
+
+    ``facts`` name a ``category_id``. Categories on a cycle come with null sums.
+    """
+    return subtree_totals(tree_intervals(categories), facts, "category_id", values)
+
+
 def draw_product_values(
     products: DataFrame, keys: list[str], categories: DataFrame, brands: DataFrame, seed: str
 ) -> DataFrame:
@@ -125,19 +149,29 @@ def associate_tags(
     existing: DataFrame,
     cap: int = TAG_CAP,
     mode: str = REFERENCE,
+    batch: str | None = None,
 ) -> DataFrame:
     """The candidate (product, tag) pairs to insert.
 
     Reference mode turns candidates away when the product already had ``cap`` tags before
     the batch. Strict mode also counts the batch, in ``order``.
+
+    ``batch`` is a column with the number of each candidate's batch, for any number of batches at
+    once: each finds the tags there that the ones before it left. All new pairs of a batch go in
+    while there is room, so a product takes pairs up to the batch of the one that takes its last place.
     """
-    fresh = insert_new(candidates, existing, ["product_id", "tag_id"], [order])
-    if check_mode(mode) == STRICT:
-        # The plain cap first: it is applied before the shuffle, so no product sends more.
-        place = F.row_number().over(W.partitionBy("product_id").orderBy(order))
-        fresh = fresh.withColumn("__place", place).filter(F.col("__place") <= cap)
+    sequence = [order] if batch is None else [batch, order]
+    fresh = insert_new(candidates, existing, ["product_id", "tag_id"], sequence)
     had = F.coalesce("tag_count", F.lit(0))
     concerned = existing.join(candidates.select("product_id").distinct(), "product_id", "left_semi")
-    counted = fresh.join(tags_per_product(concerned), "product_id", "left")
-    room = F.col("__place") <= cap - had if mode == STRICT else had < cap
-    return counted.filter(room).select(*candidates.columns)
+    counts = tags_per_product(concerned)
+    if check_mode(mode) == REFERENCE and batch is None:
+        return fresh.join(counts, "product_id", "left").filter(had < cap).select(*candidates.columns)
+    # The plain cap first: it is applied before the shuffle, so no product sends more.
+    place = F.row_number().over(W.partitionBy("product_id").orderBy(*sequence))
+    placed = fresh.withColumn("__place", place).filter(F.col("__place") <= cap).join(counts, "product_id", "left")
+    if mode == STRICT:
+        return placed.filter(F.col("__place") <= cap - had).select(*candidates.columns)
+    full = placed.filter(F.col("__place") == cap - had).select("product_id", F.col(batch).alias("__last"))
+    limited = fresh.join(counts, "product_id", "left").filter(had < cap).join(full, "product_id", "left")
+    return limited.filter(F.col("__last").isNull() | (F.col(batch) <= F.col("__last"))).select(*candidates.columns)

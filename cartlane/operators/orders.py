@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartlane.functions.draws import draw_chance, draw_decimal
@@ -101,14 +101,21 @@ def given_discounts(orders: DataFrame, discounts: DataFrame, as_of, mode: str =
     """Adds ``discount_amount`` (not yet rounded) to rows with ``order_amount`` and ``discount_id``.
 
     A discount that is not valid at ``as_of``, or unknown, counts as none; validity as in
-    ``apply_discounts``.
+    ``apply_discounts``. With a column of the orders as ``as_of`` each order has its own time.
     """
-    valid = active_at(discounts, as_of, window=check_mode(mode) == STRICT)
-    terms = valid.select(F.col("id").alias("discount_id"), F.col("type").alias("__type"), F.col("value").alias("__value"))
+    window = check_mode(mode) == STRICT
+    each = isinstance(as_of, Column)
+    valid = discounts if each else active_at(discounts, as_of, window)
+    terms = {"id": "discount_id", "type": "__type", "value": "__value"}
+    terms |= {"started_at": "__started", "expired_at": "__expired"} if each else {}
+    found = orders.join(valid.select(*[F.col(c).alias(name) for c, name in terms.items()]), "discount_id", "left")
+    if each:
+        holds = F.col("__expired") > as_of
+        holds = holds & (F.col("__started") <= as_of) if window else holds
+        found = found.withColumn("__type", F.when(holds, F.col("__type")))
     amount = discount_amount(F.col("__type"), F.col("__value"), F.col("order_amount"), mode)
     kept = F.when(F.col("__type").isNotNull(), F.col("discount_id"))
-    found = orders.join(terms, "discount_id", "left").withColumns({"discount_amount": amount, "discount_id": kept})
-    return found.drop("__type", "__value")
+    return found.withColumns({"discount_amount": amount, "discount_id": kept}).drop(*set(terms.values()) - {"discount_id"})
 
 
 def stored_amounts(orders: DataFrame) -> DataFrame:
@@ -151,8 +158,9 @@ def orders_from_picks(
 ) -> DataFrame:
     """Order rows for given picks: ``id``, user, staff, address, methods and ``discount_id`` of each order.
 
-    An order without lines is an order over nothing. The lines are shuffled once more, to be
-    summed; the picks meet the sums and the discounts. Nothing runs while it is built.
+    An order without lines is an order over nothing. ``as_of`` may be a column of the picks: each
+    order is then made at its own time. The lines are shuffled once more, to be summed; the picks meet
+    the sums and the discounts. Nothing runs while it is built.
     """
     sums = sum_lines(lines, "order_id", mode).withColumnRenamed("order_id", "id")
     nothing = F.lit(0).cast("decimal(15,2)")

@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartlane.functions.draws import draw_choice, draw_decimal, draw_int
-from cartlane.functions.times import as_of_column, plus_days
+from cartlane.functions.times import as_of_column, plus_days, to_epoch_micros
 from cartlane.plans.assign import assign
+from cartlane.plans.stabbing import stab
 from cartlane.schemas import AMOUNT, PERCENT
 
 # Days since the start and days of validity, discount values, code characters.
@@ -27,6 +28,17 @@ def active_at(rows: DataFrame, as_of, window: bool = False) -> DataFrame:
     return valid.filter(F.col("started_at") <= now) if window else valid
 
 
+def active_at_each(moments: DataFrame, at: str, rows: DataFrame, window: bool = False) -> DataFrame:
+    """Each moment with every row that is active then, as ``active_at`` tells it for one moment.
+
+    The two tables have no column in common.
+    """
+    points = moments.withColumn("__moment", to_epoch_micros(F.col(at)))
+    ends = {"__start": to_epoch_micros(F.col("started_at"))} if window else {}
+    spans = rows.withColumns({**ends, "__end": to_epoch_micros(F.col("expired_at"))})
+    return stab(points, spans, "__moment", "__start" if window else None, "__end").drop("__moment", "__start", "__end")
+
+
 def _window(now: Column, age: tuple[int, int], days: tuple[int, int], seed: str, keys: list[str]) -> dict[str, Column]:
     started = plus_days(now, -draw_int(f"{seed}-age", *age, *keys))
     return {

@@ -10,6 +10,12 @@ from cartlane.schemas import SEEDS, TABLES
 
 POSITION = ["file_path", "block_start", "row_in_task"]
 
+# What stands for no value in a file, quoted or not.
+NULL_TOKENS = [
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+]
+
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -37,12 +43,14 @@ def read_jdbc(
 def read_csv(spark: SparkSession, path: str, schema: str, position: bool = False) -> DataFrame:
     """A CSV file with a header row, its columns found by name.
 
-    The file may hold more columns than ``schema`` names, in any order. ``position`` adds
+    The file may hold more columns than ``schema`` names, in any order. ``NULL_TOKENS`` are null,
+    which a column is before it is read as its type; anything else of a wrong type is an error. ``position`` adds
     columns whose order is the order of rows in the file: the block's place in the file and
     a number that grows inside the block.
     """
     raw = spark.read.option("header", True).option("enforceSchema", False).csv(path)
-    columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in T.StructType.fromDDL(schema).fields]
+    value = {f.name: F.when(~F.col(f.name).isin(NULL_TOKENS), F.col(f.name)) for f in T.StructType.fromDDL(schema).fields}
+    columns = [value[f.name].cast(f.dataType).alias(f.name) for f in T.StructType.fromDDL(schema).fields]
     if position:
         columns += [
             F.col("_metadata.file_path").alias("file_path"),

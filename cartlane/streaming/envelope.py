@@ -6,6 +6,9 @@ operations r (snapshot), c, u and d; decimals as text and times as milliseconds.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,7 +19,10 @@ from cartlane.schemas import Table
 DELETE = "d"
 OPERATIONS = ("r", "c", "u", DELETE)
 
-UNREADABLE, INCOMPLETE = "unreadable", "incomplete"
+UNREADABLE, INCOMPLETE, UNFIT = "unreadable", "incomplete", "unfit"
+
+# Milliseconds of the first and the last moment of the years 1 to 9999.
+_MILLIS = (-62_135_596_800_000, 253_402_300_799_999)
 
 
 def _kept(table: Table, columns: list[str] | None) -> list:
@@ -59,25 +65,51 @@ def flatten(df: DataFrame, separator: str = ".") -> DataFrame:
     )
 
 
+def _text_schema(table: Table, columns: list[str] | None) -> T.StructType:
+    """The same fields, all as text: what is there can then be told from what can be taken."""
+    return T.StructType([T.StructField(f.name, T.StringType()) for f in envelope_schema(table, columns).fields])
+
+
+def _wire(name: str) -> Column:
+    return F.col(f"record.`{name}`")
+
+
+def _number(name: str) -> Column:
+    return _wire(name).try_cast("bigint")
+
+
+def _time(name: str) -> Column:
+    """A time in milliseconds, null beyond the years that a timestamp has."""
+    millis = _number(name)
+    return from_epoch_millis(F.when(millis.between(*_MILLIS), millis))
+
+
 def _from_wire(column) -> Column:
-    value = F.col(f"record.`after.{column.name}`")
-    if column.is_timestamp:
-        value = from_epoch_millis(value)
-    return value.cast(column.spark_type()).alias(column.name)
+    """The value of a column, null where it cannot be one of its type."""
+    name = f"after.{column.name}"
+    return _time(name) if column.is_timestamp else _wire(name).try_cast(column.spark_type())
+
+
+def _key() -> Column:
+    return F.coalesce(_number("after.id"), _number("before.id"))
 
 
 def _records(raw: DataFrame, table: Table, columns: list[str] | None) -> DataFrame:
-    """``record`` and what is wrong with it: nothing, or one of the two reasons.
+    """``record`` and what is wrong with it: nothing, or one of the three reasons.
 
     A record without a table cannot be read. One of this table has to have a key, a known
-    operation and a log position. Those of other tables are not looked at.
+    operation and a log position, and values that fit their columns. Those of other tables are not
+    looked at.
     """
-    read = raw.withColumn("record", F.from_json("value", envelope_schema(table, columns)))
-    source = F.col("record.`source.table`")
-    key = F.coalesce(F.col("record.`after.id`"), F.col("record.`before.id`"))
-    whole = key.isNotNull() & F.col("record.`source.lsn`").isNotNull()
-    whole = whole & F.coalesce(F.col("record.op").isin(*OPERATIONS), F.lit(False))
-    reason = F.when(source.isNull(), UNREADABLE).when((source == table.name) & ~whole, INCOMPLETE)
+    read = raw.withColumn("record", F.from_json("value", _text_schema(table, columns)))
+    source = _wire("source.table")
+    whole = _key().isNotNull() & _number("source.lsn").isNotNull()
+    whole = whole & F.coalesce(_wire("op").isin(*OPERATIONS), F.lit(False))
+    there = [(_wire(f"after.{c.name}"), _from_wire(c)) for c in _kept(table, columns) if c.name != "id"]
+    there.append((_wire("source.ts_ms"), _time("source.ts_ms")))
+    unfit = reduce(or_, [on_wire.isNotNull() & value.isNull() for on_wire, value in there])
+    mine = source == table.name
+    reason = F.when(source.isNull(), UNREADABLE).when(mine & ~whole, INCOMPLETE).when(mine & unfit, UNFIT)
     return read.select("value", "record", reason.alias("reason"))
 
 
@@ -88,25 +120,25 @@ def decode(raw: DataFrame, table: Table, columns: list[str] | None = None) -> Da
     ``columns`` does not name. ``rejects`` has the records that are left out.
     """
     records = _records(raw, table, columns)
-    mine = records.filter(F.col("reason").isNull() & (F.col("record.`source.table`") == table.name))
+    mine = records.filter(F.col("reason").isNull() & (_wire("source.table") == table.name))
     return mine.select(
-        F.coalesce(F.col("record.`after.id`"), F.col("record.`before.id`")).alias("id"),
-        F.col("record.op").alias("op"),
-        F.col("record.`source.lsn`").alias("lsn"),
-        (F.col("record.op") == DELETE).alias("deleted"),
-        from_epoch_millis(F.col("record.`source.ts_ms`")).alias("changed_at"),
-        *[_from_wire(c) for c in _kept(table, columns) if c.name != "id"],
+        _key().alias("id"),
+        _wire("op").alias("op"),
+        _number("source.lsn").alias("lsn"),
+        (_wire("op") == DELETE).alias("deleted"),
+        _time("source.ts_ms").alias("changed_at"),
+        *[_from_wire(c).alias(c.name) for c in _kept(table, columns) if c.name != "id"],
     )
 
 
-def rejects(raw: DataFrame, table: Table) -> DataFrame:
+def rejects(raw: DataFrame, table: Table, columns: list[str] | None = None) -> DataFrame:
     """``value, reason`` of the records that ``decode`` cannot take. Works on a stream as well."""
-    return _records(raw, table, []).filter(F.col("reason").isNotNull()).select("value", "reason")
+    return _records(raw, table, columns).filter(F.col("reason").isNotNull()).select("value", "reason")
 
 
-def reject_counts(raw: DataFrame, table: Table) -> DataFrame:
+def reject_counts(raw: DataFrame, table: Table, columns: list[str] | None = None) -> DataFrame:
     """``reason, records``: how many records were left out, and why."""
-    return rejects(raw, table).groupBy("reason").agg(F.count(F.lit(1)).alias("records"))
+    return rejects(raw, table, columns).groupBy("reason").agg(F.count(F.lit(1)).alias("records"))
 
 
 def table_of(raw: DataFrame) -> DataFrame:

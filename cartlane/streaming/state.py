@@ -3,8 +3,8 @@
 The change with the highest log position of a key counts, so repeats and records out of
 order do no harm. A stream needs no state of its own for this: each trigger is reduced to
 the last change per key and added to the table of changes, and readers take the last change
-of each key there. Every few triggers the changes so far are reduced to one row per key, so
-what is read stays as large as the state.
+of each key there. Every few triggers the ranges of keys that changed are reduced to one row per key,
+so what is read stays as large as the state.
 """
 
 from __future__ import annotations
@@ -13,13 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from cartlane.plans.scratch import children, exists, remove
-from cartlane.sources.sinks import BATCH, read_batches, write_batch
-
-#: Triggers between two reductions.
-EVERY = 16
-
-_UPTO = "upto"
+from cartlane.sources.sinks import write_batch
+from cartlane.streaming.versions import EVERY, Versions, add, reduce, reduce_before, rows_of
 
 
 def latest_changes(changes: DataFrame) -> DataFrame:
@@ -54,60 +49,37 @@ def write_changes(changes: DataFrame, path: str, checkpoint: str) -> StreamingQu
     )
 
 
+def _table(path: str) -> Versions:
+    return Versions(path, ("id",), "lsn")
+
+
 def write_state(changes: DataFrame, path: str, checkpoint: str, every: int = EVERY) -> StreamingQuery:
     """Runs the stream over what is there: each trigger adds the keys that changed.
 
     A trigger that is run again after a failure replaces its own folder.
     """
 
-    def add(batch: DataFrame, batch_id: int) -> None:
-        write_batch(latest_changes(batch), f"{path}/changes", batch_id)
-        if (batch_id + 1) % every == 0:
-            compact_state(batch.sparkSession, path, batch_id)
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        reduce_before(batch.sparkSession, _table(path), batch_id, every)
+        add(_table(path), latest_changes(batch), batch_id)
 
     return (
         changes.writeStream.option("checkpointLocation", checkpoint)
-        .foreachBatch(add)
+        .foreachBatch(merge)
         .trigger(availableNow=True)
         .start()
     )
 
 
-def _compacted(spark: SparkSession, path: str) -> list[int]:
-    """The triggers up to which there is a finished reduction, in order."""
-    names = [n for n in children(spark, f"{path}/compacted") if n.startswith(f"{_UPTO}=")]
-    return sorted(int(n.split("=")[1]) for n in names if exists(spark, f"{path}/compacted/{n}/_SUCCESS"))
-
-
-def _log(spark: SparkSession, path: str) -> DataFrame:
-    """The last reduction and the changes of the triggers after it."""
-    done = _compacted(spark, path)
-    changes = read_batches(spark, f"{path}/changes")
-    if not done:
-        return changes.drop(BATCH)
-    reduced = spark.read.parquet(f"{path}/compacted/{_UPTO}={done[-1]}")
-    return reduced.unionByName(changes.filter(F.col(BATCH) > done[-1]).drop(BATCH))
-
-
 def read_state(spark: SparkSession, path: str) -> DataFrame:
     """The current rows from what ``write_state`` wrote."""
-    return current_state(_log(spark, path))
+    return rows_of(spark, _table(path)).filter("NOT deleted")
 
 
 def compact_state(spark: SparkSession, path: str, upto: int) -> None:
     """Reduces the changes up to and including trigger ``upto`` to the last one of each key.
 
-    Deletes stay in it, since a record out of order may still come. The reduction before stays
-    for readers that have begun with it, and so do the changes after that; what is older goes.
+    Only the ranges of keys that changed are read and written. Deletes stay in it, since a record
+    out of order may still come.
     """
-    done = _compacted(spark, path)
-    if done and done[-1] >= upto:
-        return
-    latest_changes(_log(spark, path)).write.mode("overwrite").parquet(f"{path}/compacted/{_UPTO}={upto}")
-    if not done:
-        return
-    for old in done[:-1]:
-        remove(spark, f"{path}/compacted/{_UPTO}={old}")
-    for name in children(spark, f"{path}/changes"):
-        if name.startswith(f"{BATCH}=") and int(name.split("=")[1]) <= done[-1]:
-            remove(spark, f"{path}/changes/{name}")
+    reduce(spark, _table(path), upto)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -154,6 +156,47 @@ class Model:
             F.when(key > 0, F.floor(key / 10)).alias("category_id"),
         )
 
+    def flash_discounts(self) -> DataFrame:
+        """Suppliers as discounts of some hours in one month, a few of them of ten days."""
+        key = F.col("s_suppkey")
+        began = F.timestamp_add("HOUR", key * 7919 % 720, F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
+        hours = F.when(key % 50 == 0, F.lit(240)).otherwise(key % 6 + 1)
+        return self.raw("supplier").select(
+            key.alias("id"), began.alias("started_at"), F.timestamp_add("HOUR", hours, began).alias("expired_at")
+        )
+
+    def line_feed(self) -> DataFrame:
+        """Events as change records of order lines: three records for a line, which moves between orders."""
+        op = F.when(F.col("event_type") == "error", "d").otherwise("u")
+        rows = self.raw("events").select(
+            F.floor(F.col("event_id") / 3).alias("id"),
+            F.col("user_id").alias("order_id"),
+            (F.col("event_id") % 7 + 1).cast("int").alias("quantity"),
+            F.col("value").cast("decimal(15,2)").alias("product_price"),
+            (F.col("event_id") % 9).cast("decimal(15,2)").alias("product_tax"),
+            "event_id",
+            op.alias("op"),
+            "ts",
+        )
+        return encode(rows, TABLES["orderdetails"], F.col("op"), F.col("event_id"), F.col("ts"))
+
+    def reference_feed(self) -> DataFrame:
+        """Customers as users and their orders, of which some change hands or go; every fifth user goes too."""
+        at = as_of_column(AS_OF)
+        users, orders = TABLES["users"], TABLES["orders"]
+        people = self.raw("customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("username"))
+        made = self.raw("orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("user_id"))
+        moved = made.filter("id % 4 = 0").withColumn("user_id", F.col("user_id") + 1)
+        steps = [
+            (people, users, "c", 0),
+            (made, orders, "c", 1),
+            (moved, orders, "u", 2),
+            (made.filter("id % 7 = 0").select("id"), orders, "d", 3),
+            (people.filter("id % 5 = 0").select("id"), users, "d", 4),
+        ]
+        parts = [encode(rows, table, F.lit(op), F.col("id") + n * 1_000_000_000, at) for rows, table, op, n in steps]
+        return reduce(DataFrame.unionByName, parts)
+
     def event_tags(self) -> DataFrame:
         """Events as (product, tag) pairs."""
         return self.raw("events").select(

@@ -133,6 +133,18 @@ def totals(strict: bool) -> str:
         {money(f'{order_amount} + sum({tax})')} as total_amount from ({LINES}) group by order_id"""
 
 
+def followed_totals(strict: bool) -> str:
+    """Totals of the last record of each line, three to a line."""
+    tax = f"price * rate * cast({'quantity' if strict else '1'} as decimal(10,0))"
+    return f"""select order_id, {money('sum(price * cast(quantity as decimal(10,0)))')} as order_amount,
+            {money(f'cast(sum({tax}) as decimal(30,4)) * {HUNDREDTH}')} as tax_amount,
+            {money(f'sum(price * cast(quantity as decimal(10,0))) + cast(sum({tax}) as decimal(30,4)) * {HUNDREDTH}')} as total_amount
+        from (select user_id as order_id, event_type, event_id % 7 + 1 as quantity, cast(value as decimal(15,2)) as price,
+                cast(event_id % 9 as decimal(4,2)) as rate
+            from events qualify row_number() over (partition by event_id // 3 order by event_id desc) = 1)
+        where event_type <> 'error' group by 1"""
+
+
 def discounted(source: str, key: str, seed: str, strict: bool) -> str:
     """``source`` has an order_amount; adds discount_id and the discount, not yet rounded."""
     valid = f"select * from ({DISCOUNTS}) where expired_at > {NOW}" + (f" and started_at <= {NOW}" if strict else "")
@@ -244,9 +256,13 @@ PAID = """select o_orderkey as order_id, o_orderkey as request_id, o_custkey % 4
     union all select o_orderkey, o_orderkey + 100000000, false, 'Pending' from orders where o_orderpriority = '1-URGENT'"""
 
 
-def given_orders(strict: bool) -> str:
+OWN_TIME = f"({NOW} + to_days(cast({{0}} % 50 - 30 as integer)))"
+
+
+def given_orders(strict: bool, own_time: bool = False) -> str:
     tax = f"{percent_of('product_price', 'product_tax')} * cast({'quantity' if strict else '1'} as decimal(10,0))"
-    started = f" and started_at <= {NOW}" if strict else ""
+    now = OWN_TIME.format("w.id") if own_time else NOW
+    started = f" and started_at <= {now}" if strict else ""
     fixed = "least(value, order_amount)" if strict else "order_amount - value"
     return f"""with sums as (select order_id, sum(product_price * cast(quantity as decimal(10,0))) as amount, sum({tax}) as tax
             from ({BASKET}) group by 1),
@@ -257,11 +273,12 @@ def given_orders(strict: bool) -> str:
         given as (select w.*, d.id as discount_id, case when d.id is null then 0
                 when type = 'percent' then cast({percent_of('order_amount', 'value')} as decimal(38,6))
                 else cast({fixed} as decimal(38,6)) end as discount
-            from whole w left join (select * from ({GIVEN_DISCOUNTS}) where expired_at > {NOW}{started}) d on d.id = asked)
+            from whole w left join ({GIVEN_DISCOUNTS}) d on d.id = asked and expired_at > {now}{started})
         select id, user_id, staff_id, address_id, order_amount, {money('discount')} as discount_amount, {money('tax')} as tax_amount,
             {money('order_amount + tax - discount')} as total_amount, discount_id, payment_method_id,
             cast(null as bigint) as payment_status_id, cast(1 as bigint) as order_status_id, shipping_method_id,
-            cast(null as bigint) as shipping_status_id, cast(null as timestamp) as shipped_at, {NOW} as created_at, {NOW} as updated_at
+            cast(null as bigint) as shipping_status_id, cast(null as timestamp) as shipped_at,
+            {now.replace('w.id', 'id')} as created_at, {now.replace('w.id', 'id')} as updated_at
         from given"""
 
 
@@ -335,6 +352,41 @@ def tag_cap(strict: bool) -> str:
     left join (select product_id as p, count(*) as n from old group by 1) o on o.p = r.product_id where {room}"""
 
 
+def tag_cap_by_batch(strict: bool) -> str:
+    """A pair counts in the first batch that brings it; what earlier batches brought decides, or what came before it."""
+    number = "-(event_id // 20)" if strict else "event_id // 20"
+    before = "row_number() over (partition by product_id order by batch, event_id) - 1" if strict else """coalesce(
+        sum(1) over (partition by product_id order by batch range between unbounded preceding and 1 preceding), 0)"""
+    return f"""with old as (select distinct product_id, tag_id from ({EVENT_TAGS}) where event_type = 'purchase'),
+        first as (select * from (select event_id, product_id, tag_id, {number} as batch from ({EVENT_TAGS}) where event_type <> 'purchase')
+            qualify row_number() over (partition by product_id, tag_id order by batch, event_id) = 1),
+        fresh as (select *, {before} as earlier from first f
+            where not exists (select 1 from old where old.product_id = f.product_id and old.tag_id = f.tag_id))
+    select event_id, product_id, tag_id, batch from fresh
+    left join (select product_id as p, count(*) as n from old group by 1) o on o.p = product_id where coalesce(n, 0) + earlier < 18"""
+
+
+def roles_by_batch(strict: bool) -> str:
+    """Reference mode goes from batch to batch; strict mode fills the places in order of batches."""
+    held = f"select user_id from ({ROLE_USER}) where role_id = 3 and user_id % 100 = 0" if strict else "select -1"
+    number = "-(id // 2)" if strict else "id // 2"
+    waiting = f"select id, {number} as batch from ({USERS}) where id not in ({held})"
+    named = """cast(case role_name when 'admin' then 1 when 'staff' then 2 when 'manager' then 3 else 4 end as bigint) as role_id,
+        role_name"""
+    if strict:
+        free = f"(select greatest(2 - count(*), 0) from ({held}))"
+        return f"""select user_id, {named} from (select id as user_id, case when rn <= 1 then 'admin' when rn <= 1 + {free} then 'manager'
+            when rn <= 5 + {free} then 'staff' else 'customer' end as role_name
+            from (select id, row_number() over (order by batch, id) as rn from ({waiting})))"""
+    return f"""with recursive sizes as (select row_number() over (order by batch) as i, batch, count(*) as n from ({waiting}) group by batch),
+        steps as (select cast(0 as bigint) as i, 0 as a, 0 as m, 0 as s, '' as role_name
+            union all select z.i, case when a < 1 then a + n else a end, case when a >= 1 and m < 2 then m + n else m end,
+                case when a >= 1 and m >= 2 and s < 4 then s + n else s end,
+                case when a < 1 then 'admin' when m < 2 then 'manager' when s < 4 then 'staff' else 'customer' end
+            from steps join sizes z on z.i = steps.i + 1)
+        select w.id as user_id, {named} from ({waiting}) w join sizes using (batch) join steps using (i)"""
+
+
 _DRAWN = assign(
     f"select * from {assign('select event_id from events', 'event_id', 'select p_partkey as id from part', 'id', {'id': 'product_id'}, f'{SEED}-product')}",
     "event_id", "select s_suppkey as id from supplier", "id", {"id": "tag_id"}, f"{SEED}-tag",
@@ -379,6 +431,13 @@ ORACLES: dict[str, str] = {
             else cast(least(value, o_amount) as decimal(38,6)) end as decimal(15,2)) as discount_amount
         from (select o_orderkey, o_custkey % 10 as asked, cast(o_totalprice as decimal(15,2)) as o_amount from orders) o
         left join (select * from ({GIVEN_DISCOUNTS}) where expired_at > {NOW} and started_at <= {NOW}) d on d.id = asked""",
+    "orders_given_at_own_time": given_orders(True, own_time=True),
+    "discounts_given_at_own_time": f"""select o_orderkey as id, ordered_at, d.id as discount_id,
+        cast(case when d.id is null then 0 when type = 'percent' then cast({percent_of('o_amount', 'value')} as decimal(38,6))
+            else cast(o_amount - value as decimal(38,6)) end as decimal(15,2)) as discount_amount
+        from (select o_orderkey, o_custkey % 10 as asked, cast(o_totalprice as decimal(15,2)) as o_amount,
+            {OWN_TIME.format('o_orderkey')} as ordered_at from orders) o
+        left join ({GIVEN_DISCOUNTS}) d on d.id = asked and expired_at > ordered_at""",
     "orders_replayed": """with top as (select max(o_orderkey) as t from orders), odd as (select count(*) as n from orders where o_orderkey % 2 = 1),
         keyed as (select o_orderkey, row_number() over (order by o_orderkey) + t as id from orders, top where o_orderkey % 2 = 1
             union all select o_orderkey, row_number() over (order by o_orderkey) + t + n from orders, top, odd where o_orderkey % 2 = 0)
@@ -417,6 +476,8 @@ ORACLES: dict[str, str] = {
         {role_bands('select user_id from held', 1, 2, 0)}""",
     "role_quota_reference": f"""select id as user_id, cast(1 as bigint) as role_id, 'admin' as role_name from ({USERS})
         where id not in (select user_id from ({ROLE_USER}) where role_id = 2)""",
+    "role_quota_by_batch": roles_by_batch(False),
+    "role_quota_by_batch_strict": roles_by_batch(True),
     "users_with_role": f"""select id, username from ({USERS}) where id in (select user_id from ({ROLE_USER})
         where role_id in (select id from ({ROLES}) where role_name = 'staff'))""",
     "users_in_named_group": """select c_custkey as id, c_name as username from customer where c_nationkey in (
@@ -461,6 +522,26 @@ ORACLES: dict[str, str] = {
                 from supplier join nation on n_nationkey = s_nationkey)''',
             's_suppkey', f"select * from ({CATEGORIES}) where category_name ilike 'small%'", 'id', {'id': 'category_id'},
             f'{SEED}-parent', True)}""",
+    "categories_given": f"""select category_name, category_id, case when n = 0 then base else base || '-' || cast(n as varchar) end as slug,
+            {NOW} as created_at, row_number() over (order by s_suppkey) + (select max(p_partkey) from part) as id
+        from (select *, lower(category_name) as base, row_number() over (partition by category_name order by s_suppkey) - 1 as n
+            from (select s_suppkey, n_name as category_name, case when s_suppkey % 3 = 0 then s_suppkey % 40 end as category_id
+                from supplier join nation on n_nationkey = s_nationkey
+                where s_suppkey % 3 = 2 or (s_suppkey % 3 = 0 and s_suppkey % 40 in (select p_partkey from part))))""",
+    "category_intervals": f"""with recursive c as ({CATEGORIES}), tree as (
+            select id, id as root_id, 0 as depth, [id] as path from c where category_id is null
+            union all select c.id, root_id, depth + 1, list_append(path, c.id) from tree join c on c.category_id = tree.id),
+        sizes as (select top as id, count(*) as size from (select unnest(path) as top from tree) group by 1)
+        select id, root_id, cast(depth as int) as depth, row_number() over (order by path) - 1 as "begin",
+            row_number() over (order by path) - 1 + size as "end" from tree join sizes using (id)""",
+    "category_rollup": f"""with recursive c as ({CATEGORIES}), tree as (
+            select id, 0 as depth, [id] as path from c where category_id is null
+            union all select c.id, depth + 1, list_append(path, c.id) from tree join c on c.category_id = tree.id),
+        above as (select id as part, unnest(path) as id from tree),
+        sold as (select l_partkey as part, sum(cast(l_quantity as bigint)) as pieces, count(*) as lines from lineitem group by 1)
+        select tree.id, cast(depth as int) as depth, cast(coalesce(sum(pieces), 0) as bigint) as pieces,
+            cast(coalesce(sum(lines), 0) as bigint) as lines
+        from tree join above using (id) left join sold using (part) group by 1, 2""",
     "name_prefix": f"select id, category_name from ({CATEGORIES}) where category_name ilike 'Small%'",
     "product_values": f"""select *, cast({draw_decimal(f'{SEED}-price', 1000, 100000, 2, 'p_partkey')} as decimal(15,2)) as product_price,
             cast({draw_decimal(f'{SEED}-tax', 0, 2000, 2, 'p_partkey')} as decimal(4,2)) as product_tax,
@@ -468,6 +549,8 @@ ORACLES: dict[str, str] = {
         from {_VALUES}""",
     "tag_cap": tag_cap(True),
     "tag_cap_reference": tag_cap(False),
+    "tag_cap_by_batch": tag_cap_by_batch(False),
+    "tag_cap_by_batch_strict": tag_cap_by_batch(True),
     "tags_drawn": f"""select event_id, product_id, tag_id from (
             select *, row_number() over (partition by product_id order by event_id) as place from (
                 select * from {_DRAWN} qualify row_number() over (partition by product_id, tag_id order by event_id) = 1)
@@ -483,6 +566,10 @@ ORACLES: dict[str, str] = {
             order by city_name, province_id) as id
         from ({_CITIES % 'lat, lng'})""",
     "geo_cities_from_csv": f"select * from ({_CITIES % 'lng'}) where city_name <> 'MACHINERY'",
+    "places_with_null_tokens": f"""select state_name, count(*) as places, count(lat) as located from (
+            select case when key % 5 > 0 then state_name when key % 7 = 5 then 'na' when key % 7 = 6 then 'Na' end as state_name,
+                case when key % 10 > 0 or key % 7 >= 5 then lat end as lat
+            from (select *, cast(lng as bigint) as key from ({PLACES}))) group by 1""",
     "address_attach": f"""select {draw_choice(f'{SEED}-title', ['home', 'office'], 'user_id')} as title, user_id, province_id, city_id,
             street || ', ' || unit as full_address
         from {assign(f'select id as user_id, street, unit from ({USERS}) where id not in (select user_id from ({ADDRESSES}))',
@@ -501,6 +588,10 @@ ORACLES: dict[str, str] = {
     "surrogate_keys": "select c_name, row_number() over (order by c_name) + (select max(p_partkey) from part) as id from customer",
     "surrogate_keys_strided": "select o_orderkey, row_number() over (order by o_orderkey) + (select max(p_partkey) from part) as id from orders",
     "active_at": "select event_id, ts as expired_at from events where ts > timestamp '2024-01-15'",
+    "active_at_each": """with flash as (select s_suppkey as discount_id, s_suppkey * 7919 % 720 as h,
+            case when s_suppkey % 50 = 0 then 240 else s_suppkey % 6 + 1 end as n from supplier)
+        select event_id, discount_id from events join flash on ts >= timestamp '2024-01-01' + to_hours(cast(h as integer))
+            and ts < timestamp '2024-01-01' + to_hours(cast(h + n as integer))""",
     "active_discounts": f"""select * from ({DISCOUNTS}) where expired_at > timestamp '2024-01-15'
         and started_at <= timestamp '2024-01-15'""",
     "discount_terms": DISCOUNTS,
@@ -521,6 +612,11 @@ ORACLES: dict[str, str] = {
             (values ('empty', 'NOBODY'), ('used', 'BUILDING')) t(target, segment)
         where not exists (select 1 from customer where c_mktsegment = segment)""",
     "audit_unique": """select l_orderkey, l_linenumber, count(*) as rows from lineitem group by 1, 2 having count(*) > 1""",
+    "audit_unique_together": " union all ".join(
+        f"""select '{','.join(k)}' as columns, concat_ws('|', {', '.join(k)}) as key, count(*) as rows from lineitem
+            group by {', '.join(k)} having count(*) > 1"""
+        for k in (["l_orderkey", "l_linenumber"], ["l_orderkey", "l_partkey"], ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"])
+    ),
     "audit_fk": """select o_orderkey, count(*) as rows from orders where o_orderkey not in (select l_orderkey from lineitem) group by 1""",
     "audit_domain": "select event_id, event_type from events where event_type not in ('view', 'click', 'purchase')",
     "audit_not_null": "select doc_id from documents left join labels using (doc_id) where quality is null",
@@ -555,9 +651,18 @@ ORACLES: dict[str, str] = {
             date_trunc('millisecond', ts) as created_at,
             case when event_type = 'purchase' then date_trunc('millisecond', ts) + interval 2 days end as shipped_at,
             date_trunc('millisecond', ts) as updated_at from events""",
-    "cdc_rejects": """select 'unreadable' as reason, count(*) as records from events union all
-        select 'incomplete', count(*) from events where event_type not in ('signup', 'error') union all
+    "cdc_rejects": """with updates as (select count(*) as n from events where event_type not in ('signup', 'error'))
+        select 'unreadable' as reason, count(*) as records from events union all
+        select 'incomplete', n from updates union all select 'unfit', 4 * n from updates union all
         select 'none', count(*) from events""",
+    "cdc_log_once": f"select id, op, lsn, deleted, changed_at, order_status_id, total_amount from ({CHANGES})",
+    "cdc_snapshot_and_log": f"select id, order_status_id, total_amount from ({LATEST}) where not deleted",
+    "cdc_order_totals": followed_totals(False),
+    "cdc_order_totals_strict": followed_totals(True),
+    "cdc_orphans": """select user_id, count(*) as rows from (
+            select case when o_orderkey % 4 = 0 then o_custkey + 1 else o_custkey end as user_id from orders where o_orderkey % 7 > 0)
+        where user_id not in (select c_custkey from customer where c_custkey % 5 > 0) group by 1""",
+    "cdc_history_merged": HISTORY,
     "cdc_stream_state": f"""select id, op, lsn, deleted, changed_at, order_status_id, total_amount from ({LATEST}) where not deleted""",
     "cdc_stream_history": HISTORY,
     "cdc_stream_status_log": HISTORY,

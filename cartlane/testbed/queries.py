@@ -6,6 +6,7 @@ from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column as Expression
 from pyspark.sql import functions as F
 
 from cartlane.functions.draws import draw_choice
@@ -16,11 +17,12 @@ from cartlane.operators import audit, catalog, geo, orders, payments, promotions
 from cartlane.operators.slugs import unique_slugs
 from cartlane.plans.keys import with_surrogate_key
 from cartlane.plans.samples import baskets, distinct_up_to, sample_rows
-from cartlane.plans.scratch import scratch_path
+from cartlane.plans.scratch import scratch_path, written
+from cartlane.plans.trees import tree_intervals
 from cartlane.schemas import TABLES, Column, Table
 from cartlane.sources.sinks import batch_start, read_batches, read_children, write_batch, write_parent_and_child
 from cartlane.sources.tables import POSITION, read_csv, seed_if_empty
-from cartlane.streaming import envelope, feed, history, routing, state
+from cartlane.streaming import envelope, feed, handover, history, references, repeats, routing, state, totals
 from cartlane.testbed.model import AS_OF, SEED, Model
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -147,6 +149,31 @@ def discounts_given(m: Model) -> DataFrame:
     return found.select("id", "discount_id", F.col("discount_amount").cast("decimal(15,2)").alias("discount_amount"))
 
 
+def _own_time(key: Expression) -> Expression:
+    return plus_days(as_of_column(AS_OF), key % 50 - 30)
+
+
+@query
+def discounts_given_at_own_time(m: Model) -> DataFrame:
+    """Each order asks for a discount at a time of its own."""
+    amounts = m.raw("orders").select(
+        F.col("o_orderkey").alias("id"),
+        F.col("o_totalprice").cast("decimal(15,2)").alias("order_amount"),
+        (F.col("o_custkey") % 10).alias("discount_id"),
+        _own_time(F.col("o_orderkey")).alias("ordered_at"),
+    )
+    found = orders.given_discounts(amounts, m.given_discounts(), F.col("ordered_at"))
+    return found.select("id", "ordered_at", "discount_id", F.col("discount_amount").cast("decimal(15,2)").alias("discount_amount"))
+
+
+@query
+def orders_given_at_own_time(m: Model) -> DataFrame:
+    """``orders_given_strict`` with every order made at a time of its own."""
+    picks = m.picks().withColumn("ordered_at", _own_time(F.col("id")))
+    lines = orders.lines_from_picks(m.basket(), m.products(), STRICT)
+    return orders.orders_from_picks(picks, lines, m.given_discounts(), m.seeds("orderstatus"), F.col("ordered_at"), STRICT)
+
+
 def _numbered_orders(m: Model, batch_id: int) -> DataFrame:
     return m.raw("orders").filter(F.col("o_orderkey") % 2 == batch_id % 2).select("o_orderkey", "o_custkey")
 
@@ -328,6 +355,23 @@ def role_quota_reference(m: Model) -> DataFrame:
     return users.assign_roles(m.users(), held, m.seeds("roles"), REFERENCE)
 
 
+def _users_by_two(m: Model) -> DataFrame:
+    return m.users().withColumn("batch", F.floor(F.col("id") / 2))
+
+
+@query
+def role_quota_by_batch(m: Model) -> DataFrame:
+    """Two users a batch; each batch sees the counts that those before it left."""
+    nobody = m.role_user().filter("role_id = 1")
+    return users.assign_roles(_users_by_two(m), nobody, m.seeds("roles"), REFERENCE, batch="batch")
+
+
+@query
+def role_quota_by_batch_strict(m: Model) -> DataFrame:
+    held = m.role_user().filter("role_id = 3 AND user_id % 100 = 0")
+    return users.assign_roles(_users_by_two(m).withColumn("batch", -F.col("batch")), held, m.seeds("roles"), STRICT, batch="batch")
+
+
 @query
 def users_with_role(m: Model) -> DataFrame:
     return users.users_with_role(m.users(), m.role_user(), m.seeds("roles"), "staff").select("id", "username")
@@ -422,6 +466,31 @@ def category_rows(m: Model) -> DataFrame:
     return catalog.new_categories(names, "s_suppkey", existing, SEED, prefix="Small")
 
 
+@query
+def categories_given(m: Model) -> DataFrame:
+    """Suppliers' nations as categories under given parents; some have none, and some ask for one that is not there."""
+    nation = m.raw("nation").select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("category_name"))
+    key = F.col("s_suppkey")
+    parent = F.when(key % 3 == 0, key % 40).when(key % 3 == 1, key + 1_000_000_000)
+    rows = m.raw("supplier").join(nation, "s_nationkey").select("s_suppkey", "category_name", parent.alias("category_id"))
+    existing = m.categories().withColumn("slug", base_slug(F.col("category_name")))
+    return catalog.given_categories(rows, "s_suppkey", existing, AS_OF)
+
+
+@query
+def category_intervals(m: Model) -> DataFrame:
+    return tree_intervals(m.categories())
+
+
+@query
+def category_rollup(m: Model) -> DataFrame:
+    """Pieces and lines sold in each category and all below it."""
+    sold = m.raw("lineitem").select(
+        F.col("l_partkey").alias("category_id"), F.col("l_quantity").cast("long").alias("pieces"), F.lit(1).cast("long").alias("lines")
+    )
+    return catalog.category_rollup(m.categories(), sold, ["pieces", "lines"])
+
+
 @query
 def name_prefix(m: Model) -> DataFrame:
     return catalog.parent_candidates(m.categories(), "Small").select("id", "category_name")
@@ -452,6 +521,24 @@ def tag_cap_reference(m: Model) -> DataFrame:
     return catalog.associate_tags(new, "event_id", old, cap=18, mode=REFERENCE)
 
 
+def _tag_batches(m: Model) -> tuple[DataFrame, DataFrame]:
+    new, old = _tags(m)
+    return new.withColumn("batch", F.floor(F.col("event_id") / 20)), old
+
+
+@query
+def tag_cap_by_batch(m: Model) -> DataFrame:
+    """Batches of twenty events, each with the tags there that those before it left."""
+    new, old = _tag_batches(m)
+    return catalog.associate_tags(new, "event_id", old, cap=18, mode=REFERENCE, batch="batch")
+
+
+@query
+def tag_cap_by_batch_strict(m: Model) -> DataFrame:
+    new, old = _tag_batches(m)
+    return catalog.associate_tags(new.withColumn("batch", -F.col("batch")), "event_id", old, cap=18, mode=STRICT, batch="batch")
+
+
 @query
 def tags_drawn(m: Model) -> DataFrame:
     """Drawn pairs, capped at five per product, one tag per product already there."""
@@ -505,6 +592,24 @@ def geo_cities_from_csv(m: Model) -> DataFrame:
     return cities.select("city_name", "province_id", "latitude", "longitude")
 
 
+@query
+def places_with_null_tokens(m: Model) -> DataFrame:
+    """The places written as one CSV, in which a dash of nations and numbers is spelled as no value."""
+    path = scratch_path(m.spark, "places")
+    key = F.col("lng").cast("long")
+    tokens = F.array(*[F.lit(t) for t in ("NA", "NaN", "", "null", "#N/A", "na", "Na")])
+    token = F.element_at(tokens, (key % 7 + 1).cast("int"))
+    rows = m.places().select(
+        "city",
+        F.when(key % 5 == 0, token).otherwise(F.col("state_name")).alias("state_name"),
+        F.when((key % 10 == 0) & (key % 7 < 5), token).otherwise(F.col("lat").cast("string")).alias("lat"),
+        "lng",
+    )
+    rows.write.option("header", True).option("quoteAll", True).option("emptyValue", "").csv(path)
+    places = read_csv(m.spark, path, "city string, state_name string, lat double, lng double")
+    return places.groupBy("state_name").agg(F.count(F.lit(1)).alias("places"), F.count("lat").alias("located"))
+
+
 @query
 def address_attach(m: Model) -> DataFrame:
     return geo.attach_addresses(m.users(), m.addresses(), m.cities(), SEED)
@@ -559,6 +664,14 @@ def active_at(m: Model) -> DataFrame:
     return promotions.active_at(rows, "2024-01-15 00:00:00")
 
 
+@query
+def active_at_each(m: Model) -> DataFrame:
+    """Every event with each discount that runs at its time."""
+    moments = m.raw("events").select("event_id", "ts")
+    found = promotions.active_at_each(moments, "ts", m.flash_discounts(), window=True)
+    return found.select("event_id", F.col("id").alias("discount_id"))
+
+
 @query
 def active_discounts(m: Model) -> DataFrame:
     return promotions.active_at(m.discounts(), "2024-01-15 00:00:00", window=True)
@@ -631,6 +744,14 @@ def audit_unique(m: Model) -> DataFrame:
     return audit.duplicate_keys(m.raw("lineitem"), _LINE_KEY)
 
 
+@query
+def audit_unique_together(m: Model) -> DataFrame:
+    """Three keys of the lines, the table read twice."""
+    keys = [["l_orderkey", "l_linenumber"], ["l_orderkey", "l_partkey"], ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]]
+    found = audit.duplicate_keys_of(m.raw("lineitem"), keys)
+    return found.select("columns", F.concat_ws("|", "key").alias("key"), "rows")
+
+
 @query
 def audit_fk(m: Model) -> DataFrame:
     """Orders as references into lines: the orders without a line."""
@@ -695,13 +816,9 @@ def audit_report(m: Model) -> DataFrame:
         "product_quantity",
         (F.col("id") + 1).alias("category_id"),
     )
-    parts = [
-        audit.audit_table(TABLES["users"], {"users": people}),
-        audit.audit_table(TABLES["products"], {"products": goods, "categories": m.categories()}),
-        audit.audit_table(TABLES["orders"], {"orders": m.orders(), "users": m.users(), "orderstatus": m.seeds("orderstatus")}),
-        audit.audit_table(TABLES["discounts"], {"discounts": m.discounts(), "adscampaigns": m.campaigns()}),
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    frames = {"users": people, "products": goods, "orders": m.orders(), "discounts": m.discounts()}
+    parents = {"categories": m.categories(), "orderstatus": m.seeds("orderstatus"), "adscampaigns": m.campaigns()}
+    return audit.audit_together(frames | parents, list(frames))
 
 
 @query
@@ -757,13 +874,25 @@ def cdc_times(m: Model) -> DataFrame:
 
 @query
 def cdc_rejects(m: Model) -> DataFrame:
-    """The feed, and among it every record cut off, and every update with an operation that is none."""
+    """The feed, and among it every record cut off, every update with an operation that is none, and
+    records with an amount or a status that cannot be one."""
     raw = m.feed()
-    cut = raw.select(F.substring("value", 1, 20).alias("value"))
-    odd = raw.filter(F.col("value").contains('"op":"u"')).select(F.replace("value", F.lit('"op":"u"'), F.lit('"op":"x"')).alias("value"))
-    whole = raw.unionByName(cut).unionByName(odd)
-    left = envelope.decode(whole, TABLES["orders"], []).agg(F.count(F.lit(1)).alias("records"))
-    return envelope.reject_counts(whole, TABLES["orders"]).unionByName(left.select(F.lit("none").alias("reason"), "records"))
+    update = raw.filter(F.col("value").contains('"op":"u"'))
+
+    def spoiled(pattern: str, by: str) -> DataFrame:
+        return update.select(F.regexp_replace("value", pattern, by).alias("value"))
+
+    bad = [
+        raw.select(F.substring("value", 1, 20).alias("value")),
+        spoiled('"op":"u"', '"op":"x"'),
+        spoiled('"after.total_amount":"[^"]*"', '"after.total_amount":"abc"'),
+        spoiled('"after.total_amount":"[^"]*"', '"after.total_amount":"12345678901234567.89"'),
+        spoiled('"after.order_status_id":[0-9]+', '"after.order_status_id":"x"'),
+        spoiled('"source.ts_ms":[0-9]+', '"source.ts_ms":9000000000000000000'),
+    ]
+    whole, columns = reduce(DataFrame.unionByName, bad, raw), ["order_status_id", "total_amount"]
+    left = envelope.decode(whole, TABLES["orders"], columns).agg(F.count(F.lit(1)).alias("records"))
+    return envelope.reject_counts(whole, TABLES["orders"], columns).unionByName(left.select(F.lit("none").alias("reason"), "records"))
 
 
 @query
@@ -830,6 +959,81 @@ def cdc_repeats(m: Model) -> DataFrame:
     return state.without_repeats(read_batches(m.spark, target).drop("batch_id"))
 
 
+@query
+def cdc_log_once(m: Model) -> DataFrame:
+    """Every record twice and out of order, over several triggers and a restart: the log has each once."""
+    source, target, log = _feed_folder(m, 4, twice=True), scratch_path(m.spark, "changes"), scratch_path(m.spark, "changes-log")
+    for _ in range(2):
+        raw = feed.feed_file_stream(m.spark, source, max_files=2)
+        changes = envelope.decode(raw, TABLES["orders"], ["order_status_id", "total_amount"])
+        repeats.write_once(changes, target, log).awaitTermination()
+    return read_batches(m.spark, target).drop("batch_id")
+
+
+@query
+def cdc_snapshot_and_log(m: Model) -> DataFrame:
+    """Orders read in eight chunks while the log goes on; what the log held before the first one is lost."""
+    changes = _changes(m, ["order_status_id", "total_amount"])
+    last = changes.agg(F.max("lsn").alias("last"))
+    step = F.floor(F.col("last") / 20)
+    chunk = F.explode(F.sequence(F.lit(0), F.lit(7))).alias("chunk")
+    chunks = last.select("last", chunk).select(
+        "chunk",
+        (F.col("last") - 2 * step * (8 - F.col("chunk"))).alias("low"),
+        (F.col("last") - 2 * step * (8 - F.col("chunk")) + step).alias("high"),
+        as_of_column(AS_OF).alias("read_at"),
+    )
+    chunks = written(chunks, "chunks")
+    # The table as it was half way through the reading of each chunk.
+    of_chunk = changes.withColumn("chunk", F.pmod("id", F.lit(8))).join(chunks, "chunk")
+    seen = of_chunk.filter(F.col("lsn") <= (F.col("low") + F.col("high")) / 2).select(*changes.columns, "chunk")
+    rows = state.current_state(seen).select("id", "chunk", "order_status_id", "total_amount")
+    begin = chunks.agg(F.min("low").alias("low")).scalar()
+    whole = handover.with_snapshot(changes.filter(F.col("lsn") > begin), rows, chunks)
+    return state.current_state(whole).select("id", "order_status_id", "total_amount")
+
+
+def _totals(m: Model, mode: str) -> DataFrame:
+    """Lines that change, go and move between orders, in no order over several triggers."""
+    source, target = scratch_path(m.spark, "feed"), scratch_path(m.spark, "totals")
+    m.line_feed().repartition(3, F.md5("value")).write.text(source)
+    raw = feed.feed_file_stream(m.spark, source, max_files=1)
+    changes = envelope.decode(raw, TABLES["orderdetails"], totals.LINE)
+    totals.write_totals(changes, target, scratch_path(m.spark, "totals-log"), mode).awaitTermination()
+    return totals.read_totals(m.spark, target)
+
+
+@query
+def cdc_order_totals(m: Model) -> DataFrame:
+    return _totals(m, REFERENCE)
+
+
+@query
+def cdc_order_totals_strict(m: Model) -> DataFrame:
+    return _totals(m, STRICT)
+
+
+@query
+def cdc_orphans(m: Model) -> DataFrame:
+    """Orders whose user is gone, followed over several triggers in no order."""
+    source, target = scratch_path(m.spark, "feed"), scratch_path(m.spark, "references")
+    m.reference_feed().repartition(3, F.md5("value")).write.text(source)
+    raw = feed.feed_file_stream(m.spark, source, max_files=1)
+    tables = [TABLES["users"], TABLES["orders"]]
+    references.write_references(raw, tables, target, scratch_path(m.spark, "references-log")).awaitTermination()
+    return references.read_orphans(m.spark, target).filter("rule = 'orders.user_id'").select(F.col("key").alias("user_id"), "rows")
+
+
+@query
+def cdc_history_merged(m: Model) -> DataFrame:
+    """Every record twice and out of order, over several triggers; intervals are kept, not derived."""
+    raw = feed.feed_file_stream(m.spark, _feed_folder(m, 3, twice=True), max_files=1)
+    target = scratch_path(m.spark, "history")
+    changes = envelope.decode(raw, TABLES["orders"], [history.STATUS])
+    history.write_intervals(changes, target, scratch_path(m.spark, "history-log")).awaitTermination()
+    return history.read_intervals(m.spark, target)
+
+
 @query
 def cdc_state_compacted(m: Model) -> DataFrame:
     """The state after several triggers and a restart, reduced on the way."""
