@@ -14,11 +14,11 @@ among their first ones, their prefixes, so classes meet on prefix shingles:
 For components the pairs of a group of near copies are not made. Each shingle has a centre, its
 class that shares most with others: of copies that were edited here and there, the one edited
 least. First the classes meet their centres, and what links is contracted. A class belongs to the
-centre near it that shares most of all. Two classes of one centre are then known by what they
-added to it and what they lack: of that they have to share so much that only those meet that
-added the same shingle, or that are shorter than the centre and lack the same. Classes of
-different centres meet on the shingle itself. Classes of one component do not meet again. Nothing
-is lost: every pair that shares a prefix shingle is of one of these kinds.
+centre near it that shares most of all, and so may that centre: the last one on this way is its home.
+Two classes of one home differ in as many shingles as what they differ from the home in differs. So they
+meet on these items, again rare first, by a prefix, in bands of sizes, and only if one of them does not
+link to the home. Classes of different homes meet on the shingle itself. Classes of one component do not
+meet again. Nothing is lost: every pair that shares a prefix shingle is of one of these kinds.
 
 Defined results: null and empty texts, and texts without words, have no shingles and link with
 nothing, nor with each other; a text of one or two words is one shingle; rows with the same id
@@ -256,23 +256,33 @@ def _compared(documents: DataFrame, key: str, classes: DataFrame, pairs: DataFra
     return kept(met.mapInArrow(run, _COMPARED), "compared")
 
 
-def _meetings(rows: DataFrame, keys: list[str], asking: Column) -> DataFrame:
-    """Pairs of rows with equal ``keys`` and different labels, one of them ``asking``: ``x_*`` and ``y_*`` of the other columns.
+def _met(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``x_*, y_*`` of rows with one token and different labels and homes, one of them asking.
 
-    Labels meet first and rows then, so rows of one label are never compared.
+    ``rows`` are prefix shingles with ``cls, n, pos, label, home, asks``. The length filter and, at this one
+    token, the position filter are part of the join: at their first common shingle two that link pass
+    both, later ones need not.
     """
-    rest = [c for c in rows.columns if c not in (*keys, "label")]
-    marked = rows.withColumn("__asks", asking)
-    mixed_ = marked.groupBy(*keys).agg(F.min("label").alias("low"), F.max("label").alias("high"), F.max("__asks").alias("any"))
-    open_ = kept(marked.join(mixed_.filter(F.col("any") & (F.col("low") < F.col("high"))).select(*keys), keys, "left_semi"), "open")
-    ask = open_.filter("__asks")
-    labels = open_.groupBy(*keys, "label").agg(F.lit(1).alias("__one")).drop("__one")
-    between = ask.select(*keys, "label").distinct().join(labels.withColumnRenamed("label", "other"), keys).filter("label <> other")
-    x = ask.select(*keys, "label", *[F.col(c).alias(f"x_{c}") for c in rest])
-    y = open_.select(*keys, F.col("label").alias("other"), "__asks", *[F.col(c).alias(f"y_{c}") for c in rest])
-    met = between.join(x, [*keys, "label"]).join(y, [*keys, "other"])
-    # Where both ask, one of the two orders is enough.
-    return met.filter(~F.col("__asks") | (F.col("x_cls") < F.col("y_cls")))
+    several = rows.groupBy("token").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"),
+        F.min("home").alias("first"), F.max("home").alias("last"), F.max("asks").alias("any"),
+    )
+    open_ = rows.join(several.filter("any AND low < high AND first < last").select("token"), "token", "left_semi")
+    open_ = kept(open_, "open")
+    names = [c for c in rows.columns if c != "token"]
+    x = open_.select("token", *[F.col(c).alias(f"x_{c}") for c in names])
+    y = open_.select(F.col("token").alias("y_token"), *[F.col(c).alias(f"y_{c}") for c in names])
+    rest = F.least(F.col("x_n") - F.col("x_pos"), F.col("y_n") - F.col("y_pos"))
+    condition = (
+        (F.col("token") == F.col("y_token"))
+        & (F.col("x_cls") < F.col("y_cls"))
+        & (F.col("x_label") != F.col("y_label"))
+        & (F.col("x_home") != F.col("y_home"))
+        & (F.col("x_asks") | F.col("y_asks"))
+        & _fits(F.col("x_n"), F.col("y_n"), percent)
+        & _enough(rest + 1, F.col("x_n"), F.col("y_n"), percent)
+    )
+    return x.join(y, condition).drop("y_token")
 
 
 class _Join:
@@ -301,16 +311,12 @@ class _Join:
 
     def possible(self, met: DataFrame, done: DataFrame | None) -> DataFrame:
         """Pairs of ``x_cls, y_cls`` that met on shingles, by the position, length and suffix filters."""
-        as_is = F.col("x_cls") < F.col("y_cls")
-        turned = {c: F.when(as_is, F.col(f"x_{c}")).otherwise(F.col(f"y_{c}")).alias(f"{c}_a") for c in ("cls", "n", "pos")}
-        other = {c: F.when(as_is, F.col(f"y_{c}")).otherwise(F.col(f"x_{c}")).alias(f"{c}_b") for c in ("cls", "n", "pos")}
-        pairs = met.filter(_fits(F.col("x_n"), F.col("y_n"), self._percent)).select(*turned.values(), *other.values())
-        counted = pairs.groupBy(F.col("cls_a").alias("a"), F.col("cls_b").alias("b")).agg(
+        counted = met.groupBy(F.col("x_cls").alias("a"), F.col("y_cls").alias("b")).agg(
             F.count(F.lit(1)).alias("shared"),
-            *(F.max(c).alias(c) for c in ("n_a", "n_b", "pos_a", "pos_b")),
+            *(F.max(c).alias(c) for c in ("x_n", "y_n", "x_pos", "y_pos")),
         )
-        rest = F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b"))
-        found = counted.filter(_enough(F.col("shared") + rest, F.col("n_a"), F.col("n_b"), self._percent))
+        rest = F.least(F.col("x_n") - F.col("x_pos"), F.col("y_n") - F.col("y_pos"))
+        found = counted.filter(_enough(F.col("shared") + rest, F.col("x_n"), F.col("y_n"), self._percent))
         if done is not None:
             found = found.join(done.select("a", "b"), ["a", "b"], "left_anti")
         return _plausible(found, self.classes, self._percent)
@@ -324,8 +330,8 @@ def similar_classes(
     Each pair of classes with a common prefix shingle is looked at, also in groups of near copies.
     """
     join = _Join(documents, key, size, percent)
-    rows = join.buckets.withColumn("label", F.col("cls"))
-    found = join.compared(join.possible(_meetings(rows, ["token"], F.lit(True)), None))
+    rows = join.buckets.withColumns({"label": F.col("cls"), "home": F.col("cls"), "asks": F.lit(True)})
+    found = join.compared(join.possible(_met(rows, percent), None))
     return join.links(found).select("a", "b", "na", "nb", "overlap").distinct(), join.documents.select("id", "cls", "n")
 
 
@@ -367,53 +373,110 @@ def _belonging(compared: DataFrame, degrees: DataFrame) -> DataFrame:
     return kept(near.join(most, ["a", "b"]), "belonging")
 
 
-def _links_around(belonging: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """``a, b`` of the links between classes of one centre that have different labels.
+def _homes(belonging: DataFrame, classes: DataFrame) -> DataFrame:
+    """``cls, n, home, c, items``: each class with the last centre that its centres lead to, of ``c`` shingles, and
+    the shingles that only one of the two has.
 
-    Of a centre of ``c`` shingles, ``x`` lacks ``mx`` and ``y`` lacks ``my``. They share ``c - mx - my``
-    shingles of it, those that both lack, and those that both added. So a link needs
-    ``t - c + mx + my`` shingles that both lack or both added, for ``t`` that all links need. Both lack
-    no more than the smaller of ``mx`` and ``my``: without a common addition ``t + max(mx, my)`` may not
-    be above ``c``. Two that link to the centre have one label, so one that does not is asking.
+    A centre may belong to another one, that shares more; so the way ends. What differs from that one is
+    what differs from the first and the two differ in, less what is in both.
     """
-    near = belonging.select(
-        F.col("a").alias("centre"),
-        F.col("na").alias("c"),
-        F.col("b").alias("cls"),
-        F.col("nb").alias("n"),
-        F.size("lacking").alias("m"),
-        (~_enough(F.col("overlap"), F.col("na"), F.col("nb"), percent)).alias("asks"),
-        "added",
-        "lacking",
-    )
-    near = kept(_labelled(near, labels), "near")
-    pair = ["centre", "x_cls", "y_cls"]
-    # Those that added the same.
-    added = near.select("centre", F.explode("added").alias("token"), "cls", "label", "asks")
-    by_added = _meetings(added, ["centre", "token"], F.col("asks")).select(*pair)
-    # Those that lack the same. t + m <= c bounds the size of the other: sizes meet in bands, so that
-    # only classes short enough are looked at.
-    least = near.groupBy("centre").agg(F.min("n").alias("least"))
-    sized = near.join(least, "centre")
-    top = F.floor(F.lit(100 + percent) * (F.col("c") - F.col("m")) / F.lit(percent)) - F.col("n")
-    band = F.greatest(F.lit(1), F.floor(F.col("c") / 64))
-    short = sized.withColumns({"top": top, "band": band}).filter(F.col("top") >= F.col("least"))
-    bands = F.sequence(F.floor(F.col("least") / F.col("band")), F.floor(F.least(F.col("top"), 2 * F.col("c")) / F.col("band")))
-    asking = short.filter("asks").withColumn("own", F.explode(bands))
-    x = asking.select("centre", "own", F.explode("lacking").alias("token"), F.col("cls").alias("x_cls"), F.col("label").alias("lx"), "top")
-    y = short.withColumn("own", F.floor(F.col("n") / F.col("band"))).select(
-        "centre", "own", F.explode("lacking").alias("token"), F.col("cls").alias("y_cls"), F.col("label").alias("ly"), "n", F.col("top").alias("ty"), "asks"
-    )
-    nx = asking.select("centre", F.col("cls").alias("x_cls"), F.col("n").alias("nx")).distinct()
-    met = x.join(y, ["centre", "own", "token"]).filter("lx <> ly AND n <= top")
-    by_lacking = met.select(*pair, "ty").distinct().join(nx, ["centre", "x_cls"]).filter("nx <= ty").select(*pair)
-    pairs = by_added.union(by_lacking).distinct()
-    one = near.select("centre", F.col("cls").alias("x_cls"), "c", F.col("n").alias("nx"), F.col("m").alias("mx"), F.col("added").alias("ax"), F.col("lacking").alias("lx"))
-    two = near.select("centre", F.col("cls").alias("y_cls"), F.col("n").alias("ny"), F.col("m").alias("my"), F.col("added").alias("ay"), F.col("lacking").alias("ly"))
-    both = pairs.join(one, ["centre", "x_cls"]).join(two, ["centre", "y_cls"])
-    overlap = F.col("c") - F.col("mx") - F.col("my") + F.size(F.array_intersect("lx", "ly")) + F.size(F.array_intersect("ax", "ay"))
-    linked = both.filter(_enough(overlap, F.col("nx"), F.col("ny"), percent))
-    return linked.select(F.col("x_cls").alias("a"), F.col("y_cls").alias("b"))
+    state = belonging.select("b", F.col("a").alias("home"), F.concat("added", "lacking").alias("items"))
+    state = kept(state.withColumnRenamed("b", "cls"), "homes")
+    while True:
+        further = state.select(F.col("cls").alias("home"), F.col("home").alias("next"), F.col("items").alias("more"))
+        onward = state.join(further, "home", "left")
+        if onward.filter("next IS NOT NULL").isEmpty():
+            break
+        differ = F.concat(F.array_except("items", "more"), F.array_except("more", "items"))
+        state = onward.select(
+            "cls", F.coalesce("next", "home").alias("home"), F.when(F.col("next").isNull(), F.col("items")).otherwise(differ).alias("items")
+        )
+        state = kept(state, "homes")
+    sizes = classes.select("cls", "n")
+    return state.join(sizes, "cls").join(sizes.select(F.col("cls").alias("home"), F.col("n").alias("c")), "home")
+
+
+def _most_apart(sizes: Column, percent: int) -> Column:
+    """How many shingles only one of two sets may have, if they link and their sizes add up to ``sizes``."""
+    return F.floor(F.lit(100 - percent) * sizes / F.lit(100 + percent))
+
+
+def _prefixes_at_home(near: DataFrame, partners: DataFrame, percent: int) -> DataFrame:
+    """``home, token, own, other`` and the class: the first of its items by which it can meet a class of band ``other``.
+
+    Two that link differ from home in at least ``need`` items in common, half of what is left when all they
+    may differ in is taken from all they have. So they share one of the first ``d - need + 1``, by any order.
+    ``partners`` are bands with classes of one kind; what they have at least makes ``need`` larger.
+    """
+    n, c, d = F.col("n"), F.col("c"), F.col("d")
+    met = near.join(partners.withColumnsRenamed({"band": "other", "asks": "other_asks"}), "home")
+    least = F.greatest(F.col("other") * F.col("width"), F.ceil(F.lit(percent) * n / 100))
+    most = F.least((F.col("other") + 1) * F.col("width") - 1, F.floor(F.lit(100) * n / percent))
+    apart = _most_apart(n + most, percent)
+    alone = F.when(F.col("other_asks"), _most_apart(least + c, percent) + 1).otherwise(F.lit(1))
+    need = F.greatest(F.lit(1), F.ceil((d + F.greatest(alone, d - apart) - apart) / 2))
+    ready = met.withColumn("take", (d - need + 1).cast("int")).filter((least <= most) & (F.col("take") > 0))
+    entries = F.posexplode(F.slice("items", F.lit(1), F.col("take"))).alias("at", "token")
+    return ready.select("home", F.col("band").alias("own"), "other", "cls", "label", "n", "d", entries)
+
+
+def _links_at_home(homes: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """``a, b`` of the links between classes of one home that have different labels.
+
+    Two sets differ in as many shingles as what they differ from a third in differs. So classes of one home are
+    joined by these items: few of them, the rarest of the group first, as in the join on whole sets.
+    A class that links to its home has the label of the home; one that does not is asking.
+    """
+    near = homes.withColumn("d", F.size("items"))
+    near = near.withColumn("asks", F.col("d") > _most_apart(F.col("n") + F.col("c"), percent))
+    to_home = near.filter("NOT asks").select(F.col("cls").alias("a"), F.col("home").alias("b"))
+    of_home = labels.select(F.col("node").alias("home"), F.col("root").alias("home_label"))
+    near = _labelled(near, labels).join(of_home, "home", "left")
+    near = near.withColumn("label", F.when(F.col("asks"), F.col("label")).otherwise(F.coalesce("home_label", "home")))
+    near = kept(near.drop("home_label"), "near")
+    groups = near.groupBy("home").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.max("asks").alias("any"))
+    near = near.join(groups.filter("any AND low < high").select("home"), "home", "left_semi")
+    width = F.greatest(F.lit(1), F.floor(F.col("c") / 64))
+    near = near.withColumns({"width": width, "band": F.floor(F.col("n") / width)})
+
+    items = near.select("home", "cls", F.explode("items").alias("token"))
+    counts = items.groupBy("home", "token").agg(F.count(F.lit(1)).alias("holders"))
+    order = F.sort_array(F.collect_list(F.struct("holders", "token")))
+    ordered = items.join(counts, ["home", "token"]).groupBy("cls").agg(F.transform(order, lambda e: e["token"]).alias("items"))
+    near = kept(near.drop("items").join(ordered, "cls"), "ordered")
+    bands = near.select("home", "band", "asks").distinct()
+
+    asking, others = near.filter("asks"), near.filter("NOT asks")
+    pairs = []
+    for one, two in ((asking, asking), (asking, others)):
+        kind = F.col("asks") if two is asking else ~F.col("asks")
+        x = _prefixes_at_home(one, bands.filter(kind), percent)
+        y = x if two is asking else _prefixes_at_home(two, bands.filter("asks"), percent)
+        # Classes with a token of their own only, that none of the other side can meet, stay out.
+        x = x.select("home", "token", "own", "other", *[F.col(v).alias(f"x_{v}") for v in ("cls", "label", "n", "d", "at")])
+        y = y.select(
+            F.col("home").alias("home_y"), F.col("token").alias("token_y"), F.col("own").alias("other_y"), F.col("other").alias("own_y"),
+            *[F.col(v).alias(f"y_{v}") for v in ("cls", "label", "n", "d", "at")],
+        )
+        need = F.ceil((F.col("x_d") + F.col("y_d") - _most_apart(F.col("x_n") + F.col("y_n"), percent)) / 2)
+        # Zero-based places: what is behind the first common item, and that one.
+        rest = F.least(F.col("x_d") - F.col("x_at"), F.col("y_d") - F.col("y_at"))
+        condition = (
+            (F.col("home") == F.col("home_y"))
+            & (F.col("token") == F.col("token_y"))
+            & (F.col("own") == F.col("own_y"))
+            & (F.col("other") == F.col("other_y"))
+            & (F.col("x_label") != F.col("y_label"))
+            & (rest >= need)
+        )
+        condition = condition & (F.col("x_cls") < F.col("y_cls")) if two is asking else condition
+        pairs.append(x.join(y, condition).select("x_cls", "y_cls").distinct())
+    pairs = kept(pairs[0].unionByName(pairs[1]), "pairs")
+    one = near.select(F.col("cls").alias("x_cls"), F.col("n").alias("nx"), F.col("d").alias("dx"), F.col("items").alias("ix"))
+    two = near.select(F.col("cls").alias("y_cls"), F.col("n").alias("ny"), F.col("d").alias("dy"), F.col("items").alias("iy"))
+    apart = F.col("dx") + F.col("dy") - 2 * F.size(F.array_intersect("ix", "iy"))
+    both = pairs.join(one, "x_cls").join(two, "y_cls").filter(apart <= _most_apart(F.col("nx") + F.col("ny"), percent))
+    return to_home.unionByName(both.select(F.col("x_cls").alias("a"), F.col("y_cls").alias("b")))
 
 
 def components(documents: DataFrame, key: str = "doc_id", size: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -422,18 +485,17 @@ def components(documents: DataFrame, key: str = "doc_id", size: int = WORDS, per
     centred, degrees = _centres(join.buckets)
     compared = join.compared(_spokes(centred, percent), NEAR)
     labels = kept(connected(join.links(compared).select("a", "b")), "labels")
-    belonging = _belonging(compared, degrees)
-    around = kept(_links_around(belonging, labels, percent), "links")
-    # Classes that belong to different centres meet on the shingle itself: one of the two does not
-    # belong where the centre of the shingle belongs.
-    of_class = belonging.select(F.col("b").alias("cls"), F.col("a").alias("home"))
-    of_centre = belonging.select(F.col("b").alias("centre"), F.col("a").alias("main"))
+    homes = kept(_homes(_belonging(compared, degrees), join.classes), "homes")
+    around = kept(_links_at_home(homes, labels, percent), "links")
+    # Classes of different homes meet on the shingle itself: one of the two does not have the home that
+    # the centre of the shingle has.
+    of_class = homes.select("cls", "home")
+    of_centre = homes.select(F.col("cls").alias("centre"), F.col("home").alias("main"))
     rows = centred.join(of_class, "cls", "left").join(of_centre, "centre", "left")
     home, main = F.coalesce("home", "cls"), F.coalesce("main", "centre")
     rows = rows.select("token", "cls", "n", "pos", home.alias("home"), (home != main).alias("asks"))
     done = compared.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    met = _meetings(_labelled(rows, labels), ["token"], F.col("asks")).filter("x_home <> y_home")
-    others = join.links(join.compared(join.possible(met, done)))
+    others = join.links(join.compared(join.possible(_met(_labelled(rows, labels), percent), done)))
     # The later links join components of the first.
     found = around.union(others.select("a", "b"))
     root_a = labels.select(F.col("node").alias("a"), F.col("root").alias("ra"))

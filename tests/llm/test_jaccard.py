@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -17,8 +18,8 @@ def plain_set(text, size=3):
     return frozenset(tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1)))
 
 
-def linked(a, b):
-    return bool(a and b) and 100 * len(a & b) >= 90 * len(a | b)
+def linked(a, b, percent=90):
+    return bool(a and b) and 100 * len(a & b) >= percent * len(a | b)
 
 
 def roots(nodes, pairs):
@@ -92,16 +93,41 @@ def edited_copies(seed):
     return list(enumerate(texts))
 
 
-@pytest.mark.parametrize("seed", [5, 6])
-def test_one_group_of_copies_edited_more_or_less(documents, seed):
+@pytest.mark.parametrize("seed, size, percent", [(5, 3, 90), (6, 3, 90), (5, 5, 80), (7, 5, 80)])
+def test_one_group_of_copies_edited_more_or_less(documents, seed, size, percent):
     rows = edited_copies(seed)
-    sets = {i: plain_set(t) for i, t in rows}
-    want = roots(sets, [(a, b) for a in sets for b in sets if a < b and linked(sets[a], sets[b])])
+    sets = {i: plain_set(t, size) for i, t in rows}
+    want = roots(sets, [(a, b) for a in sets for b in sets if a < b and linked(sets[a], sets[b], percent)])
     assert 10 < len(set(want.values())) < len(rows) - 20
-    got = {r["doc_id"]: r["component_id"] for r in jaccard.components(documents(rows)).collect()}
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.components(documents(rows), "doc_id", size, percent).collect()}
     assert got == want
 
 
+@pytest.mark.parametrize("size, percent", [(3, 90), (5, 80)])
+def test_two_thousand_copies_in_one_group(documents, size, percent):
+    """Also copies of copies, cut in pieces as line dedup leaves them: homes of homes."""
+    draw = random.Random(size)
+    word = lambda: "".join(draw.choices("abcdefgh", k=4))
+    base = [word() for _ in range(90)]
+    texts = []
+    for i in range(2000):
+        words = base[draw.choice([0, 0, 0, 25]) : draw.choice([90, 90, 90, 60])]
+        for _ in range(i % 9):
+            words[draw.randrange(len(words))] = word() if draw.random() < 0.9 else "same"
+        texts.append(" ".join(words))
+    rows = list(enumerate(texts))
+    sets = {i: plain_set(t, size) for i, t in rows}
+    vocabulary = {s: n for n, s in enumerate(set().union(*sets.values()))}
+    table = np.zeros((len(rows), len(vocabulary)), np.float32)
+    for i, found in sets.items():
+        table[i, [vocabulary[s] for s in found]] = 1
+    sizes, common = table.sum(axis=1), table @ table.T
+    pairs = np.argwhere(100 * common >= percent * (sizes[:, None] + sizes - common) - 1e-3)
+    want = roots(sets, pairs.tolist())
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.components(documents(rows), "doc_id", size, percent).collect()}
+    assert got == want and 100 < len(set(want.values())) < 1900
+
+
 def test_one_of_each_keeps_columns(documents):
     rows = near_copies(3, groups=2)
     df = documents(rows, {"cls": F.lit("mine"), "n": F.lit(1), "id": F.lit(5)})

@@ -54,7 +54,7 @@ def test_every_stage_takes_effect(spark, folder, tmp_path):
 
 def test_registered():
     names = [n.split("_")[0] for n in registry.QUERIES if n.startswith("op")]
-    assert sorted(names, key=lambda n: int(n[2:])) == [f"op{i}" for i in range(1, 11)]
+    assert sorted(names, key=lambda n: int(n[2:])) == [f"op{i}" for i in range(1, 14)]
     assert "pipeline" in registry.QUERIES and set(registry.ORACLES) <= set(registry.QUERIES)
 
 

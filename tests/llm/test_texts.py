@@ -33,8 +33,11 @@ def test_chunks_are_bounded_and_whole():
 
 
 def test_perfect_hash_is_minimal():
-    keys = np.array(random.Random(1).sample(range(2**63), 5000), np.uint64)
+    draw = random.Random(1)
+    keys = np.array(sorted({draw.getrandbits(64) for _ in range(5000)}), np.uint64)
     found = PerfectHash.build(keys)
     assert sorted(found.slots(keys).tolist()) == list(range(5000))
     assert len(found.bits) * 8 / 5000 < 8
+    others = np.array([draw.getrandbits(64) for _ in range(1000)], np.uint64)
+    assert set(found.slots(others).tolist()) <= set(range(-1, 5000))
     assert PerfectHash.build(keys[:0]).slots(keys[:3]).tolist() == [-1] * 3
