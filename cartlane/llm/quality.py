@@ -3,23 +3,24 @@
 The model is trained on the trusted documents: n-grams of ``ORDER`` characters are counted with
 partial sums in each task, lower orders are counted by distinct characters to their left, and
 joins of the count tables on contexts and suffixes make one table of interpolated probabilities
-and one of backoff weights, sharded by n-gram. A document's perplexity needs each of its
-n-grams' probability. The tables go to the tasks while they are below ``MODEL_BYTES``; beyond it
-the documents' n-grams join the sharded tables, order by order. Both ways give the same numbers.
-
-A document is kept if its perplexity is not above its language's threshold: a quantile of the
-trusted documents' perplexities, with a margin.
-
-Defined results: null and empty texts are predicted as one end mark; rows without language, or
-of one without trusted documents, take the threshold of all; without trusted documents all
-is kept and perplexities are null; repeated rows have equal results; extra columns are ignored.
+and one of backoff weights. The two are sharded by n-gram, and again by the two characters before the
+predicted one into parts of bounded size. A document's perplexity needs each of its n-grams'
+probability: every task joins its characters to one part after the other, without a shuffle. There is
+one way for models of all sizes.
+
+A document is kept if its perplexity is not above its language's threshold: a quantile of those of
+trusted documents that are left out of the model, so that the threshold is one for unseen texts.
+
+Defined results: null and empty texts are predicted as one end mark; rows without language, or of
+one with few trusted documents left out, take the threshold of all; without trusted documents to learn
+from all is kept and perplexities are null, without any left out all is kept; repeated rows have
+equal results; extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -27,17 +28,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartlane.llm.shared import bit_filter, bounded, filter_place, in_filter, kept
-from cartlane.llm.texts import chunks, mixed
+from cartlane.llm.texts import CHUNK_BYTES, chunks, mixed
 
 #: Characters in an n-gram.
 ORDER = 5
 
-#: Share of the trusted documents of a language below its threshold, before the margin.
-QUANTILE, MARGIN = 0.99, 1.25
+#: One in so many trusted documents is left out of the model, to take the thresholds from.
+LEFT_OUT = 5
+
+#: Share of those below the threshold of their language, and how many a language needs for one of its own.
+QUANTILE, LEAST_LANGUAGE = 0.98, 30
 
-#: Bytes of model tables that are sent to every task, at about 40 for an entry.
+#: Bytes of the model that a task holds at once, at about 40 for an entry.
 MODEL_BYTES, ENTRY_BYTES = 64 << 20, 40
 
+#: Bytes of text that are scored with one part of a model of several before the next is loaded.
+SCORE_BYTES = 16 << 20
+
 #: Trusted ids that are sent to every task at most, at about 20 bytes each.
 SENT_IDS = 1_000_000
 
@@ -199,23 +206,34 @@ def train(trusted: DataFrame, order: int = ORDER) -> Model | None:
     return Model(probabilities, backoff, unseen)
 
 
-def _hashed(table: DataFrame, gram: str, value: str, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes and numbers of n-grams of ``size`` characters. Tasks hash them: the driver gets 12 bytes each."""
+def _hashed(table: DataFrame, gram: str, value: str, size: int, last: int, part: int, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and numbers of the n-grams of ``size`` characters of one part of the model.
+
+    N-grams are dealt to parts by the two characters that end at ``last``, shorter ones are in all.
+    Tasks hash them: the driver gets 12 bytes each.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hashes = _string_hashes(batch.column(0).to_pylist(), size).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(hashes), batch.column(1)], ["hash", "value"])
+            grams = batch.column(0).to_pylist()
+            hashes, values = _string_hashes(grams, size), batch.column(1)
+            if last >= 2 and parts > 1:
+                mine = _string_hashes([g[last - 2 : last] for g in grams], 2) % np.uint64(parts) == part
+                hashes, values = hashes[mine], values.filter(pa.array(mine))
+            yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), values], ["hash", "value"])
 
     found = table.select(gram, F.col(value).cast("float").alias("value")).mapInArrow(run, "hash long, value float").toArrow()
     return found.column(0).to_numpy().view(np.uint64), found.column(1).to_numpy()
 
 
-def _tables(model: Model) -> list[tuple]:
-    """The model as arrays, for a model whose size has been checked."""
+def _tables(model: Model, part: int, parts: int) -> list[tuple]:
+    """One part of the model as arrays: what is needed behind contexts that end with some pairs of characters."""
     none = (np.zeros(0, np.uint64), np.zeros(0, np.float32))
     return [
-        (*_hashed(p, "gram", "logp", k), *(_hashed(b, "context", "logg", k - 1) if k > 1 else none))
+        (
+            *_hashed(p, "gram", "logp", k, k - 1, part, parts),
+            *(_hashed(b, "context", "logg", k - 1, k - 1, part, parts) if k > 1 else none),
+        )
         for k, (p, b) in enumerate(zip(model.probabilities, model.backoff), 1)
     ]
 
@@ -236,19 +254,34 @@ def _log_probabilities(hashes: list[np.ndarray], places: np.ndarray, tables: lis
     return total
 
 
-def _perplexity_by_tables(documents: DataFrame, model: Model, columns: list[str]) -> DataFrame:
+def perplexities(documents: DataFrame, model: Model, columns: list[str], model_bytes: int = MODEL_BYTES) -> DataFrame:
+    """``columns`` of every document, ``n_chars_scored`` and ``perplexity``.
+
+    The model is sent in parts of about ``model_bytes``, as many as it needs. A task takes documents of
+    ``SCORE_BYTES`` and looks up each of their characters in the part for the two before it, one part after
+    the other. No n-gram of a document is shuffled.
+    """
     rows = documents.select(*columns, "text")
-    sent = documents.sparkSession.sparkContext.broadcast(_tables(model))
+    parts = max(1, -(-model.entries() * ENTRY_BYTES // max(1, model_bytes)))
+    context = documents.sparkSession.sparkContext
+    sent = [context.broadcast(_tables(model, part, parts)) for part in range(parts)]
     order, unseen = model.order, model.unseen
     schema = documents.select(*columns).withColumns({"n_chars_scored": F.lit(0).cast("long"), "perplexity": F.lit(0.0)}).schema
 
+    def load(part: int) -> list[tuple[Table, Table]]:
+        return [(Table(h, v), Table(c, g)) for h, v, c, g in sent[part].value]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = [(Table(h, v), Table(c, g)) for h, v, c, g in sent.value]
-        for chunk in chunks(batches):
+        single = load(0) if parts == 1 else None
+        for chunk in chunks(batches, limit=CHUNK_BYTES if single else SCORE_BYTES):
             texts = chunk.column(len(columns)).to_pylist()
             _, points, predicted = _code_points(texts, order)
             places = np.flatnonzero(predicted)
-            logs = _log_probabilities(list(gram_hashes(points, order)), places, tables, unseen)
+            hashes = list(gram_hashes(points, order))
+            logs = np.zeros(len(places))
+            for part in range(parts):
+                mine = np.flatnonzero(hashes[1][places - 1] % np.uint64(parts) == part) if parts > 1 else slice(None)
+                logs[mine] = _log_probabilities(hashes, places[mine], single or load(part), unseen)
             sizes = np.array([len(t) + 1 for t in texts])
             sums = np.add.reduceat(logs, np.cumsum(sizes) - sizes)
             arrays = [chunk.column(i) for i in range(len(columns))]
@@ -258,53 +291,6 @@ def _perplexity_by_tables(documents: DataFrame, model: Model, columns: list[str]
     return rows.mapInArrow(run, schema)
 
 
-def _perplexity_by_joins(documents: DataFrame, model: Model, columns: list[str]) -> DataFrame:
-    """The documents' n-grams meet the sharded tables: a join on n-grams and one on contexts for each length."""
-    order = model.order
-    nodes = documents.select(*columns, "text", F.monotonically_increasing_id().alias("__node"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [*columns, "__node", "__gram", "__n"]
-        for chunk in chunks(batches):
-            head = chunk.select([*columns, "__node"])
-            for i, text in enumerate(chunk.column(len(columns)).to_pylist()):
-                padded = _BEGIN * (order - 1) + text + _END
-                grams: dict[str, int] = {}
-                for j in range(len(text) + 1):
-                    gram = padded[j : j + order]
-                    grams[gram] = grams.get(gram, 0) + 1
-                same = head.take(pa.array([i] * len(grams)))
-                arrays = [*same.columns, pa.array(list(grams), pa.string()), pa.array(list(grams.values()), pa.int64())]
-                yield pa.RecordBatch.from_arrays(arrays, names)
-
-    wide = nodes.select(*columns, "__node", F.lit("").alias("__gram"), F.lit(0).cast("long").alias("__n")).schema
-    emitted = kept(nodes.mapInArrow(run, wide), "document-grams")
-    open_ = emitted.select("__node", F.col("__gram").alias("gram"), "__n", F.lit(0.0).alias("log"))
-    parts = []
-    for k in range(order, 0, -1):
-        met = open_.join(model.probabilities[k - 1], "gram", "left")
-        parts.append(met.filter("logp IS NOT NULL").select("__node", (F.col("__n") * (F.col("log") + F.col("logp"))).alias("log")))
-        missed = met.filter("logp IS NULL")
-        if k > 1:
-            weights = model.backoff[k - 1]
-            missed = missed.withColumn("context", F.substring("gram", 1, k - 1)).join(weights, "context", "left")
-            log = F.col("log") + F.coalesce("logg", F.lit(0.0))
-            open_ = kept(missed.select("__node", F.substring("gram", 2, k - 1).alias("gram"), "__n", log.alias("log")), "missed-grams")
-        else:
-            parts.append(missed.select("__node", (F.col("__n") * (F.col("log") + model.unseen)).alias("log")))
-    logs = reduce(DataFrame.union, parts).groupBy("__node").agg(F.sum("log").alias("log"))
-    sizes = emitted.groupBy("__node").agg(F.sum("__n").alias("n"), *(F.first(c).alias(c) for c in columns))
-    return sizes.join(logs, "__node").select(
-        *columns, F.col("n").alias("n_chars_scored"), F.exp(-F.col("log") / F.col("n")).alias("perplexity")
-    )
-
-
-def perplexities(documents: DataFrame, model: Model, columns: list[str], model_bytes: int = MODEL_BYTES) -> DataFrame:
-    """``columns`` of every document, ``n_chars_scored`` and ``perplexity``."""
-    small = model.entries() * ENTRY_BYTES <= model_bytes
-    return (_perplexity_by_tables if small else _perplexity_by_joins)(documents, model, columns)
-
-
 def trusted_ids(labels: DataFrame, key: str = "doc_id", label: str = "quality") -> DataFrame:
     """``id`` of documents whose every label says good."""
     known = labels.filter(F.col(key).isNotNull() & F.col(label).isNotNull())
@@ -329,25 +315,30 @@ def only_trusted(documents: DataFrame, ids: DataFrame, key: str = "doc_id", sent
     return rows.mapInArrow(run, rows.schema).drop("place").join(ids, "id", "left_semi")
 
 
+def _left_out(key: Column) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(LEFT_OUT)) == 0
+
+
 def classify(documents: DataFrame, labels: DataFrame, key: str = "doc_id", model_bytes: int = MODEL_BYTES) -> DataFrame:
     """``n_chars_scored``, ``perplexity``, the ``threshold`` of the language and ``keep`` of every document."""
     documents = bounded(documents)
     ids = kept(trusted_ids(labels, key), "trusted")
-    model = train(only_trusted(documents, ids, key))
+    learned = ids.filter(~_left_out(F.col("id")))
+    model = train(only_trusted(documents, learned, key))
     lang = F.col("lang") if "lang" in documents.columns else F.lit(None).cast("string")
     rows = documents.select(F.col(key).alias("__id"), lang.alias("__lang"), "text")
     if model is None:
         none = F.lit(None).cast("double")
-        out = rows.withColumns({"n_chars_scored": F.length(F.coalesce("text", F.lit(""))) + 1, "perplexity": none, "threshold": none})
-        return out.select(
-            F.col("__id").alias(key), F.col("n_chars_scored").cast("long"), "perplexity", "threshold", F.lit(True).alias("keep")
-        )
+        out = rows.withColumn("n_chars_scored", (F.length(F.coalesce("text", F.lit(""))) + 1).cast("long"))
+        out = out.withColumns({"perplexity": none, "threshold": none, "keep": F.lit(True)})
+        return out.select(F.col("__id").alias(key), "n_chars_scored", "perplexity", "threshold", "keep")
     scored = kept(perplexities(rows, model, ["__id", "__lang"], model_bytes), "perplexities")
-    good = scored.join(ids, scored["__id"] == ids["id"], "left_semi")
-    quantile = F.percentile_approx("perplexity", QUANTILE, 10_000) * MARGIN
-    by_language = good.filter("__lang IS NOT NULL").groupBy(F.col("__lang").alias("lang")).agg(quantile.alias("own"))
-    for_all = good.agg(quantile.alias("t")).first()["t"]
-    threshold = F.coalesce("own", F.lit(for_all)) if for_all is not None else F.col("own")
+    good = scored.join(ids.filter(_left_out(F.col("id"))), scored["__id"] == ids["id"], "left_semi")
+    quantile = F.percentile_approx("perplexity", QUANTILE, 10_000)
+    by_language = good.groupBy(F.col("__lang").alias("lang")).agg(quantile.alias("own"), F.count(F.lit(1)).alias("n"))
+    by_language = by_language.filter(F.col("lang").isNotNull() & (F.col("n") >= LEAST_LANGUAGE)).drop("n")
+    of_all = good.agg(quantile.alias("of_all")).first()["of_all"]
+    threshold = F.coalesce("own", F.lit(of_all).cast("double"))
     return (
         scored.join(by_language, scored["__lang"] == by_language["lang"], "left")
         .withColumn("threshold", threshold)

@@ -50,10 +50,11 @@ def texts(seed, n=40):
     return ["".join(draw.choices(syllables, k=draw.randint(0, 60))) for _ in range(n)]
 
 
-@pytest.mark.parametrize("model_bytes", [1 << 30, 0])
-def test_both_ways_equal_the_definition(documents, hard, model_bytes):
+@pytest.mark.parametrize("parts", [1, 5])
+def test_perplexity_equals_the_definition(documents, hard, parts):
     trained = texts(1)
     model = quality.train(documents(list(enumerate(trained))))
+    model_bytes = model.entries() * quality.ENTRY_BYTES // parts + 1
     probability, perplexity = plain_model(trained, quality.ORDER)
     letters = {c for t in trained for c in t} | {"\x03"}
     assert sum(probability("kato" + c) for c in letters) < 1 + 1e-9
@@ -66,13 +67,16 @@ def test_both_ways_equal_the_definition(documents, hard, model_bytes):
 
 
 def test_classify(spark, documents, hard):
-    good = list(enumerate(texts(3, 60)))
+    good = list(enumerate(texts(3, 200)))
     bad = [(500 + i, "#%&$!" * 20) for i in range(5)]
     labels = spark.createDataFrame([(i, 1) for i, _ in good] + [(500, 0), (0, 1), (1, None), (None, 1)], "doc_id long, quality int")
     rows = documents(good + bad + [(900, None, None), (901, max((t for _, t in good), key=len), "xx")])
     got = {r["doc_id"]: r["keep"] for r in quality.classify(rows, labels).collect()}
     assert not any(got[i] for i, _ in bad)
-    assert sum(got[i] for i, _ in good) >= 59 and got[901]
+    assert sum(got[i] for i, _ in good) >= 190
+    scored = {r["doc_id"]: r for r in quality.classify(rows, labels).collect()}
+    # Too few of any language are left out, so that all have one threshold: the largest but few of those.
+    assert len({r["threshold"] for r in scored.values()}) == 1
     assert quality.classify(rows.limit(0), labels).collect() == []
     nothing = quality.classify(hard, labels.limit(0)).collect()
     assert len(nothing) == hard.count() and all(r["keep"] and r["perplexity"] is None for r in nothing)
@@ -94,4 +98,4 @@ def test_held_out_documents(spark):
     held = [(r["doc_id"], r["quality"]) for r in labels.filter("doc_id % 2 = 1").collect()]
     kept = [got[i] for i, q in held if q == 1]
     dropped = [not got[i] for i, q in held if q == 0]
-    assert sum(kept) / len(kept) > 0.93 and sum(dropped) / len(dropped) > 0.7
+    assert sum(kept) / len(kept) > 0.93 and sum(dropped) / len(dropped) > 0.85
