@@ -1,14 +1,16 @@
 """Nearest neighbours by largest inner product: a robust-pruned directed graph for each shard.
 
 Equal vectors are one node, with as many of the smallest ids as an answer can hold. Nodes are
-dealt to shards of bounded size by a hash. A shard's graph is built in batches: a greedy search
+dealt to shards of bounded size by a hash. A graph is built in batches: a greedy search
 over the graph so far proposes the neighbours of a new node, and relaxed pruning keeps
 those that no kept neighbour is much closer to; edges back are pruned the same way. A search keeps
 a beam of the best nodes and follows the edges of those not yet followed. Blocks of queries
 search every shard, and the best of all shards are ranked by exact products in double precision.
 
-Inner products become distances by one more coordinate that gives all vectors of a shard the same
-length, so the nearest are those with the largest product.
+The largest products need not be the smallest angles. So a shard has a graph for each band of lengths,
+within which the two orders are close: edges are chosen by angle, a search follows the largest products.
+Bands are searched from long to short, and a query leaves out those whose longest vector cannot come into
+its answer, which is short work where lengths differ much.
 
 Defined results: vectors that are null, empty, zero, or hold null or non-finite components take
 no part, neither do null ids; vectors of different lengths never meet; a repeated row counts
@@ -41,22 +43,34 @@ DEGREE, ROOM = 32, 48
 BUILD_BEAM, QUERY_BEAM, FOLLOWED = 64, 128, 4
 #: A neighbour goes if a kept one is closer to it by this factor.
 RELAXED = 1.2
+#: How much longer than its shortest the longest vector of a graph may be.
+BAND = 1.1
 BATCH, SEED = 512, 11
 
 
 class Graph(NamedTuple):
-    points: np.ndarray  # float32, with the coordinate that evens the lengths
+    points: np.ndarray  # float32
     edges: np.ndarray  # (n, ROOM) int32, -1 where there is none
     entry: int
 
 
-def evened(vectors: np.ndarray) -> np.ndarray:
-    """The vectors with one more coordinate, all of the length of the longest."""
-    squares = np.einsum("ij,ij->i", vectors, vectors)
-    more = np.sqrt(np.maximum(squares.max(initial=0) - squares, 0))
-    # Small enough for single precision, whatever the scale of the data.
-    scale = 1 / max(float(np.sqrt(squares.max(initial=0))), 1e-300)
-    return (np.concatenate([vectors, more[:, None]], axis=1) * scale).astype(np.float32)
+def lengths_of(vectors: np.ndarray) -> np.ndarray:
+    """The length of each vector, whatever the scale of its components."""
+    scale = np.abs(vectors).max(axis=1, initial=0)
+    scale[scale == 0] = 1
+    return np.sqrt(np.square(vectors / scale[:, None]).sum(axis=1)) * scale
+
+
+def bands_of(lengths: np.ndarray) -> list[tuple[int, int]]:
+    """Ranges of descending lengths: of one band the shortest is not shorter than the longest by more than
+    ``BAND``, unless it would have fewer nodes than a beam."""
+    out, begin = [], 0
+    while begin < len(lengths):
+        end = int(np.searchsorted(-lengths, -lengths[begin] / BAND, "right"))
+        end = min(max(end, begin + QUERY_BEAM), len(lengths))
+        out.append((begin, end))
+        begin = end
+    return out
 
 
 def beam_search(graph: Graph, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
@@ -125,7 +139,7 @@ def robust_prune(points: np.ndarray, nodes: np.ndarray, candidates: np.ndarray,
         repeated = np.concatenate([np.zeros((len(given), 1), bool), ordered[:, 1:] == ordered[:, :-1]], axis=1)
         valid = (ordered >= 0) & ~repeated & (ordered != mine[:, None])
         x = points[np.maximum(ordered, 0)]
-        # Points have one length: squared distances are 2 - 2 * products, to scale.
+        # Points are directions: squared distances are 2 - 2 * products.
         own = 2 - 2 * np.einsum("bd,bcd->bc", points[mine], x)
         between = 2 - 2 * np.matmul(x, x.transpose(0, 2, 1))
         own = np.where(valid, np.maximum(own, 0), np.inf)
@@ -143,13 +157,15 @@ def robust_prune(points: np.ndarray, nodes: np.ndarray, candidates: np.ndarray,
     return out
 
 
-def build_graph(vectors: np.ndarray, seed: int = SEED) -> Graph:
-    """The graph of a shard: nodes enter in random order, in batches that grow with the graph."""
-    points = evened(vectors)
+def build_graph(vectors: np.ndarray, lengths: np.ndarray, seed: int = SEED) -> Graph:
+    """The graph of a band: nodes enter in random order, in batches that grow with the graph.
+
+    Edges are chosen by angle, among directions; searches go by product, so the points of the graph that
+    is returned have their lengths, to the scale of the longest.
+    """
+    points = (vectors / lengths[:, None]).astype(np.float32)
     n = len(points)
     edges = np.full((n, ROOM), -1, np.int32)
-    if not n:
-        return Graph(points, edges, -1)
     entry = int((points @ points.mean(axis=0)).argmax())
     order = np.random.default_rng(seed).permutation(n)
     order = order[order != entry]
@@ -181,7 +197,7 @@ def build_graph(vectors: np.ndarray, seed: int = SEED) -> Graph:
                 pruned = robust_prune(points, full, edges[full].astype(np.int64))
                 edges[full] = -1
                 edges[full, :DEGREE] = pruned
-    return graph
+    return graph._replace(points=points * (lengths / lengths.max())[:, None].astype(np.float32))
 
 
 def _finite(vector: Column) -> Column:
@@ -196,7 +212,10 @@ def usable(rows: DataFrame, key: str = "vec_id", vector: str = "embedding") -> D
     return picked.filter(F.col("id").isNotNull() & _finite(F.col("vector"))).withColumn("dim", F.size("vector"))
 
 
-_SHARD = "dim int, shard int, n long, vectors binary, members binary, ends binary, points binary, edges binary, entry long"
+_SHARD = (
+    "dim int, shard int, n long, vectors binary, members binary, ends binary, points binary, edges binary,"
+    " bands binary, entries binary, longest binary"
+)
 
 
 def build_index(rows: DataFrame, nearest: int = NEAREST, shard_rows: int = SHARD_ROWS) -> tuple[DataFrame, int]:
@@ -212,17 +231,24 @@ def build_index(rows: DataFrame, nearest: int = NEAREST, shard_rows: int = SHARD
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
         vectors = np.stack(pdf["vector"].to_numpy()).astype(np.float64)
-        graph = build_graph(vectors)
+        lengths = lengths_of(vectors)
+        order = np.argsort(-lengths, kind="stable")
+        vectors, lengths = vectors[order], lengths[order]
+        members = pdf["ids"].to_numpy()[order]
+        bands = bands_of(lengths)
+        graphs = [build_graph(vectors[a:b], lengths[a:b]) for a, b in bands]
         row = {
             "dim": int(pdf["dim"].iloc[0]),
             "shard": int(pdf["shard"].iloc[0]),
             "n": len(vectors),
             "vectors": vectors.tobytes(),
-            "members": np.concatenate(pdf["ids"].to_numpy()).astype(np.int64).tobytes(),
-            "ends": np.cumsum([len(x) for x in pdf["ids"]]).astype(np.int64).tobytes(),
-            "points": graph.points.tobytes(),
-            "edges": graph.edges.tobytes(),
-            "entry": graph.entry,
+            "members": np.concatenate(members).astype(np.int64).tobytes(),
+            "ends": np.cumsum([len(x) for x in members]).astype(np.int64).tobytes(),
+            "points": b"".join(g.points.tobytes() for g in graphs),
+            "edges": b"".join(g.edges.tobytes() for g in graphs),
+            "bands": np.array([b for _, b in bands], np.int64).tobytes(),
+            "entries": np.array([g.entry for g in graphs], np.int64).tobytes(),
+            "longest": lengths[[a for a, _ in bands]].tobytes(),
         }
         return pd.DataFrame([row])
 
@@ -244,37 +270,50 @@ def _blocks(queries: DataFrame, rows: int) -> DataFrame:
     return kept(dealt.groupBy("dim", "block").applyInPandas(pack, "dim int, ids binary, queries binary"), "query-blocks")
 
 
+class _Answers:
+    """The best members for each query so far."""
+
+    def __init__(self, own: list[int], nearest: int):
+        self._own, self._nearest = own, nearest
+        self.best: list[list[tuple[float, int]]] = [[] for _ in own]
+        #: The worth of each query's last answer, once there are enough.
+        self.least = np.full(len(own), -np.inf)
+
+    def add(self, at: int, worth: np.ndarray, members: list[np.ndarray]) -> None:
+        """Nodes with their members: those of equal worth all count, the smallest ids win."""
+        found = [(-w, int(m)) for w, ids in zip(worth.tolist(), members) for m in ids if m != self._own[at] and w >= self.least[at]]
+        self.best[at] = sorted(self.best[at] + found)[: self._nearest]
+        if len(self.best[at]) == self._nearest:
+            self.least[at] = -self.best[at][-1][0]
+
+
 def _searched(nearest: int, beam: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for row in pdf.to_dict("records"):
                 dim, n = row["dim"], row["n"]
                 vectors = np.frombuffer(row["vectors"], np.float64).reshape(n, dim)
-                members, ends = np.frombuffer(row["members"], np.int64), np.frombuffer(row["ends"], np.int64)
-                graph = Graph(
-                    np.frombuffer(row["points"], np.float32).reshape(n, dim + 1),
-                    np.frombuffer(row["edges"], np.int32).reshape(n, ROOM),
-                    row["entry"],
-                )
+                members = np.split(np.frombuffer(row["members"], np.int64), np.frombuffer(row["ends"], np.int64)[:-1])
+                points = np.frombuffer(row["points"], np.float32).reshape(n, dim)
+                edges = np.frombuffer(row["edges"], np.int32).reshape(n, ROOM)
                 ids = np.frombuffer(row["ids"], np.int64)
                 queries = np.frombuffer(row["queries"], np.float64).reshape(len(ids), dim)
-                longest = np.abs(queries).max(axis=1, keepdims=True)
-                flat_queries = np.concatenate([queries / longest, np.zeros((len(ids), 1))], axis=1).astype(np.float32)
-                found, _ = beam_search(graph, flat_queries, beam)
-                out: list[tuple[int, int, float]] = []
-                for own, query, nodes in zip(ids.tolist(), queries, found):
-                    nodes = nodes[nodes >= 0]
-                    exact = np.array([float(np.dot(query, vectors[i])) for i in nodes])
-                    order = np.argsort(-exact, kind="stable")
-                    # Nodes of equal worth all count: the smallest ids of all of them win.
-                    last = exact[order[min(nearest, len(order) - 1)]]
-                    got = [
-                        (-float(exact[j]), int(m))
-                        for j in order[: int((exact >= last).sum())]
-                        for m in members[(ends[nodes[j] - 1] if nodes[j] else 0) : ends[nodes[j]]]
-                        if m != own
-                    ]
-                    out += [(own, m, -w) for w, m in sorted(got)[:nearest]]
+                lengths = lengths_of(queries)
+                directions = (queries / lengths[:, None]).astype(np.float32)
+                answers = _Answers(ids.tolist(), nearest)
+                begin = 0
+                for end, entry, longest in zip(*(np.frombuffer(row[c], t).tolist() for c, t in (("bands", np.int64), ("entries", np.int64), ("longest", np.float64)))):
+                    # No product is above that of the lengths; bands come from long to short.
+                    asking = np.flatnonzero(lengths * longest * (1 + 1e-9) >= answers.least)
+                    if not len(asking):
+                        break
+                    found, _ = beam_search(Graph(points[begin:end], edges[begin:end], entry), directions[asking], beam)
+                    for at, nodes in zip(asking.tolist(), found):
+                        nodes = nodes[nodes >= 0] + begin
+                        exact = np.array([float(np.dot(queries[at], vectors[i])) for i in nodes])
+                        answers.add(at, exact, [members[i] for i in nodes])
+                    begin = end
+                out = [(own, m, -w) for own, best in zip(ids.tolist(), answers.best) for w, m in best]
                 yield pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
     return run

@@ -61,11 +61,46 @@ def test_recall(spark):
     assert np.mean(shares) >= 0.95
 
 
+def of_kind(kind, n=2 * vectors.SHARD_ROWS - 100, dim=64):
+    """More vectors than a shard of default size holds."""
+    draw = np.random.default_rng(3)
+    x = draw.normal(size=(n, dim))
+    if kind == "clustered":
+        x = 0.6 * x + 3 * draw.normal(size=(40, dim))[draw.integers(0, 40, n)]
+    if kind == "lognormal":
+        x *= draw.lognormal(0, 0.5, (n, 1))
+    return x
+
+
+@pytest.mark.parametrize("kind", ["gaussian", "lognormal", "clustered"])
+def test_recall_of_products_at_default_size(spark, kind):
+    x = of_kind(kind)
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    got = answers(vectors.search_every(df, step=160))
+    shares = []
+    for q, found in got.items():
+        worth = x @ x[q]
+        worth[q] = -np.inf
+        shares.append(len(set(np.argsort(-worth)[:20].tolist()) & {j for j, _ in found}) / 20)
+    assert len(got) == len(range(0, len(x), 160)) and np.mean(shares) >= 0.95
+
+
+def test_bands_of_lengths():
+    lengths = np.sort(np.random.default_rng(2).lognormal(0, 1, 3000))[::-1]
+    found = vectors.bands_of(lengths)
+    assert [a for a, _ in found] == [0, *(b for _, b in found[:-1])] and found[-1][1] == 3000
+    for a, b in found[:-1]:
+        assert b - a >= vectors.QUERY_BEAM and (b - a == vectors.QUERY_BEAM or lengths[a] <= vectors.BAND * lengths[b - 1] + 1e-9)
+    assert vectors.bands_of(lengths[:0]) == [] and vectors.bands_of(np.full(500, 2.0)) == [(0, 500)]
+    assert vectors.lengths_of(np.array([[3e200, 4e200], [0, 0], [3e-200, -4e-200]])).tolist() == pytest.approx([5e200, 0, 5e-200])
+
+
 def test_graph_is_bounded_and_reaches():
     x = np.random.default_rng(1).normal(size=(600, 8))
-    graph = vectors.build_graph(x)
+    x /= vectors.lengths_of(x)[:, None]
+    graph = vectors.build_graph(x, vectors.lengths_of(x))
     degrees = (graph.edges >= 0).sum(axis=1)
     assert degrees.max() <= vectors.ROOM and degrees.min() >= 1
-    queries = np.concatenate([x / np.abs(x).max(axis=1, keepdims=True), np.zeros((600, 1))], axis=1).astype(np.float32)
-    found, _ = vectors.beam_search(graph, queries, 32)
-    assert np.mean([i in row for i, row in zip((x @ x.T).argmax(axis=1), found)]) > 0.97
+    found, _ = vectors.beam_search(graph, x.astype(np.float32), 32)
+    near = np.argsort(-(x @ x.T), axis=1)[:, 1]
+    assert np.mean([i in row for i, row in zip(near, found)]) > 0.97
