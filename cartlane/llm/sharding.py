@@ -1,12 +1,12 @@
 """Sharding: balanced label propagation over linked documents.
 
-Every document begins in the shard of its hash. In each round a document looks at the shards of
-its linked documents with smaller numbers and wants to go where most of them are; so no two chase
-each other. A shard takes movers up to a quota of linked documents: those that follow documents
-with few links first, and all followers of one document together as far as they fit. Unlinked
-documents take no room, since they can go anywhere: in the end shards above the exact quota
-send documents to those below, unlinked ones first, then those of the largest groups, which no
-shard could hold whole.
+First each document takes the smallest number among its neighbours', until nothing changes: these labels
+are groups. A group that a shard can hold moves as a whole: groups bid for shards, and a shard takes the
+largest that fit. Those refused bid again for what room there is. A group larger than a shard is laid over
+as few shards as it needs, and then its documents vote: in each round a document looks at the shards
+of its linked documents with smaller numbers and wants to go where most of them are, so no two chase
+each other. A shard takes movers up to a quota: those that follow documents with few links first. In
+the end shards above the exact quota send documents to those below. Unlinked documents fill up the shards.
 
 Ranks within a shard are sums over buckets of a hash plus a rank in the bucket, so no task sorts a
 shard. What the driver reads is one number per shard.
@@ -19,18 +19,23 @@ by their equal texts; an empty table gives no rows; extra columns are ignored.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from cartlane.llm.components import connected
 from cartlane.llm.shared import kept
 
 SHARDS = 8
 
-#: Rounds of moves, and how far above the even share a shard may fill with linked documents meanwhile.
+#: Rounds of moves within a large group, and how far above the even share a shard may fill meanwhile.
 ROUNDS, SLACK = 3, 0.25
 
+#: Times that a group bids for a shard.
+BIDS = 6
+
 #: Rows in a bucket on average: what one window sorts.
 BUCKET_ROWS = 1 << 16
 
@@ -63,8 +68,8 @@ def _by_shard(column: str, values: list) -> Column:
     return F.element_at(F.array(*(F.lit(v) for v in values)), F.col(column) + 1)
 
 
-def _round(labels: DataFrame, links: DataFrame, degrees: DataFrame, linked: DataFrame, total: int, shards: int) -> DataFrame:
-    """The labels after one round of moves."""
+def _round(labels: DataFrame, links: DataFrame, degrees: DataFrame, total: int, shards: int) -> DataFrame:
+    """The labels after one round of moves to the shard of most neighbours with smaller numbers."""
     of_voter = labels.select(F.col("node").alias("voter"), F.col("shard").alias("target"))
     votes = links.join(of_voter, "voter").groupBy("node", "target").agg(F.count(F.lit(1)).alias("votes"), F.min("voter").alias("leader"))
     best = votes.groupBy("node").agg(
@@ -74,7 +79,7 @@ def _round(labels: DataFrame, links: DataFrame, degrees: DataFrame, linked: Data
         best.select("node", "best.*").join(labels, "node").filter("target <> shard").select("node", "target", "leader")
     )
     soft = math.ceil(total / shards * (1 + SLACK))
-    room = [max(0, soft - n) for n in _counts(labels.join(linked, "node", "left_semi"), shards)]
+    room = [max(0, soft - n) for n in _counts(labels, shards)]
     wanted = moves.groupBy("target", "leader").agg(F.count(F.lit(1)).alias("n")).join(degrees, "leader")
     ranked = _before(
         wanted, "target", F.floor(F.log2("degree")), F.xxhash64("leader"), [F.xxhash64("leader"), "leader"], F.col("n"), total
@@ -87,46 +92,119 @@ def _round(labels: DataFrame, links: DataFrame, degrees: DataFrame, linked: Data
     return labels.join(accepted, "node", "left").select("node", F.coalesce("moved", "shard").alias("shard"))
 
 
-def _evened(labels: DataFrame, linked: DataFrame, total: int, shards: int) -> DataFrame:
-    """The labels with exact quotas; the fullest shards may keep one more."""
+def _evened(labels: DataFrame, degrees: DataFrame, quotas: list[int], total: int) -> DataFrame:
+    """The labels with no shard above its quota. What leaves goes to the fullest shards with room."""
+    shards = len(quotas)
     counts = _counts(labels, shards)
-    fullest = sorted(range(shards), key=lambda s: -counts[s])[: total % shards]
-    quotas = [total // shards + (s in fullest) for s in range(shards)]
     excess = [max(0, n - q) for n, q in zip(counts, quotas)]
     if not any(excess):
         return labels
     over = [s for s, n in enumerate(excess) if n]
-    rows = labels.filter(F.col("shard").isin(over)).join(linked, "node", "left")
-    classes = F.when(F.col("degree").isNull(), F.lit(0)).otherwise(64 - F.floor(F.log2("degree")))
+    rows = labels.filter(F.col("shard").isin(over)).join(degrees.withColumnRenamed("leader", "node"), "node", "left")
+    classes = F.when(F.col("degree").isNull(), F.lit(0)).otherwise(1 + F.floor(F.log2("degree")))
     ranked = _before(rows, "shard", classes, F.xxhash64("node"), [F.xxhash64("node"), "node"], F.lit(1), total)
     starts = [sum(excess[:s]) for s in range(shards)]
     leaving = ranked.filter(F.col("before") < _by_shard("shard", excess)).select(
         "node", (F.col("before") + _by_shard("shard", starts)).alias("place")
     )
-    goes, end = F.lit(None).cast("int"), sum(excess)
-    for s in reversed(range(shards)):
-        lacks = max(0, quotas[s] - counts[s])
-        if lacks:
-            goes = F.when((F.col("place") >= end - lacks) & (F.col("place") < end), F.lit(s)).otherwise(goes)
-            end -= lacks
-    moved = leaving.select("node", goes.alias("moved"))
+    order = sorted(range(shards), key=lambda s: (-counts[s], s))
+    moved = leaving.select("node", _filled([max(0, quotas[s] - counts[s]) for s in order], order).alias("moved"))
     return labels.join(moved, "node", "left").select("node", F.coalesce("moved", "shard").alias("shard"))
 
 
+def _filled(rooms: list[int], order: list[int]) -> Column:
+    """The shard of a ``place`` if the shards' rooms are filled one after the other."""
+    shard, end = F.lit(order[-1]), sum(rooms)
+    for s, room in reversed(list(zip(order, rooms))):
+        end -= room
+        shard = F.when(F.col("place") < end + room, F.lit(s)).otherwise(shard)
+    return shard
+
+
+def _spread(members: DataFrame, links: DataFrame, sizes: list[tuple[int, int]], quotas: list[int], total: int, rounds: int) -> DataFrame:
+    """``node, shard`` for groups that no shard can hold, ``root, size``; there are fewer of them than shards.
+
+    They lie one after the other over the shards, and then their nodes vote.
+    """
+    starts, upto = [], 0
+    for root, size in sizes:
+        starts.append((root, upto))
+        upto += size
+    begin = F.coalesce(*(F.when(F.col("root") == root, F.lit(start)) for root, start in starts))
+    ranked = _before(members, "root", F.lit(0), F.xxhash64("node"), [F.xxhash64("node"), "node"], F.lit(1), total)
+    shards = len(quotas)
+    placed = ranked.withColumn("place", F.col("before") + begin).select("node", _filled(quotas, list(range(shards))).alias("shard"))
+    labels = kept(placed, "shard-labels")
+    inside = kept(links.join(members.select("node"), "node", "left_semi"), "shard-links")
+    degrees = kept(inside.groupBy(F.col("voter").alias("leader")).agg(F.count(F.lit(1)).alias("degree")), "shard-degrees")
+    for _ in range(rounds):
+        labels = kept(_round(labels, inside, degrees, total, shards), "shard-labels")
+    return kept(_evened(labels, degrees, quotas, total), "shard-labels")
+
+
+def _packed(groups: DataFrame, rooms: list[int], total: int) -> tuple[DataFrame | None, list[int]]:
+    """``root, shard`` of the groups (``root, size``) that find a shard with room for all of them, and the rooms left.
+
+    Each group bids for one shard, the largest for the emptiest and so on in turn; a shard takes them from
+    the largest on as long as they fit as wholes. Those refused bid again.
+    """
+    found = None
+    rooms = list(rooms)
+    for _ in range(BIDS):
+        order = sorted((s for s, room in enumerate(rooms) if room > 1), key=lambda s: (-rooms[s], s))
+        if not order:
+            break
+        smaller = 63 - F.floor(F.log2("size"))
+        hashed, inside = F.xxhash64("root"), [F.desc("size"), F.xxhash64("root"), "root"]
+        turn = _before(groups.withColumn("all", F.lit(0)), "all", smaller, hashed, inside, F.lit(1), total)
+        shard = F.element_at(F.array(*map(F.lit, order)), (F.col("before") % len(order) + 1).cast("int"))
+        bids = turn.select("root", "size", shard.alias("shard"))
+        bids = _before(bids, "shard", smaller, hashed, inside, F.col("size"), total)
+        fits = F.col("before") + F.col("size") <= _by_shard("shard", rooms)
+        settled = kept(bids.select("root", "size", "shard", fits.alias("fits")), "shard-bids")
+        got = settled.filter("fits").groupBy("shard").agg(F.sum("size").alias("n")).collect()
+        if not got:
+            break
+        for r in got:
+            rooms[r["shard"]] -= r["n"]
+        taken = settled.filter("fits").select("root", "shard")
+        found = taken if found is None else found.unionByName(taken)
+        groups = settled.filter("NOT fits").select("root", "size")
+        if groups.isEmpty():
+            break
+    return found, rooms
+
+
 def propagate(nodes: DataFrame, links: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
     """``node, shard, slot`` for all ``nodes``; ``links`` are pairs ``a, b`` of nodes, in any order."""
     directed = links.filter("a <> b").select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("voter"))
     directed = kept(directed.distinct(), "shard-links")
-    degrees = kept(directed.groupBy(F.col("voter").alias("leader")).agg(F.count(F.lit(1)).alias("degree")), "shard-degrees")
-    followed = directed.join(degrees.withColumnRenamed("leader", "voter"), "voter").select("node", "degree")
-    led = degrees.select(F.col("leader").alias("node"), "degree")
-    linked = kept(followed.union(led).groupBy("node").agg(F.max("degree").alias("degree")), "shard-linked")
-    first = F.pmod(F.xxhash64("node"), F.lit(shards)).cast("int").alias("shard")
-    labels = kept(nodes.select("node", first), "shard-labels")
-    total = labels.count()
-    for _ in range(rounds):
-        labels = kept(_round(labels, directed, degrees, linked, total, shards), "shard-labels")
-    labels = kept(_evened(labels, linked, total, shards), "shard-labels")
+    nodes = kept(nodes.select("node"), "shard-nodes")
+    total = nodes.count()
+    quotas = [total // shards + (s < total % shards) for s in range(shards)]
+    members = kept(connected(directed.select(F.col("node").alias("a"), F.col("voter").alias("b"))), "shard-groups")
+    sizes = kept(members.groupBy("root").agg(F.count(F.lit(1)).alias("size")), "shard-sizes")
+
+    # A group larger than a shard's quota: there are fewer of them than shards.
+    large = F.col("size") > total // shards
+    giants = [(r["root"], r["size"]) for r in sizes.filter(large).orderBy(F.desc("size"), "root").collect()]
+    parts, rooms = [], quotas
+    if giants:
+        of_giants = members.filter(F.col("root").isin([root for root, _ in giants]))
+        parts.append(_spread(of_giants, directed, giants, quotas, total, rounds))
+        rooms = [q - n for q, n in zip(quotas, _counts(parts[0], shards))]
+    found, rooms = _packed(sizes.filter(~large), rooms, total)
+    loose = members.filter(~members["root"].isin([root for root, _ in giants])) if giants else members
+    if found is not None:
+        parts.append(loose.join(found, "root").select("node", "shard"))
+        loose = loose.join(found.select("root"), "root", "left_anti")
+    # What is left fills up the shards: first groups that nowhere fit, each in one place of the line.
+    alone = nodes.join(members.select("node"), "node", "left_anti").select("node", F.lit(None).cast("long").alias("root"))
+    rest = loose.select("node", F.col("root").cast("long").alias("root")).unionByName(alone).withColumn("all", F.lit(0))
+    by = F.xxhash64(F.coalesce("root", "node"))
+    line = _before(rest, "all", F.col("root").isNull().cast("int"), by, [by, "root", "node"], F.lit(1), total)
+    parts.append(line.select("node", F.col("before").alias("place")).select("node", _filled(rooms, list(range(shards))).alias("shard")))
+    labels = kept(reduce(DataFrame.unionByName, parts), "shard-labels")
     ranked = _before(labels, "shard", F.lit(0), F.xxhash64("node"), [F.xxhash64("node"), "node"], F.lit(1), total)
     return ranked.select("node", "shard", F.col("before").cast("long").alias("slot"))
 

@@ -1,3 +1,4 @@
+import itertools
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -29,7 +30,7 @@ def test_law_sizes_and_groups(documents):
         text = texts[r["doc_id"]].encode()
         assert (r["size"], r["text_crc32"]) == (len(text) + 1, zlib.crc32(text))
         shards[texts[r["doc_id"]]].add(r["shard"])
-    assert sum(len(s) > 1 for s in shards.values()) <= 2
+    assert all(len(s) == 1 for s in shards.values())
 
 
 @pytest.mark.parametrize("n", [0, 1, 3, 7, 9])
@@ -40,7 +41,46 @@ def test_few_rows(documents, n):
 def test_a_third_in_one_group(documents):
     rows = placed(documents([(i, "hot" if i % 3 == 0 else f"t{i}") for i in range(480)]))
     hot = Counter(r["shard"] for r in rows if r["doc_id"] % 3 == 0)
-    assert max(hot.values()) == 60  # one shard holds as much of it as fits
+    assert max(hot.values()) == 60 and len(hot) <= 4  # one shard holds as much of it as fits, and few the rest
+
+
+def test_groups_that_fit_stay_whole(documents):
+    """Six groups of a tenth each and pairs, though two of the groups cannot share a shard."""
+    texts = [f"group {i % 6}" if i < 1200 else f"pair {i // 2}" if i < 1300 else f"text {i}" for i in range(2000)]
+    random.Random(2).shuffle(texts)
+    shards = defaultdict(set)
+    for r in placed(documents(list(enumerate(texts)))):
+        shards[texts[r["doc_id"]]].add(r["shard"])
+    assert all(len(s) == 1 for s in shards.values())
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_cuts_of_small_graphs(spark, seed):
+    """Brute force over all ways to deal the groups: where all fit as wholes, no link is cut."""
+    draw = random.Random(seed)
+    sizes = [draw.randrange(2, 5) for _ in range(4)]
+    pairs, at = [], 0
+    for size in sizes:
+        pairs += [(at + draw.randrange(i), at + i) for i in range(1, size)] + [(at, at + size - 1)]
+        at += size
+    total = at + 10
+    nodes, links = spark.range(total).withColumnRenamed("id", "node"), spark.createDataFrame(pairs, "a long, b long")
+    labels = sharding.propagate(nodes, links, shards=3)
+    counts = sorted(r["n"] for r in labels.groupBy("shard").agg(F.count("*").alias("n")).collect())
+    assert counts[-1] - counts[0] <= 1 and sum(counts) == total
+    whole = any(
+        all(sum(s for s, d in zip(sizes, dealt) if d == shard) <= total // 3 for shard in range(3))
+        for dealt in itertools.product(range(3), repeat=len(sizes))
+    )
+    assert whole and sharding.cut_links(labels, links).first()["cut"] == 0
+
+
+def test_a_group_above_the_quota_lies_over_few_shards(spark):
+    nodes = spark.range(800).withColumnRenamed("id", "node")
+    links = spark.range(1, 250).select(F.lit(0).cast("long").alias("a"), F.col("id").alias("b"))
+    labels = {r["node"]: r["shard"] for r in sharding.propagate(nodes, links).collect()}
+    pieces = Counter(labels[n] for n in range(250))
+    assert len(pieces) <= 4 and max(pieces.values()) == 100 and pieces[labels[0]] == 100
 
 
 def test_hard_rows(hard):
