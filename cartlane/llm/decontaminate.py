@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import ahocorasick
 import numpy as np
@@ -51,25 +52,59 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode().lower().translate(_TABLE).split()
 
 
+class Run(NamedTuple):
+    """``count`` equal blocks of item ``n``, the first from word ``begin`` to ``end``, each ``step`` words after
+    the one before; what lies between is equal too, so the item has the period ``step`` there."""
+
+    n: int
+    begin: int
+    end: int
+    count: int
+    step: int
+
+
+def runs_of(n: int, words: list[bytes], places: list[int], size: int) -> list[Run]:
+    """The runs of equal blocks of ``size`` words that begin at ``places`` of an item."""
+    out: list[Run] = []
+    i = 0
+    while i < len(places):
+        j, step = i + 1, places[i + 1] - places[i] if i + 1 < len(places) else 0
+        while j < len(places) and places[j] - places[j - 1] == step and words[places[j - 1] : places[j]] == words[places[i] : places[i] + step]:
+            j += 1
+        out.append(Run(n, places[i], places[i] + size, j - i, step))
+        i = j
+    return out
+
+
 class Finder:
-    """One automaton over the blocks of some items."""
+    """One automaton over the blocks of some items.
+
+    A block that repeats in an item, as in a word said over and over, meets every one of its kind in a
+    document. Such blocks are runs with a period on both sides. Of all ways to lay one run over the other only
+    those are followed that differ in what comes before or behind: where the runs begin or end together,
+    and one period beside that. All others find the same words.
+    """
 
     def __init__(self, items: list[Item], window: int = WINDOW):
         self._items, self._window = items, window
         block = window // 2
-        places: dict[str, list[tuple[int, int, int]]] = {}
+        short: dict[str, list[int]] = {}
+        places: dict[str, dict[int, list[int]]] = {}
+        name = lambda ws: f" {b' '.join(ws).decode('latin-1')} "
         for n, (_, words) in enumerate(items):
-            if len(words) < window:
-                cuts = [(0, len(words))] if words else []
-            else:
-                cuts = [(i, i + block) for i in range(0, len(words) - block + 1, block)]
-            for a, b in cuts:
-                places.setdefault(f" {b' '.join(words[a:b]).decode('latin-1')} ", []).append((n, a, b))
+            if words and len(words) < window:
+                short.setdefault(name(words), []).append(n)
+            elif words:
+                for i in range(0, len(words) - block + 1, block):
+                    places.setdefault(name(words[i : i + block]), {}).setdefault(n, []).append(i)
+        self._patterns: list[tuple[list[int], list[Run]]] = []
         self._automaton = ahocorasick.Automaton()
-        for pattern, where in places.items():
-            self._automaton.add_word(pattern, (len(pattern), where))
-        self._empty = not places
-        if places:
+        for pattern in short.keys() | places.keys():
+            runs = [r for n, at in places.get(pattern, {}).items() for r in runs_of(n, items[n][1], at, block)]
+            self._automaton.add_word(pattern, (len(pattern), len(self._patterns)))
+            self._patterns.append((short.get(pattern, []), runs))
+        self._empty = not self._patterns
+        if not self._empty:
             self._automaton.make_automaton()
 
     def find(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
@@ -77,34 +112,84 @@ class Finder:
         if self._empty or not words:
             return [], set()
         text = f" {b' '.join(words).decode('latin-1')} "
+        met = [(pattern, end - length + 1) for end, (length, pattern) in self._automaton.iter(text)]
+        if not met:
+            return [], set()
+        spaces = np.flatnonzero(np.frombuffer(text.encode("latin-1"), np.uint8) == 32)
+        begins = np.searchsorted(spaces, [at for _, at in met]).tolist()
+        hits: dict[int, list[int]] = {}
+        for (pattern, _), at in zip(met, begins):
+            hits.setdefault(pattern, []).append(at)
         ranges: list[tuple[int, int]] = []
         ids: set[str] = set()
-        spaces = None
-        seen: dict[tuple[int, int], int] = {}  # how far item n has been followed at this shift
-        for end, (length, where) in self._automaton.iter(text):
-            if spaces is None:
-                spaces = np.flatnonzero(np.frombuffer(text.encode("latin-1"), np.uint8) == 32)
-            at = int(np.searchsorted(spaces, end - length + 1))
-            for n, a, b in where:
-                name, item = self._items[n]
-                if len(item) < self._window:
-                    ranges.append((at, at + b))
-                    ids.add(name)
-                    continue
-                if seen.get((n, at - a), -1) >= at:
-                    continue
-                begin, i = at, a
-                while begin and i and words[begin - 1] == item[i - 1]:
-                    begin, i = begin - 1, i - 1
-                stop, i = at + b - a, b
-                while stop < len(words) and i < len(item) and words[stop] == item[i]:
-                    stop, i = stop + 1, i + 1
-                seen[n, at - a] = stop
-                if stop - begin >= self._window:
-                    ranges.append((begin, stop))
-                    ids.add(name)
+        laid: set[tuple[int, int, int, int]] = set()
+        for pattern, places in hits.items():
+            short, runs = self._patterns[pattern]
+            for n in short:
+                ids.add(self._items[n][0])
+                ranges += [(at, at + len(self._items[n][1])) for at in places]
+            by_step: dict[int, list[tuple[int, int]]] = {}
+            for run in runs:
+                if run.step not in by_step:
+                    by_step[run.step] = _in_document(words, places, run.step)
+                for at, count in by_step[run.step]:
+                    self._lay(words, run, at, count, ranges, ids, laid)
+        seen: dict[tuple[int, int], int] = {}  # how far an item has been followed at this shift
+        for at, n, a, size in sorted(laid):
+            self._follow(words, n, at, a, size, ranges, ids, seen)
         return ranges, ids
 
+    def _lay(self, words: list[bytes], run: Run, at: int, count: int, ranges, ids, laid) -> None:
+        """Adds the ways to lay a run of an item over one of a document, ``count`` blocks from ``at`` on."""
+        n, step, size = run.n, run.step, run.end - run.begin
+        between = self._items[n][1][run.end : run.begin + step]
+        if count > 1 and words[at + size : at + step] != between:
+            for k in range(count):
+                self._lay(words, run, at + k * step, 1, ranges, ids, laid)
+            return
+        longest = min((run.count - 1) * step + size, (count - 1) * step + size)
+        if run.count > 1 and count > 1 and longest >= self._window:
+            ranges.append((at, at + (count - 1) * step + size))
+            ids.add(self._items[n][0])
+        ends = run.count - count
+        for shift in {s for s in (-1, 0, 1, ends - 1, ends, ends + 1) if -count < s < run.count}:
+            # The first block of the document's run lies on block ``shift`` of the item's.
+            laid.add((at + max(0, -shift) * step, n, run.begin + max(0, shift) * step, size))
+
+    def _follow(self, words: list[bytes], n: int, at: int, a: int, size: int, ranges, ids, seen) -> None:
+        """What agrees around equal blocks at ``at`` of the document and ``a`` of the item."""
+        if seen.get((n, at - a), -1) >= at + size:
+            return
+        name, item = self._items[n]
+        begin, i = at, a
+        while begin and i and words[begin - 1] == item[i - 1]:
+            begin, i = begin - 1, i - 1
+        stop, i = at + size, a + size
+        while stop < len(words) and i < len(item) and words[stop] == item[i]:
+            stop, i = stop + 1, i + 1
+        seen[n, at - a] = stop
+        if stop - begin >= self._window:
+            ranges.append((begin, stop))
+            ids.add(name)
+
+
+def _in_document(words: list[bytes], places: list[int], step: int) -> list[tuple[int, int]]:
+    """Runs of a block in a document: where each begins, and how many follow ``step`` words apart with equal words between."""
+    if not step:
+        return [(at, 1) for at in places]
+    there = set(places)
+    joined = {at for at in places if at + step in there and words[at : at + step] == words[at + step : at + 2 * step]}
+    joined |= {at for at in places if at + step in there and at - step in joined}
+    out = []
+    for at in places:
+        if at - step in joined:
+            continue
+        count = 1
+        while at in joined:
+            at, count = at + step, count + 1
+        out.append((at - (count - 1) * step, count))
+    return out
+
 
 def merged_ranges(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """The same words in disjoint ranges, in order."""

@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 import pytest
 
@@ -91,3 +92,44 @@ def test_clean_documents_keep_their_columns(spark, documents):
     assert {r["n_words"] for r in left.collect()} == {"mine"}
     empty = d.clean_documents(rows, benchmark.limit(0))
     assert empty.count() == 3 and d.find_items(rows.limit(0), benchmark).collect() == []
+
+
+def _covered(ranges):
+    return {i for a, b in ranges for i in range(a, b)}
+
+
+@pytest.mark.parametrize("seed", range(60))
+def test_words_said_over_and_over(seed):
+    """Periods of all kinds in items and documents, window by window."""
+    draw = random.Random(seed)
+    window = draw.choice([4, 6, 10])
+
+    def said():
+        out = []
+        for _ in range(draw.randrange(1, 5)):
+            part = [draw.choice([b"a", b"b", b"c"]) for _ in range(draw.choice([1, 1, 2, 3, 5, 7]))]
+            out += part * draw.randrange(1, 40 // len(part) + 2)
+        return out
+
+    items = [(f"i{n}", said()) for n in range(4)]
+    finder = d.Finder(items, window)
+    for _ in range(6):
+        words = said() + draw.choice([[], items[0][1], items[1][1][3:]])
+        want, ids = set(), set()
+        for name, item in items:
+            size = min(window, len(item))
+            there = {tuple(item[i : i + size]) for i in range(len(item) - size + 1)}
+            for i in range(len(words) - size + 1):
+                if tuple(words[i : i + size]) in there:
+                    want |= set(range(i, i + size))
+                    ids.add(name)
+        got, found = finder.find(words)
+        assert _covered(got) == want and found == ids
+
+
+def test_long_repeats_take_time_in_proportion():
+    finder = d.Finder([("x", [b"w"] * 4000), ("y", [b"v", b"w"] * 2000)])
+    begin = time.process_time()
+    ranges, ids = finder.find([b"w"] * 100_000 + [b"v", b"w"] * 50_000)
+    assert ids == {"x", "y"} and len(_covered(ranges)) == 200_000
+    assert time.process_time() - begin < 5
