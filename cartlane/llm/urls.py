@@ -19,6 +19,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cartlane.llm.shared import kept
+
 
 class Rule(NamedTuple):
     host: str
@@ -112,7 +114,8 @@ def _strength(children: DataFrame) -> Column:
 
 def _shrunk(children: DataFrame, parents: DataFrame, by: str) -> DataFrame:
     """Adds ``strength`` and the ``mean`` of each child, its parent's mean as the prior."""
-    joined = children.join(parents.select(by, "mean"), by)
+    # Written once: the strength is taken from all of them before any gets its mean.
+    joined = kept(children.join(parents.select(by, "mean"), by), "reputation")
     return joined.withColumn("strength", _strength(joined)).withColumns(
         {
             "prior": F.col("mean"),
@@ -126,9 +129,9 @@ def host_reputation(hosts: DataFrame) -> DataFrame:
 
     ``hosts``: one row per host with ``n`` labelled and ``bad`` pages.
     """
-    counted = hosts.withColumns({"domain": domain_of(F.col("host")), "suffix": suffix_of(F.col("host"))})
+    counted = kept(hosts.withColumns({"domain": domain_of(F.col("host")), "suffix": suffix_of(F.col("host"))}), "hosts")
     sums = (F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    domains = counted.groupBy("suffix", "domain").agg(*sums)
+    domains = kept(counted.groupBy("suffix", "domain").agg(*sums), "domains")
     suffixes = domains.groupBy("suffix").agg(*sums)
     whole = suffixes.agg(*sums).select(
         F.lit(1).alias("all"),

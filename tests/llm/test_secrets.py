@@ -35,6 +35,22 @@ def test_base_spans_on_random_texts():
         assert secrets.scan(text).base == plain(text)
 
 
+def test_columns_of_the_query(spark, documents):
+    draw = random.Random(8)
+    texts = ["".join(draw.choice([*PIECES, "kJ8s0dPq3VxZ7mN2bT5yRw9L "]) for _ in range(draw.randint(0, 14))) for _ in range(400)]
+    got = {r["doc_id"]: r for r in secrets.scan_secrets(documents(list(enumerate(texts)))).collect()}
+    for i, text in enumerate(texts):
+        base = plain(text)
+        named = [f"{('assign', 'access', 'hex')[k]}:{b}:{e}" for b, k, e in base]
+        counts = Counter(k for _, k, _ in base)
+        assert [got[i][c] for c in ("n_assign", "n_access", "n_hex")] == [counts[k] for k in range(3)]
+        assert got[i]["base_sha256"] == hashlib.sha256(",".join(named).encode()).hexdigest()
+        spans = got[i]["spans"].split(",") if got[i]["spans"] else []
+        entropy = [s for s in spans if s.startswith("entropy:")]
+        assert [s for s in spans if s not in entropy] == named and len(entropy) == got[i]["n_entropy"]
+    assert sum(r["n_entropy"] for r in got.values()) and any(len(plain(t)) > 2 for t in texts)
+
+
 def test_window_entropy_equals_direct_counts():
     draw = random.Random(4)
     for letters in (string.hexdigits, string.ascii_letters + string.digits, string.digits, "ab"):
