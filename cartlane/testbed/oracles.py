@@ -415,8 +415,9 @@ ORACLES: dict[str, str] = {
     "discount_amounts": discount_amounts(False),
     "discount_amounts_strict": discount_amounts(True),
     "order_assembly": f"""{assembly(False)} select id, o_orderkey, user_id, staff_id, address_id, order_amount, discount_amount,
-        tax_amount, total_amount, discount_id, payment_method_id, cast(1 as bigint) as order_status_id, shipping_method_id,
-        {NOW} as created_at, {NOW} as updated_at from final""",
+        tax_amount, total_amount, discount_id, payment_method_id, cast(null as bigint) as payment_status_id,
+        cast(1 as bigint) as order_status_id, shipping_method_id, cast(null as bigint) as shipping_status_id,
+        cast(null as timestamp) as shipped_at, {NOW} as created_at, {NOW} as updated_at from final""",
     "order_assembly_strict": f"""{assembly(True)} select id, o_orderkey, user_id, staff_id, address_id, order_amount, discount_amount,
         tax_amount, total_amount, discount_id, payment_method_id, cast(null as bigint) as payment_status_id,
         cast(1 as bigint) as order_status_id, shipping_method_id, cast(null as bigint) as shipping_status_id,
@@ -444,7 +445,7 @@ ORACLES: dict[str, str] = {
         select id, o_orderkey, count(l_orderkey) as line_count from keyed left join lineitem on l_orderkey = o_orderkey group by 1, 2""",
     "append_batches": "select event_id, user_id, cast(event_id % 3 as int) as batch_id from events",
     "due_dates": """select l_orderkey, l_partkey, l_linenumber, l_quantity, l_shipdate + to_days(cast(l_linenumber * 10 as integer)) as due_at
-        from lineitem where l_linenumber <= 3""",
+        from lineitem""",
     "order_assembly_lines": f"""{assembly(False)} select p.id as order_id, line_number, product_id, quantity, product_price, product_tax,
         subtotal_amount, unit_cost from costed join placed p using (o_orderkey)""",
     "orders_saved": f"""{assembly(False)} select id, order_amount, total_amount, line_count from final
@@ -666,5 +667,6 @@ ORACLES: dict[str, str] = {
     "cdc_stream_state": f"""select id, op, lsn, deleted, changed_at, order_status_id, total_amount from ({LATEST}) where not deleted""",
     "cdc_stream_history": HISTORY,
     "cdc_stream_status_log": HISTORY,
-    "cdc_routed": f"""select id, 'r' as op, {NOW} as changed_at, product_name, product_price, product_quantity from ({PRODUCTS})""",
+    "cdc_routed": f"""select 'products' as table_name, id, 'r' as op, id as lsn, {NOW} as changed_at, product_price as amount from ({PRODUCTS})
+        union all select 'orders', id, op, lsn, changed_at, total_amount from ({CHANGES})""",
 }

@@ -109,7 +109,7 @@ def _assembled(m: Model, mode: str = REFERENCE) -> orders.Assembled:
 
 @query
 def order_assembly(m: Model) -> DataFrame:
-    return _assembled(m).orders.drop("payment_status_id", "shipping_status_id", "shipped_at")
+    return _assembled(m).orders
 
 
 @query
@@ -208,9 +208,8 @@ def append_batches(m: Model) -> DataFrame:
 @query
 def due_dates(m: Model) -> DataFrame:
     """Each line's payment is due ten days after shipping for each piece of its line number."""
-    lines = m.raw("lineitem").filter(F.col("l_linenumber") <= 3)
     due = plus_days(F.col("l_shipdate"), F.col("l_linenumber") * 10)
-    return lines.select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", due.alias("due_at"))
+    return m.raw("lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", due.alias("due_at"))
 
 
 @query
@@ -1082,10 +1081,11 @@ def cdc_routed(m: Model) -> DataFrame:
     lines.write.text(source)
     stream = feed.feed_file_stream(m.spark, source)
     routing.route_by_table(stream, target, scratch_path(m.spark, "routed-log")).awaitTermination()
-    columns = ["product_name", "product_price", "product_quantity"]
-    return envelope.decode(routing.routed(m.spark, target, "products"), TABLES["products"], columns).select(
-        "id", "op", "changed_at", *columns
-    )
+    found = []
+    for table, amount in (("products", "product_price"), ("orders", "total_amount")):
+        changes = envelope.decode(routing.routed(m.spark, target, table), TABLES[table], [amount])
+        found.append(changes.select(F.lit(table).alias("table_name"), "id", "op", "lsn", "changed_at", F.col(amount).alias("amount")))
+    return reduce(DataFrame.unionByName, found)
 
 
 @query
