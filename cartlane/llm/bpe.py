@@ -32,7 +32,7 @@ from cartlane.llm.texts import chunks
 WORDS = 500_000
 
 #: Bytes of text whose words are merged together.
-REPLAY_BYTES = 8 << 20
+REPLAY_BYTES = 4 << 20
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -130,31 +130,32 @@ class Codec:
         self._names = {rank: str(rank) for rank in self.tokens}
         self._split = regex.compile(pattern).findall
         self._limit = words
+        # What is asked for is remembered, not both: the ids, or their digits and bytes.
         self._ids: dict[str, list[int]] = {}
         self._listed: dict[str, str] = {}
         self._decoded: dict[str, bytes] = {}
 
-    def _learn(self, cut: list[list[str]]) -> None:
-        new = {w for ws in cut for w in ws if w not in self._ids}
-        if len(self._ids) + len(new) > self._limit:
-            for memory in (self._ids, self._listed, self._decoded):
+    def _new(self, cut: list[list[str]], known: dict, *others: dict) -> Iterator[tuple[str, list[int]]]:
+        """The words that are not known, with their ids."""
+        new = {w for ws in cut for w in ws if w not in known}
+        if len(known) + len(new) > self._limit:
+            for memory in (known, *others):
                 memory.clear()
             new = {w for ws in cut for w in ws}
         ordered = list(new)
-        for word, ids in zip(ordered, replay([w.encode() for w in ordered], self._merges)):
-            self._ids[word] = ids
-            self._listed[word] = " ".join(map(self._names.__getitem__, ids))
-            self._decoded[word] = self.decode(ids)
+        return zip(ordered, replay([w.encode() for w in ordered], self._merges))
 
     def encode_all(self, texts: list[str]) -> list[list[int]]:
         cut = [self._split(text) for text in texts]
-        self._learn(cut)
+        self._ids.update(self._new(cut, self._ids))
         return [[i for w in ws for i in self._ids[w]] for ws in cut]
 
     def digests(self, texts: list[str]) -> list[tuple[int, str, str]]:
         """Number of ids, digest of the ids in decimal, digest of the decoded bytes, for each text."""
         cut = [self._split(text) for text in texts]
-        self._learn(cut)
+        for word, ids in self._new(cut, self._listed, self._decoded):
+            self._listed[word] = " ".join(map(self._names.__getitem__, ids))
+            self._decoded[word] = self.decode(ids)
         out = []
         for ws in cut:
             listed = " ".join(map(self._listed.__getitem__, ws)).encode()
