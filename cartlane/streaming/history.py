@@ -36,28 +36,33 @@ _ORDER = ["lsn", "since", "deleted", STATUS]
 _LOG = "id long, deleted boolean, order_status_id long, changed_at timestamp_ntz, lsn long"
 
 
-def _runs(changes: DataFrame) -> DataFrame:
-    """The records, deletes included, that differ from the one before of their order."""
+def _runs(changes: DataFrame, stored: bool) -> DataFrame:
+    """The records, deletes included, that differ from the one before of their order.
+
+    Ranges are cut after a look at all rows: changes that still have to be decoded are written first, a few
+    numbers each, so that this is done once.
+    """
     rows = changes.select("id", STATUS, "deleted", F.col("changed_at").alias("since"), "lsn")
+    rows = rows if stored else written(rows, "changes")
     before = neighbour(ranged(rows, ["id"], _ORDER), ["id"], _ORDER, [STATUS, "deleted"], "__before")
     same = F.col(f"__before.{STATUS}").eqNullSafe(F.col(STATUS)) & (F.col("__before.deleted") == F.col("deleted"))
     return before.filter(F.col("__before").isNull() | ~same).drop("__before")
 
 
-def status_changes(changes: DataFrame) -> DataFrame:
-    """The changes after which an order's status differs from before.
+def status_changes(changes: DataFrame, stored: bool = False) -> DataFrame:
+    """The changes after which an order's status differs from before; ``stored`` if they are a table already.
 
     Repeated records follow their twin in the log and so change nothing.
     """
-    return _runs(changes).filter("NOT deleted").drop("deleted", RANGE)
+    return _runs(changes, stored).filter("NOT deleted").drop("deleted", RANGE)
 
 
-def status_history(changes: DataFrame) -> DataFrame:
-    """``id, order_status_id, since, lsn, until`` from a batch of changes.
+def status_history(changes: DataFrame, stored: bool = False) -> DataFrame:
+    """``id, order_status_id, since, lsn, until`` from a batch of changes; ``stored`` if they are a table already.
 
     ``until`` is when the next status or a delete came, null for the present status.
     """
-    after = neighbour(_runs(changes), ["id"], _ORDER, ["since"], "__after", following=True)
+    after = neighbour(_runs(changes, stored), ["id"], _ORDER, ["since"], "__after", following=True)
     return after.filter("NOT deleted").withColumn("until", F.col("__after.since")).drop("__after", "deleted", RANGE)
 
 
@@ -95,7 +100,7 @@ def write_status_log(changes: DataFrame, path: str, checkpoint: str) -> Streamin
 
 def read_history(spark: SparkSession, path: str) -> DataFrame:
     """``status_history`` of what ``write_status_log`` wrote."""
-    return status_history(read_batches(spark, path, _LOG).drop(BATCH))
+    return status_history(read_batches(spark, path, _LOG).drop(BATCH), stored=True)
 
 
 _RECORD = ["id", *_ORDER]
