@@ -7,6 +7,9 @@ of its slots. Documents send their line hashes to the shards, where they probe t
 no line text moves. A shard that many lines ask for (a line of a third of all documents) is
 copied, so that no task answers more than ``PROBES`` lines.
 
+A document is known by its id and a hash of its text, so that what it loses is never more than its own
+lines, also where many rows share an id or have none.
+
 Defined results: null and empty texts are one empty line; rows with the same id count as
 documents of their own, and all keep what the id keeps; a null id is smaller than any other;
 short keys and empty lines always stay; columns other than the text are kept as they are.
@@ -50,20 +53,22 @@ def key_hash(line: str) -> tuple[int, int] | None:
 
 
 def line_hashes(documents: DataFrame, key: str) -> DataFrame:
-    """One row per document and distinct key that is long enough: ``id, high, low``."""
-    rows = bounded(documents).select(F.col(key).cast("long").alias("id"), "text")
+    """One row per document and distinct key that is long enough: ``id, body, high, low``; ``body`` is the text's hash."""
+    rows = bounded(documents).select(F.col(key).cast("long").alias("id"), F.xxhash64("text").alias("body"), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in chunks(batches):
-            ids, high, low = [], [], []
-            for at, text in zip(chunk.column(0).to_pylist(), chunk.column(1).to_pylist()):
+            ids, bodies, high, low = [], [], [], []
+            for at, body, text in zip(*(chunk.column(i).to_pylist() for i in range(3))):
                 for hashed in {h for line in text.split("\n") if (h := key_hash(line))}:
                     ids.append(at)
+                    bodies.append(body)
                     high.append(hashed[0])
                     low.append(hashed[1])
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (ids, high, low)], ["id", "high", "low"])
+            columns = [pa.array(c, pa.int64()) for c in (ids, bodies, high, low)]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "body", "high", "low"])
 
-    return rows.mapInArrow(run, "id long, high long, low long")
+    return rows.mapInArrow(run, "id long, body long, high long, low long")
 
 
 def _build(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -108,7 +113,7 @@ def line_index(hashes: DataFrame, least_docs: int = LEAST_DOCS, shard_keys: int
 
 
 def _answer(probes: pd.DataFrame, shard: pd.DataFrame) -> pd.DataFrame:
-    columns = ["id", "high", "low"]
+    columns = [c for c in probes.columns if c not in ("shard", "copy")]
     if not len(probes) or not len(shard):
         return probes[columns].iloc[:0]
     row = shard.iloc[0]
@@ -127,20 +132,20 @@ def _answer(probes: pd.DataFrame, shard: pd.DataFrame) -> pd.DataFrame:
 
 
 def lines_to_drop(hashes: DataFrame, index: DataFrame, probes: int = PROBES) -> DataFrame:
-    """``id, high, low`` of the lines that the documents lose."""
+    """The rows of ``hashes``, with whatever else they say of their document, whose lines the documents lose."""
     shards = index.count()
     if not shards:
         return hashes.limit(0)
     shard = F.pmod(F.xxhash64("high"), F.lit(shards)).cast("int")
     asked = hashes.withColumn("shard", shard)
     copies = asked.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / F.lit(probes)).cast("int").alias("copies"))
-    dealt = asked.join(copies, "shard").withColumn("copy", F.pmod(F.xxhash64("id", F.lit(1)), F.col("copies")).cast("int"))
+    dealt = asked.join(copies, "shard").withColumn("copy", F.pmod(F.xxhash64(*hashes.columns, F.lit(1)), F.col("copies")).cast("int"))
     copied = index.join(copies, "shard").withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
     return (
-        dealt.select("shard", "copy", "id", "high", "low")
+        dealt.select("shard", "copy", *hashes.columns)
         .groupBy("shard", "copy")
         .cogroup(copied.drop("copies").groupBy("shard", "copy"))
-        .applyInPandas(_answer, "id long, high long, low long")
+        .applyInPandas(_answer, hashes.schema)
     )
 
 
@@ -151,11 +156,12 @@ def _thinned(documents: DataFrame, key: str) -> DataFrame:
     """
     hashes = kept(line_hashes(documents, key), "line-hashes")
     index = kept(line_index(hashes), "line-index")
-    # A document's lines at most: bounded by its own text.
-    lost = lines_to_drop(hashes, index).groupBy("id").agg(F.collect_list(F.struct("high", "low")).alias("__lost"))
+    # A document's distinct lines at most: bounded by its own text, however many rows have that id and text.
+    lost = lines_to_drop(hashes, index).groupBy("id", "body").agg(F.collect_set(F.struct("high", "low")).alias("__lost"))
     rest = F.struct(*(f"`{c}`" for c in documents.columns if c != "text")).alias("__rest")
-    inner = documents.select(F.col(key).cast("long").alias("__id"), rest, "text")
-    rows = inner.join(lost, inner["__id"].eqNullSafe(lost["id"]), "left").select("__rest", "text", "__lost")
+    inner = documents.select(F.col(key).cast("long").alias("__id"), F.xxhash64("text").alias("__body"), rest, "text")
+    same = inner["__id"].eqNullSafe(lost["id"]) & (inner["__body"] == lost["body"])
+    rows = inner.join(lost, same, "left").select("__rest", "text", "__lost")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in chunks(batches):

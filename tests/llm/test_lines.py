@@ -70,6 +70,18 @@ def test_keys_that_share_half_a_hash(spark):
     assert got == [(i, 7, low) for i in range(5) for low in (1, 2) if i < 2 + low]
 
 
+def test_a_list_is_never_longer_than_its_document(documents):
+    """Rows without an id, and rows that share one: each loses lines of its own only, copies of a text as one."""
+    common = [f"a common line that many rows hold, number {i}" for i in range(30)]
+    rows = [(None, "\n".join(common[i : i + 3])) for i in range(28)] + [(7, common[i]) for i in range(30)] + [(None, common[0])] * 20
+    df = documents(rows)
+    assert collected(lines.line_digests(df)) == plain(rows)
+    hashes = lines.line_hashes(df, "doc_id")
+    lost = lines.lines_to_drop(hashes, lines.line_index(hashes)).groupBy("id", "body").agg(F.countDistinct("high", "low").alias("n"))
+    assert {r["n"] for r in lost.collect()} <= {1, 2, 3}
+    assert lost.filter("id IS NULL").count() > 20
+
+
 def test_columns_stay(documents):
     rows = cases(3)
     df = documents(rows, {"n_dropped": F.lit("mine"), "high": F.lit(1), "id": F.lit(2)})
