@@ -16,8 +16,8 @@ class that shares most with others: of copies that were edited here and there, t
 least. First the classes meet their centres, and what links is contracted. A class belongs to the
 centre near it that shares most of all, and so may that centre: the last one on this way is its home.
 Two classes of one home differ in as many shingles as what they differ from the home in differs. So they
-meet on these items, again rare first, by a prefix, in bands of sizes, and only if one of them does not
-link to the home. Classes of different homes meet on the shingle itself. Classes of one component do not
+meet on these items, again rare first, by one prefix for partners of all sizes, and only if one of them
+does not link to the home. Classes of different homes meet on the shingle itself. Classes of one component do not
 meet again. Nothing is lost: every pair that shares a prefix shingle is of one of these kinds.
 
 Defined results: null and empty texts, and texts without words, have no shingles and link with
@@ -401,23 +401,26 @@ def _most_apart(sizes: Column, percent: int) -> Column:
     return F.floor(F.lit(100 - percent) * sizes / F.lit(100 + percent))
 
 
-def _prefixes_at_home(near: DataFrame, partners: DataFrame, percent: int) -> DataFrame:
-    """``home, token, own, other`` and the class: the first of its items by which it can meet a class of band ``other``.
+def _prefixes_at_home(near: DataFrame, partners: DataFrame, asking: bool, percent: int) -> DataFrame:
+    """``home, token`` and the class: the first of its items, by which it meets any of the partners.
 
     Two that link differ from home in at least ``need`` items in common, half of what is left when all they
     may differ in is taken from all they have. So they share one of the first ``d - need + 1``, by any order.
-    ``partners`` are bands with classes of one kind; what they have at least makes ``need`` larger.
+    A partner that asks differs from home in more than the two sizes allow. The larger it is, the more, and
+    by as much the pair may differ in more: its size cancels out. So one prefix does for partners of all sizes.
     """
     n, c, d = F.col("n"), F.col("c"), F.col("d")
-    met = near.join(partners.withColumnsRenamed({"band": "other", "asks": "other_asks"}), "home")
-    least = F.greatest(F.col("other") * F.col("width"), F.ceil(F.lit(percent) * n / 100))
-    most = F.least((F.col("other") + 1) * F.col("width") - 1, F.floor(F.lit(100) * n / percent))
+    sizes = partners.groupBy("home").agg(F.min("n").alias("smallest"), F.max("n").alias("largest"))
+    met = near.join(sizes, "home")
+    least = F.greatest(F.col("smallest"), F.ceil(F.lit(percent) * n / 100))
+    most = F.least(F.col("largest"), F.floor(F.lit(100) * n / percent))
     apart = _most_apart(n + most, percent)
-    alone = F.when(F.col("other_asks"), _most_apart(least + c, percent) + 1).otherwise(F.lit(1))
-    need = F.greatest(F.lit(1), F.ceil((d + F.greatest(alone, d - apart) - apart) / 2))
+    need = F.greatest(F.lit(1), F.ceil((d + F.greatest(F.lit(1), d - apart) - apart) / 2))
+    if asking:
+        need = F.greatest(need, F.ceil((d + _most_apart(c - n, percent) + 1) / 2))
     ready = met.withColumn("take", (d - need + 1).cast("int")).filter((least <= most) & (F.col("take") > 0))
     entries = F.posexplode(F.slice("items", F.lit(1), F.col("take"))).alias("at", "token")
-    return ready.select("home", F.col("band").alias("own"), "other", "cls", "label", "n", "d", entries)
+    return ready.select("home", "cls", "label", "n", "d", entries)
 
 
 def _links_at_home(homes: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
@@ -436,26 +439,21 @@ def _links_at_home(homes: DataFrame, labels: DataFrame, percent: int) -> DataFra
     near = kept(near.drop("home_label"), "near")
     groups = near.groupBy("home").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.max("asks").alias("any"))
     near = near.join(groups.filter("any AND low < high").select("home"), "home", "left_semi")
-    width = F.greatest(F.lit(1), F.floor(F.col("c") / 64))
-    near = near.withColumns({"width": width, "band": F.floor(F.col("n") / width)})
 
     items = near.select("home", "cls", F.explode("items").alias("token"))
     counts = items.groupBy("home", "token").agg(F.count(F.lit(1)).alias("holders"))
     order = F.sort_array(F.collect_list(F.struct("holders", "token")))
     ordered = items.join(counts, ["home", "token"]).groupBy("cls").agg(F.transform(order, lambda e: e["token"]).alias("items"))
     near = kept(near.drop("items").join(ordered, "cls"), "ordered")
-    bands = near.select("home", "band", "asks").distinct()
 
     asking, others = near.filter("asks"), near.filter("NOT asks")
     pairs = []
     for one, two in ((asking, asking), (asking, others)):
-        kind = F.col("asks") if two is asking else ~F.col("asks")
-        x = _prefixes_at_home(one, bands.filter(kind), percent)
-        y = x if two is asking else _prefixes_at_home(two, bands.filter("asks"), percent)
-        # Classes with a token of their own only, that none of the other side can meet, stay out.
-        x = x.select("home", "token", "own", "other", *[F.col(v).alias(f"x_{v}") for v in ("cls", "label", "n", "d", "at")])
+        x = _prefixes_at_home(one, two, two is asking, percent)
+        y = x if two is asking else _prefixes_at_home(two, one, True, percent)
+        x = x.select("home", "token", *[F.col(v).alias(f"x_{v}") for v in ("cls", "label", "n", "d", "at")])
         y = y.select(
-            F.col("home").alias("home_y"), F.col("token").alias("token_y"), F.col("own").alias("other_y"), F.col("other").alias("own_y"),
+            F.col("home").alias("home_y"), F.col("token").alias("token_y"),
             *[F.col(v).alias(f"y_{v}") for v in ("cls", "label", "n", "d", "at")],
         )
         need = F.ceil((F.col("x_d") + F.col("y_d") - _most_apart(F.col("x_n") + F.col("y_n"), percent)) / 2)
@@ -464,9 +462,8 @@ def _links_at_home(homes: DataFrame, labels: DataFrame, percent: int) -> DataFra
         condition = (
             (F.col("home") == F.col("home_y"))
             & (F.col("token") == F.col("token_y"))
-            & (F.col("own") == F.col("own_y"))
-            & (F.col("other") == F.col("other_y"))
             & (F.col("x_label") != F.col("y_label"))
+            & _fits(F.col("x_n"), F.col("y_n"), percent)
             & (rest >= need)
         )
         condition = condition & (F.col("x_cls") < F.col("y_cls")) if two is asking else condition

@@ -128,6 +128,34 @@ def test_two_thousand_copies_in_one_group(documents, size, percent):
     assert got == want and 100 < len(set(want.values())) < 1900
 
 
+@pytest.mark.parametrize("size, percent", [(3, 90), (5, 80)])
+def test_a_class_has_no_entry_per_size_of_its_group(documents, monkeypatch, size, percent):
+    """Copies of many sizes around one home: a class is listed under its items once, not once for each size."""
+    draw = random.Random(size)
+    word = lambda: "".join(draw.choices("abcdefgh", k=5))
+    base = [word() for _ in range(200)]
+    texts = [" ".join(base)]
+    for i in range(400):
+        words = base[draw.randrange(25) : 200 - draw.randrange(25)] + [word() for _ in range(draw.randrange(20))]
+        for _ in range(i % 12):
+            words[draw.randrange(len(words))] = word() if draw.random() < 0.7 else "same"
+        texts.append(" ".join(words))
+    rows = list(enumerate(texts))
+    entries = []
+    prefixes = jaccard._prefixes_at_home
+
+    def counted(near, *rest):
+        out = prefixes(near, *rest)
+        entries.append((out.count(), near.agg(F.sum("d")).first()[0] or 0))
+        return out
+
+    monkeypatch.setattr(jaccard, "_prefixes_at_home", counted)
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.components(documents(rows), "doc_id", size, percent).collect()}
+    sets = {i: plain_set(t, size) for i, t in rows}
+    assert got == roots(sets, [(a, b) for a in sets for b in sets if a < b and linked(sets[a], sets[b], percent)])
+    assert sum(n for n, _ in entries) > 0 and all(n <= items for n, items in entries)
+
+
 def test_one_of_each_keeps_columns(documents):
     rows = near_copies(3, groups=2)
     df = documents(rows, {"cls": F.lit("mine"), "n": F.lit(1), "id": F.lit(5)})
