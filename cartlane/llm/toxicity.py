@@ -1,14 +1,17 @@
 """Toxicity: a convolutional text classifier in numpy.
 
 A word is the sum of the embeddings of three hashes: of itself and of its beginnings of four and
-six bytes, so that endings need not be seen in training. Hashes seen in fewer than two documents
-of the sample have the zero embedding. Filters of several widths run over the words, each
-keeps its maximum over the document, and a logistic layer makes a score of those. Thresholds are
-calibrated for each language on labelled documents left out of the fit: the score is made from
-the text alone, and only the decision looks up the language.
-
-The fit uses a bounded sample of the labelled documents (``SAMPLE`` of each label, by a hash
-of the id), since it is one task; the driver gets the finished model. Every document is scored whole.
+six bytes, so that endings need not be seen in training. Hashes fall into ``SLOTS`` slots, so the model's
+size is fixed; slots seen in fewer than two documents have the zero embedding. Filters of several widths
+run over the words, each keeps its maximum over the document, and a logistic layer makes a score of those.
+Thresholds are calibrated for each language on labelled documents left out of the fit: the score is made
+from the text alone, and only the decision looks up the language.
+
+All labelled documents that are not held out are learnt from or calibrated on. They are dealt into
+pieces by a hash of the id, words as slots, whole texts. In a round each piece starts from the same model
+and goes through its documents; what the pieces changed is averaged, an embedding over the pieces that
+touched it. Documents, slots and scores are counted by Spark, so neither a task nor the driver meets
+more than a piece or the model. Every document is scored whole.
 
 Defined results: null and empty texts get the score of no words; a language without enough
 labelled documents has the threshold of all; without labels of both kinds the score is the share
@@ -18,40 +21,50 @@ toxic if any is; extra columns are ignored or kept.
 
 from __future__ import annotations
 
-import pickle
 from collections.abc import Iterator
+from itertools import groupby
 from typing import NamedTuple
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartlane.llm.shared import bounded
+from cartlane.llm.shared import bit_filter, bounded, filter_place, in_filter, kept
 from cartlane.llm.texts import RangeHash, byte_table, chunks, flat, lowered, mixed, words
 
-#: Labelled documents of each label that are used at most: toxic, and not.
-SAMPLE = (2000, 4000)
+#: Rows that hashes fall into, two to the power of a whole number.
+SLOTS = 1 << 18
+
+#: Documents of a piece, more or less, and words at most unless one document has more.
+PIECE, PIECE_WORDS = 4_096, 1 << 21
 
-#: One in so many documents of the sample is left out of the fit, to calibrate on.
+#: One in so many labelled documents is left out of the fit, to calibrate on.
 LEFT_OUT = 5
 
 WIDTHS, FILTERS, SIZE = (1, 2, 3), 8, 16
 EPOCHS, BATCH, RATE, SEED = 8, 32, 0.01, 7
-#: Steps at least: a small sample is gone through more often.
+#: Steps at least: few documents are gone through more often.
 STEPS = 1000
-#: What flagging a clean document costs, where missing a toxic one costs 1; the sample holds more of these.
+#: How often the pieces are averaged, and how often a piece is gone through in between at least.
+ROUNDS, PASSES = 2, 3
+#: Scores are counted in so many bins for thresholds; rows of the model that are averaged at once.
+BINS, BLOCK = 1 << 14, 1 << 12
+#: What flagging a clean document costs, where missing a toxic one costs 1; there are more of these.
 FALSE_COST = 4
 #: Labelled documents of each kind that a language needs for a threshold of its own.
 LEAST_LANGUAGE = 10
 
 _PAD = max(WIDTHS)
 _BEGINNINGS = (4, 6)
+#: Bytes of a word's slots.
+_WIDTH = 4 * (1 + len(_BEGINNINGS))
 _WORD = byte_table(lambda b: chr(b).isalnum() if b < 128 else True)
 
 
 class Model(NamedTuple):
-    keys: np.ndarray  # hashes that have an embedding, sorted
+    keys: np.ndarray  # slots that have an embedding, sorted
     embeddings: np.ndarray  # one row each, and the zero row
     filters: tuple[np.ndarray, ...]  # by width: (width, SIZE, FILTERS)
     biases: tuple[np.ndarray, ...]
@@ -62,7 +75,7 @@ class Model(NamedTuple):
 
 
 def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Three hashes for each word, and the number of words before each text."""
+    """Three slots for each word, and the number of words before each text."""
     data, offsets = flat(texts)
     data = lowered(data)
     begins, ends, before = words(data, offsets, _WORD)
@@ -70,18 +83,22 @@ def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     parts = [hashed(begins, ends)]
     for n, size in enumerate(_BEGINNINGS):
         parts.append(mixed(hashed(begins, np.minimum(ends, begins + size)) + np.uint64(n + 1)))
-    return np.stack(parts, axis=1), before
+    return np.stack(parts, axis=1) % np.uint64(SLOTS), before
+
+
+def _row_of(keys: np.ndarray) -> np.ndarray:
+    """The embedding row of each slot."""
+    out = np.full(SLOTS, len(keys), np.int32)
+    out[keys.astype(np.int64)] = np.arange(len(keys))
+    return out
 
 
-def _rows(model_keys: np.ndarray, hashes: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _rows(row_of: np.ndarray, none: int, slots: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Embedding rows of padded texts, and where each begins."""
-    n, none = len(before) - 1, len(model_keys)
+    n = len(before) - 1
     begins = before + np.arange(n + 1) * _PAD
-    rows = np.full((begins[-1], hashes.shape[1]), none, np.int64)
-    if none and len(hashes):
-        at = np.minimum(np.searchsorted(model_keys, hashes), none - 1)
-        known = np.where(model_keys[at] == hashes, at, none)
-        rows[np.arange(len(hashes)) + np.repeat(np.arange(n) * _PAD, np.diff(before))] = known
+    rows = np.full((begins[-1], slots.shape[1]), none, np.int32)
+    rows[np.arange(len(slots)) + np.repeat(np.arange(n) * _PAD, np.diff(before))] = row_of[slots.astype(np.int64)]
     return rows, begins
 
 
@@ -116,7 +133,11 @@ def scores(model: Model, texts: pa.Array) -> np.ndarray:
     """Scores from 0 to 1 of whole texts."""
     if not len(texts):
         return np.zeros(0)
-    return _sigmoid(_logits(model, *_rows(model.keys, *features(texts))).astype(np.float64))
+    return _scores(model, *features(texts))
+
+
+def _scores(model: Model, slots: np.ndarray, before: np.ndarray) -> np.ndarray:
+    return _sigmoid(_logits(model, *_rows(_row_of(model.keys), len(model.keys), slots, before)).astype(np.float64))
 
 
 class _Adam:
@@ -134,35 +155,87 @@ class _Adam:
         value -= (scale * first / (np.sqrt(second) + 1e-8)).astype(value.dtype)
 
 
-def fit(texts: list[str], labels: np.ndarray, epochs: int = EPOCHS, seed: int = SEED) -> Model:
-    """The model without thresholds. The slope goes to the few words that are a filter's maximum."""
-    draw = np.random.default_rng(seed)
-    share = float(np.clip(labels.mean() if len(labels) else 0.0, 0, 1))
-    parts = [features(pa.array([t], pa.string())) for t in texts]
-    pairs = [np.unique(h) for h, _ in parts]
-    seen, counts = np.unique(np.concatenate(pairs), return_counts=True) if pairs else (np.zeros(0, np.uint64), np.zeros(0, int))
-    keys = seen[counts >= 2]
+class _State(NamedTuple):
+    """What is learnt: arrays that learning changes in place."""
+
+    table: np.ndarray  # embeddings, the zero row last, and a column of how much each has moved
+    filters: tuple[np.ndarray, ...]
+    biases: tuple[np.ndarray, ...]
+    weights: np.ndarray
+    bias: np.ndarray
+
+    def dense(self) -> list[np.ndarray]:
+        return [*self.filters, *self.biases, self.weights, self.bias]
+
+    def copy(self) -> _State:
+        return _State(
+            self.table.copy(), tuple(f.copy() for f in self.filters), tuple(b.copy() for b in self.biases),
+            self.weights.copy(), self.bias.copy(),
+        )
+
+    def model(self, keys: np.ndarray) -> Model:
+        embeddings = np.ascontiguousarray(self.table[:, :SIZE])
+        return Model(keys, embeddings, self.filters, self.biases, self.weights, float(self.bias[0]), {}, 0.5)
+
+
+def _begun(keys: np.ndarray, draw: np.random.Generator) -> _State:
     embeddings = np.concatenate([draw.normal(0, 0.1, (len(keys), SIZE)), np.zeros((1, SIZE))]).astype(np.float32)
     filters = tuple(draw.normal(0, 0.3, (w, SIZE, FILTERS)).astype(np.float32) for w in WIDTHS)
     biases = tuple(np.zeros(FILTERS, np.float32) for _ in WIDTHS)
     weights = draw.normal(0, 0.3, FILTERS * len(WIDTHS)).astype(np.float32)
+    table = np.concatenate([embeddings, np.full((len(embeddings), 1), 1e-6, np.float32)], axis=1)
+    return _State(table, filters, biases, weights, np.zeros(1, np.float32))
+
+
+def _one_sided(share: float) -> Model:
+    """The model without labels of both kinds: always their share, and nothing is flagged."""
+    state = _begun(np.zeros(0, np.uint64), np.random.default_rng(SEED))
+    state.weights[:] = 0
+    return state.model(np.zeros(0, np.uint64))._replace(bias=-30.0 if share == 0 else 30.0, threshold=2.0)
+
+
+def _passes(documents: int, least: int) -> int:
+    return max(least, -(-STEPS * BATCH // max(documents, 1)))
+
+
+def fit(texts: list[str], labels: np.ndarray, epochs: int = EPOCHS, seed: int = SEED) -> Model:
+    """The model without thresholds, of texts in memory."""
+    draw = np.random.default_rng(seed)
+    share = float(np.clip(labels.mean() if len(labels) else 0.0, 0, 1))
     if share in (0.0, 1.0):
-        odds = -30.0 if share == 0 else 30.0
-        return Model(keys[:0], embeddings[-1:], filters, biases, weights * 0, odds, {}, 2.0)
-    bias = np.zeros(1, np.float32)
-    squares = np.full(len(embeddings), 1e-6, np.float32)
-    adam = _Adam(RATE)
-    indexed = [_rows(keys, *p)[0].astype(np.int32) for p in parts]
-    del parts, pairs, seen
+        return _one_sided(share)
+    slots, before = features(pa.array(texts, pa.string()))
+    keys, counts = _seen(slots, before, np.ones(len(texts), bool))
+    keys = keys[counts >= 2].astype(np.uint64)
+    state = _begun(keys, draw)
+    _learn(state, _row_of(keys), slots, before, np.arange(len(texts)), labels, share, _passes(len(texts), epochs), draw)
+    return state.model(keys)
+
+
+def _seen(slots: np.ndarray, before: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Slots, and in how many of the wanted documents each occurs."""
+    found = [np.unique(slots[a:b]) for a, b, w in zip(before, before[1:], wanted) if w]
+    return np.unique(np.concatenate(found), return_counts=True) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+
+def _learn(
+    state: _State, row_of: np.ndarray, slots: np.ndarray, before: np.ndarray, documents: np.ndarray, labels: np.ndarray,
+    share: float, passes: int, draw: np.random.Generator,
+) -> None:
+    """Goes through the documents. The slope goes to the few words that are a filter's maximum."""
+    embeddings, squares = state.table[:, :SIZE], state.table[:, SIZE]
+    filters, biases, weights, bias = state.filters, state.biases, state.weights, state.bias
+    none = len(embeddings) - 1
     importance = np.where(labels == 1, 0.5 / share, 0.5 / (1 - share))
-    for _ in range(max(epochs, -(-STEPS * BATCH // len(texts)))):
-        order = draw.permutation(len(texts))
+    adam = _Adam(RATE)
+    for _ in range(passes):
+        order = draw.permutation(documents)
         for a in range(0, len(order), BATCH):
             picked = order[a : a + BATCH]
-            rows = np.concatenate([indexed[i] for i in picked])
-            begins = np.cumsum([0, *(len(indexed[i]) for i in picked)])
+            said = np.concatenate([slots[before[i] : before[i + 1]] for i in picked])
+            rows, begins = _rows(row_of, none, said, np.concatenate([[0], np.cumsum(before[picked + 1] - before[picked])]))
             # Words are left out at random: no document may rest on one of them alone.
-            rows = np.where(draw.random(rows.shape) < 0.1, len(keys), rows)
+            rows = np.where(draw.random(rows.shape) < 0.1, none, rows)
             x = embeddings[rows].sum(axis=1)
             maxima, places = [], []
             for f, b in zip(filters, biases):
@@ -192,20 +265,23 @@ def fit(texts: list[str], labels: np.ndarray, epochs: int = EPOCHS, seed: int =
             group = group.reshape(-1, rows.shape[1])
             for k in range(rows.shape[1]):
                 np.add.at(total, group[:, k], np.concatenate(at_slopes).astype(np.float32))
-            total[touched == len(keys)] = 0
+            total[touched == none] = 0
             squares[touched] += (total * total).mean(axis=1)
             embeddings[touched] -= 0.05 * total / np.sqrt(squares[touched])[:, None]
-    return Model(keys, embeddings, filters, biases, weights, float(bias[0]), {}, 0.5)
 
 
 def best_threshold(got: np.ndarray, labels: np.ndarray) -> float:
     """The middle of the widest gap among the thresholds with the least cost of errors."""
     order = np.argsort(got)
-    got, labels = got[order], labels[order]
-    cuts = np.concatenate([[0.0], (got[1:] + got[:-1]) / 2, [1.0]])
-    gaps = np.concatenate([[got[0]], np.diff(got), [1 - got[-1]]])
-    missed = np.concatenate([[0], np.cumsum(labels)])
-    false = len(labels) - labels.sum() - np.concatenate([[0], np.cumsum(1 - labels)])
+    return _best_threshold(got[order], got[order], labels[order], 1 - labels[order])
+
+
+def _best_threshold(low: np.ndarray, high: np.ndarray, toxic: np.ndarray, clean: np.ndarray) -> float:
+    """That of bins of scores in order: the least and largest score of each, and how many there are of both kinds."""
+    cuts = np.concatenate([[0.0], (low[1:] + high[:-1]) / 2, [1.0]])
+    gaps = np.concatenate([[low[0]], low[1:] - high[:-1], [1 - high[-1]]])
+    missed = np.concatenate([[0], np.cumsum(toxic)])
+    false = clean.sum() - np.concatenate([[0], np.cumsum(clean)])
     errors = missed + FALSE_COST * false
     errors[0] = np.inf  # never flag all
     least = np.flatnonzero(errors <= errors.min() + 1e-12)
@@ -214,15 +290,23 @@ def best_threshold(got: np.ndarray, labels: np.ndarray) -> float:
 
 def calibrated(model: Model, got: np.ndarray, labels: np.ndarray, languages: list[str | None]) -> Model:
     """The model with a threshold for all and one for each language with enough labels."""
-    if not len(got) or labels.min() == labels.max():
+    names = [x or "" for x in languages]
+    _, at = np.unique(got, return_inverse=True)
+    rows = pd.DataFrame({"lang": names, "bin": at, "low": got, "high": got, "toxic": labels, "clean": 1 - labels})
+    return _calibrated(model, rows)
+
+
+def _calibrated(model: Model, bins: pd.DataFrame) -> Model:
+    """That from rows of ``lang, bin, low, high, toxic, clean``."""
+
+    def best(rows: pd.DataFrame) -> float:
+        added = rows.groupby("bin", sort=True).agg({"low": "min", "high": "max", "toxic": "sum", "clean": "sum"})
+        return _best_threshold(*(added[c].to_numpy(np.float64) for c in ("low", "high", "toxic", "clean")))
+
+    if not bins["toxic"].sum() or not bins["clean"].sum():
         return model
-    by = {}
-    names = np.array([x or "" for x in languages])
-    for name in np.unique(names):
-        mine = names == name
-        if name and min(labels[mine].sum(), (1 - labels[mine]).sum()) >= LEAST_LANGUAGE:
-            by[str(name)] = best_threshold(got[mine], labels[mine])
-    return model._replace(thresholds=by, threshold=best_threshold(got, labels))
+    enough = (r for r in bins.groupby("lang") if r[0] and min(r[1]["toxic"].sum(), r[1]["clean"].sum()) >= LEAST_LANGUAGE)
+    return model._replace(thresholds={str(name): best(rows) for name, rows in enough}, threshold=best(bins))
 
 
 def held_out(key: Column) -> Column:
@@ -230,38 +314,223 @@ def held_out(key: Column) -> Column:
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def train(documents: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "toxic", sample=SAMPLE) -> Model:
-    """Fits in one task, on a bounded sample of the labelled documents that are not held out."""
-    usable = labels.filter(F.col(label).isNotNull() & F.col(key).isNotNull() & ~held_out(F.col(key)))
-    usable = usable.groupBy(F.col(key).alias("id")).agg(F.max(label).alias("label"))
-    parts = [
-        usable.filter(F.col("label") == y).orderBy(F.xxhash64("id"), "id").limit(n) for y, n in ((1, sample[0]), (0, sample[1]))
-    ]
-    few = parts[0].union(parts[1])
-    lang = F.col("lang") if "lang" in documents.columns else F.lit(None).cast("string")
-    # At most the rows of the sample: a proven bound.
-    rows = (
-        documents.select(F.col(key).alias("id"), F.coalesce("text", F.lit("")).alias("text"), lang.alias("lang"))
-        .join(F.broadcast(few), "id")
-        .select("id", "text", "lang", "label")
-    )
+_PIECES = "piece long, slots binary, lang string, label double, left boolean, seen binary, documents binary"
+
+
+def _pieces(rows: DataFrame) -> DataFrame:
+    """Rows of ``part, text, lang, label, left`` in order as documents in pieces, words as slots.
+
+    Behind each piece a row with ``seen`` and ``documents``: slots, and in how many documents of the fit.
+    """
+    kinds = {"long": pa.int64(), "binary": pa.binary(), "string": pa.string(), "double": pa.float64(), "boolean": pa.bool_()}
+    schema = pa.schema([(n, kinds[t]) for n, t in (f.split() for f in _PIECES.split(", "))])
+
+    def batch(*columns) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+    def counted(piece: int, counts: np.ndarray) -> pa.RecordBatch:
+        seen = np.flatnonzero(counts).astype(np.int32)
+        return batch([piece], [None], [None], [None], [None], [seen.tobytes()], [counts[seen].tobytes()])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, piece, size, counts = None, 0, 0, np.zeros(SLOTS, np.int32)
+        for chunk in chunks(batches):
+            slots, before = features(chunk.column(1))
+            slots = slots.astype(np.int32)
+            parts, left, pieces = chunk.column(0).to_pylist(), chunk.column(4).to_pylist(), []
+            bounds = list(zip(before.tolist(), before[1:].tolist()))
+            for (a, b), own, out in zip(bounds, parts, left):
+                full = own == part and size + b - a > PIECE_WORDS
+                if full or part not in (None, own):
+                    yield counted(piece, counts)
+                    counts[:] = 0
+                    size = 0
+                piece = piece + full if own == part else own << 32
+                part, size = own, size + b - a
+                if not out:
+                    counts[np.unique(slots[a:b])] += 1
+                pieces.append(piece)
+            none = [None] * len(pieces)
+            yield batch(pieces, [slots[a:b].tobytes() for a, b in bounds], chunk.column(2), chunk.column(3), chunk.column(4), none, none)
+        if part is not None:
+            yield counted(piece, counts)
+
+    return rows.mapInArrow(run, _PIECES)
+
+
+def _keys(pieces: DataFrame) -> np.ndarray:
+    """The slots seen in two documents of the fit or more."""
+    rows = pieces.filter("seen IS NOT NULL").select("seen", "documents")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for seen, documents in zip(*(c.to_pylist() for c in batch.columns)):
+                arrays = [pa.array(np.frombuffer(x, np.int32)) for x in (seen, documents)]
+                yield pa.RecordBatch.from_arrays(arrays, ["slot", "documents"])
+
+    counts = rows.mapInArrow(run, "slot int, documents int").groupBy("slot").agg(F.sum("documents").alias("documents"))
+    # At most SLOTS rows.
+    return np.sort(counts.filter("documents >= 2").select("slot").toPandas()["slot"].to_numpy().astype(np.uint64))
+
+
+def _by_piece(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[bytes], list[float]]]:
+    """Slots and labels of the documents of each piece, from ``piece, slots, label``."""
+    for piece, rows in groupby((r for b in batches for r in zip(*(c.to_pylist() for c in b.columns))), lambda r: r[0]):
+        _, slots, labels = zip(*rows)
+        yield piece, slots, labels
+
+
+_CHANGES = "piece long, block int, rows binary, change binary, weight binary"
+
+
+def _change(piece: int, block: int, rows: np.ndarray, change: np.ndarray, weight: np.ndarray) -> tuple:
+    """A row of changes: places within the block, what changed there times the weight, and the weight."""
+    return piece, block, rows.astype(np.int32).tobytes(), change.astype(np.float32).tobytes(), weight.astype(np.float32).tobytes()
+
+
+def _added(block: int, size: int, changes) -> tuple[np.ndarray, np.ndarray]:
+    """Changes and weights of all places of a block, added up."""
+    total, weights = np.zeros((size, 1 if block < 0 else SIZE + 1)), np.zeros(size)
+    for rows, change, weight in changes:
+        at = np.frombuffer(rows, np.int32)
+        total[at] += np.frombuffer(change, np.float32).reshape(len(at), -1)
+        weights[at] += np.frombuffer(weight, np.float32)
+    return total, weights
+
+
+def _summed(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Rows of one block as one, added up in the order of the pieces."""
+    pdf = pdf.sort_values("piece")
+    piece, block = int(pdf["piece"].iloc[0]), int(pdf["block"].iloc[0])
+    size = max(int(np.frombuffer(r, np.int32).max()) for r in pdf["rows"]) + 1
+    total, weights = _added(block, size, zip(pdf["rows"], pdf["change"], pdf["weight"]))
+    rows = np.flatnonzero(weights)
+    return pd.DataFrame([_change(piece, block, rows, total[rows], weights[rows])], columns=["piece", "block", "rows", "change", "weight"])
+
+
+def _changed(piece: int, state: _State, begun: _State, weight: float) -> Iterator[tuple]:
+    """What learning changed: block -1 is all that is dense, by the number of documents, others are embeddings that moved."""
+    dense = np.concatenate([(x - y).ravel() for x, y in zip(state.dense(), begun.dense())])
+    yield _change(piece, -1, np.arange(len(dense)), dense * weight, np.full(len(dense), weight))
+    moved = np.flatnonzero(state.table[:, SIZE] > begun.table[:, SIZE])
+    for block in np.unique(moved // BLOCK).tolist():
+        rows = moved[moved // BLOCK == block]
+        yield _change(piece, block, rows - block * BLOCK, state.table[rows] - begun.table[rows], np.ones(len(rows)))
+
+
+def _averaged(pieces: DataFrame, state: _State, keys: np.ndarray, share: float, passes: int, turn: int, parts: int) -> _State:
+    """One round: every piece learns from the same state, and the changes are averaged."""
+    sent = pieces.sparkSession.sparkContext.broadcast((keys, tuple(state)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        given = sorted((r for b in batches for r in zip(*(c.to_pylist() for c in b.columns))), key=lambda r: (r[0], r[1]))
-        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(tuple(_fitted(given)))], pa.binary())], ["model"])
+        row_of, begun = _row_of(sent.value[0]), _State(*sent.value[1])
+        for piece, texts, labels in _by_piece(batches):
+            before = np.concatenate([[0], np.cumsum([len(t) // _WIDTH for t in texts])])
+            slots = np.frombuffer(b"".join(texts), np.int32).reshape(-1, 1 + len(_BEGINNINGS))
+            state, draw = begun.copy(), np.random.default_rng([SEED, turn, piece])
+            _learn(state, row_of, slots, before, np.arange(len(labels)), np.array(labels), share, passes, draw)
+            for row in _changed(piece, state, begun, float(len(labels))):
+                types = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+                names = ["piece", "block", "rows", "change", "weight"]
+                yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types)], names)
+
+    changes = pieces.filter("NOT left").select("piece", "slots", "label").mapInArrow(run, _CHANGES)
+    # At most 64 parts meet in one task, then the sums of 64 of these.
+    for places in (38, 44) if parts > 64 else (38,):
+        changes = changes.groupBy("block", F.shiftright("piece", places)).applyInPandas(_summed, _CHANGES)
+    out = state.copy()
+    found: dict[int, list[tuple]] = {}
+    for r in changes.sort("block", "piece").toLocalIterator():  # a row per block, and per 4,096 parts
+        found.setdefault(r["block"], []).append((r["rows"], r["change"], r["weight"]))
+    for block, rows in found.items():
+        begin = max(block, 0) * BLOCK
+        part = out.table[begin : begin + BLOCK]
+        total, weights = _added(block, sum(x.size for x in out.dense()) if block < 0 else len(part), rows)
+        mean = total / np.maximum(weights, 1)[:, None]
+        if block >= 0:
+            part += mean.astype(np.float32)
+            continue
+        at = 0
+        for x in out.dense():
+            x += mean[at : at + x.size, 0].reshape(x.shape).astype(np.float32)
+            at += x.size
+    return out
+
 
-    packed = rows.repartition(1).mapInArrow(run, "model binary").first()
-    return Model(*pickle.loads(packed["model"])) if packed else _fitted([])
+def _counted(pieces: DataFrame, model: Model) -> pd.DataFrame:
+    """``lang, bin, low, high, toxic, clean``: scores of the documents left out of the fit, counted."""
+    sent = pieces.sparkSession.sparkContext.broadcast(tuple(model))
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Model(*sent.value)
+        row_of, none = _row_of(model.keys), len(model.keys)
+        for batch in batches:
+            got = []
+            for text in batch.column(0).to_pylist():
+                slots = np.frombuffer(text, np.int32).reshape(-1, 1 + len(_BEGINNINGS))
+                rows, begins = _rows(row_of, none, slots, np.array([0, len(slots)]))
+                got.append(float(_sigmoid(_logits(model, rows, begins))[0]))
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(got, pa.float64()), batch.column(2)], ["lang", "score", "label"])
+
+    rows = pieces.filter("left").select("slots", F.coalesce("lang", F.lit("")).alias("lang"), "label")
+    rows = rows.mapInArrow(run, "lang string, score double, label double")
+    counted = rows.groupBy("lang", F.floor(F.col("score") * BINS).alias("bin")).agg(
+        F.min("score").alias("low"), F.max("score").alias("high"),
+        F.sum("label").alias("toxic"), F.sum(1 - F.col("label")).alias("clean"),
+    )
+    return counted.toPandas()  # at most BINS + 1 rows for each language
+
+
+def train(documents: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "toxic", sample=None) -> Model:
+    """The model with thresholds, of all labelled documents that are not held out.
+
+    With ``sample`` a caller who wants a quick model takes only so many of them that are toxic, and so many that are not.
+    """
+    spark = documents.sparkSession
+    usable = labels.filter(F.col(label).isNotNull() & F.col(key).isNotNull() & ~held_out(F.col(key)))
+    usable = usable.groupBy(F.col(key).cast(documents.schema[key].dataType).alias("id")).agg(F.max(label).alias("label"))
+    if sample is not None:
+        parts = [usable.filter(F.col("label") == y).orderBy(F.xxhash64("id"), "id").limit(n) for y, n in zip((1, 0), sample)]
+        usable = parts[0].union(parts[1])
+    usable = kept(usable, "labels")
+    parts = -(-usable.count() // PIECE)
+    if not parts:
+        return _one_sided(0.0)
+    bits = spark.sparkContext.broadcast(bit_filter(usable, "id"))
+
+    def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(in_filter(bits.value, batch.column(3).to_numpy(zero_copy_only=False))))
 
-def _fitted(rows: list[tuple]) -> Model:
-    """The calibrated model of ``id, text, lang, label`` in order."""
-    texts, languages = [r[1] for r in rows], [r[2] for r in rows]
-    y = np.array([float(r[3]) for r in rows])
-    left = np.arange(len(rows)) % LEFT_OUT == 0
-    model = fit([t for t, out in zip(texts, left) if not out], y[~left])
-    got = np.concatenate([scores(model, pa.array([t], pa.string())) for t, out in zip(texts, left) if out] or [np.zeros(0)])
-    return calibrated(model, got, y[left], [n for n, out in zip(languages, left) if out])
+    lang = F.col("lang") if "lang" in documents.columns else F.lit(None).cast("string")
+    # Only documents that may have a label leave their task. They and the labels meet in one shuffle, in which
+    # a part stays together.
+    rows = bounded(documents).select(
+        F.col(key).alias("id"), F.coalesce("text", F.lit("")).alias("text"), lang.alias("lang"), filter_place(F.col(key)).alias("place")
+    )
+    rows = rows.mapInArrow(likely, rows.schema).select("id", "text", "lang", F.lit(None).cast("double").alias("label"))
+    said = usable.select("id", F.lit(None).cast("string").alias("text"), F.lit(None).cast("string").alias("lang"), F.col("label").cast("double"))
+    rows = rows.unionByName(said).filter("id IS NOT NULL").withColumns(
+        {"mark": F.xxhash64("id"), "part": F.pmod(F.xxhash64("id", F.lit(PIECE)), F.lit(parts))}
+    )
+    same = Window.partitionBy("part", "mark", "id").orderBy("text", "lang").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = rows.repartition("part").withColumn("label", F.max("label").over(same)).filter("text IS NOT NULL AND label IS NOT NULL")
+    rows = rows.select("part", "text", "lang", "label", (F.pmod("mark", F.lit(LEFT_OUT)) == 0).alias("left"))
+    pieces = kept(_pieces(rows), "pieces")
+    every = pieces.filter("NOT left").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("label").alias("toxic"), F.min("piece").alias("first"), F.max("piece").alias("last")
+    ).first()
+    share = float(np.clip((every["toxic"] or 0.0) / (every["n"] or 1), 0, 1))
+    if share in (0.0, 1.0):
+        return _one_sided(share)
+    keys = _keys(pieces)
+    state = _begun(keys, np.random.default_rng(SEED))
+    rounds = ROUNDS if every["first"] < every["last"] else 1
+    passes = -(-_passes(every["n"], ROUNDS * PASSES) // rounds)
+    for turn in range(rounds):
+        state = _averaged(pieces, state, keys, share, passes, turn, parts)
+    model = state.model(keys)
+    return _calibrated(model, _counted(pieces, model))
 
 
 _OUT = {"__score": pa.float64(), "__threshold": pa.float64()}

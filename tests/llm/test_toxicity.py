@@ -92,3 +92,20 @@ def test_scores_equal_a_plain_forward_pass():
                 )
                 odds += max(best, 0) * model.weights[n * toxicity.FILTERS + f]
         assert toxicity.scores(model, pa.array([text]))[0] == pytest.approx(1 / (1 + np.exp(-odds)), rel=1e-4)
+
+
+def test_every_label_is_learnt_from_in_many_pieces(spark, documents, monkeypatch):
+    """A word of the last thousand toxic documents alone, of more than three thousand in all."""
+    monkeypatch.setattr(toxicity, "PIECE", 2000, raising=False)
+    ids = spark.range(9000).filter(~toxicity.held_out(F.col("id"))).orderBy(F.xxhash64("id"), "id").collect()
+    ids = [r["id"] for r in ids]
+    toxic = ids[::2]
+    text = {i: f"what a fine day number {i} is" for i in ids}
+    text |= {i: f"what a {'vilxen' if n < 2000 else 'zorblag'} day number {i} is" for n, i in enumerate(toxic)}
+    labels = spark.createDataFrame([(i, 1) for i in toxic] + [(i, 0) for i in ids[1::2]], "doc_id long, toxic int")
+    rows = documents(list(text.items()))
+    model = toxicity.train(rows, labels)
+    vilxen, zorblag, fine = toxicity.scores(model, pa.array([f"what a {w} day it is" for w in ("vilxen", "zorblag", "fine")]))
+    assert vilxen > 0.9 and zorblag > 0.9 and fine < 0.1 and 0.1 < model.threshold < 0.9
+    again = toxicity.train(rows.repartition(3), labels.repartition(5))
+    assert all(np.array_equal(x, y) for x, y in zip(model.filters, again.filters)) and np.array_equal(model.embeddings, again.embeddings)
