@@ -8,7 +8,7 @@ Thresholds are calibrated for each language on labelled documents left out of th
 from the text alone, and only the decision looks up the language.
 
 All labelled documents that are not held out are learnt from or calibrated on. They are dealt into
-pieces by a hash of the id, words as slots, whole texts. In a round each piece starts from the same model
+pieces by a hash of the id, whole texts. In a round each piece starts from the same model
 and goes through its documents; what the pieces changed is averaged, an embedding over the pieces that
 touched it. Documents, slots and scores are counted by Spark, so neither a task nor the driver meets
 more than a piece or the model. Every document is scored whole.
@@ -58,8 +58,6 @@ LEAST_LANGUAGE = 10
 
 _PAD = max(WIDTHS)
 _BEGINNINGS = (4, 6)
-#: Bytes of a word's slots.
-_WIDTH = 4 * (1 + len(_BEGINNINGS))
 _WORD = byte_table(lambda b: chr(b).isalnum() if b < 128 else True)
 
 
@@ -314,11 +312,11 @@ def held_out(key: Column) -> Column:
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-_PIECES = "piece long, slots binary, lang string, label double, left boolean, seen binary, documents binary"
+_PIECES = "piece long, text string, lang string, label double, left boolean, seen binary, documents binary"
 
 
 def _pieces(rows: DataFrame) -> DataFrame:
-    """Rows of ``part, text, lang, label, left`` in order as documents in pieces, words as slots.
+    """Rows of ``part, text, lang, label, left`` in order as documents in pieces.
 
     Behind each piece a row with ``seen`` and ``documents``: slots, and in how many documents of the fit.
     """
@@ -351,7 +349,7 @@ def _pieces(rows: DataFrame) -> DataFrame:
                     counts[np.unique(slots[a:b])] += 1
                 pieces.append(piece)
             none = [None] * len(pieces)
-            yield batch(pieces, [slots[a:b].tobytes() for a, b in bounds], chunk.column(2), chunk.column(3), chunk.column(4), none, none)
+            yield batch(pieces, chunk.column(1), chunk.column(2), chunk.column(3), chunk.column(4), none, none)
         if part is not None:
             yield counted(piece, counts)
 
@@ -373,9 +371,20 @@ def _keys(pieces: DataFrame) -> np.ndarray:
     return np.sort(counts.filter("documents >= 2").select("slot").toPandas()["slot"].to_numpy().astype(np.uint64))
 
 
-def _by_piece(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[bytes], list[float]]]:
-    """Slots and labels of the documents of each piece, from ``piece, slots, label``."""
-    for piece, rows in groupby((r for b in batches for r in zip(*(c.to_pylist() for c in b.columns))), lambda r: r[0]):
+def _by_piece(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[np.ndarray], list[float]]]:
+    """Slots and labels of the documents of each piece, from ``piece, text, label``.
+
+    The texts are read again in each round, as they are smaller than their slots.
+    """
+
+    def documents() -> Iterator[tuple]:
+        for chunk in chunks(batches):
+            slots, before = features(chunk.column(1))
+            slots = slots.astype(np.int32)
+            for n, (piece, label) in enumerate(zip(chunk.column(0).to_pylist(), chunk.column(2).to_pylist())):
+                yield piece, slots[before[n] : before[n + 1]], label
+
+    for piece, rows in groupby(documents(), lambda r: r[0]):
         _, slots, labels = zip(*rows)
         yield piece, slots, labels
 
@@ -425,8 +434,8 @@ def _averaged(pieces: DataFrame, state: _State, keys: np.ndarray, share: float,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row_of, begun = _row_of(sent.value[0]), _State(*sent.value[1])
         for piece, texts, labels in _by_piece(batches):
-            before = np.concatenate([[0], np.cumsum([len(t) // _WIDTH for t in texts])])
-            slots = np.frombuffer(b"".join(texts), np.int32).reshape(-1, 1 + len(_BEGINNINGS))
+            before = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+            slots = np.concatenate(texts)
             state, draw = begun.copy(), np.random.default_rng([SEED, turn, piece])
             _learn(state, row_of, slots, before, np.arange(len(labels)), np.array(labels), share, passes, draw)
             for row in _changed(piece, state, begun, float(len(labels))):
@@ -434,7 +443,7 @@ def _averaged(pieces: DataFrame, state: _State, keys: np.ndarray, share: float,
                 names = ["piece", "block", "rows", "change", "weight"]
                 yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types)], names)
 
-    changes = pieces.filter("NOT left").select("piece", "slots", "label").mapInArrow(run, _CHANGES)
+    changes = pieces.filter("NOT left").select("piece", "text", "label").mapInArrow(run, _CHANGES)
     # At most 64 parts meet in one task, then the sums of 64 of these.
     for places in (38, 44) if parts > 64 else (38,):
         changes = changes.groupBy("block", F.shiftright("piece", places)).applyInPandas(_summed, _CHANGES)
@@ -463,16 +472,11 @@ def _counted(pieces: DataFrame, model: Model) -> pd.DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(*sent.value)
-        row_of, none = _row_of(model.keys), len(model.keys)
-        for batch in batches:
-            got = []
-            for text in batch.column(0).to_pylist():
-                slots = np.frombuffer(text, np.int32).reshape(-1, 1 + len(_BEGINNINGS))
-                rows, begins = _rows(row_of, none, slots, np.array([0, len(slots)]))
-                got.append(float(_sigmoid(_logits(model, rows, begins))[0]))
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(got, pa.float64()), batch.column(2)], ["lang", "score", "label"])
-
-    rows = pieces.filter("left").select("slots", F.coalesce("lang", F.lit("")).alias("lang"), "label")
+        for chunk in chunks(batches):
+            got = pa.array(scores(model, chunk.column(0)), pa.float64())
+            yield pa.RecordBatch.from_arrays([chunk.column(1), got, chunk.column(2)], ["lang", "score", "label"])
+
+    rows = pieces.filter("left").select("text", F.coalesce("lang", F.lit("")).alias("lang"), "label")
     rows = rows.mapInArrow(run, "lang string, score double, label double")
     counted = rows.groupBy("lang", F.floor(F.col("score") * BINS).alias("bin")).agg(
         F.min("score").alias("low"), F.max("score").alias("high"),
