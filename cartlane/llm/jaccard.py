@@ -36,7 +36,7 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartlane.llm.components import connected
@@ -285,6 +285,32 @@ def _met(rows: DataFrame, percent: int) -> DataFrame:
     return x.join(y, condition).drop("y_token")
 
 
+def _shared(prefixes: DataFrame, percent: int) -> DataFrame:
+    """``token, cls, n, pos, size``: the prefix shingles at which a class may link with another; ``size`` classes have it.
+
+    Prefixes are shuffled once. Of each shingle the classes stay that have a partner by the length filter and, as far as
+    this shingle alone tells, by the position filter: what one pair would fail in ``_met`` anyway is not moved again.
+    Partners are looked for next to a class in the order of sizes: if one that is smaller fits, so does the next
+    smaller one; one that is larger and fits has to be reached from the place of the shingle, and the next larger one is nearer.
+    """
+    all_, by_size = Window.partitionBy("token"), Window.partitionBy("token").orderBy("n", "cls")
+    # Only shingles of two classes or more can make a pair. Copies in several tasks come more than once.
+    rows = prefixes.repartition("token").withColumns({"low": F.min("cls").over(all_), "high": F.max("cls").over(all_)})
+    rows = rows.filter("low < high").drop("low", "high").distinct()
+    rest = F.col("n") - F.col("pos")
+    rows = rows.withColumns(
+        {
+            "size": F.count(F.lit(1)).over(all_), "small": F.min("n").over(all_), "large": F.max("n").over(all_),
+            "rest": F.min(rest).over(all_), "below": F.lag("n").over(by_size), "above": F.lead("n").over(by_size),
+        }
+    )
+    small, large, n, below, above = (F.col(c) for c in ("small", "large", "n", "below", "above"))
+    pair = _fits(small, large, percent) & _enough(F.col("rest") + 1, small, large, percent)
+    smaller = F.coalesce(_fits(below, n, percent), F.lit(False))
+    larger = F.coalesce(_fits(n, above, percent) & _enough(rest + 1, n, above, percent), F.lit(False))
+    return rows.filter(F.when(F.col("size") == 2, pair).otherwise(smaller | larger)).select("token", "cls", "n", "pos", "size")
+
+
 class _Join:
     """What both forms of the join share: classes, and prefix shingles that classes have in common."""
 
@@ -296,12 +322,7 @@ class _Join:
             F.min("id").alias("least"), F.first("n").alias("n"), F.first("parts").alias("parts")
         )
         self.classes = kept(classes, "classes")
-        # Made twice, once to count and once to join: that costs less than a table of them.
-        prefixes = _prefixes(documents, _counters(described), size, percent)
-        # Only shingles of two classes or more can make a pair.
-        shared = prefixes.groupBy("token").agg(F.min("cls").alias("low"), F.max("cls").alias("high"))
-        several = shared.filter("low < high").select("token")
-        self.buckets = kept(prefixes.join(several, "token", "left_semi").distinct(), "buckets")
+        self.buckets = kept(_shared(_prefixes(documents, _counters(described), size, percent), percent), "buckets")
 
     def compared(self, pairs: DataFrame, near: int = 101) -> DataFrame:
         return _compared(self._all, self._key, self.classes, pairs, self._size, near)
@@ -330,7 +351,7 @@ def similar_classes(
     Each pair of classes with a common prefix shingle is looked at, also in groups of near copies.
     """
     join = _Join(documents, key, size, percent)
-    rows = join.buckets.withColumns({"label": F.col("cls"), "home": F.col("cls"), "asks": F.lit(True)})
+    rows = join.buckets.drop("size").withColumns({"label": F.col("cls"), "home": F.col("cls"), "asks": F.lit(True)})
     found = join.compared(join.possible(_met(rows, percent), None))
     return join.links(found).select("a", "b", "na", "nb", "overlap").distinct(), join.documents.select("id", "cls", "n")
 
@@ -338,11 +359,9 @@ def similar_classes(
 def _centres(buckets: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The buckets with the ``centre`` of each shingle: of its classes the one that shares most shingles with
     most. And how much each class shares, its ``degree``."""
-    sizes = buckets.groupBy("token").agg(F.count(F.lit(1)).alias("size"))
-    shares = buckets.join(sizes, "token").groupBy("cls").agg(F.sum(F.col("size") - 1).alias("degree"))
-    shares = kept(shares, "degrees")
+    shares = kept(buckets.groupBy("cls").agg(F.sum(F.col("size") - 1).alias("degree")), "degrees")
     most = buckets.join(shares, "cls").groupBy("token").agg(F.max(F.struct("degree", "cls")).alias("most"))
-    centres = most.select("token", F.col("most.cls").alias("centre")).join(sizes, "token")
+    centres = most.select("token", F.col("most.cls").alias("centre"))
     return kept(buckets.join(centres, "token"), "centred"), shares
 
 
@@ -488,11 +507,11 @@ def components(documents: DataFrame, key: str = "doc_id", size: int = WORDS, per
     # the centre of the shingle has.
     of_class = homes.select("cls", "home")
     of_centre = homes.select(F.col("cls").alias("centre"), F.col("home").alias("main"))
-    rows = centred.join(of_class, "cls", "left").join(of_centre, "centre", "left")
+    rows = _labelled(centred, labels).join(of_class, "cls", "left").join(of_centre, "centre", "left")
     home, main = F.coalesce("home", "cls"), F.coalesce("main", "centre")
-    rows = rows.select("token", "cls", "n", "pos", home.alias("home"), (home != main).alias("asks"))
+    rows = rows.select("token", "cls", "n", "pos", "label", home.alias("home"), (home != main).alias("asks"))
     done = compared.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    others = join.links(join.compared(join.possible(_met(_labelled(rows, labels), percent), done)))
+    others = join.links(join.compared(join.possible(_met(rows, percent), done)))
     # The later links join components of the first.
     found = around.union(others.select("a", "b"))
     root_a = labels.select(F.col("node").alias("a"), F.col("root").alias("ra"))

@@ -200,3 +200,33 @@ def test_connected(spark):
     got = {r["node"]: r["root"] for r in connected(spark.createDataFrame(pairs, "a long, b long")).collect()}
     assert got == want
     assert connected(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+@pytest.mark.parametrize("size, percent", [(3, 90), (5, 80)])
+def test_buckets_hold_what_may_link_and_no_more(documents, size, percent):
+    """Copies, and texts of all lengths that share passages: at most of these shingles no two of them can link."""
+    draw = random.Random(size)
+    word = lambda: "".join(draw.choices("abcdefgh", k=4))
+    said = [" ".join(word() for _ in range(60)) for _ in range(400)]
+    loose = [" ".join(draw.sample(said, draw.randrange(1, 7))) for _ in range(300)]
+    rows = list(enumerate([t for _, t in edited_copies(size)] + loose))
+    df = documents(rows).repartition(3)
+    join = jaccard._Join(df, "doc_id", size, percent)
+    counters = jaccard._counters(jaccard._described(df, "doc_id", size))
+    held = {}
+    for r in jaccard._prefixes(df, counters, size, percent).distinct().collect():
+        held.setdefault(r["token"], set()).add((r["cls"], r["n"], r["pos"]))
+    may, shared = set(), 0
+    for token, classes in held.items():
+        shared += len(classes) if len(classes) > 1 else 0
+        for cls, n, pos in classes:
+            for other, m, at in classes:
+                fits = 100 * min(n, m) >= percent * max(n, m)
+                if other != cls and fits and (100 + percent) * (min(n - pos, m - at) + 1) >= percent * (n + m):
+                    may.add((token, cls, n, pos))
+    got = join.buckets.collect()
+    found = {(r["token"], r["cls"], r["n"], r["pos"]) for r in got}
+    assert len(got) == len(found) and may <= found and all(r["size"] == len(held[r["token"]]) for r in got)
+    pairs = {t for t, classes in held.items() if len(classes) == 2}
+    assert {f for f in found if f[0] in pairs} == {f for f in may if f[0] in pairs}
+    assert may and len(found) < 0.8 * shared
