@@ -4,8 +4,8 @@ A word is the sum of the embeddings of three hashes: of itself and of its beginn
 six bytes, so that endings need not be seen in training. Hashes fall into ``SLOTS`` slots, so the model's
 size is fixed; slots seen in fewer than two documents have the zero embedding. Filters of several widths
 run over the words, each keeps its maximum over the document, and a logistic layer makes a score of those.
-Thresholds are calibrated for each language on labelled documents left out of the fit: the score is made
-from the text alone, and only the decision looks up the language.
+Thresholds are calibrated for each language on labelled documents by a model they were left out of: the score is
+made from the text alone, and only the decision looks up the language.
 
 All labelled documents that are not held out are learnt from or calibrated on. They are dealt into
 pieces by a hash of the id, whole texts. In a round each piece starts from the same model
@@ -13,8 +13,8 @@ and goes through its documents; what the pieces changed is averaged, an embeddin
 touched it. Documents, slots and scores are counted by Spark, so neither a task nor the driver meets
 more than a piece or the model. Every document is scored whole.
 
-Defined results: null and empty texts get the score of no words; a language without enough
-labelled documents has the threshold of all; without labels of both kinds the score is the share
+Defined results: null and empty texts get the score of no words, which is below all thresholds if ``crossed``; a language
+without enough labelled documents has the threshold of all; without labels of both kinds the score is the share
 of toxic labels (0 without labels) and nothing is flagged; repeated labels of an id count once,
 toxic if any is; extra columns are ignored or kept.
 """
@@ -53,6 +53,8 @@ ROUNDS, PASSES = 2, 3
 BINS, BLOCK = 1 << 14, 1 << 12
 #: What flagging a clean document costs, where missing a toxic one costs 1; there are more of these.
 FALSE_COST = 4
+#: How far a threshold is above a score that is not to be flagged, at least.
+LEAST_GAP = 1e-4
 #: Labelled documents of each kind that a language needs for a threshold of its own.
 LEAST_LANGUAGE = 10
 
@@ -294,15 +296,22 @@ def calibrated(model: Model, got: np.ndarray, labels: np.ndarray, languages: lis
     return _calibrated(model, rows)
 
 
-def _calibrated(model: Model, bins: pd.DataFrame) -> Model:
-    """That from rows of ``lang, bin, low, high, toxic, clean``."""
+def _calibrated(model: Model, bins: pd.DataFrame, floor: float = 0.0) -> Model:
+    """That from rows of ``lang, bin, low, high, toxic, clean``.
+
+    Where the score ``floor`` would be flagged, the threshold goes halfway to the next score above.
+    """
 
     def best(rows: pd.DataFrame) -> float:
         added = rows.groupby("bin", sort=True).agg({"low": "min", "high": "max", "toxic": "sum", "clean": "sum"})
-        return _best_threshold(*(added[c].to_numpy(np.float64) for c in ("low", "high", "toxic", "clean")))
-
-    if not bins["toxic"].sum() or not bins["clean"].sum():
-        return model
+        low, high, toxic, clean = (added[c].to_numpy(np.float64) for c in ("low", "high", "toxic", "clean"))
+        found = _best_threshold(low, high, toxic, clean)
+        if found > floor:
+            return found
+        return max((floor + min(low[low > floor], default=1.0)) / 2, floor + LEAST_GAP)
+
+    if not len(bins) or not bins["toxic"].sum() or not bins["clean"].sum():
+        return model if model.threshold > floor else model._replace(threshold=(1 + floor) / 2)
     enough = (r for r in bins.groupby("lang") if r[0] and min(r[1]["toxic"].sum(), r[1]["clean"].sum()) >= LEAST_LANGUAGE)
     return model._replace(thresholds={str(name): best(rows) for name, rows in enough}, threshold=best(bins))
 
@@ -315,10 +324,11 @@ def held_out(key: Column) -> Column:
 _PIECES = "piece long, text string, lang string, label double, left boolean, seen binary, documents binary"
 
 
-def _pieces(rows: DataFrame) -> DataFrame:
+def _pieces(rows: DataFrame, kinds_left: tuple[bool, ...] = (False,)) -> DataFrame:
     """Rows of ``part, text, lang, label, left`` in order as documents in pieces.
 
-    Behind each piece a row with ``seen`` and ``documents``: slots, and in how many documents of the fit.
+    Behind each piece a row for each of ``kinds_left`` with ``seen`` and ``documents``: slots, and in how many
+    documents with that ``left``.
     """
     kinds = {"long": pa.int64(), "binary": pa.binary(), "string": pa.string(), "double": pa.float64(), "boolean": pa.bool_()}
     schema = pa.schema([(n, kinds[t]) for n, t in (f.split() for f in _PIECES.split(", "))])
@@ -326,12 +336,15 @@ def _pieces(rows: DataFrame) -> DataFrame:
     def batch(*columns) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
-    def counted(piece: int, counts: np.ndarray) -> pa.RecordBatch:
-        seen = np.flatnonzero(counts).astype(np.int32)
-        return batch([piece], [None], [None], [None], [None], [seen.tobytes()], [counts[seen].tobytes()])
+    def counted(piece: int, counts: dict[bool, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        for left, found in counts.items():
+            seen = np.flatnonzero(found).astype(np.int32)
+            yield batch([piece], [None], [None], [None], [left], [seen.tobytes()], [found[seen].tobytes()])
+            found[:] = 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, piece, size, counts = None, 0, 0, np.zeros(SLOTS, np.int32)
+        part, piece, size = None, 0, 0
+        counts = {left: np.zeros(SLOTS, np.int32) for left in kinds_left}
         for chunk in chunks(batches):
             slots, before = features(chunk.column(1))
             slots = slots.astype(np.int32)
@@ -340,24 +353,23 @@ def _pieces(rows: DataFrame) -> DataFrame:
             for (a, b), own, out in zip(bounds, parts, left):
                 full = own == part and size + b - a > PIECE_WORDS
                 if full or part not in (None, own):
-                    yield counted(piece, counts)
-                    counts[:] = 0
+                    yield from counted(piece, counts)
                     size = 0
                 piece = piece + full if own == part else own << 32
                 part, size = own, size + b - a
-                if not out:
-                    counts[np.unique(slots[a:b])] += 1
+                if out in counts:
+                    counts[out][np.unique(slots[a:b])] += 1
                 pieces.append(piece)
             none = [None] * len(pieces)
             yield batch(pieces, chunk.column(1), chunk.column(2), chunk.column(3), chunk.column(4), none, none)
         if part is not None:
-            yield counted(piece, counts)
+            yield from counted(piece, counts)
 
     return rows.mapInArrow(run, _PIECES)
 
 
 def _keys(pieces: DataFrame) -> np.ndarray:
-    """The slots seen in two documents of the fit or more."""
+    """The slots seen in two documents or more of those that were counted."""
     rows = pieces.filter("seen IS NOT NULL").select("seen", "documents")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -443,7 +455,7 @@ def _averaged(pieces: DataFrame, state: _State, keys: np.ndarray, share: float,
                 names = ["piece", "block", "rows", "change", "weight"]
                 yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types)], names)
 
-    changes = pieces.filter("NOT left").select("piece", "text", "label").mapInArrow(run, _CHANGES)
+    changes = pieces.filter("label IS NOT NULL").select("piece", "text", "label").mapInArrow(run, _CHANGES)
     # At most 64 parts meet in one task, then the sums of 64 of these.
     for places in (38, 44) if parts > 64 else (38,):
         changes = changes.groupBy("block", F.shiftright("piece", places)).applyInPandas(_summed, _CHANGES)
@@ -467,7 +479,7 @@ def _averaged(pieces: DataFrame, state: _State, keys: np.ndarray, share: float,
 
 
 def _counted(pieces: DataFrame, model: Model) -> pd.DataFrame:
-    """``lang, bin, low, high, toxic, clean``: scores of the documents left out of the fit, counted."""
+    """``lang, bin, low, high, toxic, clean``: scores of documents left out of the model's fit, counted."""
     sent = pieces.sparkSession.sparkContext.broadcast(tuple(model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -476,7 +488,7 @@ def _counted(pieces: DataFrame, model: Model) -> pd.DataFrame:
             got = pa.array(scores(model, chunk.column(0)), pa.float64())
             yield pa.RecordBatch.from_arrays([chunk.column(1), got, chunk.column(2)], ["lang", "score", "label"])
 
-    rows = pieces.filter("left").select("text", F.coalesce("lang", F.lit("")).alias("lang"), "label")
+    rows = pieces.filter("label IS NOT NULL").select("text", F.coalesce("lang", F.lit("")).alias("lang"), "label")
     rows = rows.mapInArrow(run, "lang string, score double, label double")
     counted = rows.groupBy("lang", F.floor(F.col("score") * BINS).alias("bin")).agg(
         F.min("score").alias("low"), F.max("score").alias("high"),
@@ -485,9 +497,36 @@ def _counted(pieces: DataFrame, model: Model) -> pd.DataFrame:
     return counted.toPandas()  # at most BINS + 1 rows for each language
 
 
-def train(documents: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "toxic", sample=None) -> Model:
+def _fitted(pieces: DataFrame, parts: int) -> Model | None:
+    """The model without thresholds, of all documents in the pieces; none if they are not of both kinds."""
+    every = pieces.filter("label IS NOT NULL").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("label").alias("toxic"), F.min("piece").alias("first"), F.max("piece").alias("last")
+    ).first()
+    share = _share(every["toxic"], every["n"])
+    if share in (0.0, 1.0):
+        return None
+    keys = _keys(pieces)
+    state = _begun(keys, np.random.default_rng(SEED))
+    rounds = ROUNDS if every["first"] < every["last"] else 1
+    passes = -(-_passes(every["n"], ROUNDS * PASSES) // rounds)
+    for turn in range(rounds):
+        state = _averaged(pieces, state, keys, share, passes, turn, parts)
+    return state.model(keys)
+
+
+def _share(toxic: float | None, documents: int) -> float:
+    return float(np.clip((toxic or 0.0) / (documents or 1), 0, 1))
+
+
+def train(
+    documents: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "toxic", sample=None, crossed: bool = False
+) -> Model:
     """The model with thresholds, of all labelled documents that are not held out.
 
+    A fifth of them calibrates the thresholds, the model is learnt from the others. If ``crossed`` none is left out of
+    either: the model is learnt from all, and thresholds come from the scores of all. Each half of the documents
+    is scored for that by a model of the other half.
+
     With ``sample`` a caller who wants a quick model takes only so many of them that are toxic, and so many that are not.
     """
     spark = documents.sparkSession
@@ -519,22 +558,21 @@ def train(documents: DataFrame, labels: DataFrame, key: str = "doc_id", label: s
     )
     same = Window.partitionBy("part", "mark", "id").orderBy("text", "lang").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     rows = rows.repartition("part").withColumn("label", F.max("label").over(same)).filter("text IS NOT NULL AND label IS NOT NULL")
-    rows = rows.select("part", "text", "lang", "label", (F.pmod("mark", F.lit(LEFT_OUT)) == 0).alias("left"))
-    pieces = kept(_pieces(rows), "pieces")
-    every = pieces.filter("NOT left").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("label").alias("toxic"), F.min("piece").alias("first"), F.max("piece").alias("last")
-    ).first()
-    share = float(np.clip((every["toxic"] or 0.0) / (every["n"] or 1), 0, 1))
-    if share in (0.0, 1.0):
-        return _one_sided(share)
-    keys = _keys(pieces)
-    state = _begun(keys, np.random.default_rng(SEED))
-    rounds = ROUNDS if every["first"] < every["last"] else 1
-    passes = -(-_passes(every["n"], ROUNDS * PASSES) // rounds)
-    for turn in range(rounds):
-        state = _averaged(pieces, state, keys, share, passes, turn, parts)
-    model = state.model(keys)
-    return _calibrated(model, _counted(pieces, model))
+    rows = rows.select("part", "text", "lang", "label", (F.pmod("mark", F.lit(2 if crossed else LEFT_OUT)) == 0).alias("left"))
+    pieces = kept(_pieces(rows, (False, True) if crossed else (False,)), "pieces")
+    fit = pieces if crossed else pieces.filter("NOT left")
+    model = _fitted(fit, parts)
+    if model is None:
+        found = fit.agg(F.sum("label").alias("toxic"), F.count("label").alias("n")).first()
+        return _one_sided(_share(found["toxic"], found["n"]))
+    left = pieces.filter("left")
+    if not crossed:
+        return _calibrated(model, _counted(left, model))
+    rest = pieces.filter("NOT left")
+    halves = [(left, _fitted(rest, parts)), (rest, _fitted(left, parts))]
+    bins = [_counted(scored, half) for scored, half in halves if half is not None]
+    # What a text without any known word scores is no ground to flag it.
+    return _calibrated(model, pd.concat(bins) if bins else pd.DataFrame(), float(scores(model, pa.array([""]))[0]))
 
 
 _OUT = {"__score": pa.float64(), "__threshold": pa.float64()}

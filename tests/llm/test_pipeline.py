@@ -1,9 +1,10 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from cartlane.llm import registry
+from cartlane.llm import registry, toxicity
 
 from .test_jaccard import edited_copies, near_copies, plain_set, roots
 
@@ -52,6 +53,24 @@ def test_every_stage_takes_effect(spark, folder, tmp_path):
 
 
 
+def test_no_label_is_left_out_of_the_model_or_the_thresholds(spark, documents, tmp_path, monkeypatch):
+    """A word that only the fifth of the toxic documents says that once calibrated; few labels in German."""
+    ids = spark.range(1500).filter(~toxicity.held_out(F.col("id"))).withColumn("fifth", F.pmod(F.xxhash64("id"), F.lit(5)) == 0)
+    rows, labels = [], []
+    for n, r in enumerate(ids.orderBy("id").collect()):
+        word = ("zorblag" if r["fifth"] else "vilxen") if n % 2 else "fine"
+        rows.append((r["id"], f"what a {word} day number {r['id']} is", "de" if n < 40 else "en"))
+        labels.append((r["id"], 1, n % 2))
+    news = [(5000, "what a zorblag day it is"), (5001, "what a vilxen day it is"), (5002, "what a fine day it is")]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    models, clean = [], toxicity.clean_documents
+    monkeypatch.setattr(toxicity, "clean_documents", lambda docs, model: models.append(model) or clean(docs, model))
+    left = corpus_pipeline.drop_toxic(spark, documents(rows + news), str(tmp_path))
+    toxic = {i for i, _, y in labels if y}
+    assert {r["doc_id"] for r in left.collect()} == {r[0] for r in rows + news} - toxic - {5000, 5001}
+    assert set(models[0].thresholds) == {"de", "en"}
+
+
 def test_registered():
     names = [n.split("_")[0] for n in registry.QUERIES if n.startswith("op")]
     assert sorted(names, key=lambda n: int(n[2:])) == [f"op{i}" for i in range(1, 14)]

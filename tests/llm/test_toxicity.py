@@ -109,3 +109,12 @@ def test_every_label_is_learnt_from_in_many_pieces(spark, documents, monkeypatch
     assert vilxen > 0.9 and zorblag > 0.9 and fine < 0.1 and 0.1 < model.threshold < 0.9
     again = toxicity.train(rows.repartition(3), labels.repartition(5))
     assert all(np.array_equal(x, y) for x, y in zip(model.filters, again.filters)) and np.array_equal(model.embeddings, again.embeddings)
+
+
+def test_words_never_seen_are_no_ground_to_flag(spark, documents, hard):
+    toxic = [(1000 + i, f"you vilxen fool number {i} of many") for i in range(30)]
+    fine = [(2000 + i, f"you are a good friend {i} and so on") for i in range(50)]
+    labels = spark.createDataFrame([(i, 1) for i, _ in toxic] + [(i, 0) for i, _ in fine], "doc_id long, toxic int")
+    model = toxicity.train(hard.union(documents(toxic + fine)), labels, crossed=True)
+    assert {r["toxic"] for r in toxicity.score_documents(hard, model).collect()} == {False}
+    assert all(r["toxic"] for r in toxicity.score_documents(documents(toxic), model).collect())
