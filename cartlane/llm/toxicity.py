@@ -441,10 +441,12 @@ def _changed(piece: int, state: _State, begun: _State, weight: float) -> Iterato
 
 def _averaged(pieces: DataFrame, state: _State, keys: np.ndarray, share: float, passes: int, turn: int, parts: int) -> _State:
     """One round: every piece learns from the same state, and the changes are averaged."""
-    sent = pieces.sparkSession.sparkContext.broadcast((keys, tuple(state)))
+    # The state before the first round is drawn in the tasks.
+    sent = pieces.sparkSession.sparkContext.broadcast((keys, tuple(state) if turn else None))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        row_of, begun = _row_of(sent.value[0]), _State(*sent.value[1])
+        keys, begun = sent.value
+        row_of, begun = _row_of(keys), _State(*begun) if begun else _begun(keys, np.random.default_rng(SEED))
         for piece, texts, labels in _by_piece(batches):
             before = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
             slots = np.concatenate(texts)
@@ -463,6 +465,7 @@ def _averaged(pieces: DataFrame, state: _State, keys: np.ndarray, share: float,
     found: dict[int, list[tuple]] = {}
     for r in changes.sort("block", "piece").toLocalIterator():  # a row per block, and per 4,096 parts
         found.setdefault(r["block"], []).append((r["rows"], r["change"], r["weight"]))
+    sent.destroy()
     for block, rows in found.items():
         begin = max(block, 0) * BLOCK
         part = out.table[begin : begin + BLOCK]
@@ -494,7 +497,9 @@ def _counted(pieces: DataFrame, model: Model) -> pd.DataFrame:
         F.min("score").alias("low"), F.max("score").alias("high"),
         F.sum("label").alias("toxic"), F.sum(1 - F.col("label")).alias("clean"),
     )
-    return counted.toPandas()  # at most BINS + 1 rows for each language
+    out = counted.toPandas()  # at most BINS + 1 rows for each language
+    sent.destroy()
+    return out
 
 
 def _fitted(pieces: DataFrame, parts: int) -> Model | None:
