@@ -462,11 +462,9 @@ def _averaged(pieces: DataFrame, state: _State, keys: np.ndarray, share: float,
     for places in (38, 44) if parts > 64 else (38,):
         changes = changes.groupBy("block", F.shiftright("piece", places)).applyInPandas(_summed, _CHANGES)
     out = state.copy()
-    found: dict[int, list[tuple]] = {}
-    for r in changes.sort("block", "piece").toLocalIterator():  # a row per block, and per 4,096 parts
-        found.setdefault(r["block"], []).append((r["rows"], r["change"], r["weight"]))
-    sent.destroy()
-    for block, rows in found.items():
+    # A row per block, and per 4,096 parts; one block is held at a time.
+    for block, of_block in groupby(changes.sort("block", "piece").toLocalIterator(), lambda r: r["block"]):
+        rows = [(r["rows"], r["change"], r["weight"]) for r in of_block]
         begin = max(block, 0) * BLOCK
         part = out.table[begin : begin + BLOCK]
         total, weights = _added(block, sum(x.size for x in out.dense()) if block < 0 else len(part), rows)
@@ -478,6 +476,7 @@ def _averaged(pieces: DataFrame, state: _State, keys: np.ndarray, share: float,
         for x in out.dense():
             x += mean[at : at + x.size, 0].reshape(x.shape).astype(np.float32)
             at += x.size
+    sent.destroy()
     return out
 
 
