@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartlane.llm.components import connected
-from cartlane.llm.shared import bit_filter, bounded, filter_place, in_filter, kept
+from cartlane.llm.shared import bit_filter, bounded, dropped, fetched, filter_place, in_filter, kept
 from cartlane.llm.texts import RangeHash, byte_table, chunks, flat, lowered, mixed, words
 
 #: Words in a shingle, and the least similarity in hundredths.
@@ -140,26 +140,27 @@ def _added(pdf: pd.DataFrame) -> pd.DataFrame:
     )
 
 
-def _counters(described: DataFrame) -> bytes:
-    """All tasks' counts added up: one table of fixed size. At most 256 tables meet in one task."""
+def _counters(described: DataFrame) -> list[bytes]:
+    """All tasks' counts added up: one table of fixed size, in compressed blocks. At most 256 tables meet in one task."""
     rows = described.filter("block IS NOT NULL").select("task", "block", "counts")
     for _ in range(2):
         rows = rows.withColumn("task", F.floor(F.col("task") / 256).cast("int"))
         rows = rows.groupBy("task", "block").applyInPandas(_added, "task int, block int, counts binary")
-    total = np.zeros(COUNTERS, np.uint16)
-    for r in rows.toLocalIterator():  # one row per block, and per 65,536 tasks
-        part = total[r["block"] * _BLOCK : (r["block"] + 1) * _BLOCK]
-        more = np.frombuffer(zlib.decompress(bytes(r["counts"])), np.uint16).astype(np.uint32)
-        part[:] = np.minimum(more + part, _MOST)
-    return total.tobytes()
+    blocks = [zlib.compress(bytes(2 * _BLOCK), 1)] * (COUNTERS // _BLOCK)
+    for r in fetched(rows):  # one row per block, and per 65,536 tasks
+        one, two = (np.frombuffer(zlib.decompress(c), np.uint16).astype(np.uint32) for c in (blocks[r["block"]], r["counts"]))
+        blocks[r["block"]] = zlib.compress(np.minimum(one + two, _MOST).astype(np.uint16).tobytes(), 1)
+    return blocks
 
 
-def _prefixes(documents: DataFrame, counters: bytes, size: int, percent: int) -> DataFrame:
+def _prefixes(documents: DataFrame, counters: list[bytes], size: int, percent: int) -> DataFrame:
     """``token, cls, n, pos``: the rarest shingles of each class. Copies in one task are sent once."""
     sent = documents.sparkSession.sparkContext.broadcast(counters)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.frombuffer(sent.value, np.uint16)
+        counts = np.zeros(COUNTERS, np.uint16)
+        for block, part in enumerate(sent.value):
+            counts[block * _BLOCK : (block + 1) * _BLOCK] = np.frombuffer(zlib.decompress(part), np.uint16)
         seen: set[int] = set()
         for chunk in chunks(batches):
             tokens, classes, sizes, places = [], [], [], []
@@ -194,12 +195,14 @@ def _fits(a: Column, b: Column, percent: int) -> Column:
 
 
 def _plausible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """``a, b`` that the length and suffix filters let pass, with their sizes."""
-    one = classes.select(F.col("cls").alias("a"), F.col("n").alias("na"), F.col("parts").alias("pa"))
-    two = classes.select(F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("parts").alias("pb"))
+    """``a, b`` that the length and suffix filters let pass, with their sizes and a document of each."""
+    one, two = (
+        classes.select(F.col("cls").alias(x), F.col("n").alias(f"n{x}"), F.col("parts").alias(f"p{x}"), F.col("least").alias(f"id_{x}"))
+        for x in "ab"
+    )
     met = pairs.select("a", "b").join(one, "a").join(two, "b").filter(_fits(F.col("na"), F.col("nb"), percent))
     shared = F.aggregate(F.zip_with("pa", "pb", lambda x, y: F.least(x, y)), F.lit(0), lambda n, x: n + x)
-    return met.filter(_enough(shared, F.col("na"), F.col("nb"), percent)).select("a", "b", "na", "nb")
+    return met.filter(_enough(shared, F.col("na"), F.col("nb"), percent)).select("a", "b", "na", "nb", "id_a", "id_b")
 
 
 _COMPARED = "a long, b long, na int, nb int, overlap int, added array<long>, lacking array<long>"
@@ -209,15 +212,18 @@ def _compared(documents: DataFrame, key: str, classes: DataFrame, pairs: DataFra
     """``overlap`` of the whole sets of each pair; for those at least ``near`` what ``b`` added to ``a`` and lacks.
 
     The texts travel, one document of each class, since they are smaller than their sets. Only
-    documents whose id may be asked for leave their task.
+    documents whose id may be asked for leave their task. ``pairs`` may hold these ids as ``id_a, id_b``.
     """
-    ids = classes.select("cls", "least")
-    asked = pairs.select("a", "b", "na", "nb")
-    asked = asked.join(ids.select(F.col("cls").alias("a"), F.col("least").alias("id_a")), "a")
-    asked = kept(asked.join(ids.select(F.col("cls").alias("b"), F.col("least").alias("id_b")), "b"), "asked")
+    asked = pairs
+    if "id_a" not in pairs.columns:
+        for x in "ab":
+            asked = asked.join(classes.select(F.col("cls").alias(x), F.col("least").alias(f"id_{x}")), x)
+    asked = kept(asked.select("a", "b", "na", "nb", "id_a", "id_b"), "asked")
+    filters = []
 
     def texts(column: str, name: str) -> DataFrame:
         bits = documents.sparkSession.sparkContext.broadcast(bit_filter(asked.select(column), column))
+        filters.append(bits)
         id_ = F.col(key).cast("long")
         rows = documents.select(id_.alias(name), F.col("text").alias(f"text_{name}"), filter_place(id_).alias("place"))
 
@@ -253,7 +259,11 @@ def _compared(documents: DataFrame, key: str, classes: DataFrame, pairs: DataFra
     met = asked.join(two, asked["id_b"].eqNullSafe(two["two"])).drop("two", "id_b")
     one = texts("id_a", "one")
     met = met.join(one, met["id_a"].eqNullSafe(one["one"])).select("a", "b", "na", "nb", "text_one", "text_two")
-    return kept(met.mapInArrow(run, _COMPARED), "compared")
+    compared = kept(met.mapInArrow(run, _COMPARED), "compared")
+    dropped(asked)
+    for bits in filters:
+        bits.destroy()
+    return compared
 
 
 def _met(rows: DataFrame, percent: int) -> DataFrame:
@@ -499,6 +509,7 @@ def components(documents: DataFrame, key: str = "doc_id", size: int = WORDS, per
     """``n_shingles`` and ``component_id`` of every document: the smallest id that links lead to."""
     join = _Join(documents, key, size, percent)
     centred, degrees = _centres(join.buckets)
+    dropped(join.buckets)
     compared = join.compared(_spokes(centred, percent), NEAR)
     labels = kept(connected(join.links(compared).select("a", "b")), "labels")
     homes = kept(_homes(_belonging(compared, degrees), join.classes), "homes")
@@ -527,6 +538,7 @@ def components(documents: DataFrame, key: str = "doc_id", size: int = WORDS, per
         .select("cls", "least", F.coalesce("root", "first").alias("root"))
     )
     classes = kept(classes, "class-roots")
+    dropped(join.classes, centred, degrees, compared, labels, homes, around, merged)
     smallest = classes.groupBy("root").agg(F.min("least").alias("component_id"))
     by_class = classes.join(smallest, "root").select("cls", "component_id")
     return (

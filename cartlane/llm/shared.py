@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from cartlane.plans.scratch import written
+from cartlane.plans.scratch import remove, written
 
 
 def kept(df: DataFrame, name: str) -> DataFrame:
@@ -14,6 +16,22 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     return written(df, name)
 
 
+def dropped(*tables: DataFrame) -> None:
+    """Deletes tables of ``kept`` that nothing reads any more."""
+    for table in tables:
+        for folder in {f.rpartition("/")[0] for f in table.inputFiles()}:
+            remove(table.sparkSession, folder)
+
+
+#: Parts in which the driver fetches a few large rows: each part is a job of its own.
+FETCHES = 8
+
+
+def fetched(rows: DataFrame) -> Iterator[Row]:
+    """A bounded number of rows, one part after the other; they are made by all tasks before."""
+    return rows.repartition(FETCHES).toLocalIterator()
+
+
 #: Rows of texts that Spark hands to a Python worker at once.
 BATCH_ROWS = 1000
 

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartlane.llm.shared import bit_filter, bounded, filter_place, in_filter, kept
+from cartlane.llm.shared import bit_filter, bounded, dropped, fetched, filter_place, in_filter, kept
 from cartlane.llm.texts import RangeHash, byte_table, chunks, flat, lowered, mixed, words
 
 #: Rows that hashes fall into, two to the power of a whole number.
@@ -179,11 +179,14 @@ class _State(NamedTuple):
 
 
 def _begun(keys: np.ndarray, draw: np.random.Generator) -> _State:
-    embeddings = np.concatenate([draw.normal(0, 0.1, (len(keys), SIZE)), np.zeros((1, SIZE))]).astype(np.float32)
+    table = np.full((len(keys) + 1, SIZE + 1), 1e-6, np.float32)
+    for begin in range(0, len(keys), BLOCK):
+        part = table[begin : min(begin + BLOCK, len(keys)), :SIZE]
+        part[:] = draw.normal(0, 0.1, part.shape)
+    table[-1, :SIZE] = 0
     filters = tuple(draw.normal(0, 0.3, (w, SIZE, FILTERS)).astype(np.float32) for w in WIDTHS)
     biases = tuple(np.zeros(FILTERS, np.float32) for _ in WIDTHS)
     weights = draw.normal(0, 0.3, FILTERS * len(WIDTHS)).astype(np.float32)
-    table = np.concatenate([embeddings, np.full((len(embeddings), 1), 1e-6, np.float32)], axis=1)
     return _State(table, filters, biases, weights, np.zeros(1, np.float32))
 
 
@@ -380,7 +383,7 @@ def _keys(pieces: DataFrame) -> np.ndarray:
 
     counts = rows.mapInArrow(run, "slot int, documents int").groupBy("slot").agg(F.sum("documents").alias("documents"))
     # At most SLOTS rows.
-    return np.sort(counts.filter("documents >= 2").select("slot").toPandas()["slot"].to_numpy().astype(np.uint64))
+    return np.sort(counts.filter("documents >= 2").select("slot").toArrow().column(0).to_numpy().astype(np.uint64))
 
 
 def _by_piece(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[np.ndarray], list[float]]]:
@@ -440,7 +443,7 @@ def _changed(piece: int, state: _State, begun: _State, weight: float) -> Iterato
 
 
 def _averaged(pieces: DataFrame, state: _State, keys: np.ndarray, share: float, passes: int, turn: int, parts: int) -> _State:
-    """One round: every piece learns from the same state, and the changes are averaged."""
+    """One round: every piece learns from the same state, to which the mean of the changes is added."""
     # The state before the first round is drawn in the tasks.
     sent = pieces.sparkSession.sparkContext.broadcast((keys, tuple(state) if turn else None))
 
@@ -458,26 +461,26 @@ def _averaged(pieces: DataFrame, state: _State, keys: np.ndarray, share: float,
                 yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types)], names)
 
     changes = pieces.filter("label IS NOT NULL").select("piece", "text", "label").mapInArrow(run, _CHANGES)
-    # At most 64 parts meet in one task, then the sums of 64 of these.
-    for places in (38, 44) if parts > 64 else (38,):
+    # At most 64 parts meet in one task, then the sums of 64 of these, until a block is one row.
+    places = 32
+    while places == 32 or parts > 1:
+        places, parts = places + 6, -(-parts // 64)
         changes = changes.groupBy("block", F.shiftright("piece", places)).applyInPandas(_summed, _CHANGES)
-    out = state.copy()
-    # A row per block, and per 4,096 parts; one block is held at a time.
-    for block, of_block in groupby(changes.sort("block", "piece").toLocalIterator(), lambda r: r["block"]):
-        rows = [(r["rows"], r["change"], r["weight"]) for r in of_block]
-        begin = max(block, 0) * BLOCK
-        part = out.table[begin : begin + BLOCK]
-        total, weights = _added(block, sum(x.size for x in out.dense()) if block < 0 else len(part), rows)
+    for row in fetched(changes):
+        block, begin = row["block"], max(row["block"], 0) * BLOCK
+        part = state.table[begin : begin + BLOCK]
+        size = sum(x.size for x in state.dense()) if block < 0 else len(part)
+        total, weights = _added(block, size, [(row["rows"], row["change"], row["weight"])])
         mean = total / np.maximum(weights, 1)[:, None]
         if block >= 0:
             part += mean.astype(np.float32)
             continue
         at = 0
-        for x in out.dense():
+        for x in state.dense():
             x += mean[at : at + x.size, 0].reshape(x.shape).astype(np.float32)
             at += x.size
     sent.destroy()
-    return out
+    return state
 
 
 def _counted(pieces: DataFrame, model: Model) -> pd.DataFrame:
@@ -496,7 +499,7 @@ def _counted(pieces: DataFrame, model: Model) -> pd.DataFrame:
         F.min("score").alias("low"), F.max("score").alias("high"),
         F.sum("label").alias("toxic"), F.sum(1 - F.col("label")).alias("clean"),
     )
-    out = counted.toPandas()  # at most BINS + 1 rows for each language
+    out = counted.toArrow().to_pandas()  # at most BINS + 1 rows for each language
     sent.destroy()
     return out
 
@@ -564,6 +567,15 @@ def train(
     rows = rows.repartition("part").withColumn("label", F.max("label").over(same)).filter("text IS NOT NULL AND label IS NOT NULL")
     rows = rows.select("part", "text", "lang", "label", (F.pmod("mark", F.lit(2 if crossed else LEFT_OUT)) == 0).alias("left"))
     pieces = kept(_pieces(rows, (False, True) if crossed else (False,)), "pieces")
+    bits.destroy()
+    try:
+        return _trained(pieces, parts, crossed)
+    finally:
+        dropped(usable, pieces)
+
+
+def _trained(pieces: DataFrame, parts: int, crossed: bool) -> Model:
+    """The model with thresholds, from labelled documents in pieces."""
     fit = pieces if crossed else pieces.filter("NOT left")
     model = _fitted(fit, parts)
     if model is None:

@@ -1,5 +1,6 @@
 import random
 import re
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cartlane.llm import jaccard
 from cartlane.llm.components import connected
+from cartlane.plans.scratch import _application_folder, children
 
 
 def plain_set(text, size=3):
@@ -230,3 +232,35 @@ def test_buckets_hold_what_may_link_and_no_more(documents, size, percent):
     pairs = {t for t, classes in held.items() if len(classes) == 2}
     assert {f for f in found if f[0] in pairs} == {f for f in may if f[0] in pairs}
     assert may and len(found) < 0.8 * shared
+
+
+def test_the_driver_fetches_the_counters_in_few_jobs(spark, documents):
+    """Also of many parts; and the counters are those of all documents."""
+    said = [f"one two three {i % 7} five six {i}" for i in range(300)]
+    described = jaccard._described(documents(list(enumerate(said))).repartition(3), "doc_id", 3)
+    held = {"spark.sql.shuffle.partitions": "60", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    for k, v in held.items():
+        spark.conf.set(k, v)
+    spark.sparkContext.setJobGroup("counters", "counters")
+    try:
+        counters = jaccard._counters(described)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert 0 < len(spark.sparkContext.statusTracker().getJobIdsForGroup("counters")) < 30
+    want = np.zeros(jaccard.COUNTERS, np.int64)
+    for shingles in jaccard.shingle_sets(pa.array(said), 3):
+        np.add.at(want, (shingles % np.uint64(jaccard.COUNTERS)).astype(np.int64), 1)
+    assert np.array_equal(np.frombuffer(b"".join(map(zlib.decompress, counters)), np.uint16), want)
+
+
+def test_the_join_keeps_the_tables_of_its_result_only(spark, documents):
+    """What the driver has to list, and the folder to hold, does not add up over a job's steps."""
+    folder = _application_folder(spark)
+    before = set(children(spark, folder))
+    df = documents(list(enumerate([t for _, t in edited_copies(3)])))
+    assert jaccard.components(df).count() == df.count()
+    left = {c.rpartition("-")[0] for c in set(children(spark, folder)) - before}
+    assert "shingled" in left and not left & {"buckets", "centred", "degrees", "asked", "classes"}

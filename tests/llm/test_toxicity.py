@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cartlane.llm import toxicity
+from cartlane.plans.scratch import _application_folder, children
 
 
 def area(scores, labels):
@@ -118,3 +119,16 @@ def test_words_never_seen_are_no_ground_to_flag(spark, documents, hard):
     model = toxicity.train(hard.union(documents(toxic + fine)), labels, crossed=True)
     assert {r["toxic"] for r in toxicity.score_documents(hard, model).collect()} == {False}
     assert all(r["toxic"] for r in toxicity.score_documents(documents(toxic), model).collect())
+
+
+@pytest.mark.parametrize("crossed", [False, True])
+def test_training_leaves_no_texts_behind(spark, documents, crossed):
+    folder = _application_folder(spark)
+    before = set(children(spark, folder))
+    ids = range(200)
+    rows = documents([(i, f"you are a {'vilxen' if i % 2 else 'good friend'} number {i}") for i in ids])
+    labels = spark.createDataFrame([(i, i % 2) for i in ids], "doc_id long, toxic int")
+    model = toxicity.train(rows, labels, crossed=crossed)
+    bad, fine = toxicity.scores(model, pa.array(["you are a vilxen", "you are a good friend"]))
+    assert bad > 0.5 > fine
+    assert set(children(spark, folder)) == before
