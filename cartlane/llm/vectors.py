@@ -77,57 +77,57 @@ def beam_search(graph: Graph, queries: np.ndarray, beam: int) -> tuple[np.ndarra
     """The best ``beam`` nodes of each query, best first (-1 for none), and all nodes followed."""
     points, edges, entry = graph
     count, n = len(queries), len(points)
-    ids = np.full((count, beam), -1, np.int64)
+    # A node stands in a beam as twice its number, plus 1 once it is followed; -1 is none.
+    marks = np.full((count, beam), -1, np.int64)
     worth = np.full((count, beam), -np.inf, np.float32)
-    done = np.zeros((count, beam), bool)
-    ids[:, 0], worth[:, 0] = entry, queries @ points[entry]
-    visited = np.zeros((count, n), bool)
-    visited[:, entry] = True
+    marks[:, 0], worth[:, 0] = 2 * entry, queries @ points[entry]
+    # The last column stands for edges that are not there.
+    visited = np.zeros((count, n + 1), bool)
+    visited[:, entry] = visited[:, n] = True
+    seen = visited.reshape(-1)
     followed = []
     active = np.arange(count)
     while len(active):
-        open_ = ~done[active] & (ids[active] >= 0)
-        turn = np.cumsum(open_, axis=1)
-        picked = open_ & (turn <= FOLLOWED)
-        some = picked.any(axis=1)
-        active, picked = active[some], picked[some]
+        mine = marks[active]
+        open_ = mine & 1 == 0
+        turn = np.cumsum(open_, axis=1, dtype=np.int32)
+        some = turn[:, -1] > 0
+        if not some.all():
+            active, mine, open_, turn = active[some], mine[some], open_[some], turn[some]
         if not len(active):
             break
-        at, column = np.nonzero(picked)
-        rows = active[at]
-        nodes = ids[rows, column]
-        done[rows, column] = True
+        at, column = np.nonzero(open_ & (turn <= FOLLOWED))
+        nodes = mine[at, column] >> 1
+        mine[at, column] |= 1
+        slot = turn[at, column] - 1
         step = np.full((count, FOLLOWED), -1, np.int64)
-        step[rows, turn[some][at, column] - 1] = nodes
+        step[active[at], slot] = nodes
         followed.append(step)
-        near = edges[nodes]
-        owner = np.repeat(rows, near.shape[1])
-        near = near.reshape(-1).astype(np.int64)
-        fresh = near >= 0
-        owner, near = owner[fresh], near[fresh]
-        fresh = ~visited[owner, near]
-        code = np.unique(owner[fresh] * n + near[fresh])
-        owner, near = code // n, code % n
-        visited[owner, near] = True
-        gained = np.einsum("ij,ij->i", queries[owner], points[near])
-        # What is new stands beside the beam; the best of both stay.
-        counts = np.bincount(owner, minlength=count)[active]
-        width = int(counts.max(initial=0))
-        if not width:
-            continue
-        place = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
-        slot = np.searchsorted(active, owner)
-        new_ids = np.full((len(active), width), -1, np.int64)
-        new_worth = np.full((len(active), width), -np.inf, np.float32)
-        new_ids[slot, place], new_worth[slot, place] = near, gained
-        all_ids = np.concatenate([ids[active], new_ids], axis=1)
-        all_worth = np.concatenate([worth[active], new_worth], axis=1)
-        all_done = np.concatenate([done[active], np.zeros((len(active), width), bool)], axis=1)
-        order = np.argsort(-all_worth, axis=1, kind="stable")[:, :beam]
-        ids[active] = np.take_along_axis(all_ids, order, axis=1)
-        worth[active] = np.take_along_axis(all_worth, order, axis=1)
-        done[active] = np.take_along_axis(all_done, order, axis=1)
-    return ids, np.concatenate(followed, axis=1) if followed else ids[:, :0]
+        # No edge is -1: that is the last column of the query before.
+        place = (edges[nodes] + (active[at] * (n + 1))[:, None]).reshape(-1)
+        fresh = np.flatnonzero(~seen[place])
+        place, owner = place[fresh], at[fresh // edges.shape[1]]
+        seen[place] = True
+        near = place - active[owner] * (n + 1)
+        gained = np.einsum("ij,ij->i", queries[active[owner]], points[near])
+        # What is better than the last of the beam stands beside it, once; the best of both stay.
+        held = worth[active]
+        better = np.flatnonzero(gained > held[owner, -1])
+        if len(better):
+            _, once = np.unique(place[better], return_index=True)
+            better = better[once]
+            owner, near, gained = owner[better], near[better], gained[better]
+            counts = np.bincount(owner, minlength=len(active))
+            place = beam + np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
+            all_marks = np.full((len(active), beam + counts.max()), -1, np.int64)
+            all_worth = np.full(all_marks.shape, -np.inf, np.float32)
+            all_marks[:, :beam], all_worth[:, :beam] = mine, held
+            all_marks[owner, place], all_worth[owner, place] = 2 * near, gained
+            order = np.argsort(-all_worth, axis=1, kind="stable")[:, :beam]
+            mine = np.take_along_axis(all_marks, order, axis=1)
+            worth[active] = np.take_along_axis(all_worth, order, axis=1)
+        marks[active] = mine
+    return marks >> 1, np.concatenate(followed, axis=1) if followed else marks[:, :0]
 
 
 def robust_prune(points: np.ndarray, nodes: np.ndarray, candidates: np.ndarray, degree: int = DEGREE) -> np.ndarray:
@@ -136,7 +136,8 @@ def robust_prune(points: np.ndarray, nodes: np.ndarray, candidates: np.ndarray,
     for a in range(0, len(nodes), 256):
         mine, given = nodes[a : a + 256], candidates[a : a + 256]
         ordered = np.sort(given, axis=1)
-        repeated = np.concatenate([np.zeros((len(given), 1), bool), ordered[:, 1:] == ordered[:, :-1]], axis=1)
+        ordered = ordered[:, min(int((ordered < 0).all(axis=0).sum()), ordered.shape[1] - 1) :]
+        repeated = np.concatenate([np.zeros((len(ordered), 1), bool), ordered[:, 1:] == ordered[:, :-1]], axis=1)
         valid = (ordered >= 0) & ~repeated & (ordered != mine[:, None])
         x = points[np.maximum(ordered, 0)]
         # Points are directions: squared distances are 2 - 2 * products.
@@ -287,6 +288,14 @@ class _Answers:
             self.least[at] = -self.best[at][-1][0]
 
 
+def _promising(worth: np.ndarray, nearest: int, slack: float) -> np.ndarray:
+    """Which nodes can be in an answer, of which one may be the query's own: a product of many at once may differ
+    in its last digits from that of one pair."""
+    if len(worth) <= nearest + 1:
+        return np.ones(len(worth), bool)
+    return ~(worth < np.partition(worth, -nearest - 1)[-nearest - 1] - slack)
+
+
 def _searched(nearest: int, beam: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -310,6 +319,7 @@ def _searched(nearest: int, beam: int):
                     found, _ = beam_search(Graph(points[begin:end], edges[begin:end], entry), directions[asking], beam)
                     for at, nodes in zip(asking.tolist(), found):
                         nodes = nodes[nodes >= 0] + begin
+                        nodes = nodes[_promising(vectors[nodes] @ queries[at], nearest, 1e-9 * lengths[at] * longest)]
                         exact = np.array([float(np.dot(queries[at], vectors[i])) for i in nodes])
                         answers.add(at, exact, [members[i] for i in nodes])
                     begin = end

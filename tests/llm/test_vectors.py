@@ -2,6 +2,7 @@ import math
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from cartlane.llm import vectors
@@ -104,3 +105,46 @@ def test_graph_is_bounded_and_reaches():
     found, _ = vectors.beam_search(graph, x.astype(np.float32), 32)
     near = np.argsort(-(x @ x.T), axis=1)[:, 1]
     assert np.mean([i in row for i, row in zip(near, found)]) > 0.97
+
+
+def plain_search(graph, query, beam):
+    """The beam search of one query, node by node."""
+    worth = {graph.entry: float(query @ graph.points[graph.entry])}
+    held, done = [graph.entry], set()
+    while todo := [i for i in held if i not in done][: vectors.FOLLOWED]:
+        done |= set(todo)
+        new = {j for i in todo for j in graph.edges[i].tolist() if j >= 0 and j not in worth}
+        worth |= {j: float(query @ graph.points[j]) for j in new}
+        held = sorted({*held, *new}, key=lambda j: -worth[j])[:beam]
+    return held, done
+
+
+def test_search_is_the_plain_one():
+    x = np.random.default_rng(4).normal(size=(900, 12))
+    x /= vectors.lengths_of(x)[:, None]
+    graph = vectors.build_graph(x[:800], vectors.lengths_of(x[:800]))
+    queries = x[700:].astype(np.float32)
+    for beam in (1, 7, 40, 1000):
+        found, followed = vectors.beam_search(graph, queries, beam)
+        for query, ids, steps in zip(queries, found.tolist(), followed.tolist()):
+            held, done = plain_search(graph, query, beam)
+            assert [i for i in ids if i >= 0] == held and {i for i in steps if i >= 0} == done
+
+
+def test_only_what_can_be_an_answer_is_ranked(monkeypatch):
+    x = np.random.default_rng(5).normal(size=(2050, 16))
+    x /= vectors.lengths_of(x)[:, None]
+    nodes, queries, n = x[:2000], x[2000:], 2000
+    graph = vectors.build_graph(nodes, vectors.lengths_of(nodes))
+    row = {"dim": 16, "n": n, "vectors": nodes.tobytes(), "members": np.arange(n).tobytes(), "ends": np.arange(1, n + 1).tobytes()}
+    row |= {"points": graph.points.tobytes(), "edges": graph.edges.tobytes(), "bands": np.array([n]).tobytes()}
+    row |= {"entries": np.array([graph.entry]).tobytes(), "longest": np.ones(1).tobytes()}
+    row |= {"ids": np.arange(n, n + 50).tobytes(), "queries": queries.tobytes()}
+    dot, argsort, dots, widths = np.dot, np.argsort, [], []
+    monkeypatch.setattr(np, "dot", lambda a, b: dots.append(1) or dot(a, b))
+    monkeypatch.setattr(np, "argsort", lambda a, *args, **kw: widths.append(np.isfinite(a).sum()) or argsort(a, *args, **kw))
+    found = next(vectors._searched(20, 128)(iter([pd.DataFrame([row])])))
+    best = argsort(-(queries @ nodes.T), axis=1)[:, :20]
+    assert np.mean([set(found.vec_id[found.query_id == n + i]) == set(b) for i, b in enumerate(best.tolist())]) > 0.9
+    # Of the 128 nodes in a beam 21 can be in an answer; what is worse than a full beam is not sorted into it.
+    assert len(dots) == 50 * 21 and sum(widths) < 200_000
