@@ -145,6 +145,22 @@ def test_the_log_itself_holds_no_repeat(spark, tmp_path):
     assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == provider
 
 
+def test_keys_of_a_range_share_a_state(spark, tmp_path):
+    """Places at the edges of blocks, keys at the edges of ranges and below zero, one position of many keys."""
+    edges = [0, 1, 65_535, 65_536, 131_071]
+    lines = [record(lsn, key, "u", 1) for key in (-1025, -1, 0, 1, 1023, 1024) for lsn in edges]
+    lines += [record(7, key, "u", 2) for key in range(300)]
+    folder = write_files(tmp_path / "in", random.Random(3).sample(lines * 2, len(lines) * 2), 3)
+    changes = decoded(feed.feed_file_stream(spark, folder, max_files=1))
+    query = repeats.write_once(changes, str(tmp_path / "out"), str(tmp_path / "log"))
+    query.awaitTermination()
+    got = read_batches(spark, str(tmp_path / "out")).drop("batch_id")
+    want = state.without_repeats(decoded(as_frame(spark, lines)))
+    assert rows(got, *want.columns) == rows(want) and got.count() == 330
+    # Two blocks in each of four ranges, not one state for each of 303 keys and its blocks.
+    assert max(p.stateOperators[0].numRowsTotal for p in query.recentProgress) == 8
+
+
 # Totals
 
 
