@@ -14,6 +14,7 @@ from cartlane.operators.orders import order_totals
 from cartlane.schemas import TABLES
 from cartlane.sources.sinks import read_batches
 from cartlane.streaming import envelope, feed, handover, history, references, repeats, state, totals, versions
+from cartlane.testbed.queries import QUERIES
 from tests.conftest import rows
 from tests.test_changes import FEED, ORDERS, as_frame, decoded, record, write_files
 
@@ -273,6 +274,54 @@ def test_values_that_do_not_fit_are_rejects(spark):
     assert rows(envelope.rejects(raw, ORDERS), "value") == [(b,) for b in sorted(bad)]
 
 
+def test_a_record_is_read_from_its_text_once(spark):
+    """A filter that passes the reading would read the text again for each field it looks at."""
+    raw = as_frame(spark, FEED)
+    for df in (decoded(raw), envelope.rejects(raw, ORDERS), envelope.reject_counts(raw, ORDERS)):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json(") == 1
+
+
+def test_numbers_are_those_of_a_cast(spark):
+    """Signs, blanks and other control characters around, digits of another script, and what is no number."""
+    given = ["7", "+7", "-7", " 7\n", "\x007\x7f", "\u00a07", "007", "7.", ".7", "1.5", "1e3", "1E-1", "7d", "0x7", "7 7", "--7", "", " ", "-", "x", "\u0667", "\uff17"]
+    given += ["9223372036854775807", "9223372036854775808", "-9223372036854775808", "12345678901234567.89", "NaN", "Infinity"]
+    texts = spark.createDataFrame([(v,) for v in [*given, None]], "v string")
+    for to in (ORDERS.column("id").spark_type(), ORDERS.column("total_amount").spark_type()):
+        got = texts.select("v", envelope._fitting(F.col("v"), to).alias("n"))
+        assert rows(got) == rows(texts.select("v", F.col("v").try_cast(to).alias("n")))
+
+
+def test_a_record_cut_off_anywhere_is_unreadable(spark):
+    whole = record(40, 1, "u", 1, "1.00")
+    cut = [whole[:n] for n in range(len(whole))]
+    assert rows(envelope.reject_counts(as_frame(spark, cut), ORDERS)) == [("unreadable", len(cut))]
+    assert envelope.decode(as_frame(spark, [whole, whole + " more"]), ORDERS).count() == 2
+
+
+def small_events(spark, folder, n=400):
+    """Events of the supplied shape: few users, all types, one or two of them null."""
+    kinds = F.element_at(F.array(*[F.lit(k) for k in ("signup", "view", "click", "purchase", "error")]), (F.xxhash64("id") % 5 + 5).cast("int") % 5 + 1)
+    events = spark.range(n).select(
+        F.col("id").alias("event_id"),
+        F.timestamp_add("SECOND", F.col("id") * 60, F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")).alias("ts"),
+        (F.col("id") * 7 % 31).alias("user_id"),
+        kinds.alias("event_type"),
+        (F.col("id") % 90 + 0.25).alias("value"),
+    )
+    events.write.parquet(f"{folder}/events.parquet")
+    return spark.read.parquet(f"{folder}/events.parquet")
+
+
+def test_the_spoiled_feed_is_made_in_one_pass(spark, tmp_path):
+    events = small_events(spark, tmp_path)
+    got = QUERIES["cdc_rejects"](spark, str(tmp_path))
+    # Once for what can be taken and once for what cannot, not once for each kind.
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 2
+    updates = events.filter("event_type not in ('signup', 'error')").count()
+    assert rows(got) == [("incomplete", updates), ("none", 400), ("unfit", 4 * updates), ("unreadable", 400)]
+
+
 def test_a_stream_goes_on_after_bad_values(spark, tmp_path):
     bad = record(9, 1, "u", 1, "ten")
     folder = write_files(tmp_path / "in", [*FEED, bad], 2)
