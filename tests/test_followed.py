@@ -322,6 +322,16 @@ def test_the_spoiled_feed_is_made_in_one_pass(spark, tmp_path):
     assert rows(got) == [("incomplete", updates), ("none", 400), ("unfit", 4 * updates), ("unreadable", 400)]
 
 
+def test_the_hand_over_decodes_its_feed_once(spark, tmp_path):
+    events = small_events(spark, tmp_path)
+    got = QUERIES["cdc_snapshot_and_log"](spark, str(tmp_path))
+    # The log is read several times, from where its decoded records lie.
+    assert "from_json(" not in got._jdf.queryExecution().optimizedPlan().toString()
+    last = events.groupBy("user_id").agg(F.max_by(F.struct("event_type", "value"), "event_id").alias("last")).filter("last.event_type != 'error'")
+    want = {(r["user_id"], f"{r['last']['value']:.2f}") for r in last.collect()}
+    assert {(r["id"], str(r["total_amount"])) for r in got.collect()} == want and got.count() == len(want)
+
+
 def test_a_stream_goes_on_after_bad_values(spark, tmp_path):
     bad = record(9, 1, "u", 1, "ten")
     folder = write_files(tmp_path / "in", [*FEED, bad], 2)
